@@ -11,9 +11,13 @@ AUTHOR_SEPARATOR = ";"
 MDS_SEPARATOR = "-->"
 
 
+def _col(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
 def split_literal(col: Column | str, separator: str) -> Column:
-    """Split on a literal separator (``split`` alone takes a regular expression)."""
-    return F.split(col, r"\Q" + separator + r"\E")
+    """Split on a literal separator; an empty list text has no elements at all."""
+    return F.split(F.nullif(_col(col), F.lit("")), r"\Q" + separator + r"\E")
 
 
 def unix_lines(col: Column | str) -> Column:
