@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from shelfmark.functions.text import upper
+
 _GROUPS = r"^(.{8})(.{4})(.{4})(.{4})(.{12})$"
 
 
@@ -25,14 +27,14 @@ def derive_other_work_id(work_uid: Column | str, site: Column | str) -> Column:
 
 def short_form(col: Column | str) -> Column:
     """Trimmed, white space collapsed, upper case."""
-    return F.upper(F.regexp_replace(F.trim(col), r"\s+", " "))
+    return upper(F.regexp_replace(F.trim(col), r"\s+", " "))
 
 
 def dashed_title(col: Column | str) -> Column:
     """Title short form with every white-space run turned into a dash."""
-    return F.regexp_replace(F.upper(F.trim(col)), r"\s+", "-")
+    return F.regexp_replace(upper(F.trim(col)), r"\s+", "-")
 
 
 def author_label(first: Column | str, last: Column | str) -> Column:
     """``LAST, FIRST`` in upper case; a missing part is left empty."""
-    return F.concat_ws("", F.upper(last), F.lit(", "), F.upper(first))
+    return F.concat_ws("", upper(last), F.lit(", "), upper(first))

@@ -15,6 +15,12 @@ def _col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def upper(col: Column | str) -> Column:
+    """Upper case character by character: ``ß`` stays, it does not become ``SS``."""
+    held = F.replace(_col(col), F.lit("ß"), F.lit("\ue000"))
+    return F.replace(F.upper(held), F.lit("\ue000"), F.lit("ß"))
+
+
 def split_literal(col: Column | str, separator: str) -> Column:
     """Split on a literal separator; an empty list text has no elements at all."""
     return F.split(F.nullif(_col(col), F.lit("")), r"\Q" + separator + r"\E")

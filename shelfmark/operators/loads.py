@@ -206,9 +206,9 @@ def insert_work_title(
         )
         .filter(F.length("lang_text") > 1)
     )
-    codes = language.select(F.col("code").alias("lang_code"), F.upper("english_name").alias("_name"))
+    codes = language.select(F.col("code").alias("lang_code"), text.upper("english_name").alias("_name"))
     new = missing_rows(work_title, titles, ["work_refid", "lang_text"])
-    found = new.join(codes, F.upper("lang_text") == F.col("_name"), "left").drop("_name")
+    found = new.join(codes, text.upper("lang_text") == F.col("_name"), "left").drop("_name")
     return stamped(found.select("work_refid", "lang_code", "lang_text", "title"), now, batch_id)
 
 
@@ -285,7 +285,7 @@ def insert_tag(
         lists.select("site_id", "tags_lang", F.explode(text.split_literal("tags_t", text.TAG_SEPARATOR)).alias("tag"))
         .groupBy("tag")
         .agg(F.max("tags_lang").alias("lang_code"), F.min("site_id").alias("ori_site_id"))
-        .select(ids.md5_uuid("tag").alias("id"), "tag", F.upper("tag").alias("tag_upper"), "ori_site_id", "lang_code")
+        .select(ids.md5_uuid("tag").alias("id"), "tag", text.upper("tag").alias("tag_upper"), "ori_site_id", "lang_code")
     )
     return stamped(missing_rows(tag, staged, ["id"]), now, batch_id)
 

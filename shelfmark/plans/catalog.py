@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from shelfmark.plans import catalog_loads, catalog_queues, catalog_reports, catalog_star  # noqa: F401
+from shelfmark.plans import catalog_loads, catalog_queues, catalog_reports, catalog_similarity, catalog_star  # noqa: F401
 from shelfmark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
