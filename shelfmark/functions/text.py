@@ -48,12 +48,12 @@ def trigrams(col: Column | str) -> Column:
     """Set of character trigrams as packed longs.
 
     Words are runs of letters and digits, lower case, padded with two blanks before
-    and one after. One look-ahead pass over the text yields every window, so the cost
-    is linear in the text length whatever the word lengths. A window is three code
+    and one after. One look-ahead pass over the distinct words yields every window, so
+    the cost is linear in the text length whatever the word lengths. A window is three code
     points of 21 bits each, hence the packing is exact.
     """
-    words = F.regexp_replace(F.lower(col), r"[^\p{L}\p{N}]+", "   ")
-    padded = F.concat(F.lit("  "), words, F.lit(" "))
+    words = F.array_distinct(F.split(F.lower(col), r"[^\p{L}\p{N}]+"))
+    padded = F.concat(F.lit("  "), F.array_join(words, "   "), F.lit(" "))
     windows = F.array_distinct(
         F.regexp_extract_all(padded, F.lit(r"(?=(  [^ ]|.[^ ].))"), F.lit(1))
     )
@@ -67,15 +67,19 @@ def trigrams(col: Column | str) -> Column:
     return F.transform(windows, pack)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def jaccard(a: Column | str, b: Column | str, size_a: Column | str, size_b: Column | str) -> Column:
     """Shared elements over all elements of two sets of known sizes."""
-    size_a = F.col(size_a) if isinstance(size_a, str) else size_a
-    size_b = F.col(size_b) if isinstance(size_b, str) else size_b
-    shared = F.size(F.array_intersect(a, b))
-    return F.when(size_a + size_b > 0, shared / (size_a + size_b - shared)).otherwise(F.lit(0.0))
+    total = _col(size_a) + _col(size_b)
+    ratio = let(F.size(F.array_intersect(a, b)), lambda shared: shared / (total - shared))
+    return F.when(total > 0, ratio).otherwise(F.lit(0.0))
 
 
 def trigram_similarity(a: Column | str, b: Column | str) -> Column:
     """Trigram similarity of two texts."""
-    ga, gb = trigrams(a), trigrams(b)
-    return jaccard(ga, gb, F.size(ga), F.size(gb))
+    both = F.struct(trigrams(a).alias("a"), trigrams(b).alias("b"))
+    return let(both, lambda p: jaccard(p["a"], p["b"], F.size(p["a"]), F.size(p["b"])))

@@ -24,8 +24,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.functions.text import jaccard, trigrams
-from shelfmark.sources.tables import materialize
+from shelfmark.functions.text import jaccard, let, trigrams
+from shelfmark.sources.tables import materialize, spread
 
 BUCKET_BASE = 1.3
 MINHASHES = 4
@@ -138,7 +138,9 @@ def text_classes(members: DataFrame, reviews: DataFrame) -> DataFrame:
     classes = members.groupBy(*CLASS_KEY).agg(
         F.min("id").alias("cid"), F.max("pending").alias("pending")
     )
-    texts = reviews.select(F.col("id").alias("cid"), "site_id", "review")
+    # The trigram sets are the expensive part: texts are spread by the join key first,
+    # which is the exchange a shuffled join needs anyway.
+    texts = spread(reviews.select(F.col("id").alias("cid"), "site_id", "review"), "cid")
     return (
         classes.join(texts, "cid")
         .withColumn("grams", trigrams("review"))
@@ -151,43 +153,43 @@ def text_classes(members: DataFrame, reviews: DataFrame) -> DataFrame:
 def _dense_matches(classes: DataFrame, large: DataFrame, rules: SimilarityRules) -> DataFrame:
     """Similar earlier classes inside groups of bounded size."""
     group = ["work_refid", "lang", "bucket"]
-    others = (
-        classes.join(large, group, "left_anti")
-        .select(*group, F.col("cid").alias("other"), F.col("len").alias("o_len"),
-                F.col("n").alias("o_n"), F.col("grams").alias("o_grams"))
+    others = spread(
+        classes.join(large, group, "left_anti").select(
+            *group, F.col("cid").alias("other"), F.col("len").alias("o_len"),
+            F.col("n").alias("o_n"), F.col("grams").alias("o_grams"),
+        ),
+        *group,
     )
     revs = (
         classes.filter("pending")
         .select("work_refid", "lang", "cid", "len", "n", "grams",
                 F.explode(_other_buckets(F.col("len"), F.col("len"), rules.margin)).alias("bucket"))
     )
-    t = rules.min_similarity
-    pairs = revs.join(others, group).filter(
-        (F.col("other") < F.col("cid"))
-        & in_band(F.col("len"), F.col("o_len"), rules.length_delta)
-        & _ratio_ok(F.col("n"), F.col("o_n"), t)
-    )
-    return _similar_rows(pairs, ["cid", "other"], t)
+    where = (F.col("other") < F.col("cid")) & in_band(F.col("len"), F.col("o_len"), rules.length_delta)
+    return _similar_rows(revs.join(others, group), ["cid", "other"], rules.min_similarity, where)
 
 
 def _minhash(grams: str, seed: int) -> Column:
     return F.array_min(F.transform(grams, lambda g: F.xxhash64(g, F.lit(seed))))
 
 
-def _similar_rows(pairs: DataFrame, keep: list[str], threshold: Column | float) -> DataFrame:
-    """Pairs of trigram sets (grams, n, o_grams, o_n) that reach the threshold."""
+def _similar_rows(
+    pairs: DataFrame, keep: list[str], threshold: Column | float, where: Column | None = None
+) -> DataFrame:
+    """Pairs of trigram sets (grams, n, o_grams, o_n) that reach the threshold.
+
+    The cheap tests guard the set intersection inside one expression: as separate
+    filters the optimizer is free to evaluate the intersection first.
+    """
     threshold = F.lit(threshold) if isinstance(threshold, float) else threshold
-    total = F.col("n") + F.col("o_n")
-    return (
-        pairs.select(
-            *keep, total.alias("_total"), threshold.alias("_t"),
-            F.size(F.array_intersect("grams", "o_grams")).alias("_shared"),
-        )
-        .filter(F.col("_shared") >= F.col("_t") / (1 + F.col("_t")) * F.col("_total") - 1e-9)
-        .withColumn("similarity", F.col("_shared") / (F.col("_total") - F.col("_shared")))
-        .filter(F.col("similarity") >= F.col("_t") - 1e-12)
-        .drop("_total", "_t", "_shared")
-    )
+    n, m = F.col("n"), F.col("o_n")
+    possible = _ratio_ok(n, m, threshold)
+    if where is not None:
+        possible = where & possible
+    ratio = let(F.size(F.array_intersect("grams", "o_grams")), lambda shared: shared / (n + m - shared))
+    return pairs.select(*keep, F.when(possible, ratio).alias("similarity"), threshold.alias("_t")).filter(
+        F.col("similarity") >= F.col("_t")
+    ).drop("_t")
 
 
 def _leaders(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
@@ -210,11 +212,10 @@ def _leaders(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
         F.col("n").alias("o_n"), F.col("grams").alias("o_grams"),
     )
     near = _similar_rows(
-        close.join(sets, "cid")
-        .join(other, "pivot")
-        .filter(in_band(F.col("len"), F.col("o_len"), rules.length_delta)),
+        close.join(sets, "cid").join(other, "pivot"),
         ["cid", "pivot"],
         max(1 - rules.radius, rules.min_similarity),
+        in_band(F.col("len"), F.col("o_len"), rules.length_delta),
     )
     follower = near.select(F.col("cid").alias("pivot")).distinct()
     chosen = (
@@ -332,10 +333,10 @@ def _large_matches(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
         .join(crowd, "o_leader")
         .filter(F.col("other") < F.col("leader"))
         .join(sets, "cid")
-        .join(other_sets, "other")
-        .filter(in_band(F.col("len"), F.col("o_len"), rules.length_delta)),
+        .join(other_sets, "other"),
         ["cid", "other"],
         t,
+        in_band(F.col("len"), F.col("o_len"), rules.length_delta),
     )
     own = led.filter(F.col("pending") & (F.col("leader") != F.col("cid"))).select(
         "cid", F.col("leader").alias("other"), F.col("to_leader").alias("similarity")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.functions.text import trigram_similarity as similarity_of
+from shelfmark.functions.text import jaccard, trigrams
 from shelfmark.operators import similarity as sim
 from shelfmark.plans import reports
 from shelfmark.plans.catalog_reports import SITES
 from shelfmark.plans.registry import query
 from shelfmark.plans.standins import NOW, Standins
+from shelfmark.sources.tables import spread
 
 _GRAMS = """list_distinct(flatten(list_transform(
         list_distinct(regexp_extract_all(lower(review), '[\\p{L}\\p{N}]+')),
@@ -65,13 +66,18 @@ def enqueue_similarity(s: Standins):
     join grams o on o.id = f.first_id""")
 def trigram_similarity(s: Standins):
     """Each review against the first one of its work and language."""
-    reviews = s.review_t().select("id", "work_refid", "review_lang", "review")
-    firsts = reviews.groupBy("work_refid", "review_lang").agg(F.min("id").alias("first_id"))
-    texts = firsts.join(
-        reviews.select(F.col("id").alias("first_id"), F.col("review").alias("first_review")), "first_id"
+    reviews = spread(s.review_t(), "id").select(
+        "id", "work_refid", "review_lang", trigrams("review").alias("grams")
+    ).withColumn("n", F.size("grams"))
+    firsts = s.review_t().groupBy("work_refid", "review_lang").agg(F.min("id").alias("first_id"))
+    sets = firsts.join(
+        reviews.select(
+            F.col("id").alias("first_id"), F.col("grams").alias("first_grams"), F.col("n").alias("first_n")
+        ),
+        "first_id",
     )
-    return reviews.join(texts, ["work_refid", "review_lang"]).select(
-        "id", "first_id", F.round(similarity_of("review", "first_review"), 6).alias("similarity")
+    return reviews.join(sets, ["work_refid", "review_lang"]).select(
+        "id", "first_id", F.round(jaccard("grams", "first_grams", "n", "first_n"), 6).alias("similarity")
     )
 
 

@@ -25,6 +25,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Partition by the columns into the configured number of shuffle partitions.
+
+    For rows that are small but costly to work on: the partition count is kept, where
+    adaptive execution would merge partitions by their bytes. A shuffled join on the
+    same columns uses this exchange and adds none.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns)
+
+
 class Store:
     """Named tables under one root folder.
 
