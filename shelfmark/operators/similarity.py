@@ -138,11 +138,13 @@ def text_classes(members: DataFrame, reviews: DataFrame) -> DataFrame:
     classes = members.groupBy(*CLASS_KEY).agg(
         F.min("id").alias("cid"), F.max("pending").alias("pending")
     )
-    # The trigram sets are the expensive part: texts are spread by the join key first,
-    # which is the exchange a shuffled join needs anyway.
-    texts = spread(reviews.select(F.col("id").alias("cid"), "site_id", "review"), "cid")
+    # The trigram sets are the expensive part. After a shuffled join the rows are
+    # partitioned by class already and the repartition falls away; after a broadcast it
+    # spreads the texts over all cores.
+    texts = reviews.select(F.col("id").alias("cid"), "site_id", "review")
     return (
         classes.join(texts, "cid")
+        .repartition("cid")
         .withColumn("grams", trigrams("review"))
         .withColumn("n", F.size("grams"))
         .withColumn("bucket", _bucket(F.col("len")))
