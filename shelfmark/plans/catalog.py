@@ -1,6 +1,13 @@
 """All registered queries."""
 
-from shelfmark.plans import catalog_loads, catalog_queues, catalog_reports, catalog_similarity, catalog_star  # noqa: F401
+from shelfmark.plans import (  # noqa: F401
+    catalog_loads,
+    catalog_normalize,
+    catalog_queues,
+    catalog_reports,
+    catalog_similarity,
+    catalog_star,
+)
 from shelfmark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
