@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from shelfmark.functions.text import let
+
 # Logical names of the sites, ids 1 to 5 in this order.
 LIBRARYTHING = "librarything"
 GOODREADS = "goodreads"
@@ -51,14 +53,14 @@ def parsed_rating(site: Column | str, rating: Column | str) -> Column:
 
 def french_date(col: Column | str) -> Column:
     """Date out of text ending in ``22 février 2016``."""
-    parts = F.regexp_extract_all(_col(col), F.lit(r"(\d{1,2}|\p{L}+|\d{4})(?= |$)"), F.lit(1))
-    day, month, year = (F.get(F.slice(parts, -3, 3), F.lit(i)) for i in range(3))
-    number = F.nullif(
-        F.array_position(F.array(*[F.lit(m) for m in FRENCH_MONTHS]), F.coalesce(month, F.lit(""))),
-        F.lit(0).cast("long"),
-    )
-    text = F.concat(year, F.lit("-"), number.cast("string"), F.lit("-"), day)
-    return F.when(F.size(parts) >= 3, F.try_to_timestamp(text, F.lit("y-M-d")).cast("date"))
+    parts = F.split(F.regexp_extract(_col(col), r"(\d{1,2} \p{L}+ \d{4})$", 1), " ")
+
+    def date(p: Column) -> Column:
+        number = F.array_position(F.array(*[F.lit(m) for m in FRENCH_MONTHS]), F.get(p, F.lit(1)))
+        text = F.concat_ws("-", F.get(p, F.lit(2)), number.cast("string"), F.get(p, F.lit(0)))
+        return F.try_to_timestamp(text, F.lit("y-M-d")).cast("date")
+
+    return let(parts, date)
 
 
 def parsed_date(site: Column | str, raw: Column | str) -> Column:

@@ -6,6 +6,7 @@ from shelfmark.plans import (  # noqa: F401
     catalog_queues,
     catalog_reports,
     catalog_similarity,
+    catalog_sources,
     catalog_star,
 )
 from shelfmark.plans.registry import ORACLES, QUERIES

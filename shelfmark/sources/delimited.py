@@ -81,10 +81,11 @@ def _escaped(value: Column) -> Column:
 
 
 def _unescaped(value: Column) -> Column:
-    value = F.replace(value, F.lit("\\\\"), F.lit(""))
+    # A doubled backslash is held aside, so that what follows it is not taken as a code.
+    value = F.replace(value, F.lit("\\\\"), F.lit("\ue000"))
     for plain, coded in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         value = F.replace(value, F.lit(coded), F.lit(plain))
-    return F.replace(value, F.lit(""), F.lit("\\"))
+    return F.replace(value, F.lit("\ue000"), F.lit("\\"))
 
 
 def export_delimited(

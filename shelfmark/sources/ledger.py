@@ -16,12 +16,11 @@ SCHEMA = (
 
 def ledger_latest(ledger: DataFrame) -> DataFrame:
     """The latest entry of every (job, step); at equal times an end counts over a start."""
-    fields = ["status", "run_dts", "rows_impacted"]
-    order = F.struct("run_dts", (F.col("status") != RUNNING).alias("ended"), *fields)
+    order = F.struct("run_dts", (F.col("status") != RUNNING).alias("ended"), "status", "rows_impacted")
     return (
         ledger.groupBy("batch_job", "step_name")
         .agg(F.max(order).alias("last"))
-        .select("batch_job", "step_name", *[F.col(f"last.{f}") for f in fields])
+        .select("batch_job", "step_name", "last.status", "last.run_dts", "last.rows_impacted")
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions import fields
 from shelfmark.functions.text import without_tabs
-from shelfmark.operators.normalize import normalize_reviews
+from shelfmark.operators.normalize import marc_lookup, normalize_reviews
 from shelfmark.sources.markup import Element, parse
 
 # Host names of the sites.
@@ -269,9 +269,11 @@ def _work(page: Element, url: str) -> dict:
     }
 
 
-def extract_work_details(pages: DataFrame) -> DataFrame:
+def extract_work_details(pages: DataFrame, language: DataFrame | None = None) -> DataFrame:
     """Work reference rows of ``pages(requested_refid, url, html)``.
 
+    With the language table the original language gets its code.
+
     A page that shows another work than the one requested is its master: the requested
     id is the duplicate. Author codes are the links without their eight-character prefix.
     """
@@ -287,7 +289,7 @@ def extract_work_details(pages: DataFrame) -> DataFrame:
     code = F.get("mds", F.lit(0))
     mds = fields.corrected_mds(code, F.slice("mds", F.lit(2), F.greatest(F.size("mds") - 1, F.lit(0))))
     known = F.size("mds") > 0
-    return raw.join(asked, "url").select(
+    rows = raw.join(asked, "url").select(
         F.col("page_refid").cast("bigint").alias("work_refid"),
         F.when(F.col("page_refid") != F.col("requested"), F.col("requested")).cast("bigint").alias("dup_refid"),
         without_tabs("title").alias("title"),
@@ -299,3 +301,6 @@ def extract_work_details(pages: DataFrame) -> DataFrame:
         F.when(~F.contains(F.col("popularity"), F.lit("—")), F.col("popularity")).alias("popularity"),
         "other_lang_title",
     )
+    if language is None:
+        return rows
+    return marc_lookup(rows, "original_lang", language, out="ori_lang_code", capital=False)

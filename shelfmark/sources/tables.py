@@ -59,7 +59,7 @@ class Store:
 
     def path(self, name: str) -> str:
         """Folder of the current version; unversioned tables are their own folder."""
-        fs, pointer = self._fs(f"{self.root}/{name}/_CURRENT")
+        fs, pointer = self._fs(f"{self.root}/{name}/CURRENT")
         if not fs.exists(pointer):
             return f"{self.root}/{name}"
         version = self.spark.read.text(pointer.toString()).first()[0]
@@ -72,11 +72,11 @@ class Store:
         """Publish a next state of a table that may be computed from its current one."""
         version = f"v-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.root}/{name}/{version}")
-        fs, temporary = self._fs(f"{self.root}/{name}/_NEXT-{version}")
+        fs, temporary = self._fs(f"{self.root}/{name}/NEXT-{version}")
         out = fs.create(temporary, True)
         out.write(bytearray(version.encode()))
         out.close()
-        _, pointer = self._fs(f"{self.root}/{name}/_CURRENT")
+        _, pointer = self._fs(f"{self.root}/{name}/CURRENT")
         if fs.exists(pointer):
             fs.delete(pointer, False)
         fs.rename(temporary, pointer)
