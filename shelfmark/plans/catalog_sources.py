@@ -15,7 +15,7 @@ from shelfmark.plans.registry import query
 from shelfmark.plans.standins import Standins
 from shelfmark.session import shared_folder
 from shelfmark.sources import delimited, feeds, ledger, pages
-from shelfmark.sources.tables import Store
+from shelfmark.sources.tables import Store, materialize
 from shelfmark.streaming import ingest
 
 
@@ -298,7 +298,8 @@ def _pages(s: Standins) -> DataFrame:
            case site_id when 1 then '3' when 2 then '386 ' when 4 then '17' end as tags_n
     from r""")
 def extract_reviews_from_pages(s: Standins):
-    return pages.extract_reviews(_pages(s)).select(
+    stored = materialize(_pages(s), "pages")
+    return pages.extract_reviews(stored).select(
         "work_uid", "site_logical_name", "review", "parsed_rating", "parsed_review_date", "parsed_likes",
         "user_uid", "username", "tags_t", "tags_n",
     )

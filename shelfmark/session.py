@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +44,16 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per session."""
+    context = spark.sparkContext
+    if getattr(context, "_shelfmark_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        str(Path(tempfile.mkdtemp(prefix="shelfmark-")) / root.name), "zip", root.parent, root.name
+    )
+    context.addPyFile(archive)
+    context._shelfmark_shipped = True

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfmark.functions import fields
 from shelfmark.functions.text import without_tabs
 from shelfmark.operators.normalize import marc_lookup, normalize_reviews
+from shelfmark.session import ship_package
 from shelfmark.sources.markup import Element, parse
 
 # Host names of the sites.
@@ -224,6 +225,7 @@ def raw_reviews(pages: DataFrame) -> DataFrame:
     ours = pages.select("url", site_of("url").alias("site"), "html").filter(
         F.col("site").isNotNull() & F.col("html").isNotNull()
     )
+    ship_package(pages.sparkSession)
     return ours.mapInPandas(extract, RAW_REVIEW)
 
 
@@ -284,6 +286,7 @@ def extract_work_details(pages: DataFrame, language: DataFrame | None = None) ->
                 yield _frame([_work(parse(html), url)], RAW_WORK)
 
     detail = pages.filter(F.contains(F.col("url"), F.lit("/workdetails")) & F.col("html").isNotNull())
+    ship_package(pages.sparkSession)
     raw = detail.select("url", "html").mapInPandas(extract, RAW_WORK)
     asked = detail.select("url", F.col("requested_refid").cast("string").alias("requested"))
     code = F.get("mds", F.lit(0))
