@@ -83,7 +83,7 @@ def _escaped(value: Column) -> Column:
 def _unescaped(value: Column) -> Column:
     # A doubled backslash is held aside, so that what follows it is not taken as a code.
     value = F.replace(value, F.lit("\\\\"), F.lit("\ue000"))
-    for plain, coded in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+    for plain, coded in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("|", "\\|")):
         value = F.replace(value, F.lit(coded), F.lit(plain))
     return F.replace(value, F.lit("\ue000"), F.lit("\\"))
 
@@ -106,15 +106,23 @@ def export_delimited(
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: str, max_errors: int = 100) -> DataFrame:
-    """Read an export back; unreadable rows are dropped unless they exceed the limit."""
-    names = [f.split()[0] for f in schema.split(",")]
-    df = spark.read.schema(schema + ", _bad string").csv(
-        path, sep="|", header=False, quote="", nullValue="\\N", mode="PERMISSIVE",
-        columnNameOfCorruptRecord="_bad",
+    """Read an export back; unreadable rows are dropped unless they exceed the limit.
+
+    A row is unreadable when it has another number of fields or a field does not convert.
+    """
+    fields = [f.split() for f in schema.split(",")]
+    # Fields end at a delimiter no backslash stands before.
+    cells = F.regexp_extract_all(
+        F.concat(F.col("value"), F.lit("|")), F.lit(r"((?:[^\\|]++|\\.)*+)\|"), F.lit(1)
     )
-    bad = df.agg(F.count_if(F.col("_bad").isNotNull()).alias("bad"), F.count(names[0])).first()["bad"]
+    raw = spark.read.text(path).select(cells.alias("cells"))
+    readable, out = F.size("cells") == len(fields), []
+    for i, (name, kind) in enumerate(fields):
+        cell = F.nullif(F.get("cells", F.lit(i)), F.lit("\\N"))
+        value = _unescaped(cell) if kind == "string" else cell.try_cast(kind)
+        readable = readable & (cell.isNull() | value.isNotNull())
+        out.append(value.alias(name))
+    bad = raw.agg(F.count_if(~readable)).first()[0]
     if bad > max_errors:
         raise TooManyBadRows(f"{bad} rows, {max_errors} tolerated")
-    good = df.filter(F.col("_bad").isNull()).drop("_bad")
-    texts = [c for c, t in good.dtypes if t == "string"]
-    return good.withColumns({c: _unescaped(F.col(c)) for c in texts})
+    return raw.filter(readable).select(*out)

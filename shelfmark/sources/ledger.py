@@ -15,8 +15,9 @@ SCHEMA = (
 
 
 def ledger_latest(ledger: DataFrame) -> DataFrame:
-    """The latest entry of every (job, step); at equal times an end counts over a start."""
-    order = F.struct("run_dts", (F.col("status") != RUNNING).alias("ended"), "status", "rows_impacted")
+    """The latest entry of every (job, step); at equal times the further stage counts."""
+    stage = F.array_position(F.array(*[F.lit(x) for x in (RUNNING, FAILED, EMPTY, COMPLETED)]), F.col("status"))
+    order = F.struct("run_dts", stage.alias("stage"), "status", "rows_impacted")
     return (
         ledger.groupBy("batch_job", "step_name")
         .agg(F.max(order).alias("last"))
