@@ -6,13 +6,16 @@ from pyspark.sql import Column, functions as F
 
 from shelfmark.functions.text import upper
 
-_GROUPS = r"^(.{8})(.{4})(.{4})(.{4})(.{12})$"
+# Start and length of the groups of a UUID.
+_GROUPS = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
 
 
 def md5_uuid(col: Column | str) -> Column:
     """UUID text made from the MD5 digest; NULL stays NULL."""
     col = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(F.md5(col), _GROUPS, "$1-$2-$3-$4-$5")
+    digest = F.md5(col)
+    groups = [F.substring(digest, start, length) for start, length in _GROUPS]
+    return F.when(col.isNotNull(), F.concat_ws("-", *groups))
 
 
 def derive_user_id(user_uid: Column | str, site: Column | str) -> Column:

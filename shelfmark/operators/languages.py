@@ -4,6 +4,9 @@ Naive Bayes over character trigrams. A profile holds, per language, how many tra
 texts contain a trigram; a text's score is the sum over its own trigrams. Profiles keep
 the most frequent trigrams of each language, so their size is bounded by languages times
 ``features`` whatever the size of the training set.
+
+Trigram sets are unpacked with the outer form of explode: for the inner form the optimizer
+derives a not-empty filter and computes the sets a second and third time below it.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfmark.functions.text import trigrams
+from shelfmark.sources.tables import fill_cores
 
 # Shorter texts and less certain answers are undetermined.
 MIN_DETECT_SIZE = 30
@@ -25,8 +29,9 @@ def train_profiles(labelled: DataFrame, text: str = "review", lang: str = "revie
     smoothed total of the language.
     """
     counted = (
-        labelled.filter(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(trigrams(F.lower(text))).alias("gram"))
+        fill_cores(labelled.select(text, lang).filter(F.col(lang).isNotNull()))
+        .select(F.col(lang).alias("lang"), F.explode_outer(trigrams(text)).alias("gram"))
+        .filter(F.col("gram").isNotNull())
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -45,9 +50,9 @@ def classify(texts: DataFrame, profiles: DataFrame, key: str = "id", text: str =
     All trigrams of a text lie in one partition, so the sums are combined before the
     shuffle to one row per text and language.
     """
-    sets = texts.select(key, trigrams(F.lower(text)).alias("grams")).withColumn("n", F.size("grams"))
+    sets = fill_cores(texts.select(key, text)).select(key, trigrams(text).alias("grams")).withColumn("n", F.size("grams"))
     hits = (
-        sets.select(key, "n", F.explode("grams").alias("gram"))
+        sets.select(key, "n", F.explode_outer("grams").alias("gram"))
         .join(profiles.select("gram", "lang", "weight", "size"), "gram")
         .groupBy(key, "lang")
         .agg(F.sum(F.col("weight")).alias("found"), F.max("n").alias("n"), F.max("size").alias("size"))

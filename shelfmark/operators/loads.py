@@ -3,6 +3,9 @@
 ``now`` and ``batch_id`` are parameters, so a load repeated with the same arguments
 gives the same rows. Loads that only insert return the rows to append; loads that also
 touch stored rows return the whole next state.
+
+Packed lists are unpacked with the outer form of explode and NULLs dropped after it; the
+inner form makes the optimizer split every list again for a not-empty test.
 """
 
 from __future__ import annotations
@@ -129,7 +132,7 @@ def _author_codes(stage: DataFrame) -> DataFrame:
         text.split_literal("authors", text.AUTHOR_SEPARATOR).alias("name"),
     )
     return (
-        stage.select("work_refid", F.explode(pairs).alias("p"))
+        stage.select("work_refid", F.explode_outer(pairs).alias("p"))
         .select("work_refid", F.col("p.code").alias("code"), F.col("p.name").alias("name"))
         .filter(F.col("code").isNotNull())
     )
@@ -137,7 +140,8 @@ def _author_codes(stage: DataFrame) -> DataFrame:
 
 def insert_author(author: DataFrame, stage: DataFrame, now: str, batch_id: int) -> DataFrame:
     codes = (
-        stage.select(F.explode(text.split_literal("authors_code", text.AUTHOR_SEPARATOR)).alias("code"))
+        stage.select(F.explode_outer(text.split_literal("authors_code", text.AUTHOR_SEPARATOR)).alias("code"))
+        .filter(F.col("code").isNotNull())
         .distinct()
     )
     new = missing_rows(author, codes, ["code"])
@@ -154,8 +158,9 @@ def insert_author_info(author_info: DataFrame, stage: DataFrame, now: str, batch
 def insert_work_author(work_author: DataFrame, stage: DataFrame, now: str, batch_id: int) -> DataFrame:
     staged = (
         stage.select(
-            "work_refid", F.explode(text.split_literal("authors_code", text.AUTHOR_SEPARATOR)).alias("code")
+            "work_refid", F.explode_outer(text.split_literal("authors_code", text.AUTHOR_SEPARATOR)).alias("code")
         )
+        .filter(F.col("code").isNotNull())
         .distinct()
         .select(ids.md5_uuid("code").alias("author_id"), "work_refid")
     )
@@ -195,7 +200,7 @@ def insert_work_title(
 
     The title is the second to fifth element between colons, joined without them.
     """
-    entry = F.explode(text.split_literal("other_lang_title", text.TAG_SEPARATOR))
+    entry = F.explode_outer(text.split_literal("other_lang_title", text.TAG_SEPARATOR))
     parts = F.split(F.col("entry"), ":")
     titles = (
         stage.select("work_refid", entry.alias("entry"))
@@ -282,7 +287,8 @@ def insert_tag(
         .join(names, "site_logical_name")
     )
     staged = (
-        lists.select("site_id", "tags_lang", F.explode(text.split_literal("tags_t", text.TAG_SEPARATOR)).alias("tag"))
+        lists.select("site_id", "tags_lang", F.explode_outer(text.split_literal("tags_t", text.TAG_SEPARATOR)).alias("tag"))
+        .filter(F.col("tag").isNotNull())
         .groupBy("tag")
         .agg(F.max("tags_lang").alias("lang_code"), F.min("site_id").alias("ori_site_id"))
         .select(ids.md5_uuid("tag").alias("id"), "tag", text.upper("tag").alias("tag_upper"), "ori_site_id", "lang_code")
@@ -309,7 +315,7 @@ def merge_work_tag(
         .select("work_refid", "site_logical_name", "tags_t", "tags_n")
         .distinct()
         .join(names, "site_logical_name")
-        .select("work_refid", "source_site_id", F.explode(pairs).alias("p"))
+        .select("work_refid", "source_site_id", F.explode_outer(pairs).alias("p"))
         .filter(F.col("p.tag").isNotNull())
         .groupBy("work_refid", F.col("p.tag").alias("tag"), "source_site_id")
         .agg(F.max(text.count_of("p.n")).alias("n"))

@@ -10,7 +10,7 @@ from shelfmark.plans import reports
 from shelfmark.plans.catalog_reports import SITES
 from shelfmark.plans.registry import query
 from shelfmark.plans.standins import NOW, Standins
-from shelfmark.sources.tables import spread
+from shelfmark.sources.tables import fill_cores
 
 _GRAMS = """list_distinct(flatten(list_transform(
         list_distinct(regexp_extract_all(lower(review), '[\\p{L}\\p{N}]+')),
@@ -66,7 +66,7 @@ def enqueue_similarity(s: Standins):
     join grams o on o.id = f.first_id""")
 def trigram_similarity(s: Standins):
     """Each review against the first one of its work and language."""
-    reviews = spread(s.review_t(), "id").select(
+    reviews = fill_cores(s.review_t()).select(
         "id", "work_refid", "review_lang", trigrams("review").alias("grams")
     ).withColumn("n", F.size("grams"))
     firsts = s.review_t().groupBy("work_refid", "review_lang").agg(F.min("id").alias("first_id"))

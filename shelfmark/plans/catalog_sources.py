@@ -337,4 +337,4 @@ def extract_work_details(s: Standins):
         F.concat(F.lit("https://www.librarything.com/work/"), F.col("p_partkey").cast("string"), F.lit("/workdetails")).alias("url"),
         html.alias("html"),
     )
-    return pages.extract_work_details(made)
+    return pages.extract_work_details(materialize(made, "pages"))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shelfmark.functions.text import let
 from shelfmark.schemas import LANGUAGE_REF, STAGED_TYPES, text_schema
 
 
@@ -115,14 +116,18 @@ def read_tolerant(spark: SparkSession, path: str, schema: str, max_errors: int =
     cells = F.regexp_extract_all(
         F.concat(F.col("value"), F.lit("|")), F.lit(r"((?:[^\\|]++|\\.)*+)\|"), F.lit(1)
     )
-    raw = spark.read.text(path).select(cells.alias("cells"))
-    readable, out = F.size("cells") == len(fields), []
-    for i, (name, kind) in enumerate(fields):
-        cell = F.nullif(F.get("cells", F.lit(i)), F.lit("\\N"))
-        value = _unescaped(cell) if kind == "string" else cell.try_cast(kind)
-        readable = readable & (cell.isNull() | value.isNotNull())
-        out.append(value.alias(name))
-    bad = raw.agg(F.count_if(~readable)).first()[0]
+    def row(found: Column) -> Column:
+        readable, out = F.size(found) == len(fields), []
+        for i, (name, kind) in enumerate(fields):
+            cell = F.nullif(F.get(found, F.lit(i)), F.lit("\\N"))
+            value = _unescaped(cell) if kind == "string" else cell.try_cast(kind)
+            readable = readable & (cell.isNull() | value.isNotNull())
+            out.append(value.alias(name))
+        return F.struct(readable.alias("_ok"), *out)
+
+    # Unpacked by a generator, so that each line is taken apart once.
+    rows = spark.read.text(path).select(F.inline(F.array(let(cells, row))))
+    bad = rows.agg(F.count_if(~F.col("_ok"))).first()[0]
     if bad > max_errors:
         raise TooManyBadRows(f"{bad} rows, {max_errors} tolerated")
-    return raw.filter(readable).select(*out)
+    return rows.filter("_ok").drop("_ok")

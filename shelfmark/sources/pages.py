@@ -7,6 +7,7 @@ expressions for all sites alike.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +18,7 @@ from shelfmark.functions.text import without_tabs
 from shelfmark.operators.normalize import marc_lookup, normalize_reviews
 from shelfmark.session import ship_package
 from shelfmark.sources.markup import Element, parse
+from shelfmark.sources.tables import fill_cores
 
 # Host names of the sites.
 HOSTS = {
@@ -33,7 +35,7 @@ RAW_REVIEW = (
     "rating string, review_date string, likes string, review string"
 )
 RAW_WORK = (
-    "url string, page_refid string, title string, original_lang string, other_lang_title string, "
+    "url string, requested string, page_refid string, title string, original_lang string, other_lang_title string, "
     "authors string, author_links array<string>, mds array<string>, lc_subjects string, popularity string"
 )
 
@@ -202,31 +204,39 @@ REVIEW_RULES = {
 }
 
 
-def _frame(rows: list[dict], schema: str) -> pd.DataFrame:
+# Rows handed back to Spark at a time.
+ROWS_PER_FRAME = 500
+
+
+def _frames(rows: Iterator[dict], schema: str) -> Iterator[pd.DataFrame]:
+    """Rows as frames of bounded size."""
     names = [f.split()[0] for f in schema.split(", ")]
-    return pd.DataFrame([[r.get(n) for n in names] for r in rows], columns=names, dtype=object)
+    while chunk := list(itertools.islice(rows, ROWS_PER_FRAME)):
+        yield pd.DataFrame({n: pd.Series([r.get(n) for r in chunk], dtype=object) for n in names})
 
 
 def raw_reviews(pages: DataFrame) -> DataFrame:
     """Reviews as written on the pages; a page without any gives one row of page fields.
 
-    Pages of other hosts are skipped before they reach Python. Each page's rows leave as
-    their own batch.
+    Pages of other hosts are skipped before they reach Python.
     """
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reviews(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for batch in batches:
             for url, site, html in zip(batch["url"], batch["site"], batch["html"]):
                 page = parse(html)
                 shared = {"url": url, "site_logical_name": site, **_page_fields(site, url, page)}
-                rows = [{**shared, "nth": i, **r} for i, r in enumerate(REVIEW_RULES[site](page))]
-                yield _frame(rows or [shared], RAW_REVIEW)
+                found = [{**shared, "nth": i, **r} for i, r in enumerate(REVIEW_RULES[site](page))]
+                yield from found or [shared]
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _frames(reviews(batches), RAW_REVIEW)
 
     ours = pages.select("url", site_of("url").alias("site"), "html").filter(
         F.col("site").isNotNull() & F.col("html").isNotNull()
     )
     ship_package(pages.sparkSession)
-    return ours.mapInPandas(extract, RAW_REVIEW)
+    return fill_cores(ours).mapInPandas(extract, RAW_REVIEW)
 
 
 def extract_reviews(pages: DataFrame) -> DataFrame:
@@ -280,19 +290,23 @@ def extract_work_details(pages: DataFrame, language: DataFrame | None = None) ->
     id is the duplicate. Author codes are the links without their eight-character prefix.
     """
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def works(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for batch in batches:
-            for url, html in zip(batch["url"], batch["html"]):
-                yield _frame([_work(parse(html), url)], RAW_WORK)
+            for url, asked, html in zip(batch["url"], batch["requested"], batch["html"]):
+                yield {"requested": asked, **_work(parse(html), url)}
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _frames(works(batches), RAW_WORK)
 
-    detail = pages.filter(F.contains(F.col("url"), F.lit("/workdetails")) & F.col("html").isNotNull())
+    detail = pages.filter(
+        F.contains(F.col("url"), F.lit("/workdetails")) & F.col("html").isNotNull()
+    ).select("url", F.col("requested_refid").cast("string").alias("requested"), "html")
     ship_package(pages.sparkSession)
-    raw = detail.select("url", "html").mapInPandas(extract, RAW_WORK)
-    asked = detail.select("url", F.col("requested_refid").cast("string").alias("requested"))
+    raw = fill_cores(detail).mapInPandas(extract, RAW_WORK)
     code = F.get("mds", F.lit(0))
     mds = fields.corrected_mds(code, F.slice("mds", F.lit(2), F.greatest(F.size("mds") - 1, F.lit(0))))
     known = F.size("mds") > 0
-    rows = raw.join(asked, "url").select(
+    rows = raw.select(
         F.col("page_refid").cast("bigint").alias("work_refid"),
         F.when(F.col("page_refid") != F.col("requested"), F.col("requested")).cast("bigint").alias("dup_refid"),
         without_tabs("title").alias("title"),

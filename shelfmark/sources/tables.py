@@ -36,6 +36,16 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(n, *columns)
 
 
+def fill_cores(scan: DataFrame) -> DataFrame:
+    """Spread a scan over all cores if it has fewer partitions than there are cores.
+
+    For costly work on few, small files. A scan of many files already has partitions
+    enough and is returned unchanged, so large inputs are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 class Store:
     """Named tables under one root folder.
 
