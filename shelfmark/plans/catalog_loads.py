@@ -317,8 +317,10 @@ def merge_work_tag(s: Standins):
     )
     stored = (
         old.filter(F.col("tags_t").isNotNull())
+        .select("work_refid", "site_logical_name", "tags_t", "tags_n")
+        .distinct()
         .join(sites.withColumnsRenamed({"id": "source_site_id", "logical_name": "site_logical_name"}), "site_logical_name")
-        .select("work_refid", "source_site_id", F.explode(pairs).alias("p"))
+        .select("work_refid", "source_site_id", F.explode_outer(pairs).alias("p"))
         .groupBy("work_refid", ids.md5_uuid("p.tag").alias("tag_id"), "source_site_id")
         .agg(F.min(text.count_of("p.n")).alias("frequency"))
         .withColumn("update_dts", F.lit(None).cast("timestamp_ntz"))

@@ -55,21 +55,15 @@ def read_isbn_feed(s: Standins):
            case when lang = 'fr' then null when lang = 'de' then '' else source end as title from documents""")
 def read_headered_dump(s: Standins):
     """Texts with line breaks, quotes and delimiters; NULL against empty text."""
-    def quoted(c: Column) -> Column:
-        return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
-
-    title = F.when(F.col("lang") == "fr", "").when(F.col("lang") == "de", '""').otherwise(F.col("source"))
-    line = F.concat_ws("|", title, quoted(F.col("text")), F.col("doc_id").cast("string"), "lang")
+    title = F.when(F.col("lang") == "fr", F.lit(None)).when(F.col("lang") == "de", "").otherwise(F.col("source"))
+    rows = s.raw("documents").select(
+        title.alias("title"), F.col("text").alias("review"),
+        F.col("doc_id").cast("string").alias("work_refid"), F.col("lang").alias("review_lang"),
+    )
     path = _folder(s, "dump")
-    body = s.raw("documents").select(line.alias("value"))
-    header = s.spark.createDataFrame([("title|review|work_refid|review_lang",)], "value string")
-    # One file per language, each with its own header line first.
-    for lang in ("en", "fr", "de", "es"):
-        rows = body.filter(F.endswith("value", F.lit(f"|{lang}")))
-        header.coalesce(1).union(rows.coalesce(1)).coalesce(1).write.text(f"{path}/{lang}")
+    rows.write.csv(path, sep="|", header=True, quote='"', escape='"', nullValue="", emptyValue='""')
     columns = ("site_logical_name", "work_refid", "review", "review_lang", "title")
-    read = delimited.read_headered_dump(s.spark, [f"{path}/{x}" for x in ("en", "fr", "de", "es")], columns)
-    return read.drop("site_logical_name")
+    return delimited.read_headered_dump(s.spark, path, columns).drop("site_logical_name")
 
 
 @query("read_plain_dump", """

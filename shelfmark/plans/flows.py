@@ -30,9 +30,7 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         """A stored table, empty before its first load."""
         if self.store.exists(name):
-            df = self.store.read(name)
-            schema = self.spark.createDataFrame([], layouts.SCHEMAS[name]).schema
-            return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+            return self.spark.read.schema(layouts.SCHEMAS[name]).parquet(self.store.path(name))
         return self.spark.createDataFrame([], layouts.SCHEMAS[name])
 
     def _replace(self, name: str, df: DataFrame) -> int:
@@ -73,8 +71,12 @@ class Warehouse:
         staged = delimited.typed(delimited.read_headered_dump(self.spark, path, STAGED_WORK_INFO))
         self.ledger.run(job, f"stage {task}", lambda b: self._replace("stage_work_info", staged), now)
         stage = self.table("stage_work_info")
+        self.ledger.run(
+            job, f"work {task}",
+            lambda b: self._add("work", loads.insert_missing_work(self.table("work"), stage, at, b)), now,
+        )
         inserts = {
-            "work": loads.insert_missing_work, "work_info": loads.insert_work_info,
+            "work_info": loads.insert_work_info,
             "author": loads.insert_author, "author_info": loads.insert_author_info,
             "work_author": loads.insert_work_author, "work_sameas": loads.insert_work_sameas,
             "mds": loads.insert_mds,
@@ -82,16 +84,16 @@ class Warehouse:
         for name, insert in inserts.items():
             self.ledger.run(
                 job, f"{name} {task}",
-                lambda b, n=name, i=insert: self._add(n, i(self.table(n), stage, at, b)), now,
+                lambda b, n=name, i=insert: self._append(n, i(self.table(n), stage, at, b), b), now,
             )
         self.ledger.run(
             job, f"work_title {task}",
-            lambda b: self._add("work_title", loads.insert_work_title(
-                self.table("work_title"), stage, self.table("language"), at, b)), now,
+            lambda b: self._append("work_title", loads.insert_work_title(
+                self.table("work_title"), stage, self.table("language"), at, b), b), now,
         )
 
     def _add(self, name: str, rows: DataFrame) -> int:
-        """Rows to add to a table that is published as whole versions."""
+        """Rows to add to a table that other steps publish as whole versions."""
         stored = self.table(name)
         return self._replace(name, stored.unionByName(rows, allowMissingColumns=True).select(*stored.columns))
 
@@ -139,12 +141,13 @@ class Warehouse:
             return self._append("review", add_ids(rows, last or 0), batch)
 
         run("review", reviews)
-        run("tag", lambda b: self._add("tag", loads.insert_tag(self.table("tag"), stage, sites, at, b, site)))
+        run("tag", lambda b: self._append(
+            "tag", loads.insert_tag(self.table("tag"), stage, sites, at, b, site), b))
         run("work_tag", lambda b: self._replace(
             "work_tag", loads.merge_work_tag(self.table("work_tag"), stage, sites, at, b, site)))
         if site == "librarything":
-            run("work_sameas", lambda b: self._add(
-                "work_sameas", loads.insert_work_sameas(self.table("work_sameas"), stage, at, b, site)))
+            run("work_sameas", lambda b: self._append(
+                "work_sameas", loads.insert_work_sameas(self.table("work_sameas"), stage, at, b, site), b))
             harvested = loads.of_site(stage, site).select("work_refid")
             run("last_harvest", lambda b: self._replace(
                 "work", loads.touch_last_harvest(self.table("work"), self.table("work_sameas"), harvested, at)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RUNNING, COMPLETED, FAILED, EMPTY = "Running", "Completed", "Failed", "Empty"
@@ -33,26 +34,28 @@ class Ledger:
         self.path = path
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(SCHEMA).option("ignoreMissingFiles", True).parquet(self.path)
+        return self.spark.read.schema(SCHEMA).parquet(self.path)
 
     def _append(self, *row) -> None:
         self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def _entries(self) -> DataFrame:
-        self.spark.createDataFrame([], SCHEMA).write.mode("append").parquet(self.path)
-        return self.read()
-
-    def batch_id(self, job: str, step: str) -> int:
-        """Load id of a step: the one it had before, or the next free one."""
+        try:
+            return self.read()
+        except AnalysisException:
+            # Nothing was ever entered: there is no folder yet.
+            return self.spark.createDataFrame([], SCHEMA)
+
+    def state(self, job: str, step: str) -> tuple[int, bool]:
+        """Load id of a step (its own from before, or the next free one) and whether it is done."""
+        this = (F.col("batch_job") == job) & (F.col("step_name") == step)
         row = self._entries().agg(
-            F.max(F.when((F.col("batch_job") == job) & (F.col("step_name") == step), F.col("id"))).alias("own"),
+            F.max(F.when(this, F.col("id"))).alias("own"),
             F.max("id").alias("last"),
+            F.count_if(this & (F.col("status") == COMPLETED)).alias("done"),
         ).first()
-        return row["own"] if row["own"] is not None else (row["last"] or 0) + 1
-
-    def is_complete(self, job: str, step: str) -> bool:
-        done = (F.col("batch_job") == job) & (F.col("step_name") == step) & (F.col("status") == COMPLETED)
-        return not self._entries().filter(done).isEmpty()
+        batch = row["own"] if row["own"] is not None else (row["last"] or 0) + 1
+        return batch, row["done"] > 0
 
     def run(self, job: str, step: str, work: Callable[[int], int | None], now: datetime) -> str:
         """Run a step once. A completed step is skipped; a failed one may be run again.
@@ -60,9 +63,9 @@ class Ledger:
         ``work`` gets the load id and returns the rows it wrote, or None when its input
         was empty. It must replace what an earlier attempt under the same id wrote.
         """
-        if self.is_complete(job, step):
+        batch, done = self.state(job, step)
+        if done:
             return "Skipped"
-        batch = self.batch_id(job, step)
         self._append(batch, job, step, RUNNING, now, None, None, None)
         started = datetime.now()
         try:
