@@ -38,13 +38,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write a step's result to the shared folder, read it back and let go of its shuffles.
+    """Write a step's result to the shared folder and read it back.
 
-    The shuffle files of finished steps are removed once the driver no longer refers to
-    them; collecting its garbage here keeps them from piling up over a job's steps.
+    The step's shuffle files go as soon as it is written: nothing reads them again, and a
+    job of several steps would otherwise hold those of all its steps at once.
     """
-    out = materialize(df, name)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN_UP, "false")
+    conf.set(_CLEAN_UP, "true")
+    try:
+        out = materialize(df, name)
+    finally:
+        conf.set(_CLEAN_UP, before)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return out
@@ -109,16 +118,30 @@ class Words:
 
 
 def split_words(
-    column: pa.Array, separators: np.ndarray, lower: bool = False, coded: bool = True
+    column: pa.Array, separators: np.ndarray, lower: bool = False, coded: bool = True,
+    kinds: np.ndarray | None = None, loose: bool = True,
 ) -> Words:
-    """Maximal runs of bytes that are no separators (all separators are ASCII)."""
+    """Maximal runs of bytes that are no separators (all separators are ASCII).
+
+    ``lower``: A-Z lower-cased first, unless ``loose`` is off and the next byte is not
+    ASCII, where a combining mark could follow. ``kinds``: a number per byte; a run is cut
+    as well between neighbours of kinds 1 and 2.
+    """
     data, offsets = text_bytes(column)
-    if lower:
+    if lower and loose:
         data = data.translate(UPPER_TO_LOWER)
     raw = np.frombuffer(data, dtype=np.uint8)
+    if lower and not loose:
+        upper = (raw >= 65) & (raw <= 90)
+        upper[:-1] &= raw[1:] < 128
+        raw = raw + upper.astype(np.uint8) * np.uint8(32)
+        data = raw.tobytes()
     inside = ~separators[raw]
     first = np.zeros(len(raw) + 1, dtype=bool)
     first[offsets] = True
+    if kinds is not None:
+        kind = kinds[raw]
+        first[1:-1] |= (kind[1:] ^ kind[:-1]) == 3
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | first[1:-1]
     stops = inside.copy()

@@ -15,7 +15,8 @@ sequence of ``length`` words that starts at two or more places of the corpus.
 3. *Maximal repeats*: overlapping windows found twice are merged per text into maximal
    spans of at least ``length`` words.
 
-Counts combine before the shuffle; joins are semi joins whose large side can be split.
+Counts combine before the shuffle. What is repeated is written before it is joined, so
+that both sides of a semi join are plain exchanges and a hot key's rows can be split.
 """
 
 from __future__ import annotations
@@ -184,7 +185,7 @@ def repeated_texts(docs: DataFrame, seed_words: int = SEED_WORDS, length: int =
     id_type = narrow.schema["doc_id"].dataType.simpleString()
     anchors = narrow.mapInArrow(
         _find_anchors("doc_id", seed_words, length), f"seed long, doc {id_type}, at int")
-    seen_twice = anchors.groupBy("seed").count().filter("count > 1").select("seed")
+    seen_twice = saved(anchors.groupBy("seed").count().filter("count > 1").select("seed"), "repeated-seeds")
     hits = saved(
         anchors.join(seen_twice, "seed", "left_semi").select("doc", "at"), "repeat-anchors"
     ).groupBy("doc").agg(F.collect_set("at").alias("hits"))
@@ -194,7 +195,8 @@ def repeated_texts(docs: DataFrame, seed_words: int = SEED_WORDS, length: int =
         .withColumn("rid", F.monotonically_increasing_id()), "repeat-texts")
     windows = texts.select("rid", "text", "hits").mapInArrow(
         _find_windows(seed_words, length), "w1 long, w2 long, rid long, start int")
-    repeated = windows.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2")
+    repeated = saved(
+        windows.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2"), "repeated-windows")
     starts = saved(windows.join(repeated, ["w1", "w2"], "left_semi").select("rid", "start"), "repeat-windows")
     spans = starts.groupBy("rid").agg(F.collect_list("start").alias("starts")).mapInArrow(
         _spans(length), "rid long, spans array<struct<first:int,stop:int>>")
