@@ -26,7 +26,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from shelfmark.llm.common import SPACES, chunks, prepared, ranges, saved, split_words
+from shelfmark.llm.common import SPACES, chunks, prepared, ranges, saved, split_words, text_bytes
 from shelfmark.session import shared_folder
 
 MAGIC = b"SMTI"
 VERSION = 1
 BLOCK_IDS = 4 << 20  # ids after which a block is closed
 SAMPLES = 256  # one select sample per so many documents
-CACHED_WORDS = 400_000
+CACHED_PARTS = 600_000  # distinct parts remembered by a worker
 
 
 # Elias-Fano ------------------------------------------------------------------------------
@@ -150,53 +150,93 @@ class TokenFile:
 # Encoding --------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return Tokenizer.from_file(path)
+# Kinds of bytes between which no token of the word tokenizer can reach: ASCII letters and
+# digits (1) against ASCII signs (2). The apostrophe takes part in contractions, and "<|>"
+# in special tokens; they and all other bytes cut nothing.
+_KINDS = np.zeros(256, dtype=np.uint8)
+_KINDS[[b for b in range(128) if chr(b).isalnum()]] = 1
+_KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "'<|>"]] = 2
+_SPECIAL = b"<|"
 
 
 class WordEncoder:
-    """Ids of texts whose tokenizer never joins what ASCII white space parts.
+    """Ids of texts for a tokenizer that ignores case and never joins what white space,
+    or a change between letters and signs, parts.
 
-    Distinct words are encoded by the library, once while they stay in the cache; a text's
-    ids are its words' ids in order. The cache is emptied when it is full.
+    Distinct parts are encoded by the library, once while they are remembered, many in one
+    call with a special token between them; a text's ids are its parts' ids in order. Texts
+    with the beginning of a special token are encoded as they are.
     """
 
     def __init__(self, path: str):
-        self.encode: Callable = _tokenizer(path).encode_batch_fast
-        self.cache: dict[bytes, np.ndarray] = {}
-
-    def _of_words(self, words: list[bytes]) -> list[np.ndarray]:
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-        new = [w for w in words if w not in self.cache]
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            for word, found in zip(part, self.encode([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.cache[word] = np.array(found.ids, dtype=np.int32)
-        return [self.cache[w] for w in words]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tokenizer = Tokenizer.from_file(path)
+        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        if not special or not all(t.startswith(_SPECIAL.decode()) for t, _ in special):
+            raise ValueError("the parts are put together with a special token that begins with <|")
+        self.between, self.between_id = special[0]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.first = np.zeros(0, dtype=np.int64)
+        self.sizes = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.int32)
+
+    def _places(self, parts: list[bytes]) -> np.ndarray:
+        """Place of each part in the memory, the new ones encoded first."""
+        if len(self.known) > CACHED_PARTS:
+            self._forget()
+        new = [p for p in parts if p not in self.known]
+        found = [self.ids]
+        sizes = [self.sizes]
+        for start in range(0, len(new), 256):
+            some = new[start:start + 256]
+            text = self.between.join([p.decode() for p in some])
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+            cuts = np.flatnonzero(ids == self.between_id)
+            sizes.append(np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1)
+            found.append(np.delete(ids, cuts))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.ids, self.sizes = np.concatenate(found), np.concatenate(sizes)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        known = self.known
+        return np.fromiter((known[p] for p in parts), dtype=np.int64, count=len(parts))
+
+    def _plain(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = split_words(column, SPACES, lower=True, kinds=_KINDS, loose=False)
+        if not len(words):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(column), dtype=np.int64)
+        place = self._places(words.values)[words.codes]
+        sizes = self.sizes[place]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        return self.ids[ranges(self.first[place], sizes)], np.diff(total[words.bounds])
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a chunk of texts, and how many each text has."""
-        words = split_words(column, SPACES)
-        if not len(words):
-            return np.zeros(0, dtype=np.int32), np.zeros(len(column), dtype=np.int64)
-        of_value = self._of_words(words.values)
-        sizes = np.array([len(v) for v in of_value], dtype=np.int64)
-        flat = np.concatenate(of_value)
-        first = np.cumsum(sizes) - sizes
-        per_word = sizes[words.codes]
-        ids = flat[ranges(first[words.codes], per_word)]
-        total = np.concatenate([[0], np.cumsum(per_word)])
-        return ids, np.diff(total[words.bounds])
+        if _SPECIAL not in text_bytes(column)[0]:
+            return self._plain(column)
+        texts = column.to_pylist()
+        odd = [i for i, t in enumerate(texts) if t and _SPECIAL.decode() in t]
+        ids, counts = self._plain(pa.array([None if t and _SPECIAL.decode() in t else t for t in texts], pa.string()))
+        at = np.concatenate([[0], np.cumsum(counts)])
+        parts = [ids[at[i]:at[i + 1]] for i in range(len(texts))]
+        for i in odd:
+            parts[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, dtype=np.int32)
+        return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder per worker process, so that tasks go on with what former ones learnt."""
+    return WordEncoder(path)
 
 
 def _blocks(path: str, end_id: int, width: int):
     """Blocks of a task's documents: first doc_id, ids in the block, the file's bytes as text."""
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(path)
+        encode = _encoder(path)
         doc_ids: list = []
         lengths: list[np.ndarray] = []
         held: list[np.ndarray] = []
@@ -207,7 +247,7 @@ def _blocks(path: str, end_id: int, width: int):
             data = to_file(doc_ids, np.concatenate(lengths), ids, width)
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
 
-        for part in chunks(batches):
+        for part in chunks(batches, limit=8 << 20):
             ids, counts = encode(part.column("text"))
             ends = np.cumsum(counts)
             with_end = np.insert(ids, ends, end_id)
