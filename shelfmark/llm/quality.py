@@ -200,27 +200,27 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, buckets: int = BUCKETS, sa
     counts = (
         texts.join(training, "doc_id").select("label", "text")
         .mapInArrow(_count(buckets), "bucket long, zeros long, ones long")
-        .groupBy("bucket").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).collect()
-    )
+        .groupBy("bucket").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()
+    )  # at most one row per bucket, and the numbers of texts as bucket -1
+    bucket, zeros, ones = (counts.column(c).to_numpy() for c in ("bucket", "zeros", "ones"))
+    indifferent = Model(np.zeros(buckets), np.zeros(buckets), 0.0)
+    if not zeros[bucket < 0].sum() or not ones[bucket < 0].sum():
+        return indifferent
     table = np.zeros((2, buckets))
-    texts_of = {0: 0, 1: 0}
-    for r in counts:  # at most one row per bucket
-        if r["bucket"] < 0:
-            texts_of = {0: r["zeros"], 1: r["ones"]}
-        else:
-            table[:, r["bucket"]] = r["zeros"], r["ones"]
-    if not texts_of[0] or not texts_of[1]:
-        return Model(np.zeros(buckets), np.zeros(buckets), 0.0)
+    table[0, bucket[bucket >= 0]], table[1, bucket[bucket >= 0]] = zeros[bucket >= 0], ones[bucket >= 0]
     share = (table + 1.0) / (table + 1.0).sum(axis=1, keepdims=True)
     ratio = np.log(share[1] / share[0])
     ratio[table.sum(axis=0) < 2] = 0.0
     chosen = F.broadcast(training.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = texts.join(chosen, "doc_id").select("label", "text").mapInArrow(
-        _listed(buckets), "label int, buckets array<int>").orderBy(F.xxhash64("buckets")).limit(2 * sample).collect()
-    signs = np.array([1.0 if r["label"] else -1.0 for r in rows])
+        _listed(buckets), "label int, buckets array<int>").orderBy(F.xxhash64("buckets")).limit(2 * sample).toArrow()
+    signs = np.where(rows.column("label").to_numpy() > 0, 1.0, -1.0)
     if not (signs > 0).any() or not (signs < 0).any():
-        return Model(np.zeros(buckets), np.zeros(buckets), 0.0)
-    weights, bias = descend([np.array(r["buckets"], dtype=np.int64) for r in rows], signs, ratio)
+        return indifferent
+    lists = rows.column("buckets").combine_chunks()
+    offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    listed = [flat[x:y] for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+    weights, bias = descend(listed, signs, ratio)
     weights = (1 - DRAWN) * float(np.abs(weights).mean()) + DRAWN * weights
     return Model((weights * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), DRAWN * bias)
 
