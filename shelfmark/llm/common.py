@@ -15,7 +15,7 @@ from shelfmark.session import ship_package
 from shelfmark.sources.tables import materialize
 
 # Bytes of text one worker turns into arrays at a time; a longer text is a chunk alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 UPPER_TO_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPACES = np.zeros(256, dtype=bool)
@@ -75,7 +75,12 @@ def text_key(column: str = "text") -> Column:
 def chunks(
     batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with at most ``limit`` bytes of text, or one row."""
+    """Slices of the batches with at most ``limit`` bytes of text, or one row.
+
+    Memory that the last slice needed goes back before the next one is made, so a worker
+    never holds more than one slice's arrays.
+    """
+    pool = pa.default_memory_pool()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -87,6 +92,7 @@ def chunks(
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+            pool.release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:

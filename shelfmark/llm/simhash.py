@@ -36,7 +36,7 @@ DISTANCE = 3
 BUCKET = 256
 SEED = 42
 # Hashes whose bits are unpacked at a time.
-_SLICE = 1 << 18
+_SLICE = 1 << 15
 
 
 def _shingle_hashes(words: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
