@@ -153,7 +153,7 @@ def corrected_mds(code: Column | str, texts: Column | str) -> dict[str, Column]:
     bare = F.replace(code, F.lit("."), F.lit(""))
     cut = F.substring(bare, F.lit(1), F.size(levels))
     dotted = F.when(
-        F.length(cut) > 3, F.concat(F.substring(cut, 1, 3), F.lit("."), F.substring(cut, 4, 1000))
+        F.length(cut) > 3, F.concat(F.substring(cut, 1, 3), F.lit("."), F.substr(cut, F.lit(4)))
     ).otherwise(cut)
     return {
         "mds_code": code,

@@ -1,9 +1,9 @@
 """Language detection of review texts.
 
-Naive Bayes over character trigrams. A profile holds, per language, how many training
-texts contain a trigram; a text's score is the sum over its own trigrams. Profiles keep
-the most frequent trigrams of each language, so their size is bounded by languages times
-``features`` whatever the size of the training set.
+Naive Bayes over character trigrams. A profile holds, per trigram, in how many training
+texts of each language it occurs; a text's score is the sum over its own trigrams. The
+profile grows with the alphabets, not with the texts: it is broadcast while its counted
+rows stay within a bound, and shuffled beyond; the texts' side is never broadcast.
 
 Trigram sets are unpacked with the outer form of explode: for the inner form the optimizer
 derives a not-empty filter and computes the sets a second and third time below it.
@@ -14,48 +14,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfmark.functions.text import trigrams
-from shelfmark.sources.tables import fill_cores
+from shelfmark.sources.tables import materialize
 
 # Shorter texts and less certain answers are undetermined.
 MIN_DETECT_SIZE = 30
 MIN_DETECT_PROB = 0.70
 UNDETERMINED = "und"
 
+BROADCAST_ROWS = 400_000  # trigrams of a profile that is sent to all executors, at most
 
-def train_profiles(labelled: DataFrame, text: str = "review", lang: str = "review_lang", features: int = 4000) -> DataFrame:
-    """(lang, gram, weight, size) rows from texts whose language is known.
 
-    ``weight`` is the logarithm of the count plus one; ``size`` the logarithm of the
-    smoothed total of the language.
+def train_profiles(labelled: DataFrame, text: str = "review", lang: str = "review_lang") -> DataFrame:
+    """(gram, langs) rows from texts whose language is known.
+
+    ``langs`` holds, per language that has the trigram, its weight (the logarithm of the
+    count plus one) and the language's size (the logarithm of its smoothed total).
     """
-    counted = (
-        fill_cores(labelled.select(text, lang).filter(F.col(lang).isNotNull()))
+    counted = materialize(
+        labelled.select(text, lang)
+        .filter(F.col(lang).isNotNull())
         .select(F.col(lang).alias("lang"), F.explode_outer(trigrams(text)).alias("gram"))
         .filter(F.col("gram").isNotNull())
         .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # One row per distinct trigram of a language: bounded by the alphabet.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = counted.withColumn("_rank", rank).filter(F.col("_rank") <= features).drop("_rank")
-    totals = kept.groupBy("lang").agg(F.log(F.sum("n") + F.lit(features)).alias("size"))
-    return kept.join(totals, "lang").select(
-        "lang", "gram", F.log(F.col("n") + F.lit(1)).alias("weight"), "size"
+        .agg(F.count(F.lit(1)).alias("n")),
+        "gram-counts",
     )
+    totals = counted.groupBy("lang").agg(F.log(F.sum("n") + F.count(F.lit(1))).alias("size"))
+    entry = F.struct("lang", F.log(F.col("n") + F.lit(1)).alias("weight"), "size")
+    # One entry per language in each list.
+    return materialize(
+        counted.join(totals, "lang").groupBy("gram").agg(F.collect_list(entry).alias("langs")), "profiles")
 
 
 def classify(texts: DataFrame, profiles: DataFrame, key: str = "id", text: str = "review") -> DataFrame:
     """(key, lang, probability) of the most probable language of each text.
 
-    All trigrams of a text lie in one partition, so the sums are combined before the
-    shuffle to one row per text and language.
+    All trigrams of a text lie in one partition, so against a broadcast profile the sums
+    are combined before the shuffle to one row per text and language.
     """
-    sets = fill_cores(texts.select(key, text)).select(key, trigrams(text).alias("grams")).withColumn("n", F.size("grams"))
+    small = profiles.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    known = F.broadcast(profiles) if small else profiles.hint("merge")
+    sets = texts.select(key, trigrams(text).alias("grams")).withColumn("n", F.size("grams"))
     hits = (
         sets.select(key, "n", F.explode_outer("grams").alias("gram"))
-        .join(profiles.select("gram", "lang", "weight", "size"), "gram")
+        .join(known, "gram")
+        .select(key, "n", F.inline("langs"))
         .groupBy(key, "lang")
-        .agg(F.sum(F.col("weight")).alias("found"), F.max("n").alias("n"), F.max("size").alias("size"))
+        .agg(F.sum("weight").alias("found"), F.max("n").alias("n"), F.max("size").alias("size"))
     )
     scored = hits.select(key, "lang", (F.col("found") - F.col("n") * F.col("size")).alias("score"))
     # One entry per language and text.
@@ -72,16 +77,14 @@ def detect_language(
     texts: DataFrame, profiles: DataFrame, key: str = "id", text: str = "review", out: str = "detected_lang"
 ) -> DataFrame:
     """Texts with their language; short or uncertain ones are undetermined, empty ones NULL."""
-    long_enough = F.length(text) >= MIN_DETECT_SIZE
-    found = classify(texts.filter(long_enough), profiles, key, text)
-    certain = F.col("probability") >= MIN_DETECT_PROB
+    found = classify(texts.filter(F.length(text) >= MIN_DETECT_SIZE), profiles, key, text)
+    certain = (F.col("_length") >= MIN_DETECT_SIZE) & (F.col("probability") >= MIN_DETECT_PROB)
+    # The length is taken below the join, so that a caller who drops the text does not shuffle it.
     return (
-        texts.join(found, key, "left")
-        .withColumn(
-            out,
-            F.when(F.length(text) > 0, F.when(long_enough & certain, F.col("lang")).otherwise(UNDETERMINED)),
-        )
-        .drop("lang", "probability")
+        texts.withColumn("_length", F.length(text))
+        .join(found.withColumnRenamed("lang", "_lang"), key, "left")
+        .withColumn(out, F.when(F.col("_length") > 0, F.when(certain, F.col("_lang")).otherwise(UNDETERMINED)))
+        .drop("_lang", "_length", "probability")
     )
 
 

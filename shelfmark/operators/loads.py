@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions import ids, text
-from shelfmark.operators.merge import missing_rows, stamped, upsert
+from shelfmark.operators.merge import missing_rows, one_per_key, stamped, upsert
 
 
 def _date(now: str) -> Column:
@@ -47,10 +47,10 @@ def merge_work(work: DataFrame, feed: DataFrame, now: str, batch_id: int) -> Dat
 
 
 def merge_isbn(isbn: DataFrame, feed: DataFrame, now: str, batch_id: int) -> DataFrame:
-    """Isbns of the feed, one row per ean (the highest isbn10 where several exist)."""
+    """Isbns of the feed, one row per ean (the highest spelling and isbn10 where several exist)."""
     stage = (
-        feed.groupBy(F.col("isbn13").try_cast("long").alias("ean"), "isbn13")
-        .agg(F.max("isbn10").alias("isbn10"))
+        feed.groupBy(F.col("isbn13").try_cast("long").alias("ean"))
+        .agg(F.max("isbn13").alias("isbn13"), F.max("isbn10").alias("isbn10"))
         .filter(F.col("ean").isNotNull())
     )
     return upsert(
@@ -64,12 +64,12 @@ def merge_isbn(isbn: DataFrame, feed: DataFrame, now: str, batch_id: int) -> Dat
 
 
 def unambiguous_isbns(feed: DataFrame) -> DataFrame:
-    """(work, ean) of isbns that occur on exactly one row of the feed."""
+    """(work, ean) of isbns that occur on exactly one row of the feed, however they are spelled."""
     return (
-        feed.groupBy("isbn13")
+        feed.groupBy(F.col("isbn13").try_cast("long").alias("ean"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("work_refid").alias("work_refid"))
-        .filter(F.col("n") == 1)
-        .select("work_refid", F.col("isbn13").try_cast("long").alias("ean"))
+        .filter((F.col("n") == 1) & F.col("ean").isNotNull())
+        .select("work_refid", "ean")
     )
 
 
@@ -122,7 +122,7 @@ def insert_work_info(work_info: DataFrame, stage: DataFrame, now: str, batch_id:
         code.alias("mds_code"), F.col("mds_code").alias("mds_code_ori"),
         "lc_subjects", text.count_of("popularity").alias("popularity"),
     )
-    return stamped(missing_rows(work_info, staged, ["work_refid"]), now, batch_id)
+    return stamped(missing_rows(work_info, one_per_key(staged, ["work_refid"]), ["work_refid"]), now, batch_id)
 
 
 def _author_codes(stage: DataFrame) -> DataFrame:
@@ -182,13 +182,13 @@ def insert_work_sameas(
 
 
 def insert_mds(mds: DataFrame, stage: DataFrame, now: str, batch_id: int) -> DataFrame:
-    """Classification codes not known yet, with the highest text per code."""
+    """Classification codes not known yet, each once, with its highest dotted form and text."""
     dotted = F.coalesce("mds_code_corr", "mds_code")
     staged = (
         stage.select(dotted.alias("code_w_dot"), "mds_text")
         .filter(F.col("code_w_dot").isNotNull())
-        .groupBy(F.replace("code_w_dot", F.lit("."), F.lit("")).alias("code"), "code_w_dot")
-        .agg(F.max("mds_text").alias("mds_text"))
+        .groupBy(F.replace("code_w_dot", F.lit("."), F.lit("")).alias("code"))
+        .agg(F.max("code_w_dot").alias("code_w_dot"), F.max("mds_text").alias("mds_text"))
     )
     return stamped(missing_rows(mds, staged, ["code"]), now, batch_id)
 
@@ -212,7 +212,8 @@ def insert_work_title(
         .filter(F.length("lang_text") > 1)
     )
     codes = language.select(F.col("code").alias("lang_code"), text.upper("english_name").alias("_name"))
-    new = missing_rows(work_title, titles, ["work_refid", "lang_text"])
+    key = ["work_refid", "lang_text"]
+    new = missing_rows(work_title, one_per_key(titles, key), key)
     found = new.join(codes, text.upper("lang_text") == F.col("_name"), "left").drop("_name")
     return stamped(found.select("work_refid", "lang_code", "lang_text", "title"), now, batch_id)
 
@@ -246,6 +247,12 @@ def merge_user(
     )
 
 
+def user_ids(stage: DataFrame, site: str | None = None) -> DataFrame:
+    """Ids of the users of staged reviews."""
+    return of_site(stage, site).filter(F.col("user_uid").isNotNull()).select(
+        ids.derive_user_id("user_uid", "site_logical_name").alias("id"))
+
+
 def append_review(
     stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None
 ) -> DataFrame:
@@ -328,15 +335,20 @@ def merge_work_tag(
     )
 
 
-def touch_last_harvest(work: DataFrame, work_sameas: DataFrame, harvested: DataFrame, now: str) -> DataFrame:
-    """Set the harvest time on the given works and on their masters."""
+def with_masters(work_sameas: DataFrame, harvested: DataFrame) -> DataFrame:
+    """The given works and their masters (refid), each once."""
     asked = harvested.select("work_refid").distinct()
     masters = (
         work_sameas.filter(F.col("master_refid").isNotNull())
         .join(asked, "work_refid", "left_semi")
         .select(F.col("master_refid").alias("refid"))
     )
-    touched = asked.select(F.col("work_refid").alias("refid")).union(masters).distinct()
+    return asked.select(F.col("work_refid").alias("refid")).union(masters).distinct()
+
+
+def touch_last_harvest(work: DataFrame, work_sameas: DataFrame, harvested: DataFrame, now: str) -> DataFrame:
+    """Set the harvest time on the given works and on their masters."""
+    touched = with_masters(work_sameas, harvested)
     flagged = work.join(touched.withColumn("_hit", F.lit(True)), "refid", "left")
     kind = work.schema["last_harvest_dts"].dataType
     return flagged.withColumn(

@@ -53,6 +53,13 @@ def upsert(
     return t.join(s, condition, "full_outer").select(*out)
 
 
+def one_per_key(stage: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One staged row per key: of several the greatest, compared column by column."""
+    rest = [c for c in stage.columns if c not in keys]
+    best = stage.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in stage.columns])
+
+
 def missing_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Staged rows (one per key) whose key is not stored yet."""
     return stage.join(target.select(*keys), list(keys), "left_anti")

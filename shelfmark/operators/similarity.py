@@ -6,15 +6,14 @@ threshold. The result is exact; all pairs of a group are never listed:
 
 1. Reviews with the same text are one *class*, known by its lowest review id. Only
    classes are compared, and every copy but the first has an answer already.
-2. Classes meet only inside (work, language, length bucket). Where such a group holds at
-   most ``dense_limit`` classes, each class is compared with its group: at most that many
-   partners per class, so the work is linear in the number of classes.
-3. In larger groups classes very close to an earlier one (same min-hash, similarity
-   checked) follow that *leader*. Leaders are joined on the rare trigrams they share
-   (prefix filter); Jaccard distance is a metric, so two followers can only be similar
-   when their leaders are within the threshold plus both radii. Followers are compared
-   with the leaders found, and with another leader's followers only where the leader
-   itself does not settle the question.
+2. Classes meet only inside (work, language, length bucket), and only in groups that hold
+   a review not processed yet.
+3. Classes very close to an earlier one (same min-hash, similarity checked) follow that
+   *leader*. Leaders are joined on the rare trigrams they share (prefix filter); Jaccard
+   distance is a metric, so two followers can only be similar when their leaders are
+   within the threshold plus both radii. Followers are compared with the leaders found,
+   and with another leader's followers only where the leader itself does not settle the
+   question. Groups of all sizes go this one way.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.text import jaccard, let, trigrams
-from shelfmark.sources.tables import materialize, spread
+from shelfmark.sources.tables import materialize
 
 BUCKET_BASE = 1.3
 MINHASHES = 4
@@ -33,14 +32,23 @@ MINHASHES = 4
 
 @dataclass(frozen=True)
 class SimilarityRules:
-    """Fixed values of the job, and how it switches between its two ways."""
+    """Fixed values of the job.
+
+    ``radius`` is the largest distance of a class from the leader it follows. Leaders of
+    similar followers share a trigram only while ``min_similarity`` exceeds two radii.
+    """
 
     min_similarity: float = 0.6
     min_length: int = 100
     length_delta: float = 0.08
-    dense_limit: int = 512
     radius: float = 0.1
 
+    def __post_init__(self):
+        if self.min_similarity <= 2 * self.radius:
+            raise ValueError("min_similarity must exceed twice the radius")
+        if not 0 <= self.margin < 1:
+            raise ValueError("length_delta must be below 1")
+
     @property
     def margin(self) -> float:
         """The length band with the most rounding can add."""
@@ -126,6 +134,9 @@ def text_members(queue: DataFrame, reviews: DataFrame, rules: SimilarityRules) -
         F.col("text_length").alias("len"),
         F.col("date_processed").isNull().alias("pending"),
     )
+    # Works without a pending review need no sets: nothing of theirs is asked for.
+    asked = rows.filter("pending").select("work_refid", "lang").distinct()
+    rows = rows.join(asked, ["work_refid", "lang"], "left_semi")
     texts = reviews.select("id", "site_id", F.sha2("review", 256).alias("text_key"))
     return rows.join(texts, "id")
 
@@ -152,25 +163,6 @@ def text_classes(members: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
-def _dense_matches(classes: DataFrame, large: DataFrame, rules: SimilarityRules) -> DataFrame:
-    """Similar earlier classes inside groups of bounded size."""
-    group = ["work_refid", "lang", "bucket"]
-    others = spread(
-        classes.join(large, group, "left_anti").select(
-            *group, F.col("cid").alias("other"), F.col("len").alias("o_len"),
-            F.col("n").alias("o_n"), F.col("grams").alias("o_grams"),
-        ),
-        *group,
-    )
-    revs = (
-        classes.filter("pending")
-        .select("work_refid", "lang", "cid", "len", "n", "grams",
-                F.explode(_other_buckets(F.col("len"), F.col("len"), rules.margin)).alias("bucket"))
-    )
-    where = (F.col("other") < F.col("cid")) & in_band(F.col("len"), F.col("o_len"), rules.length_delta)
-    return _similar_rows(revs.join(others, group), ["cid", "other"], rules.min_similarity, where)
-
-
 def _minhash(grams: str, seed: int) -> Column:
     return F.array_min(F.transform(grams, lambda g: F.xxhash64(g, F.lit(seed))))
 
@@ -256,7 +248,7 @@ def _leader_pairs(led: DataFrame, rules: SimilarityRules) -> DataFrame:
         .groupBy("leader")
         .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("ordered"))
     )
-    lowest = F.greatest(t - F.col("radius") - rules.radius, F.lit(0.05))
+    lowest = t - F.col("radius") - rules.radius
     width = F.col("n") - F.ceil(F.col("n") * lowest - 1e-9) + 1
     prefix = F.slice(F.col("ordered"), F.lit(1), F.least(width, F.col("n")).cast("int"))
     index = materialize(
@@ -292,8 +284,8 @@ def _leader_pairs(led: DataFrame, rules: SimilarityRules) -> DataFrame:
     )
 
 
-def _large_matches(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
-    """Similar earlier classes among the classes of groups too large to compare all."""
+def _matches(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
+    """Similar earlier classes."""
     t = rules.min_similarity
     led = materialize(_leaders(classes, rules), "leaders")
     sets = led.select("cid", "len", "n", "grams")
@@ -352,21 +344,7 @@ def pick_similar(
     """For every pending review the lowest-numbered earlier review it is similar to."""
     members = text_members(queue, reviews, rules)
     classes = materialize(text_classes(members, reviews), "classes")
-    group = ["work_refid", "lang", "bucket"]
-    large = (
-        classes.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("classes"))
-        .filter(F.col("classes") > rules.dense_limit)
-        .select(*group)
-    )
-    matches = _dense_matches(classes, large, rules)
-    if not large.isEmpty():
-        # A class takes the second way with every large group its partners may lie in.
-        near = large.select(
-            "work_refid", "lang",
-            F.explode(F.sequence(F.col("bucket") - 2, F.col("bucket") + 2)).alias("bucket"),
-        ).distinct()
-        matches = matches.union(_large_matches(classes.join(near, group, "left_semi"), rules))
+    matches = _matches(classes, rules)
     best = matches.groupBy("cid").agg(
         F.min(F.struct(F.col("other"), F.col("similarity"))).alias("best")
     )

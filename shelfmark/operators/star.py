@@ -27,16 +27,23 @@ def dim_language(language: DataFrame) -> DataFrame:
     return known.union(extra).distinct()
 
 
-def dim_date(spark: SparkSession, first: str = "1969-01-01", days: int = 18263) -> DataFrame:
-    """One row per calendar day with its month, quarter and ISO week."""
+def dim_date(
+    spark: SparkSession, used: DataFrame | None = None, first: str = "1969-01-01", last: str = "2019-01-01"
+) -> DataFrame:
+    """One row per calendar day with its month, quarter and ISO week.
+
+    The days from ``first`` to ``last``, further where the days ``used`` (date_id) lie outside.
+    """
     d = F.col("date_id")
     iso_year = F.extract(F.lit("yearofweek"), d)
     iso_day = F.weekday(d)
-    span = spark.range(1).select(
-        F.explode(
-            F.sequence(F.lit(first).cast("date"), F.date_add(F.lit(first).cast("date"), days - 1))
-        ).alias("date_id")
-    )
+    begin, end = F.lit(first).cast("date"), F.lit(last).cast("date")
+    if used is None:
+        reach = spark.range(1).select(begin.alias("begin"), end.alias("end"))
+    else:
+        reach = used.agg(
+            F.least(F.min("date_id"), begin).alias("begin"), F.greatest(F.max("date_id"), end).alias("end"))
+    span = reach.select(F.explode(F.sequence("begin", "end")).alias("date_id"))
     return span.select(
         "date_id",
         F.year(d).alias("year"),

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfmark.functions import fields, text
 from shelfmark.functions.isbn import isbn10_to_13 as to_13
 from shelfmark.operators import languages, normalize, repair
+from shelfmark.plans.grams import GRAMS_SQL
 from shelfmark.plans.registry import query
 from shelfmark.plans.standins import Standins
 
@@ -179,7 +180,7 @@ def correct_mds(s: Standins):
     code = F.col("digits")
     rows = s._part_code().select(
         F.col("p_partkey").alias("work_refid"),
-        F.concat(F.substring(code, 1, 3), F.lit("."), F.substring(code, 4, 20)).alias("code"),
+        F.concat(F.substring(code, 1, 3), F.lit("."), F.substr(code, F.lit(4))).alias("code"),
         F.array_insert(
             F.slice(F.array("p_type", "p_brand", "p_name"), F.lit(1), (F.col("p_size") % 3 + 1).cast("int")),
             2, F.lit("not-set"),
@@ -192,7 +193,7 @@ _EDITIONS = """editions as (
         select l_partkey as work_refid, l_orderkey * 10 + l_linenumber as position,
                'asin' || l_suppkey as asin, cast(l_linenumber as varchar) || '.0' as avg_stars,
                cast(l_quantity as int) * 100 as nb, l_returnflag
-        from lineitem where l_discount = 0.05)"""
+        from lineitem)"""
 
 
 @query("dedupe_editions", f"""
@@ -203,7 +204,7 @@ _EDITIONS = """editions as (
     union all select p_partkey, case when p_partkey in (select work_refid from editions) then '-2' else '-1' end
     from part where p_partkey not in (select work_refid from kept)""")
 def dedupe_editions(s: Standins):
-    lines = s.raw("lineitem").filter(F.col("l_discount") == 0.05)
+    lines = s.raw("lineitem")
     nb = F.col("l_quantity").cast("int") * 100
     results = lines.select(
         F.col("l_partkey").alias("work_refid"),
@@ -278,6 +279,14 @@ def isbn_lang_validate(s: Standins):
     return normalize.validate_isbn_lang(replies)[0]
 
 
+@query("isbn_lang_rejects", """
+    select o_orderkey as ean, 'an error page' as reply from orders where o_orderstatus = 'P'""")
+def isbn_lang_rejects(s: Standins):
+    reply = F.when(F.col("o_orderstatus") == "O", "eng").when(F.col("o_orderstatus") == "F", "unknown")
+    replies = s.raw("orders").select(F.col("o_orderkey").alias("ean"), reply.otherwise("an error page").alias("reply"))
+    return normalize.validate_isbn_lang(replies)[1]
+
+
 @query("lang_prior", """
     select review_lang, round(count(*)::double / sum(count(*)) over (), 9) as ratio
     from review_t where length(review) >= 100 group by 1""")
@@ -285,14 +294,33 @@ def lang_prior(s: Standins):
     return languages.lang_prior(s.review_t())
 
 
-@query("detect_language")
+_DETECTED = f"""grams as (select id, review_lang, review, {GRAMS_SQL} as g from review_t),
+    counted as (select lang, gram, count(*) as n
+        from (select review_lang as lang, unnest(g) as gram from grams where review_lang is not null) group by 1, 2),
+    sizes as (select lang, ln(sum(n) + count(*)) as size from counted group by 1),
+    found as (select id, lang, sum(ln(n + 1)) as weight
+        from (select id, unnest(g) as gram from grams where length(review) >= 30) join counted using (gram) group by 1, 2),
+    scored as (select id, lang, weight - len(g) * size as score
+        from found join sizes using (lang) join grams using (id)),
+    tops as (select id, max(score) as score, max_by(lang, (score, lang)) as lang from scored group by 1),
+    sure as (select id, any_value(tops.lang) as lang, 1 / sum(exp(scored.score - tops.score)) as p
+        from scored join tops using (id) group by 1),
+    detected as (select id, review, review_lang, case when length(review) > 0 then
+            case when p >= 0.7 then lang else 'und' end end as detected_lang
+        from grams left join sure using (id))"""
+
+
+@query("detect_language", f"with {_DETECTED} select id, review_lang, detected_lang from detected")
 def detect_language(s: Standins):
     reviews = s.review_t().select("id", "review", "review_lang")
     profiles = languages.train_profiles(reviews)
     return languages.detect_language(reviews, profiles).select("id", "review_lang", "detected_lang")
 
 
-@query("batch_detect_language")
+@query("batch_detect_language", f"""
+    with {_DETECTED}
+    select id, case when length(review) >= 30 and 2 * length(translate(review, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) < length(review)
+                    then detected_lang else coalesce(review_lang, detected_lang) end as review_lang from detected""")
 def batch_detect_language(s: Standins):
     """Languages of reviews in capitals are forgotten, then found again."""
     reviews = s.review_t().select("id", "review", "review_lang")

@@ -8,14 +8,11 @@ from shelfmark.functions.text import jaccard, trigrams
 from shelfmark.operators import similarity as sim
 from shelfmark.plans import reports
 from shelfmark.plans.catalog_reports import SITES
+from shelfmark.plans.grams import GRAMS_SQL
 from shelfmark.plans.registry import query
 from shelfmark.plans.standins import NOW, Standins
-from shelfmark.sources.tables import fill_cores
 
-_GRAMS = """list_distinct(flatten(list_transform(
-        list_distinct(regexp_extract_all(lower(review), '[\\p{L}\\p{N}]+')),
-        lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"""
-_PAIRS = f"""grams as (select *, {_GRAMS} as g from review_t),
+_PAIRS = f"""grams as (select *, {GRAMS_SQL} as g from review_t),
     pairs as (select r.id, o.id as other_id, r.site_id, o.site_id as other_site_id, r.review_date,
             len(list_intersect(r.g, o.g))::double
               / (len(r.g) + len(o.g) - len(list_intersect(r.g, o.g))) as similarity
@@ -58,7 +55,7 @@ def enqueue_similarity(s: Standins):
 
 
 @query("trigram_similarity", f"""
-    with grams as (select *, {_GRAMS} as g from review_t),
+    with grams as (select *, {GRAMS_SQL} as g from review_t),
     firsts as (select work_refid, review_lang, min(id) as first_id from review_t group by 1, 2)
     select r.id, f.first_id, round(len(list_intersect(r.g, o.g))::double
            / (len(r.g) + len(o.g) - len(list_intersect(r.g, o.g))), 6) as similarity
@@ -66,15 +63,17 @@ def enqueue_similarity(s: Standins):
     join grams o on o.id = f.first_id""")
 def trigram_similarity(s: Standins):
     """Each review against the first one of its work and language."""
-    reviews = fill_cores(s.review_t()).select(
+    reviews = s.review_t().select(
         "id", "work_refid", "review_lang", trigrams("review").alias("grams")
     ).withColumn("n", F.size("grams"))
+    # The first reviews are picked before any set of theirs is built.
     firsts = s.review_t().groupBy("work_refid", "review_lang").agg(F.min("id").alias("first_id"))
-    sets = firsts.join(
-        reviews.select(
-            F.col("id").alias("first_id"), F.col("grams").alias("first_grams"), F.col("n").alias("first_n")
-        ),
-        "first_id",
+    texts = s.review_t().select(F.col("id").alias("first_id"), F.col("review").alias("first_review"))
+    sets = (
+        firsts.join(texts, "first_id")
+        .withColumn("first_grams", trigrams("first_review"))
+        .withColumn("first_n", F.size("first_grams"))
+        .drop("first_review")
     )
     return reviews.join(sets, ["work_refid", "review_lang"]).select(
         "id", "first_id", F.round(jaccard("grams", "first_grams", "n", "first_n"), 6).alias("similarity")

@@ -6,16 +6,19 @@ Files go to the folder the cluster shares, a fresh one per run.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.functions import fields
+from shelfmark.functions import fields, ids
+from shelfmark.operators import loads, star
 from shelfmark.plans.catalog_normalize import SITE_SQL, raw_date, raw_likes, raw_link, raw_rating, site_name
+from shelfmark.plans.flows import Warehouse
 from shelfmark.plans.registry import query
-from shelfmark.plans.standins import Standins
+from shelfmark.plans.standins import NOW, Standins
 from shelfmark.session import shared_folder
 from shelfmark.sources import delimited, feeds, ledger, pages
-from shelfmark.sources.tables import Store, materialize
+from shelfmark.sources.tables import Store, materialize, read_by_pattern
 from shelfmark.streaming import ingest
 
 
@@ -66,6 +69,53 @@ def read_headered_dump(s: Standins):
     return delimited.read_headered_dump(s.spark, path, columns).drop("site_logical_name")
 
 
+@query("read_headers_in_two_orders", """
+    select cast(o_orderkey as varchar) as work_refid, o_orderpriority as title, case when o_orderstatus = 'F' then
+           cast(o_custkey as varchar) end as popularity from orders""")
+def read_headers_in_two_orders(s: Standins):
+    """Two lots of files that name the same columns in different orders, one without one of them."""
+    orders = s.raw("orders").select(
+        F.col("o_orderkey").cast("string").alias("work_refid"), F.col("o_orderpriority").alias("title"),
+        F.col("o_custkey").cast("string").alias("popularity"), "o_orderstatus",
+    )
+    path, settled = _folder(s, "dump"), F.col("o_orderstatus") == "F"
+    for lot in (
+        orders.filter(settled).select("popularity", "title", "work_refid"),
+        orders.filter(~settled).select("work_refid", "title"),
+    ):
+        lot.write.mode("append").csv(path, sep="|", header=True, quote='"', escape='"')
+    return delimited.read_headered_dump(s.spark, path, ("work_refid", "title", "popularity"))
+
+
+_SOME_WORKS = "select p_partkey as work_refid, count(*) as nb from part where p_partkey % 10 < 5 group by 1"
+
+
+def _details(s: Standins, below: int) -> DataFrame:
+    """Staged details of the works whose number ends in a digit below a limit."""
+    return s.staged_works().filter(F.col("work_refid") % 10 < below)
+
+
+@query("empty_input_guard", _SOME_WORKS)
+def empty_input_guard(s: Standins):
+    """A dump is loaded; an empty one under another task neither adds rows nor loads the old stage again."""
+    house = Warehouse(s.spark, _folder(s, "warehouse"))
+    for task, below in (("first", 5), ("second", 0)):
+        path = _folder(s, "dump")
+        _details(s, below).write.csv(path, sep="|", header=True, quote='"', escape='"', nullValue="")
+        house.load_work_info(path, task, datetime.fromisoformat(NOW))
+    return house.table("work_info").groupBy("work_refid").agg(F.count(F.lit(1)).alias("nb"))
+
+
+@query("repeat_insert_load", _SOME_WORKS)
+def repeat_insert_load(s: Standins):
+    """An insert load repeated under its own id with a stage that has grown leaves the whole stage, once."""
+    house = Warehouse(s.spark, _folder(s, "warehouse"))
+    for below in (2, 5):
+        rows = loads.insert_work_info(house.before("work_info", 7), _details(s, below), NOW, 7)
+        house._append("work_info", rows, 7)
+    return house.table("work_info").groupBy("work_refid").agg(F.count(F.lit(1)).alias("nb"))
+
+
 @query("read_plain_dump", """
     select cast(l_partkey as varchar) as work_refid, cast(l_orderkey as varchar) as isbn_ori,
            case when l_linestatus = 'F' then null else l_returnflag end as isbn10, l_linestatus as isbn13
@@ -107,6 +157,39 @@ def export_delimited(s: Standins):
     return delimited.read_tolerant(s.spark, path, "doc_id bigint, review string, lang_code string")
 
 
+@query("export_star_table", """
+    select row_number() over (order by code) as author_id, code, replace(name || '|' || code, '|', ',') as name from author""")
+def export_star_table(s: Standins):
+    """A dimension as the star export writes it, read back."""
+    codes = s.author().select(ids.md5_uuid("code").alias("id"), "code")
+    names = s.author().select(ids.md5_uuid("code").alias("author_id"), F.concat_ws("|", "name", "code").alias("name"))
+    path = _folder(s, "export")
+    delimited.export_delimited(star.dim_author(codes, names), path, delimited.EXPORT_REPLACEMENTS["dim_author"])
+    return delimited.read_tolerant(s.spark, path, "author_id bigint, code string, name string")
+
+
+@query("read_tolerant_bad_rows", """
+    select o_orderkey, o_totalprice from orders where o_orderkey % 1000 <> 7""")
+def read_tolerant_bad_rows(s: Standins):
+    """Rows with too few fields are dropped while they are within the tolerated number."""
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string"))
+    broken = F.concat(F.lit("damaged "), F.col("o_orderkey").cast("string"))
+    path = _folder(s, "lines")
+    s.raw("orders").select(F.when(F.col("o_orderkey") % 1000 == 7, broken).otherwise(line).alias("value")).write.text(path)
+    return delimited.read_tolerant(s.spark, path, "o_orderkey bigint, o_totalprice double", max_errors=1_000_000)
+
+
+@query("read_by_pattern", "select distinct 'order-' || o_orderstatus as folder from orders where o_orderstatus <> 'P'")
+def read_by_pattern_query(s: Standins):
+    """Files below a folder whose names match a pattern."""
+    path = _folder(s, "patterns")
+    for status in ("F", "O", "P"):
+        lot = s.raw("orders").filter(F.col("o_orderstatus") == status).select(F.col("o_orderkey").cast("string"))
+        (lot.write.option("compression", "gzip" if status == "P" else "none").text(f"{path}/order-{status}"))
+    found = read_by_pattern(s.spark, path, "*.txt", recursive=True)
+    return found.select(F.regexp_extract("path", "/(order-[A-Z])/", 1).alias("folder")).distinct()
+
+
 @query("period_from_name", """
     select o_orderkey, case when o_orderstatus = 'O' then cast(o_orderdate as date) end as period_begin,
            cast(o_orderdate as date) + 30 as period_end from orders""")
@@ -194,12 +277,15 @@ def ingest_dumps(s: Standins):
     """Files arriving in two lots are each taken once."""
     folder, checkpoint = _folder(s, "incoming"), _folder(s, "ingest")
     store = Store(s.spark, _folder(s, "staging"))
+    steps = ledger.Ledger(s.spark, _folder(s, "load_audit"))
+    now = datetime.fromisoformat(NOW)
     events = s.raw("events").select("event_id", "event_type", "ts")
     split = F.lit("2024-01-16").cast("timestamp_ntz")
     for lot in (events.filter(F.col("ts") < split), events.filter(F.col("ts") >= split)):
         lot.select("event_id", "event_type").write.mode("append").csv(folder, sep="|", header=True)
         ingest.ingest_dumps(
-            s.spark, folder, ("event_id", "event_type"), checkpoint, ingest.into_store(store, "events")
+            s.spark, folder, ("event_id", "event_type"), checkpoint,
+            ingest.into_store(store, "events", steps, "ingest", now),
         )
     return store.read("events").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("nb"), F.min(F.col("event_id").cast("long")).alias("first_id")
@@ -240,7 +326,7 @@ def _pages(s: Standins) -> DataFrame:
             F.lit(' |  <a href="/review/1">p</a></span></div></div></html>')))
         .when(F.col("site_id") == 2, F.concat(
             F.lit('<div class="elementList "><div class="left"><a>Cities</a> &gt; <a>Plans</a></div>'
-                  '<div class="right"><a>386 users</a></div></div><div id="review_1">'
+                  '<div class="right"><a>512 users</a></div></div><div id="review_1">'
                   '<a itemprop="publishDate">'), "dated", F.lit("</a>"), stars,
             F.lit('<a class="user" title="'), "name", F.lit('" href="'), "link", F.lit('">n</a>'
                   '<span id="reviewTextContainer1"><span id="freeTextContainer1">short</span><span id="freeText1">'), "body",
@@ -253,7 +339,7 @@ def _pages(s: Standins) -> DataFrame:
             F.lit('</p><p><a href="'), "link", F.lit('">'), "name", F.lit("</a>"), "dated",
             F.lit("</p></td></tr><tr><td><hr></td></tr></table>")))
         .when(F.col("site_id") == 4, F.concat(
-            F.lit('<p class="tags"><a rel="tag" class="tag_t17 tc0 ">roman</a></p><div class="post_con"><a class="author" href="'),
+            F.lit('<p class="tags"><a rel="tag" class="tag_t23 tc0 ">roman</a></p><div class="post_con"><a class="author" href="'),
             "link", F.lit('">'), "name", F.lit('</a><table><tr><td class="no_img"><span>'), "dated",
             F.lit("</span></td></tr></table>"),
             F.when(F.col("rating").isNotNull(), F.concat(F.lit('<li class="current-rating">'), "rating", F.lit("</li>"))).otherwise(""),
@@ -289,7 +375,7 @@ def _pages(s: Standins) -> DataFrame:
                 when 4 then cast(user_id as varchar) else 'A' || user_id end as user_uid,
            case when site_id = 1 then 'user' || user_id else 'name ' || user_id end as username,
            case site_id when 1 then 'Tag A' when 2 then 'Cities > Plans' when 4 then 'roman' end as tags_t,
-           case site_id when 1 then '3' when 2 then '386 ' when 4 then '17' end as tags_n
+           case site_id when 1 then '3' when 2 then '512 ' when 4 then '23' end as tags_n
     from r""")
 def extract_reviews_from_pages(s: Standins):
     stored = materialize(_pages(s), "pages")
@@ -310,7 +396,7 @@ def extract_reviews_from_pages(s: Standins):
     from part_code""")
 def extract_work_details(s: Standins):
     code = F.col("digits")
-    dotted = F.concat(F.substring(code, 1, 3), F.lit("."), F.substring(code, 4, 20))
+    dotted = F.concat(F.substring(code, 1, 3), F.lit("."), F.substr(code, F.lit(4)))
     popular = F.when(F.col("p_size") < 25, F.lit("—")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(",109")))
     html = F.concat(
         F.lit('<div class="headsummary"><h2><a href="/author/'), F.lower("p_type"), F.lit('x">'), "p_brand",

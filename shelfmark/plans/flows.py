@@ -1,22 +1,35 @@
 """Load flows over a table store: the order in which the jobs run.
 
 Every step is one ledger entry. A step's writes either replace a whole table version or
-one load's partition, so a step that failed half-way can simply be run again.
+one load's partition, and a step computes its rows from the tables without the rows of its
+own load, so it can be run again whether it failed or its input has grown. A flow whose
+input is empty ends there: what was staged before is not loaded again.
+
+Tables whose stored rows change are kept in buckets of their key. A load rewrites only the
+buckets its keys lie in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
-from shelfmark.operators import loads, similarity, star
+from shelfmark.operators import languages, loads, normalize, queues, similarity, star
 from shelfmark.operators.merge import add_ids
 from shelfmark.plans import tables as layouts
 from shelfmark.sources import delimited, feeds
-from shelfmark.sources.ledger import Ledger
-from shelfmark.sources.tables import Store, is_empty
+from shelfmark.sources.ledger import EMPTY, Ledger
+from shelfmark.sources.tables import Store, drop_intermediate, is_empty
+
+
+# Tables whose rows change after they were written, with the key their buckets go by.
+BUCKETED = {
+    "work": "refid", "isbn": "ean", "isbn_info": "ean", "user": "id", "work_tag": "work_refid",
+    "work_site_mapping": "work_refid",
+}
+BUCKETS = 64
 
 
 class Warehouse:
@@ -29,37 +42,78 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """A stored table, empty before its first load."""
+        stored = self._stored(name)
+        return stored.drop("bucket") if name in BUCKETED else stored
+
+    def _stored(self, name: str) -> DataFrame:
+        layout = layouts.SCHEMAS[name] + (", bucket int" if name in BUCKETED else "")
         if self.store.exists(name):
-            return self.spark.read.schema(layouts.SCHEMAS[name]).parquet(self.store.path(name))
-        return self.spark.createDataFrame([], layouts.SCHEMAS[name])
+            return self.spark.read.schema(layout).parquet(self.store.path(name))
+        return self.spark.createDataFrame([], layout)
+
+    def _rewrite(self, name: str, keys: DataFrame, merge: Callable[[DataFrame], DataFrame], batch: int) -> int:
+        """Replace the buckets that the keys (one column) lie in by ``merge`` of their rows.
+
+        Returns the rows of those buckets. The stored rows given to ``merge`` are without
+        what an earlier attempt of the load added.
+        """
+        def bucket(column: str):
+            return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
+
+        wanted = [r[0] for r in keys.select(bucket(keys.columns[0])).distinct().collect()]  # BUCKETS rows at most
+        if not wanted:
+            return 0
+        old = self._stored(name).filter(F.col("bucket").isin(wanted)).drop("bucket")
+        next_state = merge(old.filter(~F.col("load_audit_id").eqNullSafe(F.lit(batch))))
+        observed = Observation()
+        self.store.replace_partition(
+            name, next_state.withColumn("bucket", bucket(BUCKETED[name])).observe(observed, F.count(F.lit(1)).alias("rows")),
+            "bucket")
+        return observed.get["rows"]
 
     def _replace(self, name: str, df: DataFrame) -> int:
         return self.store.replace(name, df).count()
 
+    def before(self, name: str, batch: int) -> DataFrame:
+        """A stored table without what an earlier attempt of this load added."""
+        return self.table(name).filter(~F.col("load_audit_id").eqNullSafe(F.lit(batch)))
+
     def _append(self, name: str, rows: DataFrame, batch: int) -> int:
-        self.store.append_batch(name, rows)
-        return self.table(name).filter(F.col("load_audit_id") == batch).count()
+        """Write a load's rows in place of those of its earlier attempts; none takes them back."""
+        observed = Observation()
+        self.store.append_batch(name, rows.observe(observed, F.count(F.lit(1)).alias("rows")))
+        written = observed.get["rows"]
+        if not written:
+            self.store.drop_batch(name, batch)
+        return written
+
+    def _run(self, job: str, step: str, work: Callable[[int], int | None], now: datetime) -> str:
+        """A ledger step; its intermediate tables go when it has written its result."""
+        try:
+            return self.ledger.run(job, step, work, now)
+        finally:
+            drop_intermediate(self.spark)
 
     # -- reference feed ------------------------------------------------------------
 
     def load_isbn_feed(self, path: str, task: str, now: datetime) -> None:
         """Feed file to works, isbns and their pairs."""
-        job, at = "Ref thingisbn", now.isoformat(sep=" ")
+        job, at = "isbn feed", now.isoformat(sep=" ")
         staged = feeds.read_isbn_feed(self.spark, path)
 
         def stage(batch: int):
             return None if is_empty(staged) else self._replace("stage_isbn", staged)
 
-        self.ledger.run(job, f"stage {task}", stage, now)
-        if not self.store.exists("stage_isbn"):
+        if self._run(job, f"stage {task}", stage, now) == EMPTY:
             return
         feed = self.table("stage_isbn")
-        steps = {"work": loads.merge_work, "isbn": loads.merge_isbn, "work_isbn": loads.sync_work_isbn}
-        for name, merge in steps.items():
-            self.ledger.run(
-                job, f"{name} {task}",
-                lambda b, n=name, m=merge: self._replace(n, m(self.table(n), feed, at, b)), now,
-            )
+        self._run(job, f"work {task}", lambda b: self._rewrite(
+            "work", feed.select("work_refid"), lambda t: loads.merge_work(t, feed, at, b), b), now)
+        self._run(job, f"isbn {task}", lambda b: self._rewrite(
+            "isbn", feed.select(F.col("isbn13").try_cast("long")), lambda t: loads.merge_isbn(t, feed, at, b), b), now)
+        # A full feed also marks the pairs it no longer has, so the whole table is its next state.
+        self._run(job, f"work_isbn {task}", lambda b: self._replace(
+            "work_isbn", loads.sync_work_isbn(self.before("work_isbn", b), feed, at, b)), now)
 
     # -- work details ----------------------------------------------------------------
 
@@ -67,13 +121,19 @@ class Warehouse:
         """Work-info dump to works, details, authors, titles and classification."""
         from shelfmark.schemas import STAGED_WORK_INFO
 
-        job, at = "Load Work-info", now.isoformat(sep=" ")
+        job, at = "work details", now.isoformat(sep=" ")
         staged = delimited.typed(delimited.read_headered_dump(self.spark, path, STAGED_WORK_INFO))
-        self.ledger.run(job, f"stage {task}", lambda b: self._replace("stage_work_info", staged), now)
+
+        def stage_rows(batch: int):
+            return None if is_empty(staged) else self._replace("stage_work_info", staged)
+
+        if self._run(job, f"stage {task}", stage_rows, now) == EMPTY:
+            return
         stage = self.table("stage_work_info")
-        self.ledger.run(
+        self._run(
             job, f"work {task}",
-            lambda b: self._add("work", loads.insert_missing_work(self.table("work"), stage, at, b)), now,
+            lambda b: self._rewrite(
+                "work", stage.select("work_refid"), lambda t: self._with(t, loads.insert_missing_work(t, stage, at, b)), b), now,
         )
         inserts = {
             "work_info": loads.insert_work_info,
@@ -82,30 +142,52 @@ class Warehouse:
             "mds": loads.insert_mds,
         }
         for name, insert in inserts.items():
-            self.ledger.run(
+            self._run(
                 job, f"{name} {task}",
-                lambda b, n=name, i=insert: self._append(n, i(self.table(n), stage, at, b), b), now,
+                lambda b, n=name, i=insert: self._append(n, i(self.before(n, b), stage, at, b), b), now,
             )
-        self.ledger.run(
+        self._run(
             job, f"work_title {task}",
             lambda b: self._append("work_title", loads.insert_work_title(
-                self.table("work_title"), stage, self.table("language"), at, b), b), now,
+                self.before("work_title", b), stage, self.table("language"), at, b), b), now,
         )
 
-    def _add(self, name: str, rows: DataFrame) -> int:
-        """Rows to add to a table that other steps publish as whole versions."""
-        stored = self.table(name)
-        return self._replace(name, stored.unionByName(rows, allowMissingColumns=True).select(*stored.columns))
+    @staticmethod
+    def _with(stored: DataFrame, rows: DataFrame) -> DataFrame:
+        return stored.unionByName(rows, allowMissingColumns=True).select(*stored.columns)
+
+    def load_languages(self, path: str, task: str, now: datetime) -> None:
+        """The language reference, read only while the stored table is empty."""
+        def load(batch: int) -> int | None:
+            stored = self.table("language")
+            if not stored.isEmpty():
+                return None
+            columns = stored.columns
+            return self._replace("language", delimited.load_language_ref(self.spark, path, None).select(*columns))
+
+        self._run("language reference", f"language {task}", load, now)
+
+    def export_isbns_without_lang(self, folder: str, n: int) -> None:
+        """Write the next isbns whose language is to be asked for."""
+        asked = queues.isbns_without_lang(self.table("work_isbn"), self.table("work_info"), self.table("isbn_info"), n)
+        delimited.export_delimited(asked, folder)
 
     def load_isbn_lang(self, path: str | Sequence[str], task: str, now: datetime) -> None:
+        """Language replies per isbn: valid ones are merged, the others kept beside them."""
         from shelfmark.schemas import STAGED_ISBN_LANG
 
-        at = now.isoformat(sep=" ")
-        staged = delimited.read_headered_dump(self.spark, path, STAGED_ISBN_LANG)
-        self.ledger.run(
-            "Load Isbn-lang", f"isbn_info {task}",
-            lambda b: self._replace(
-                "isbn_info", loads.merge_isbn_lang(self.table("isbn_info"), staged, at, b)), now,
+        job, at = "isbn languages", now.isoformat(sep=" ")
+        replies = delimited.read_headered_dump(self.spark, path, STAGED_ISBN_LANG).withColumnRenamed("lang_code", "reply")
+        accepted, rejected = normalize.validate_isbn_lang(replies)
+        self._run(
+            job, f"isbn_info {task}",
+            lambda b: None if is_empty(replies) else self._rewrite(
+                "isbn_info", accepted.select(F.col("ean").try_cast("long")),
+                lambda t: loads.merge_isbn_lang(t, accepted, at, b), b), now,
+        )
+        self._run(
+            job, f"isbn_lang_rejected {task}",
+            lambda b: self._append("isbn_lang_rejected", rejected.withColumn("load_audit_id", F.lit(b)), b), now,
         )
 
     # -- reviews -----------------------------------------------------------------------
@@ -114,53 +196,74 @@ class Warehouse:
         """One site's review dump to users, reviews, tags and site mapping."""
         from shelfmark.schemas import STAGED_REVIEW
 
-        job, at = "Reviews", now.isoformat(sep=" ")
+        job, at = "review dump", now.isoformat(sep=" ")
         staged = delimited.typed(delimited.read_headered_dump(self.spark, path, STAGED_REVIEW))
 
         def stage_rows(batch: int):
-            if is_empty(staged):
+            if is_empty(loads.of_site(staged, site)):
                 return None
             self.store.replace_partition("stage_review", loads.of_site(staged, site), "site_logical_name")
             return self.table("stage_review").filter(F.col("site_logical_name") == site).count()
 
-        self.ledger.run(job, f"stage {task}", stage_rows, now)
-        if not self.store.exists("stage_review"):
+        if self._run(job, f"stage {task}", stage_rows, now) == EMPTY:
             return
         stage, sites = self.table("stage_review"), self.table("site")
 
         def run(name: str, fn) -> None:
-            self.ledger.run(job, f"{name} {task}", fn, now)
+            self._run(job, f"{name} {task}", fn, now)
 
-        run("user", lambda b: self._replace("user", loads.merge_user(self.table("user"), stage, sites, at, b, site)))
+        run("user", lambda b: self._rewrite(
+            "user", loads.user_ids(stage, site), lambda t: loads.merge_user(t, stage, sites, at, b, site), b))
+        works = loads.of_site(stage, site).select("work_refid")
         if site == "librarything":
-            run("work", lambda b: self._add("work", loads.insert_missing_work(self.table("work"), stage, at, b, site)))
+            run("work", lambda b: self._rewrite(
+                "work", works, lambda t: self._with(t, loads.insert_missing_work(t, stage, at, b, site)), b))
 
         def reviews(batch: int) -> int:
-            last = self.table("review").filter(F.col("load_audit_id") != batch).agg(F.max("id")).first()[0]
+            last = self.before("review", batch).agg(F.max("id")).first()[0]
             rows = loads.append_review(stage, sites, at, batch, site)
             return self._append("review", add_ids(rows, last or 0), batch)
 
         run("review", reviews)
         run("tag", lambda b: self._append(
-            "tag", loads.insert_tag(self.table("tag"), stage, sites, at, b, site), b))
-        run("work_tag", lambda b: self._replace(
-            "work_tag", loads.merge_work_tag(self.table("work_tag"), stage, sites, at, b, site)))
+            "tag", loads.insert_tag(self.before("tag", b), stage, sites, at, b, site), b))
+        run("work_tag", lambda b: self._rewrite(
+            "work_tag", works, lambda t: loads.merge_work_tag(t, stage, sites, at, b, site), b))
         if site == "librarything":
             run("work_sameas", lambda b: self._append(
-                "work_sameas", loads.insert_work_sameas(self.table("work_sameas"), stage, at, b, site), b))
-            harvested = loads.of_site(stage, site).select("work_refid")
-            run("last_harvest", lambda b: self._replace(
-                "work", loads.touch_last_harvest(self.table("work"), self.table("work_sameas"), harvested, at)))
+                "work_sameas", loads.insert_work_sameas(self.before("work_sameas", b), stage, at, b, site), b))
+            same = self.table("work_sameas")
+            run("last_harvest", lambda b: self._rewrite(
+                "work", loads.with_masters(same, works), lambda t: loads.touch_last_harvest(t, same, works, at), b))
         else:
-            run("work_site_mapping", lambda b: self._replace(
-                "work_site_mapping",
-                loads.merge_site_mapping(self.table("work_site_mapping"), stage, sites, at, b, site)))
+            run("work_site_mapping", lambda b: self._rewrite(
+                "work_site_mapping", works, lambda t: loads.merge_site_mapping(t, stage, sites, at, b, site), b))
+
+    def fill_languages(self, task: str, now: datetime) -> None:
+        """Find the language of reviews that have a text and none, from those that have both.
+
+        Only loads with such reviews are rewritten. Two-letter answers become MARC codes.
+        """
+        def fill(batch: int) -> int | None:
+            reviews = self.table("review")
+            open_loads = reviews.filter("review_lang is null and review is not null").select("load_audit_id").distinct()
+            if open_loads.isEmpty():
+                return None
+            marc = {r.code2: r.code for r in self.table("language").filter("code2 is not null and code is not null").collect()}
+            profiles = languages.train_profiles(reviews)
+            affected = reviews.join(open_loads, "load_audit_id", "left_semi")
+            filled = languages.batch_detect_language(affected, profiles, marc).select(*reviews.columns)
+            observed = Observation()
+            self.store.append_batch("review", filled.observe(observed, F.count(F.lit(1)).alias("rows")))
+            return observed.get["rows"]
+
+        self._run("language fill", f"review {task}", fill, now)
 
     # -- near-duplicates ------------------------------------------------------------------
 
     def process_similarity(self, task: str, now: datetime, n_work: int | None = None) -> None:
         """Queue the next works, find their similar reviews, mark them processed."""
-        job, at = "Similarity", now.isoformat(sep=" ")
+        job, at = "near-duplicates", now.isoformat(sep=" ")
         reviews = self.table("review")
 
         def enqueue(batch: int) -> int:
@@ -178,9 +281,9 @@ class Warehouse:
             found = similarity.pick_similar(self.table("rev_similarto_process"), reviews)
             return self._append("review_similarto", found.withColumn("load_audit_id", F.lit(batch)), batch)
 
-        self.ledger.run(job, f"queue {task}", enqueue, now)
-        self.ledger.run(job, f"pick {task}", pick, now)
-        self.ledger.run(job, f"mark {task}", lambda b: self._replace(
+        self._run(job, f"queue {task}", enqueue, now)
+        self._run(job, f"pick {task}", pick, now)
+        self._run(job, f"mark {task}", lambda b: self._replace(
             "rev_similarto_process", similarity.mark_processed(self.table("rev_similarto_process"), at)), now)
 
     # -- star schema ------------------------------------------------------------------------
@@ -191,7 +294,7 @@ class Warehouse:
         site = self.table("site")
         put("dim_site", star.dim_site(site, self.table("site_identifier")))
         put("dim_language", star.dim_language(self.table("language")))
-        put("dim_date", star.dim_date(self.spark))
+        put("dim_date", star.dim_date(self.spark, self.table("review").select(F.col("review_date").alias("date_id"))))
         put("dim_mds", star.dim_mds(self.table("mds")))
         book = put("dim_book", star.dim_book(
             self.table("work_info"), self.table("work_title"), self.table("work_sameas")))
@@ -202,6 +305,19 @@ class Warehouse:
         from shelfmark.operators.merge import dense_ids
 
         people = star.dim_reviewer(self.table("user"), site)
+        if self.store.exists("city"):
+            # The running total is over the cities: a fixed, small reference table.
+            city = self.table("city").withColumn("pop_cum", F.sum("pop").over(Window.orderBy("city")))
+            people = star.assign_city(people, city, city.agg(F.max("pop_cum")).first()[0])
         reviewer = put("dim_reviewer", dense_ids(people, "reviewer_uuid", "reviewer_id"))
         fact = star.fact_review(self.table("review"), book, reviewer, self.table("review_similarto"))
         put("fact_review", fact.repartitionByRange("book_id", "id").sortWithinPartitions("book_id"))
+
+    def export_star(self, folder: str) -> list[str]:
+        """Write every table of the star schema as delimited text; returns their names."""
+        tables = ("dim_site", "dim_language", "dim_date", "dim_mds", "dim_book", "dim_tag", "rel_tag", "dim_author",
+                  "rel_author", "dim_reviewer", "fact_review")
+        for name in tables:
+            replacements = delimited.EXPORT_REPLACEMENTS.get("review" if name == "fact_review" else name)
+            delimited.export_delimited(self.store.read(name), f"{folder.rstrip('/')}/{name}", replacements)
+        return list(tables)

@@ -74,7 +74,7 @@ STANDIN_SQL: dict[str, str] = {
                min(cast(year(o_orderdate) as int)) as load_audit_id
         from lineitem join orders on l_orderkey = o_orderkey
         join users u on o_custkey = u.id
-        where l_returnflag = 'R' group by 1, 2, 3""",
+        group by 1, 2, 3""",
     "work": """
         select p_partkey as refid, max(case when l_linestatus = 'F' and l_returnflag = 'R'
                then cast(l_shipdate as date) end) as last_harvest_dts
@@ -192,7 +192,7 @@ class Standins:
         )
 
     def work_info(self) -> DataFrame:
-        brand = F.lpad(F.substring("p_brand", 7, 10), 2, "0")
+        brand = F.lpad(F.substr("p_brand", F.lit(7)), 2, "0")
         return self._part_code().select(
             F.col("p_partkey").alias("work_refid"),
             F.col("p_name").alias("title"),
@@ -270,7 +270,7 @@ class Standins:
     def review_t(self) -> DataFrame:
         return self.raw("documents").select(
             F.col("doc_id").alias("id"),
-            F.substring("source", 4, 10).cast("long").alias("work_refid"),
+            F.substr("source", F.lit(4)).cast("long").alias("work_refid"),
             (F.col("doc_id") % 97).alias("user_id"),
             (F.col("doc_id") % 5 + 1).cast("int").alias("site_id"),
             F.col("text").alias("review"),
@@ -284,7 +284,6 @@ class Standins:
     def work_site_mapping(self) -> DataFrame:
         return (
             self.review_r()
-            .filter(F.col("flag") == "R")
             .groupBy(
                 "work_refid",
                 "site_id",
@@ -457,13 +456,13 @@ class Standins:
             F.lit("English").alias("original_lang"),
             F.when(
                 F.col("p_type") != "SMALL",
-                F.concat(F.lit("l"), F.lpad(F.substring("p_brand", 7, 10), 2, "0")),
+                F.concat(F.lit("l"), F.lpad(F.substr("p_brand", F.lit(7)), 2, "0")),
             ).alias("ori_lang_code"),
             F.concat_ws(";", "p_name", "p_brand").alias("authors"),
             F.concat_ws(
                 ";", F.replace("p_name", F.lit(" "), F.lit("")), F.lower("p_brand"), F.lower("p_type")
             ).alias("authors_code"),
-            F.concat(F.substring(code, 1, 3), F.lit("."), F.substring(code, 4, 20)).alias("mds_code"),
+            F.concat(F.substring(code, 1, 3), F.lit("."), F.substr(code, F.lit(4))).alias("mds_code"),
             F.when(F.col("p_size") % 5 == 0, F.substring(code, 1, 3)).alias("mds_code_corr"),
             F.when(
                 F.col("p_type") != "ECONOMY", F.concat_ws("-->", "p_type", "p_brand", "p_name")

@@ -36,6 +36,8 @@ SCHEMAS = {
                          "authors string" + _AUDIT,
     "rev_similarto_process": "work_refid bigint, review_id bigint, text_length int, review_lang string, "
                              "date_processed timestamp_ntz, load_audit_id int",
+    "isbn_lang_rejected": "ean string, reply string, load_audit_id int",
+    "city": "city string, pop bigint, lat double, long double",
     "review_similarto": "site_id int, review_id bigint, other_site_id int, other_review_id bigint, "
                         "similarity double, load_audit_id int",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.functions.text import let
 from shelfmark.schemas import LANGUAGE_REF, STAGED_TYPES, text_schema
+from shelfmark.sources.tables import materialize
 
 
 class UnknownColumns(ValueError):
@@ -25,26 +26,49 @@ def typed(df: DataFrame) -> DataFrame:
     )
 
 
-def read_headered_dump(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
-    """A dump whose header names its columns, in any order.
+def _headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """Files by their first line. Only that line of each file is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    files: dict[str, list[str]] = {}
+    for name in sorted(spark.read.text(path).inputFiles()):
+        location = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = location.getFileSystem(conf).open(location)
+        codec = codecs.getCodec(location)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            files.setdefault(reader.readLine() or "", []).append(name)
+        finally:
+            reader.close()
+    return files
+
+
+def read_headered_dump(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Dumps whose header names their columns, each file its own, in any order.
 
     Quoted fields may hold line breaks. An empty field and ``\\N`` are NULL, a quoted
-    empty field is empty text. Columns the file lacks are NULL.
+    empty field is empty text. Columns a file lacks are NULL. Files are read together
+    with those of the same header.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("sep", "|")
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "\\N")
-        .csv(path)
-    )
-    unknown = [c for c in df.columns if c.lower() not in columns]
-    if unknown:
-        raise UnknownColumns(", ".join(unknown))
-    present = {c.lower() for c in df.columns}
-    return df.select(*[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns])
+    rows = None
+    for files in _headers(spark, path).values():
+        df = (
+            spark.read.option("header", True)
+            .option("sep", "|")
+            .option("multiLine", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("nullValue", "\\N")
+            .csv(files)
+        )
+        unknown = [c for c in df.columns if c.lower() not in columns]
+        if unknown:
+            raise UnknownColumns(", ".join(unknown))
+        present = {c.lower() for c in df.columns}
+        part = df.select(*[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns])
+        rows = part if rows is None else rows.union(part)
+    return rows if rows is not None else spark.createDataFrame([], text_schema(tuple(columns)))
 
 
 def read_plain_dump(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
@@ -110,6 +134,8 @@ def read_tolerant(spark: SparkSession, path: str, schema: str, max_errors: int =
     """Read an export back; unreadable rows are dropped unless they exceed the limit.
 
     A row is unreadable when it has another number of fields or a field does not convert.
+    The lines are taken apart once, into an intermediate table; the count of unreadable
+    rows reads one of its columns.
     """
     fields = [f.split() for f in schema.split(",")]
     # Fields end at a delimiter no backslash stands before.
@@ -126,7 +152,7 @@ def read_tolerant(spark: SparkSession, path: str, schema: str, max_errors: int =
         return F.struct(readable.alias("_ok"), *out)
 
     # Unpacked by a generator, so that each line is taken apart once.
-    rows = spark.read.text(path).select(F.inline(F.array(let(cells, row))))
+    rows = materialize(spark.read.text(path).select(F.inline(F.array(let(cells, row)))), "read-back")
     bad = rows.agg(F.count_if(~F.col("_ok"))).first()[0]
     if bad > max_errors:
         raise TooManyBadRows(f"{bad} rows, {max_errors} tolerated")

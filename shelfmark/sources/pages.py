@@ -18,7 +18,6 @@ from shelfmark.functions.text import without_tabs
 from shelfmark.operators.normalize import marc_lookup, normalize_reviews
 from shelfmark.session import ship_package
 from shelfmark.sources.markup import Element, parse
-from shelfmark.sources.tables import fill_cores
 
 # Host names of the sites.
 HOSTS = {
@@ -236,7 +235,7 @@ def raw_reviews(pages: DataFrame) -> DataFrame:
         F.col("site").isNotNull() & F.col("html").isNotNull()
     )
     ship_package(pages.sparkSession)
-    return fill_cores(ours).mapInPandas(extract, RAW_REVIEW)
+    return ours.mapInPandas(extract, RAW_REVIEW)
 
 
 def extract_reviews(pages: DataFrame) -> DataFrame:
@@ -302,7 +301,7 @@ def extract_work_details(pages: DataFrame, language: DataFrame | None = None) ->
         F.contains(F.col("url"), F.lit("/workdetails")) & F.col("html").isNotNull()
     ).select("url", F.col("requested_refid").cast("string").alias("requested"), "html")
     ship_package(pages.sparkSession)
-    raw = fill_cores(detail).mapInPandas(extract, RAW_WORK)
+    raw = detail.mapInPandas(extract, RAW_WORK)
     code = F.get("mds", F.lit(0))
     mds = fields.corrected_mds(code, F.slice("mds", F.lit(2), F.greatest(F.size("mds") - 1, F.lit(0))))
     known = F.size("mds") > 0
@@ -312,7 +311,7 @@ def extract_work_details(pages: DataFrame, language: DataFrame | None = None) ->
         without_tabs("title").alias("title"),
         "original_lang",
         without_tabs("authors").alias("authors"),
-        F.array_join(F.transform("author_links", lambda a: F.substring(a, 9, 1000)), ";").alias("authors_code"),
+        F.array_join(F.transform("author_links", lambda a: F.substr(a, F.lit(9))), ";").alias("authors_code"),
         *[F.when(known, c).alias(n) for n, c in mds.items()],
         "lc_subjects",
         F.when(~F.contains(F.col("popularity"), F.lit("—")), F.col("popularity")).alias("popularity"),

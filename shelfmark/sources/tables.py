@@ -1,7 +1,8 @@
 """Tables kept as parquet folders.
 
-A folder being read is never overwritten: a new state goes to a new version folder and
-a small pointer file names the current one.
+A folder being read is never overwritten: a new state goes to a new version folder. A
+version counts from the moment its writer has marked it complete; the latest complete one
+is the table, so no reader ever finds the table missing or half written.
 """
 
 from __future__ import annotations
@@ -12,19 +13,40 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.session import shared_folder
 
+KEPT_VERSIONS = 2  # the current version and one that readers may still be at
+
+
+def _fs(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     Cuts the lineage where a result is read several times; later steps read only the
-    columns they name, and survive the loss of the executors that made it.
+    columns they name, and survive the loss of the executors that made it. The table
+    stays until ``drop_intermediate``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    made = spark.sparkContext.__dict__.setdefault("_shelfmark_tables", [])
+    made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_intermediate(spark: SparkSession) -> int:
+    """Delete the intermediate tables this session has made; frames over them end here."""
+    made = spark.sparkContext.__dict__.setdefault("_shelfmark_tables", [])
+    for path in made:
+        fs, hadoop_path = _fs(spark, path)
+        fs.delete(hadoop_path, True)
+    count = len(made)
+    made.clear()
+    return count
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Partition by the columns into the configured number of shuffle partitions.
 
@@ -36,16 +58,6 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(n, *columns)
 
 
-def fill_cores(scan: DataFrame) -> DataFrame:
-    """Spread a scan over all cores if it has fewer partitions than there are cores.
-
-    For costly work on few, small files. A scan of many files already has partitions
-    enough and is returned unchanged, so large inputs are not shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 class Store:
     """Named tables under one root folder.
 
@@ -57,39 +69,35 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return hadoop_path.getFileSystem(conf), hadoop_path
-
     def exists(self, name: str) -> bool:
-        fs, path = self._fs(f"{self.root}/{name}")
+        fs, path = _fs(self.spark, f"{self.root}/{name}")
         return fs.exists(path)
 
+    def _versions(self, name: str) -> list[str]:
+        """Complete versions, oldest first."""
+        fs, path = _fs(self.spark, f"{self.root}/{name}")
+        if not fs.exists(path):
+            return []
+        names = sorted(f.getPath().getName() for f in fs.listStatus(path))
+        done = [n for n in names if n.startswith("v-")]
+        return [n for n in done if fs.exists(_fs(self.spark, f"{self.root}/{name}/{n}/_SUCCESS")[1])]
+
     def path(self, name: str) -> str:
         """Folder of the current version; unversioned tables are their own folder."""
-        fs, pointer = self._fs(f"{self.root}/{name}/CURRENT")
-        if not fs.exists(pointer):
-            return f"{self.root}/{name}"
-        version = self.spark.read.text(pointer.toString()).first()[0]
-        return f"{self.root}/{name}/{version}"
+        versions = self._versions(name)
+        return f"{self.root}/{name}/{versions[-1]}" if versions else f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         """Publish a next state of a table that may be computed from its current one."""
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{name}/{version}")
-        fs, temporary = self._fs(f"{self.root}/{name}/NEXT-{version}")
-        out = fs.create(temporary, True)
-        out.write(bytearray(version.encode()))
-        out.close()
-        _, pointer = self._fs(f"{self.root}/{name}/CURRENT")
-        if fs.exists(pointer):
-            fs.delete(pointer, False)
-        fs.rename(temporary, pointer)
+        versions = self._versions(name)
+        number = int(versions[-1].split("-")[1]) + 1 if versions else 1
+        df.write.parquet(f"{self.root}/{name}/v-{number:09d}-{uuid.uuid4().hex}")
+        for old in self._versions(name)[:-KEPT_VERSIONS]:
+            fs, path = _fs(self.spark, f"{self.root}/{name}/{old}")
+            fs.delete(path, True)
         return self.read(name)
 
     def append_batch(self, name: str, df: DataFrame) -> None:
@@ -112,12 +120,16 @@ class Store:
         """Replace all rows of a staging table."""
         return self.replace(name, df)
 
-    def drop_batch(self, name: str, batch_id: int) -> None:
-        """Take one load out of a table partitioned by load id."""
-        fs, path = self._fs(f"{self.root}/{name}/load_audit_id={batch_id}")
+    def drop_partition(self, name: str, column: str, value) -> None:
+        """Take one partition out of a partitioned table."""
+        fs, path = _fs(self.spark, f"{self.root}/{name}/{column}={value}")
         if fs.exists(path):
             fs.delete(path, True)
 
+    def drop_batch(self, name: str, batch_id: int) -> None:
+        """Take one load out of a table partitioned by load id."""
+        self.drop_partition(name, "load_audit_id", batch_id)
+
 
 def is_empty(df: DataFrame) -> bool:
     """Empty-input guard: looks at one row."""

@@ -1,17 +1,20 @@
 """Incremental ingest of dump files.
 
 New files of a folder are loaded in micro-batches; the stream's checkpoint remembers the
-files already taken, in place of a marker per task. Each micro-batch is written under its
-own load id, so a repeated batch replaces itself. The stream stops when no file is left.
+files already taken, in place of a marker per task. Each micro-batch is a step of the run
+ledger with a load id of its own, so a repeated batch replaces itself and never meets the
+rows of another load. The stream stops when no file is left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.schemas import text_schema
+from shelfmark.sources.ledger import Ledger
 from shelfmark.sources.tables import Store
 
 
@@ -23,8 +26,8 @@ def ingest_dumps(
     load: Callable[[DataFrame, int], None],
     files_per_batch: int = 1000,
     header: bool = True,
-) -> int:
-    """Load all new files; returns the number of micro-batches run.
+) -> None:
+    """Load all new files.
 
     All files of the folder have the same column order. ``load(rows, batch_id)`` writes.
     """
@@ -46,14 +49,20 @@ def ingest_dumps(
         .start()
     )
     run.awaitTermination()
-    return len([p for p in run.recentProgress if p["numInputRows"] > 0])
 
 
-def into_store(store: Store, table: str) -> Callable[[DataFrame, int], None]:
-    """Append each micro-batch to a table under its batch id."""
-    from pyspark.sql import functions as F
+def into_store(
+    store: Store, table: str, ledger: Ledger, job: str, now: datetime
+) -> Callable[[DataFrame, int], None]:
+    """Append each micro-batch to a table under the load id of its ledger step."""
 
     def load(rows: DataFrame, batch_id: int) -> None:
-        store.append_batch(table, rows.withColumn("load_audit_id", F.lit(int(batch_id))))
+        def write(load_id: int) -> int | None:
+            if rows.isEmpty():
+                return None
+            store.append_batch(table, rows.withColumn("load_audit_id", F.lit(load_id)))
+            return store.read(table).filter(F.col("load_audit_id") == load_id).count()
+
+        ledger.run(job, f"{table} batch {batch_id}", write, now)
 
     return load

@@ -25,7 +25,7 @@ def test_from_files_to_star_schema(spark, tmp_path):
         "english_iso_name string, french_name string, french_iso_name string"))
 
     feed = tmp_path / "feed.xml"
-    feed.write_text('<f><work workcode="1"><isbn>2868890067</isbn></work><work workcode="2"><isbn>2123456802</isbn></work></f>')
+    feed.write_text('<f><work workcode="1"><isbn>0306406152</isbn></work><work workcode="2"><isbn>0471958697</isbn></work></f>')
     wh.load_isbn_feed(str(feed), "feed-1", NOW)
     wh.load_isbn_feed(str(feed), "feed-1", NOW)
     assert wh.table("work").count() == 2 and wh.table("work_isbn").count() == 2
@@ -60,10 +60,147 @@ def test_from_files_to_star_schema(spark, tmp_path):
     with pytest.raises(NothingPending):
         wh.process_similarity("s-2", NOW)
 
+    wh.store.replace("city", spark.createDataFrame(
+        [("Aville", 900, 1.0, 2.0), ("Btown", 100, 3.0, 4.0)], "city string, pop bigint, lat double, long double"))
     wh.build_star()
+    assert {r.city for r in wh.store.read("dim_reviewer").collect()} <= {"Aville", "Btown"}
+    assert wh.store.read("dim_reviewer").count() == 4
+    exported = wh.export_star(str(tmp_path / "export"))
+    assert len(exported) == 11
+    assert spark.read.text(str(tmp_path / "export" / "fact_review")).count() == 4
     fact = wh.store.read("fact_review")
     assert fact.count() == 4 and fact.filter("similarto_id is not null").count() == 2
     assert wh.store.read("dim_book").count() == 2
     assert wh.store.read("dim_book").filter("book_id = 1").first().french_title == "Livre un"
     assert wh.store.read("dim_tag").first().tag_name == "SEA STORIES"
     assert wh.store.read("rel_author").count() == 2
+
+
+INFO = "work_refid|title|authors|authors_code|mds_code|mds_text|popularity|other_lang_title|ori_lang_code|dup_refid"
+REVIEWS = "site_logical_name|username|user_uid|work_refid|work_uid|review|review_lang|parsed_rating|parsed_review_date"
+
+
+def house(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.store.replace("site", spark.createDataFrame(
+        [(1, "librarything"), (2, "goodreads"), (4, "babelio")], "id int, logical_name string"))
+    return wh
+
+
+def test_an_empty_dump_loads_nothing_again(spark, tmp_path):
+    wh = house(spark, tmp_path)
+    full = write(tmp_path / "r1.dat", REVIEWS, [
+        "goodreads|Ann|u1|1|g1|good|eng|8|2015-01-01", "goodreads|Bob|u2|1|g1|bad|eng|2|2015-01-02"])
+    empty = write(tmp_path / "r2.dat", REVIEWS, [])
+    wh.load_reviews(full, "goodreads", "one", NOW)
+    wh.load_reviews(empty, "goodreads", "two", NOW + datetime.timedelta(days=1))
+    assert wh.table("review").count() == 2
+    assert {r.last_seen_date for r in wh.table("user").collect()} == {NOW.date()}
+    wh.load_work_info(write(tmp_path / "i1.dat", INFO, ["1|One|Ann|ann|8.13|x|1||eng|"]), "one", NOW)
+    wh.load_work_info(write(tmp_path / "i2.dat", INFO, []), "two", NOW)
+    assert wh.table("work_info").count() == 1
+    feed = tmp_path / "feed.xml"
+    feed.write_text('<f><work workcode="1"><isbn>0306406152</isbn></work></f>')
+    wh.load_isbn_feed(str(feed), "one", NOW)
+    feed.write_text("<f></f>")
+    wh.load_isbn_feed(str(feed), "two", NOW + datetime.timedelta(days=1))
+    assert wh.table("work_isbn").filter("deletion_date is null").count() == 1
+
+
+def test_a_repeated_insert_load_holds_its_whole_stage(spark, tmp_path, rows):
+    from shelfmark.operators import loads
+
+    wh = house(spark, tmp_path)
+
+    def load(codes):
+        stage = spark.createDataFrame([(1, c) for c in codes], "work_refid bigint, authors_code string")
+        return wh._append("author", loads.insert_author(wh.before("author", 1), stage, NOW.isoformat(sep=" "), 1), 1)
+
+    assert load(["a", "b"]) == 2
+    assert load(["a", "b", "c"]) == 3
+    assert rows(wh.table("author"), "code") == [("a",), ("b",), ("c",)]
+    assert load([]) == 0
+    assert wh.table("author").count() == 0
+
+
+def test_keys_are_unique(spark, tmp_path, rows):
+    wh = house(spark, tmp_path)
+    wh.load_work_info(write(tmp_path / "i.dat", INFO, [
+        "1|One|Ann|ann|8.13|x|1|French : Un__&__French : Une|eng|", "2|Two|Bo|bo|81.3|y|1||eng|",
+        "1|One more|Ann|ann|8.13|x|1||eng|"]), "one", NOW)
+    assert rows(wh.table("mds"), "code", "code_w_dot", "mds_text") == [("813", "81.3", "y")]
+    assert rows(wh.table("work_info"), "work_refid", "title") == [(1, "One more"), (2, "Two")]
+    assert rows(wh.table("work_title"), "work_refid", "lang_text", "title") == [(1, "French", "Une")]
+    from shelfmark.operators import loads
+    from shelfmark.plans.tables import SCHEMAS
+
+    feed = spark.createDataFrame(
+        [(1, "9780306406157", "0306406152"), (2, "09780306406157", "")], "work_refid bigint, isbn13 string, isbn10 string")
+    isbn = loads.merge_isbn(spark.createDataFrame([], SCHEMAS["isbn"]), feed, NOW.isoformat(sep=" "), 1)
+    assert rows(isbn, "ean") == [(9780306406157,)]
+    assert loads.unambiguous_isbns(feed).count() == 0
+
+
+def test_intermediate_tables_go_after_a_step(spark, tmp_path):
+    wh = house(spark, tmp_path)
+    text = " ".join(["This is a long review of a good book about the sea and the people"] * 3)
+    path = write(tmp_path / "r.dat", REVIEWS, [
+        f"goodreads|Ann|u1|1|g1|{text}|eng|8|2015-01-01", f"goodreads|Bob|u2|1|g1|{text} Yes|eng|2|2015-01-02"])
+    wh.load_reviews(path, "goodreads", "one", NOW)
+    wh.store.replace("rev_similarto_process", wh.table("review").selectExpr(
+        "work_refid", "id as review_id", "length(review) as text_length", "review_lang",
+        "cast(null as timestamp_ntz) as date_processed", "7 as load_audit_id"))
+    from shelfmark.operators import similarity
+    from shelfmark.sources.tables import drop_intermediate
+
+    drop_intermediate(spark)
+    assert similarity.pick_similar(wh.table("rev_similarto_process"), wh.table("review")).count() == 1
+    assert drop_intermediate(spark) > 0
+    assert drop_intermediate(spark) == 0
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    wh = house(spark, tmp_path)
+    wh.load_reviews(write(tmp_path / "r1.dat", REVIEWS, [
+        f"goodreads|n{i}|u{i}|{i}|g{i}|good|eng|8|2015-01-01" for i in range(40)]), "goodreads", "one", NOW)
+
+    def files(name):
+        return {p.name for p in (tmp_path / "wh" / name).rglob("*.parquet")}
+
+    before = {name: files(name) for name in ("user", "work_site_mapping")}
+    wh.load_reviews(write(tmp_path / "r2.dat", REVIEWS, [
+        "goodreads|n3|u3|3|g3|again|eng|8|2015-02-01"]), "goodreads", "two", NOW + datetime.timedelta(days=1))
+    for name, old in before.items():
+        gone = old - files(name)
+        assert 1 <= len(gone) < len(old) / 4
+        assert wh.table(name).count() == 40
+    assert wh.table("user").filter(f"last_seen_date > date '{NOW.date()}'").count() == 1
+    assert wh.table("review").count() == 41
+
+
+def test_languages_are_loaded_once_and_filled(spark, tmp_path):
+    wh = house(spark, tmp_path)
+    ref = tmp_path / "lang.tsv"
+    ref.write_text("fra\tfre\tfr\tfre\tFrench\tFrench\tfrançais\tfrançais\n")
+    wh.load_languages(str(ref), "one", NOW)
+    ref.write_text("deu\tger\tde\tger\tGerman\tGerman\tallemand\tallemand\n")
+    wh.load_languages(str(ref), "two", NOW)
+    assert [r.code for r in wh.table("language").collect()] == ["fre"]
+    en, fr = "the story of the long night and the river house", "une histoire de la longue nuit et de la maison"
+    lines = [f"goodreads|n{i}|u{i}|{i}|g{i}|{t} {i}|{lang}|8|2015-01-01"
+             for i, (t, lang) in enumerate([(en, "eng"), (fr, "fre")] * 4 + [(en, ""), (fr, "")])]
+    wh.load_reviews(write(tmp_path / "r.dat", REVIEWS, lines), "goodreads", "one", NOW)
+    assert wh.table("review").filter("review_lang is null").count() == 2
+    wh.fill_languages("one", NOW)
+    assert wh.table("review").count() == 10
+    assert sorted(r.review_lang for r in wh.table("review").collect()) == ["eng"] * 5 + ["fre"] * 5
+
+
+def test_isbn_languages_with_rejects(spark, tmp_path, rows):
+    wh = house(spark, tmp_path)
+    path = write(tmp_path / "i.dat", "ean|lang_code", ["9780306406157|eng", "9780471958697|unknown", "9780000000002|error page"])
+    wh.load_isbn_lang(path, "one", NOW)
+    assert rows(wh.table("isbn_info"), "ean", "lang_code") == [(9780306406157, "eng"), (9780471958697, "und")]
+    assert rows(wh.table("isbn_lang_rejected"), "ean", "reply") == [("9780000000002", "error page")]
+    wh.export_isbns_without_lang(str(tmp_path / "ask"), 10)
+    assert spark.read.text(str(tmp_path / "ask")).count() == 0

@@ -73,24 +73,51 @@ def run(spark, reviews, processed=frozenset(), **rules):
     return {r.review_id: (r.site_id, r.other_site_id, r.other_review_id, round(r.similarity, 9)) for r in found}
 
 
-@pytest.mark.parametrize("dense_limit", [10_000, 0, 8])
 @pytest.mark.parametrize("seed, copies", [(1, 0.3), (2, 0.85)])
-def test_equals_brute_force(spark, seed, copies, dense_limit):
+def test_equals_brute_force(spark, seed, copies):
     reviews = make_reviews(seed, 160, copies)
-    assert run(spark, reviews, dense_limit=dense_limit) == brute_force(reviews)
+    assert run(spark, reviews) == brute_force(reviews)
 
 
-@pytest.mark.parametrize("dense_limit", [10_000, 0])
-def test_processed_reviews_only_serve_as_partners(spark, dense_limit):
+def test_processed_reviews_only_serve_as_partners(spark):
     reviews = make_reviews(5, 120, 0.6)
     processed = {r[0] for r in reviews if r[0] < 200}
-    assert run(spark, reviews, processed, dense_limit=dense_limit) == brute_force(reviews, processed)
+    assert run(spark, reviews, processed) == brute_force(reviews, processed)
 
 
-def test_other_thresholds(spark):
+@pytest.mark.parametrize("t, delta, radius", [(0.8, 0.2, 0.05), (0.5, 0.5, 0.2), (0.3, 0.4, 0.1), (0.9, 0.02, 0.4)])
+def test_other_thresholds(spark, t, delta, radius):
     reviews = make_reviews(9, 120, 0.6)
-    got = run(spark, reviews, dense_limit=0, min_similarity=0.8, min_length=60, length_delta=0.2, radius=0.05)
-    assert got == brute_force(reviews, t=0.8, delta=0.2, shortest=60)
+    got = run(spark, reviews, min_similarity=t, min_length=60, length_delta=delta, radius=radius)
+    assert got == brute_force(reviews, t=t, delta=delta, shortest=60)
+
+
+def test_rules_without_a_bound_are_refused():
+    with pytest.raises(ValueError):
+        sim.SimilarityRules(min_similarity=0.2, radius=0.1)
+    with pytest.raises(ValueError):
+        sim.SimilarityRules(length_delta=1.0)
+
+
+def test_short_review_beside_a_far_longer_one(spark):
+    """A wide length band reaches over several length buckets."""
+    base = " ".join(WORDS)
+    reviews = [(1, 1, 2, base + " " + base[:-1], "en"), (2, 1, 4, base, "en"), (3, 1, 2, base + " " + base, "en")]
+    got = run(spark, reviews, length_delta=0.6, min_length=20)
+    assert got == brute_force(reviews, delta=0.6, shortest=20)
+
+
+def test_one_group_of_thousands(spark):
+    """Thousands of different texts of one work: pairs of near copies among them are found."""
+    rng = random.Random(3)
+    reviews = []
+    for i in range(3000):
+        words = [f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(14)]
+        reviews.append((i + 1, 1, 2, " ".join(words), "en"))
+    for i in range(0, 300, 3):
+        reviews.append((5000 + i, 1, 4, reviews[i][3] + " end", "en"))
+    got = run(spark, reviews)
+    assert {5000 + i: i + 1 for i in range(0, 300, 3)}.items() <= {k: v[2] for k, v in got.items()}.items()
 
 
 def test_many_copies_of_one_text(spark):
@@ -99,7 +126,7 @@ def test_many_copies_of_one_text(spark):
     reviews = make_reviews(11, 80, 0.2)
     top = max(r[0] for r in reviews)
     reviews += [(top + 1 + i, 1, 2, text, "en") for i in range(60)]
-    assert run(spark, reviews, dense_limit=8) == brute_force(reviews)
+    assert run(spark, reviews) == brute_force(reviews)
 
 
 def test_enqueue_and_mark(spark, rows):
