@@ -7,7 +7,8 @@ member's score bounds, since an unread contribution is at most the last one read
 list and at least the list's smallest. Reading stops when no member outside the current
 best can reach them any more; the few still in question get their final scores.
 
-The best scores of a slice are the starting bar for the task's next slice. Tasks return at
+The best scores so far are the bar for the task's next slice; slices grow from small ones,
+so that a bar is found early. Tasks return at
 most k rows per query, ranked in one window per query. Queries come in blocks of at most
 ``block`` rows; a block is what is sent to the workers, so its size is fixed.
 
@@ -55,34 +56,36 @@ class _Slice:
         self.vectors = vectors
         self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()  # one ascending list per dimension
         self.values = np.take_along_axis(vectors.T, self.order, axis=1)
-        self.unread = np.empty(vectors.shape)
+        # Where each member stands in each list tells what has been read of it.
+        self.place = np.argsort(self.order, axis=1).astype(np.int16 if len(ids) < 1 << 15 else np.int32)
+        self.reach = float(np.abs(vectors).max(initial=0.0))
 
     def best(self, query: np.ndarray, own: int, k: int, bar: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the slice's members that can be among the k best; ``bar`` is a score they must reach."""
         n = len(self.ids)
         step = max(1, -(-n // STEPS))
+        # Whole numbers below 2**24 are exact in single precision, and so are their sums.
+        kind = np.float32 if self.reach * float(np.abs(query).sum()) < 1 << 24 else np.float64
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        smallest = np.where(query > 0, self.values[:, 0] * query, self.values[:, -1] * query)
-        score, unread = np.zeros(n), self.unread
-        unread.fill(1.0)
+        place = np.where((query > 0)[:, None], n - 1 - self.place, self.place)
+        bounds = np.zeros((2, len(query)), dtype=kind)  # of an unread contribution: at most, at least
+        bounds[1] = np.where(query > 0, self.values[:, 0] * query, self.values[:, -1] * query)
+        score = np.zeros(n)
         alive = np.flatnonzero(self.ids != own)
-        for start in range(0, n, step):
-            stop = min(start + step, n)
-            last = np.zeros(len(query))  # the last contribution read from each list
+        self.depth, start = 0, 0
+        while start < n:
+            # Bounds are looked at when the depth has doubled, and at every step in the second half.
+            stop = min(n, max(step, start + (step if 2 * start >= n else start)))
             for lists, part, end in ((up, slice(n - stop, n - start), n - stop), (down, slice(start, stop), stop - 1)):
                 read = self.order[lists, part]
                 score += np.bincount(read.ravel(), (self.values[lists, part] * query[lists, None]).ravel(), minlength=n)
-                unread[read, lists[:, None]] = 0.0
-                last[lists] = self.values[lists, end] * query[lists]
-            left = unread if len(alive) > n // 4 else unread[alive]
-            above, below = left @ last, left @ smallest
-            if left is unread:
-                above, below = above[alive], below[alive]
+                bounds[0, lists] = self.values[lists, end] * query[lists]
+            self.depth = start = stop
+            upper, lower = score + bounds @ (place >= stop).astype(kind)
             if len(alive) > k:
-                lower = score[alive] + below
-                bar = max(bar, float(np.partition(lower, len(lower) - k)[len(lower) - k]))
-            alive = alive[score[alive] + above >= bar]
-            if len(alive) <= 4 * k:
+                bar = max(bar, float(np.partition(lower[alive], len(alive) - k)[len(alive) - k]))
+            alive = alive[upper[alive] >= bar]
+            if len(alive) <= max(4 * k, n // 64):
                 break
         final = self.vectors[alive] @ query
         keep = np.lexsort((self.ids[alive], -final))[:k]
@@ -105,8 +108,10 @@ def _search(queries, k: int, slice_rows: int):
                 keep = np.lexsort((all_ids, -every))[:k]
                 best[key] = all_ids[keep], every[keep]
 
+        # Slices start small and double: the first ones set the bar for the larger ones.
+        wanted: dict[int, int] = {}
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for batch in batches:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             lists = batch.column("vec")
             offsets = lists.offsets.to_numpy()
             flat = lists.flatten().to_numpy().astype(np.float64)
@@ -118,9 +123,11 @@ def _search(queries, k: int, slice_rows: int):
                 rows = np.flatnonzero(lengths == length)
                 at = (offsets[rows] - offsets[0])[:, None] + np.arange(length)
                 held.setdefault(length, []).append((ids[rows], flat[at].reshape(len(rows), length)))
-                if sum(len(i) for i, _ in held[length]) >= slice_rows:
+                size = wanted.setdefault(length, max(1, slice_rows // 16))
+                if sum(len(i) for i, _ in held[length]) >= size:
                     parts = held.pop(length)
                     read(np.concatenate([i for i, _ in parts]), np.concatenate([v for _, v in parts]))
+                    wanted[length] = min(2 * size, slice_rows)
         for parts in held.values():
             read(np.concatenate([i for i, _ in parts]), np.concatenate([v for _, v in parts]))
         for (length, place), (ids, scores) in best.items():
