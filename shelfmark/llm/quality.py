@@ -198,7 +198,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, buckets: int = BUCKETS, sa
     training = _training(docs, labels, held_out)
     texts = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull()).filter(~held_out(F.col("doc_id")))
     counts = (
-        texts.join(training, "doc_id").select("label", "text")
+        # A merge join at every size: labels grow with the texts, so they are never broadcast.
+        texts.join(training.hint("merge"), "doc_id").select("label", "text")
         .mapInArrow(_count(buckets), "bucket long, zeros long, ones long")
         .groupBy("bucket").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()
     )  # at most one row per bucket, and the numbers of texts as bucket -1
