@@ -20,6 +20,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfmark.llm.common import saved
+
 LEAST = 0.5  # least posterior bound of the share of good pages
 DEVIATIONS = 1.64  # of the posterior, below its mean
 LEAST_STRENGTH, MOST_STRENGTH = 2.0, 1000.0  # of a prior, in pages
@@ -68,51 +70,50 @@ def suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def _strength(level: DataFrame) -> DataFrame:
-    """Prior strength of a level (columns n, good, parent): one row.
+def _strength(level: DataFrame) -> float:
+    """Prior strength of a level (columns n, good, parent).
 
     Method of moments: with rates p around parents m, E (p - m)^2 = m (1 - m) (1/n + (1 - 1/n) / (1 + s)),
     weighted by n and solved for s. No spread beyond chance means the largest strength.
     """
-    weight = F.col("n")
-    chance = F.col("parent") * (1 - F.col("parent"))
-    got = F.sum(weight * F.pow(F.col("good") / F.col("n") - F.col("parent"), 2))
-    least = F.sum(weight * chance / F.col("n"))
-    rest = F.sum(weight * chance * (1 - 1 / F.col("n")))
-    over = F.greatest(F.lit(0.0), (got - least) / F.when(rest > 0, rest))
-    strength = F.when(over > 0, F.greatest(F.lit(LEAST_STRENGTH), F.least(F.lit(MOST_STRENGTH), 1 / over - 1)))
-    return level.agg(F.coalesce(strength, F.lit(MOST_STRENGTH)).alias("strength"))
+    n, chance = F.col("n"), F.col("parent") * (1 - F.col("parent"))
+    got = F.sum(n * F.pow(F.col("good") / n - F.col("parent"), 2))
+    rest = F.sum(n * chance * (1 - 1 / n))
+    over = level.filter("n > 0").agg(((got - F.sum(chance)) / F.when(rest > 0, rest))).first()[0]
+    if over is None or over <= 0:
+        return MOST_STRENGTH
+    return max(LEAST_STRENGTH, min(MOST_STRENGTH, 1 / over - 1))
+
+
+def _shrunk(strength: float) -> Column:
+    """A level's rate (columns n, good, parent) drawn towards its parent's."""
+    return (F.col("good") + F.lit(strength) * F.col("parent")) / (F.col("n") + F.lit(strength))
 
 
 def reputations(hosts: DataFrame, outcomes: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
     """host, rate and bound of every host in ``hosts`` (one row each).
 
     ``outcomes``: host, n (labelled pages) and good (of them good), one row per labelled
-    host. Without any outcome the rate of all pages is taken as a half.
+    host. Without any outcome the rate of all pages is taken as a half. The levels are
+    small tables of sums; the driver sees the overall rate and one strength per level.
     """
-    def shrunk(level: DataFrame, strength: DataFrame) -> DataFrame:
-        # The strength is one row, an aggregate without keys.
-        both = level.join(F.broadcast(strength))
-        return both.withColumn(
-            "rate", (F.col("good") + F.col("strength") * F.col("parent")) / (F.col("n") + F.col("strength")))
-
-    every = (
+    every = saved(
         hosts.select("host").join(outcomes, "host", "left").na.fill(0, ["n", "good"])
-        .withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", suffix(F.col("host")))
-    )
+        .withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", suffix(F.col("host"))), "hosts")
+    n, good = every.agg(F.sum("n"), F.sum("good")).first()
+    whole = ((good or 0) + 0.5) / ((n or 0) + 1.0)
     domains = every.groupBy("domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn(
         "suffix", suffix(F.col("domain")))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    whole = suffixes.agg(((F.sum("good") + 0.5) / (F.sum("n") + 1.0)).alias("parent"))
-    whole = whole.select(F.coalesce("parent", F.lit(0.5)).alias("parent"))
-    suffixes = suffixes.join(F.broadcast(whole))
-    suffixes = shrunk(suffixes, _strength(suffixes.filter("n > 0"))).select("suffix", F.col("rate").alias("parent"))
-    domains = domains.join(suffixes, "suffix")
-    domains = shrunk(domains, _strength(domains.filter("n > 0"))).select("domain", F.col("rate").alias("parent"))
-    level = every.join(domains, "domain")
-    level = shrunk(level, _strength(level.filter("n > 0")))
-    spread = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("strength") + 1))
-    return level.select("host", "rate", F.greatest(F.lit(0.0), F.col("rate") - deviations * spread).alias("bound"))
+    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn(
+        "parent", F.lit(whole))
+    rates = suffixes.select("suffix", _shrunk(_strength(suffixes)).alias("parent"))
+    domains = saved(domains.join(rates, "suffix"), "domains")
+    rates = domains.select("domain", _shrunk(_strength(domains)).alias("parent"))
+    level = saved(every.join(rates, "domain"), "host-levels")
+    strength = _strength(level)
+    rate = _shrunk(strength)
+    spread = F.sqrt(rate * (1 - rate) / (F.col("n") + F.lit(strength) + 1))
+    return level.select("host", rate.alias("rate"), F.greatest(F.lit(0.0), rate - deviations * spread).alias("bound"))
 
 
 def page_document(path: Column) -> Column:
@@ -142,7 +143,7 @@ def judged_pages(
     counted = split.filter("doc_number is not null").groupBy("host", "doc_number").count()
     outcomes = counted.join(marks, "doc_number").groupBy("host").agg(
         F.sum("count").alias("n"), F.sum(F.col("count") * F.col("mark")).alias("good"))
-    hosts = reputations(split.select("host").distinct(), outcomes, deviations)
+    hosts = saved(reputations(split.select("host").distinct(), outcomes, deviations), "reputations")
     fit = split.join(hosts, "host")
     host, path = F.col("host"), F.col("path")
     by_rule = _longest(rules, host, path, lambda r: r.verdict)
