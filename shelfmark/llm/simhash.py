@@ -15,7 +15,7 @@ the same way, and once more where that is still too large. After the third level
 uses the same pigeonhole argument, so no link is lost and no group is ever large.
 
 Equal fingerprints are one node from the start. Buckets return, for each member, a link to
-the smallest member it is connected to, never all pairs. Components come from iterated
+the first member it is connected to, never all pairs. Components come from iterated
 star steps over the links.
 """
 
@@ -33,7 +33,7 @@ from shelfmark.operators.components import connected_components
 
 SHINGLE = 3
 DISTANCE = 3
-BUCKET = 256
+BUCKET = 1 << 14  # fingerprints compared within one bucket, at most
 SEED = 42
 # Hashes whose bits are unpacked at a time.
 _SLICE = 1 << 15
@@ -140,15 +140,24 @@ def _keyed(level: int):
 
 
 def _linked(prints: np.ndarray, distance: int) -> np.ndarray:
-    """For each member of a bucket the smallest member it is connected to."""
-    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= distance
-    label = np.arange(len(prints))
-    while True:
-        lower = np.where(near, label[None, :], len(prints)).min(axis=1)
-        lower = lower[lower]
-        if (lower == label).all():
-            return prints[label]
-        label = lower
+    """For each member of a bucket the first member of its component.
+
+    Members are reached breadth first and leave the set looked at when they are reached, so
+    a crowd of close fingerprints takes few rounds, and memory grows with the members only.
+    """
+    first = np.arange(len(prints))
+    left = first
+    while len(left):
+        root, left = left[0], left[1:]
+        reached = [root]
+        while reached and len(left):
+            near = np.bitwise_count(prints[left] ^ prints[reached.pop()]) <= distance
+            if near.any():
+                new = left[near]
+                first[new] = root
+                reached += new.tolist()
+                left = left[~near]
+    return prints[first]
 
 
 def _links(distance: int):
