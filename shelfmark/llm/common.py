@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -17,6 +18,9 @@ from shelfmark.sources.tables import materialize
 # Bytes of text one worker turns into arrays at a time; a longer text is a chunk alone.
 CHUNK_BYTES = 2 << 20
 
+# Gives freed memory back to the system, where the C library has it (glibc).
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 UPPER_TO_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -77,8 +81,8 @@ def chunks(
 ) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of text, or one row.
 
-    Memory that the last slice needed goes back before the next one is made, so a worker
-    never holds more than one slice's arrays.
+    Memory that the last slice needed goes back to the system before the next one is made,
+    so a worker never holds more than one slice's arrays.
     """
     pool = pa.default_memory_pool()
     for batch in batches:
@@ -93,6 +97,8 @@ def chunks(
             yield batch.slice(start, stop - start)
             start = stop
             pool.release_unused()
+            if _TRIM is not None:
+                _TRIM(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
