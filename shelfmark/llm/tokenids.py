@@ -41,7 +41,7 @@ MAGIC = b"SMTI"
 VERSION = 1
 BLOCK_IDS = 4 << 20  # ids after which a block is closed
 SAMPLES = 256  # one select sample per so many documents
-CACHED_PARTS = 600_000  # distinct parts remembered by a worker
+CACHED_PARTS = 500_000  # distinct parts remembered by a worker
 
 
 # Elias-Fano ------------------------------------------------------------------------------
@@ -247,7 +247,7 @@ def _blocks(path: str, end_id: int, width: int):
             data = to_file(doc_ids, np.concatenate(lengths), ids, width)
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
 
-        for part in chunks(batches, limit=8 << 20):
+        for part in chunks(batches, limit=6 << 20):
             ids, counts = encode(part.column("text"))
             ends = np.cumsum(counts)
             with_end = np.insert(ids, ends, end_id)
