@@ -166,11 +166,13 @@ _AT_WORDS = ("at", "arroba", "klammeraffe", "arobase")
 _NO_LABELS = frozenset(("a", "an", "the", "this", "that", "our", "your", "my", "its", "each", "every"))
 _words = lambda words: "|".join(sorted(words, key=len, reverse=True))
 
-_OPEN, _CLOSE = r"[ \t]{0,2}[\[({<][ \t]?", r"[ \t]?[\])}>][ \t]{0,2}"
-_HIDDEN_DOT = rf"(?:{_OPEN}(?:{_words(_DOT_WORDS)}|\.){_CLOSE}|[ \t]{{1,2}}(?:{_words(_DOT_WORDS)})[ \t]{{1,2}})"
+_OPEN, _CLOSE = r"[ \t]{0,2}[\[({<_*][ \t]?", r"[ \t]?[\])}>_*][ \t]{0,2}"
+# The signs as character references.
+_AT_CODE, _DOT_CODE = r"&#(?:64|x40);|&commat;|%40", r"&#(?:46|x2e);|&period;"
+_HIDDEN_DOT = rf"(?:{_OPEN}(?:{_words(_DOT_WORDS)}|\.){_CLOSE}|{_DOT_CODE}|[ \t]{{1,2}}(?:{_words(_DOT_WORDS)})[ \t]{{1,2}})"
 _ANY_DOT = rf"(?:{_HIDDEN_DOT}|[ \t]\.[ \t]|\.)"
 _FLAGS = re.IGNORECASE
-_BOX_AT = re.compile(rf"{_OPEN}(?:{_words(_AT_WORDS)}|@){_CLOSE}", _FLAGS)
+_BOX_AT = re.compile(rf"{_OPEN}(?:{_words(_AT_WORDS)}|@){_CLOSE}|{_AT_CODE}", _FLAGS)
 _WORD_AT = re.compile(rf"[ \t]{{1,2}}(?:{_words(_AT_WORDS)})[ \t]{{1,2}}", _FLAGS)
 _SIGN_AT = re.compile(r"[ \t]{0,2}@[ \t]{0,2}")
 _AFTER_AT = re.compile(rf"[A-Za-z0-9-]+(?:{_ANY_DOT}[A-Za-z0-9-]+)+", _FLAGS)
@@ -178,7 +180,7 @@ _DOTS = re.compile(_ANY_DOT, _FLAGS)
 _BEFORE_AT = re.compile(rf"[A-Za-z0-9._%+-]+(?:{_HIDDEN_DOT}[A-Za-z0-9._%+-]+){{0,3}}\Z", _FLAGS)
 _REACH = 120  # characters looked back for the words of a local part; the run before the sign itself is whole
 _HAS_DOT = re.compile(_HIDDEN_DOT, _FLAGS)
-_AT_HINT = re.compile(rf"@|[\[({{<][ \t]?(?:{_words(_AT_WORDS)})|[ \t](?:{_words(_AT_WORDS)})[ \t]", _FLAGS)
+_AT_HINT = re.compile(rf"@|{_AT_CODE}|[\[({{<_*][ \t]?(?:{_words(_AT_WORDS)})|[ \t](?:{_words(_AT_WORDS)})[ \t]", _FLAGS)
 
 _DIGIT_WORD = rf"(?:{_words(_DIGIT_WORDS)})"
 _ITEM = rf"(?:{_DIGIT_WORD}\b|[0-9]+)"
