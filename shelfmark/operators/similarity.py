@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.text import jaccard, let, trigrams
+from shelfmark.operators.components import connected_components
 from shelfmark.sources.tables import materialize
 
 BUCKET_BASE = 1.3
@@ -338,6 +339,16 @@ def _matches(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
     return own.union(by_leader).union(by_follower)
 
 
+def similarity_groups(pairs: DataFrame) -> DataFrame:
+    """review_id and group_id of every review in a similar pair.
+
+    A group is what pairs (review_id, other_review_id) connect, named by its lowest id.
+    """
+    edges = pairs.select(F.col("review_id").alias("a"), F.col("other_review_id").alias("b"))
+    return connected_components(edges, "similarity-groups").select(
+        F.col("node").alias("review_id"), F.col("root").alias("group_id"))
+
+
 def pick_similar(
     queue: DataFrame, reviews: DataFrame, rules: SimilarityRules = SimilarityRules()
 ) -> DataFrame:

@@ -248,17 +248,19 @@ def fact_review(reviews: DataFrame, dim_book: DataFrame, dim_reviewer: DataFrame
     """Reviews of loaded books by loaded reviewers, with the review they resemble.
 
     Every lookup table is unique on its key; a book with very many reviews is skewed on
-    the fact side only, which the adaptive join splits.
+    the fact side only, which the adaptive join splits. Keys are resolved without the text,
+    which is joined once, by review id.
     """
     books = dim_book.select("book_id")
     people = dim_reviewer.select(F.col("reviewer_uuid").alias("user_uuid"), "reviewer_id")
     like = similar.select(F.col("review_id").alias("id"), F.col("other_review_id").alias("similarto_id"))
     return (
-        reviews.withColumnRenamed("work_refid", "book_id")
+        reviews.drop("review").withColumnRenamed("work_refid", "book_id")
         .join(books, "book_id", "left_semi")
         .withColumn("user_uuid", F.col("user_id").cast("string"))
         .join(people, "user_uuid")
         .join(like, "id", "left")
+        .join(reviews.select("id", "review"), "id")
         .select(
             "id", "similarto_id", "book_id", "reviewer_id", "site_id",
             F.col("review_date").alias("date_id"),

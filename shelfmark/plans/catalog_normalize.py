@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.functions import fields, text
+from shelfmark.functions import fields, ids, text
 from shelfmark.functions.isbn import isbn10_to_13 as to_13
 from shelfmark.operators import languages, normalize, repair
 from shelfmark.plans.grams import GRAMS_SQL
@@ -256,6 +256,21 @@ def marc_lookup(s: Standins):
     return normalize.marc_lookup(asked, "name", s.language(), capital=False).drop("name")
 
 
+@query("derived_names", r"""
+    select p_partkey, cast(md5('w' || p_partkey || p_brand)::uuid as varchar) as other_work_id,
+           upper(regexp_replace(trim(p_name), '\s+', ' ', 'g')) as short_form,
+           regexp_replace(upper(trim(p_name)), '\s+', '-', 'g') as dashed_title,
+           upper(p_brand) || ', ' || upper(p_type) as author_label from part""")
+def derived_names(s: Standins):
+    uid = F.concat(F.lit("w"), F.col("p_partkey").cast("string"))
+    return s.raw("part").select(
+        "p_partkey", ids.derive_other_work_id(uid, "p_brand").alias("other_work_id"),
+        ids.short_form(F.concat(F.lit("  "), F.replace("p_name", F.lit(" "), F.lit("  ")))).alias("short_form"),
+        ids.dashed_title(F.concat(F.col("p_name"), F.lit(" "))).alias("dashed_title"),
+        ids.author_label("p_type", "p_brand").alias("author_label"),
+    )
+
+
 @query("clean_text", """
     select id, replace(replace(review, chr(13) || chr(10), chr(10)), ' (   )', '') as review,
            replace(review, chr(9), '') as flat from review_t""")

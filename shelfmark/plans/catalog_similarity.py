@@ -102,6 +102,16 @@ def pick_similar_pending(s: Standins):
     return sim.pick_similar(queue, s.review_t()).withColumn("similarity", F.round("similarity", 6))
 
 
+@query("similarity_groups", f"""
+    with recursive {_PAIRS},
+    edges as (select review_id as a, other_review_id as b from similarto
+              union select other_review_id, review_id from similarto),
+    reach(node, root) as (select a, a from edges union select edges.b, reach.root from reach join edges on edges.a = reach.node)
+    select node as review_id, min(root) as group_id from reach group by node""")
+def similarity_groups(s: Standins):
+    return sim.similarity_groups(_similar(s))
+
+
 @query("mark_processed", f"""
     select work_refid, id as review_id, case when review_date < date '2020-01-04'
            then timestamp '2015-01-01' else timestamp '{NOW}' end as date_processed from review_t""")

@@ -165,7 +165,7 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
         f"goodreads|n{i}|u{i}|{i}|g{i}|good|eng|8|2015-01-01" for i in range(40)]), "goodreads", "one", NOW)
 
     def files(name):
-        return {p.name for p in (tmp_path / "wh" / name).rglob("*.parquet")}
+        return {str(p) for p in (tmp_path / "wh" / name).rglob("*.parquet")}
 
     before = {name: files(name) for name in ("user", "work_site_mapping")}
     wh.load_reviews(write(tmp_path / "r2.dat", REVIEWS, [
