@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.common import SPACES, Words, chunks, prepared, saved, signed, split_words
+from shelfmark.llm.common import SPACES, Words, chunks, prepared, saved, signed, split_words, text_key
 from shelfmark.operators.components import connected_components
 
 SHINGLE = 3
@@ -221,23 +221,43 @@ def near_duplicates(
     """
     prints = saved(fingerprints(docs, shingle), "prints")
     distinct = saved(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct-prints")
-    roots = connected_components(links(distinct, distance, bucket), "near-duplicates")
-    rooted = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
-        "print", "least", F.coalesce("root", "print").alias("root"))
+    rooted = _rooted(distinct, distance, bucket)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = saved(rooted.join(least, "root").select("print", "component_id"), "print-components")
     return prints.join(named, "print").select("doc_id", "print", "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+def _rooted(distinct: DataFrame, distance: int, bucket: int) -> DataFrame:
+    """``distinct`` (one row per print) with the root of each print's component."""
+    roots = connected_components(links(distinct, distance, bucket), "near-duplicates")
+    return distinct.join(roots, distinct["print"] == roots["node"], "left").select(
+        *(distinct[c] for c in distinct.columns), F.coalesce("root", "print").alias("root"))
+
+
+def without_near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, bucket: int = BUCKET
+) -> DataFrame:
     """``docs`` with one row of each component: the row of the smallest doc_id.
 
-    Of several rows with that id the one with the smallest text hash stays, and one of
-    rows equal in both. Rows with a null id stay, since no component is named by them.
+    Rows are told apart by id and text, so an id that is repeated with texts of several
+    components counts in each of them. Of several rows of a component with its smallest id
+    the one with the smallest text hash stays, and one of rows equal in both. No component
+    is named by a null id: of a component's rows without an id one stays as well.
     """
-    kept = near_duplicates(docs, shingle, distance).filter("doc_id = component_id").select("doc_id").distinct()
-    row, id_name = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id"
-    matched = docs.select(id_name, row).join(kept, id_name, "left_semi")
-    one = matched.groupBy(id_name).agg(F.min_by("row", F.xxhash64(F.coalesce("row.text", F.lit("")))).alias("row"))
-    nameless = docs.filter(F.col("doc_id").isNull()).select(row)
-    return one.select("row").union(nameless).select("row.*")
+    prepared(docs.sparkSession)
+    id_type, text = docs.schema["doc_id"].dataType.simpleString(), F.coalesce("text", F.lit(""))
+    # Together 128 bits of the text; the second one tells ids of one text apart.
+    key = [text_key().alias("text_hash"), F.xxhash64(F.lit(1), F.col("doc_id").isNull(), "doc_id", text).alias("row_hash")]
+    names = ["doc_id", "text_hash", "row_hash"]
+    prints = docs.select("doc_id", *key, "text").mapInArrow(
+        _fingerprint(names, shingle), f"doc_id {id_type}, text_hash long, row_hash long, print long")
+    first, nameless = F.struct(*names), F.col("doc_id").isNull()
+    distinct = saved(prints.groupBy("print").agg(
+        F.min(F.when(~nameless, first)).alias("named"), F.min(F.when(nameless, first)).alias("nameless")), "distinct-prints")
+    firsts = _rooted(distinct, distance, bucket).groupBy("root").agg(
+        F.min("named").alias("named"), F.min("nameless").alias("nameless"))
+    kept = firsts.select(F.explode(F.array("named", "nameless")).alias("first")).filter("first is not null").select(
+        "first.text_hash", "first.row_hash")
+    matched = docs.select(*key, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).join(
+        kept, ["text_hash", "row_hash"], "left_semi")
+    return matched.groupBy("text_hash", "row_hash").agg(F.first("row").alias("row")).select("row.*")

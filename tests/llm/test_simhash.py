@@ -91,6 +91,29 @@ def test_one_row_of_each_group_stays(docs, clashing):
         simhash.without_near_duplicates(repeated).count() == 1
 
 
+def test_each_component_keeps_one_row_whatever_ids_repeat(docs, clashing):
+    """Ids that name one component and occur in another; copies among rows without an id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    pairs = [(5, a), (9, a), (3, b), (5, b), (1, "b b"), (1, "a a"), (1, "a a"), (None, c), (None, c), (None, c.upper()), (None, c + " ")]
+    assert len({fingerprint(t) for t in (a, b, c, "a a", "b b")}) == len(set(groups([fingerprint(t) for t in (a, b, c, "a a", "b b")], 3))) == 5
+    frame = docs(pairs, **clashing)
+    kept = simhash.without_near_duplicates(frame)
+    assert kept.columns == frame.columns
+    assert sorted((str(r.doc_id), r.text.lower().strip()) for r in kept.collect()) == sorted(
+        [("5", a), ("3", b), ("1", "a a"), ("1", "b b"), ("None", c)])
+
+
+def test_rows_kept_equal_brute_force(docs):
+    rnd = random.Random(5)
+    texts = ["", None, *(f"{x} {x}" for x in "abcdefgh"), *("  ".join(f"{x}{i}" for i in range(60)) for x in "pqrs")]
+    pairs = [(rnd.randrange(6), t if t is None or rnd.random() < 0.5 else t.upper()) for t in texts for _ in range(4)]
+    label = groups([fingerprint(t) for _, t in pairs], 3)
+    want = {r: min(i for (i, _), x in zip(pairs, label, strict=True) if x == r) for r in set(label)}
+    kept = simhash.without_near_duplicates(docs(pairs)).collect()
+    found = {label[pairs.index((k.doc_id, k.text))]: k.doc_id for k in kept}
+    assert found == want and len(kept) == len(want)
+
+
 def test_empty_table(docs):
     assert simhash.near_duplicates(docs([])).count() == 0
     assert simhash.without_near_duplicates(docs([])).count() == 0
