@@ -188,6 +188,10 @@ _GAP = rf"(?:[ \t]{{1,2}}|,[ \t]?|[ \t]?-[ \t]?|{_ANY_DOT}|[ \t]?[()][ \t]?)"
 _SPELLED = re.compile(
     rf"(?<![^\W_])(?:(?:\+|plus\b)[ \t]{{0,2}}(?=.))?(?:[0-9]+{_GAP})*\b{_DIGIT_WORD}\b(?:{_GAP}{_ITEM}){{3,}}(?![^\W_])", _FLAGS)
 _SPELLED_HINT = re.compile(rf"\b{_DIGIT_WORD}\b{_GAP}{_ITEM}{_GAP}{_ITEM}", _FLAGS)
+# Runs that hold a spelled digit anywhere, after or before any number of digits.
+_RUN = re.compile(rf"(?<![^\W_])(?:(?:\+|plus\b)[ \t]{{0,2}}(?=.))?(?:\b{_DIGIT_WORD}\b|[0-9]++)(?:{_GAP}(?:\b{_DIGIT_WORD}\b|[0-9]++))+(?![^\W_])", _FLAGS)
+_RUN_HINT = re.compile(rf"[0-9]{_GAP}{_DIGIT_WORD}\b|\b{_DIGIT_WORD}\b{_GAP}[0-9]", _FLAGS)
+_RUN_DIGIT = re.compile(rf"[0-9]|\b{_DIGIT_WORD}\b", _FLAGS)
 _BOX_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{_HIDDEN_DOT}|\.)[0-9]{{1,3}}){{3}}(?![0-9])", _FLAGS)
 _PLUS_WORD = re.compile(r"\bplus[ \t]{1,2}(?=[0-9])", _FLAGS)
 _MIXED = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl]){8,}(?![A-Za-z0-9])")
@@ -224,21 +228,31 @@ def _email_edits(text: str) -> Iterator[Edit]:
                     yield dot.start(), dot.end(), "."
 
 
-def _number_edits(text: str) -> Iterator[Edit]:
-    """Spelled digits and signs in runs of at least four digits; letters put for digits."""
-    if _SPELLED_HINT.search(text):
-        for m in _SPELLED.finditer(text):
-            for t in _TOKEN.finditer(text, m.start(), m.end()):
-                if t["plus"]:
-                    if t[0] != "+":
-                        yield t.start(), t.end(), "+"
-                elif t["word"]:
-                    yield t.start(), t.end(), _DIGIT_WORDS[t[0].lower()]
-                elif t["dot"]:
-                    if t[0] != ".":
-                        yield t.start(), t.end(), "."
-                elif t["gap"]:
-                    yield t.start(), t.end(), ""
+def _mixed_runs(text: str) -> list[Span]:
+    """Runs of at least four digits, at least one of them spelled, that are not spelled throughout."""
+    if not _RUN_HINT.search(text):
+        return []
+    return [
+        m.span() for m in _RUN.finditer(text)
+        if _RUN_HINT.search(m[0]) and sum(1 for _ in _RUN_DIGIT.finditer(m[0])) >= 4
+    ]
+
+
+def _number_edits(text: str, runs: list[Span]) -> Iterator[Edit]:
+    """Spelled digits and signs in ``runs`` and in runs of four items from a spelled digit on; letters put for digits."""
+    spelled = [m.span() for m in _SPELLED.finditer(text)] if _SPELLED_HINT.search(text) else []
+    for begin, end in {*spelled, *runs}:
+        for t in _TOKEN.finditer(text, begin, end):
+            if t["plus"]:
+                if t[0] != "+":
+                    yield t.start(), t.end(), "+"
+            elif t["word"]:
+                yield t.start(), t.end(), _DIGIT_WORDS[t[0].lower()]
+            elif t["dot"]:
+                if t[0] != ".":
+                    yield t.start(), t.end(), "."
+            elif t["gap"]:
+                yield t.start(), t.end(), ""
     for m in _BOX_IP.finditer(text):
         for dot in _HAS_DOT.finditer(text, m.start(), m.end()):
             yield dot.start(), dot.end(), "."
@@ -253,10 +267,10 @@ def _number_edits(text: str) -> Iterator[Edit]:
                     yield i, i + 1, text[i].translate(_LETTER_DIGITS)
 
 
-def rewritten(text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
-    """The text with expressions rewritten; per character its source start, end and whether it is new."""
+def rewritten(text: str, runs: list[Span]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
+    """The text with expressions, ``runs`` among them, rewritten; per character its source start, end and whether it is new."""
     edits: list[Edit] = []
-    for edit in sorted({*_email_edits(text), *_number_edits(text)}, key=lambda e: (e[0], -e[1])):
+    for edit in sorted({*_email_edits(text), *_number_edits(text, runs)}, key=lambda e: (e[0], -e[1])):
         if not edits or edit[0] >= edits[-1][1]:
             edits.append(edit)
     if not edits:
@@ -276,9 +290,24 @@ def rewritten(text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | Non
 
 
 def disguised(text: str, known: dict[str, list[Span]]) -> dict[str, list[Span]]:
-    """Spans by kind that show only in the normalised text; none lies inside a known one."""
+    """Spans by kind that show only in the normalised text; none lies inside a known one.
+
+    Digits beside a spelled one may be an identifier without it ("192[.]168[.]1[.]25 six
+    times"), so a text with such runs is looked at twice, without and with them joined.
+    """
     first, places = folded(text)
-    second = rewritten(first)
+    out = _disguised(text, first, places, [], known)
+    runs = _mixed_runs(first)
+    if runs:
+        for kind, spans in _disguised(text, first, places, runs, known).items():
+            out[kind] = sorted({*out[kind], *spans})
+    return out
+
+
+def _disguised(
+    text: str, first: str, places: np.ndarray | None, runs: list[Span], known: dict[str, list[Span]]
+) -> dict[str, list[Span]]:
+    second = rewritten(first, runs)
     if places is None and second is None:
         return {k: [] for k in KINDS}
     if second is None:

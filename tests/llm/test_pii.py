@@ -72,6 +72,32 @@ def test_clean_texts_stay(text):
     assert pii.spans_of(text) == [] and pii.redacted(text) == text
 
 
+@pytest.mark.parametrize("text, kind, part", [
+    ("card 4111 1111 1111 111 one, thanks", "card", "4111 1111 1111 111 one"),
+    ("four 111111111111111 is it", "card", "four 111111111111111"),
+    ("host 192.168.0.one is up", "ip", "192.168.0.one"),
+    ("host 10.zero.12.254 is up", "ip", "10.zero.12.254"),
+    ("ring +49 170 1234 five six seven now", "phone", "+49 170 1234 five six seven"),
+    ("ring plus 49170123456 seven now", "phone", "plus 49170123456 seven"),
+])
+def test_digits_before_and_after_a_spelled_one_count(text, kind, part):
+    assert (kind, part) in [(s["kind"], text[s["first"]:s["stop"]]) for s in pii.spans_of(text)]
+    assert pii.redacted(text) == text.replace(part, f"[{kind.upper()}]")
+
+
+@pytest.mark.parametrize("text, kind, part", [
+    ("host 192[.]168[.]1[.]25 six times", "ip", "192[.]168[.]1[.]25"),
+    ("card \uff14111 1111 1111 1111 one of two", "card", "\uff14111 1111 1111 1111"),
+])
+def test_a_word_after_a_whole_identifier_does_not_hide_it(text, kind, part):
+    assert (kind, part) in [(s["kind"], text[s["first"]:s["stop"]]) for s in pii.spans_of(text)]
+
+
+def test_mixed_runs_take_linear_time():
+    for text in ("1 one " * 40_000, "1 " * 150_000 + "one", "one 1" * 60_000, "1.one." * 40_000, "+1 one" * 40_000):
+        pii.redacted(text)
+
+
 def test_plain_spans_stay_beside_added_ones():
     text = "a@b.com and c at d dot org and +1 555 123 4567 and e\u0430@b.com"
     spans = pii.spans_of(text)
