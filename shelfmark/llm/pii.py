@@ -177,9 +177,8 @@ _WORD_AT = re.compile(rf"[ \t]{{1,2}}(?:{_words(_AT_WORDS)})[ \t]{{1,2}}", _FLAG
 _SIGN_AT = re.compile(r"[ \t]{0,2}@[ \t]{0,2}")
 _AFTER_AT = re.compile(rf"[A-Za-z0-9-]+(?:{_ANY_DOT}[A-Za-z0-9-]+)+", _FLAGS)
 _DOTS = re.compile(_ANY_DOT, _FLAGS)
-_BEFORE_AT = re.compile(rf"[A-Za-z0-9._%+-]+(?:{_HIDDEN_DOT}[A-Za-z0-9._%+-]+){{0,3}}\Z", _FLAGS)
-_REACH = 120  # characters looked back for the words of a local part; the run before the sign itself is whole
 _HAS_DOT = re.compile(_HIDDEN_DOT, _FLAGS)
+_DOT_LENGTH = 14  # characters of the longest hidden dot
 _AT_HINT = re.compile(rf"@|{_AT_CODE}|[\[({{<_*][ \t]?(?:{_words(_AT_WORDS)})|[ \t](?:{_words(_AT_WORDS)})[ \t]", _FLAGS)
 
 _DIGIT_WORD = rf"(?:{_words(_DIGIT_WORDS)})"
@@ -201,26 +200,43 @@ _TOKEN = re.compile(rf"(?P<plus>\+|plus\b[ \t]{{0,2}})|(?P<word>\b{_DIGIT_WORD}\
 Edit = tuple[int, int, str]
 
 
+def _local_part(text: str, least: int, stop: int) -> int:
+    """Where the runs of local characters, joined by hidden dots, begin that end at ``stop``; not before ``least``."""
+    first, ends, seen = stop, [stop], set()
+    while ends:
+        begin = stop = ends.pop()
+        while begin > least and text[begin - 1] in _LOCAL_CHARS:
+            begin -= 1
+        first = min(first, begin)
+        # Hidden dots over the place before, with a run on both sides.
+        for at in range(max(least + 1, begin - _DOT_LENGTH), begin):
+            if at not in seen and text[at - 1] in _LOCAL_CHARS:
+                dot = _HAS_DOT.match(text, at, stop - 1)
+                if dot and dot.end() >= begin:
+                    seen.add(at)
+                    ends.append(at)
+    return first
+
+
 def _email_edits(text: str) -> Iterator[Edit]:
     """Signs inside an address: a boxed at, or a spelled at whose domain has a hidden dot."""
     if not _AT_HINT.search(text):
         return
     for pattern, needs_dot in ((_BOX_AT, False), (_SIGN_AT, False), (_WORD_AT, True)):
+        last = 0
         for m in pattern.finditer(text):
             after = _AFTER_AT.match(text, m.end())
             if not after or (needs_dot and not _HAS_DOT.search(after[0])):
                 continue
             if needs_dot and after[0].split(None, 1)[0].lower() in _NO_LABELS:
                 continue
-            begin = m.start()
-            while begin > 0 and text[begin - 1] in _LOCAL_CHARS:
-                begin -= 1
-            if begin == m.start():
+            if not m.start() or text[m.start() - 1] not in _LOCAL_CHARS:
                 continue
-            before = _BEFORE_AT.search(text, max(0, begin - _REACH), m.start())
-            if before:
-                for dot in _HAS_DOT.finditer(text, before.start(), m.start()):
-                    yield dot.start(), dot.end(), "."
+            # What stands before the last sign was that sign's local part.
+            begin = _local_part(text, last, m.start())
+            last = m.end()
+            for dot in _HAS_DOT.finditer(text, begin, m.start()):
+                yield dot.start(), dot.end(), "."
             if m[0] != "@":
                 yield m.start(), m.end(), "@"
             for dot in _DOTS.finditer(text, m.end(), after.end()):

@@ -93,6 +93,20 @@ def test_a_word_after_a_whole_identifier_does_not_hide_it(text, kind, part):
     assert (kind, part) in [(s["kind"], text[s["first"]:s["stop"]]) for s in pii.spans_of(text)]
 
 
+@pytest.mark.parametrize("local", [
+    "anna dot maria dot luisa dot von dot der dot heide", "a [dot] b(dot)c&#46;d _dot_e dot f_dot_g",
+    " dot ".join(f"word{i}" for i in range(300)), "x" * 150 + " dot " + "y" * 150,
+])
+def test_local_parts_of_any_length(local):
+    for rest in (" at example dot com", "@example.com", "(at)example.com"):
+        assert pii.redacted(f"to: {local}{rest}, please") == "to: [EMAIL], please"
+
+
+def test_long_local_parts_take_linear_time():
+    for text in ("x dot " * 40_000 + "y@z.com", "x_at_y.z dot " * 20_000, "x_at_y.z_dot_" * 20_000, "a dot b(at)c.d " * 15_000):
+        pii.redacted(text)
+
+
 def test_mixed_runs_take_linear_time():
     for text in ("1 one " * 40_000, "1 " * 150_000 + "one", "one 1" * 60_000, "1.one." * 40_000, "+1 one" * 40_000):
         pii.redacted(text)
