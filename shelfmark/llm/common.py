@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from shelfmark.session import ship_package
 from shelfmark.sources.tables import materialize
@@ -71,6 +72,26 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def quoted(name: str) -> str:
+    """A column name as it is written in an expression, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(df: DataFrame, *beside: str | Column, without: tuple[str, ...] = ()) -> DataFrame:
+    """All columns of ``df`` but those of ``without`` as one struct column row, and the columns ``beside`` it.
+
+    Steps carry a row whole and untouched through a worker this way: none of its names can
+    clash with those of a step.
+    """
+    kept = [c for c in df.columns if c not in without]
+    return df.select(F.struct(*(F.col(quoted(c)) for c in kept)).alias("row"), *beside)
+
+
+def with_fields(df: DataFrame, columns: list[str], *more: tuple[str, DataType]) -> StructType:
+    """The layout of some columns of ``df`` with further fields after them."""
+    return StructType([StructField(c, df.schema[c].dataType) for c in columns] + [StructField(*m) for m in more])
+
+
 def text_key(column: str = "text") -> Column:
     """64-bit hash of a text; beside doc_id it tells rows of one id apart."""
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))

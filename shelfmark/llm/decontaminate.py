@@ -24,8 +24,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from shelfmark.llm.common import NON_ALNUM, Words, chunks, prepared, ranges, saved, split_words
+from shelfmark.llm.common import (
+    NON_ALNUM, Words, chunks, packed, prepared, quoted, ranges, saved, split_words, with_fields,
+)
 
 LENGTH = 10
 BLOCK = 200_000
@@ -231,6 +234,8 @@ def _occurrences(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray
     return places[index.locate(ranges(low, high - low))], found
 
 
+_SPAN = StructType([StructField("first", IntegerType()), StructField("stop", IntegerType())])
+_FOUND = (("n_words", LongType()), ("spans", ArrayType(_SPAN)), ("items", ArrayType(StringType())))
 _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))
 
 
@@ -308,10 +313,7 @@ def contamination(
     for i, phrases in enumerate(blocks):
         if i == len(blocks) - 1 and not with_text:
             columns = [c for c in columns if c != "text"]
-        layout = ", ".join(f"`{c}` {out.schema[c].dataType.simpleString()}" for c in columns)
-        out = out.mapInArrow(
-            _search(phrases, columns, i > 0),
-            f"{layout}, n_words long, spans array<struct<first:int,stop:int>>, items array<string>")
+        out = out.mapInArrow(_search(phrases, columns, i > 0), with_fields(out, columns, *_FOUND))
     return out
 
 
@@ -345,11 +347,10 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, length: int = LENGT
 
     Each span gives way to a line break. Untouched texts come back as they are.
     """
-    marked = contamination(docs.select(F.struct(*docs.columns).alias("row"), "text"), benchmark, length, block)
-    layout = f"row {marked.schema['row'].dataType.simpleString()}, text string"
-    return marked.select("row", "text", "spans").mapInArrow(_cut(["row", "text"]), layout).select(
-        *(F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
-
+    marked = contamination(packed(docs, "text"), benchmark, length, block)
+    return marked.select("row", "text", "spans").mapInArrow(
+        _cut(["row", "text"]), with_fields(marked, ["row", "text"])).select(
+        *(F.col("text") if c == "text" else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -160,3 +160,77 @@ select doc_id, size, text_crc32::bigint as text_crc32, 'bytes' as law, shard,
        (row_number() over (partition by shard order by doc_id) - 1)::bigint as slot, null::integer as grown_shard
 from cut join checked using (doc_id)
 """
+
+# Cuts at two drawn ranks; the parts are put together again from the output alone.
+ORACLES["op12_infilling"] = r"""
+with drawn as (
+    select doc_id, coalesce(text, '') as t, length(coalesce(text, ''))::bigint as n,
+           sha256('1:' || coalesce(doc_id::varchar, '')) as d
+    from documents
+), numbers as (
+    select doc_id, t, n, ('0x' || d[1:8])::bigint as h1, ('0x' || d[9:16])::bigint as h2,
+           ('0x' || d[17:24])::bigint as h3, ('0x' || d[25:32])::bigint as h4 from drawn
+), cut as (
+    select doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+           case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                when h4 % 100 < 20 then 'spm' else 'psm' end as form
+    from numbers
+), parts as (
+    select *, substring(t, 1, a) as p, substring(t, a + 1, b - a) as m, substring(t, b + 1) as s from cut
+), made as (
+    select *, case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                        else '<S>' || s || '<P>' || p || '<M>' || m end as output from parts
+), found as (
+    select *, strpos(output, '<P>') as ip, strpos(output, '<S>') as ins, strpos(output, '<M>') as im from made
+)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+       case when form <> 'plain' then b - a end as middle_chars, sha256(output) as output_sha256,
+       sha256(case form when 'plain' then output
+              when 'psm' then substring(output, ip + 3, ins - ip - 3) || substring(output, im + 3)
+                              || substring(output, ins + 3, im - ins - 3)
+              else substring(output, ip + 3, im - ip - 3) || substring(output, im + 3)
+                   || substring(output, ins + 3, ip - ins - 3) end) as restored_sha256
+from found
+"""
+
+_OP13_FEATURES = f"""
+    select r, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) as f
+"""
+
+# Checksums are taken byte by byte over the table of their polynomial, once per distinct feature.
+ORACLES["op13_importance_resampling"] = f"""
+with d as (select row_number() over () as r, doc_id, {_OP4_WORDS} as words from documents),
+b as (select row_number() over () as r, {_OP4_WORDS} as words from benchmark),
+fd as ({_OP13_FEATURES} from d where len(words) > 0),
+fb as ({_OP13_FEATURES} from b where len(words) > 0),
+crc as (
+    select list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+                            lambda c, x: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) order by n) as steps
+    from (select unnest(range(0, 256)) as n)
+), named as (
+    select f, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(0, length(digits) // 2),
+            lambda i: (strpos('0123456789ABCDEF', digits[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', digits[2 * i + 2]) - 1)),
+        lambda c, x: xor(steps[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 10000 as bucket
+    from (select f, hex(encode(f)) as digits from (select f from fd union select f from fb)), crc
+), s as (select bucket, count(*) as n from fd join named using (f) group by bucket),
+t as (select bucket, count(*) as n from fb join named using (f) group by bucket),
+sums as (select (select count(*) from fd) as s_all, (select count(*) from fb) as t_all),
+gains as (
+    select k.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1) * (s_all + 10000) / ((coalesce(s.n, 0) + 1) * (t_all + 10000))))::bigint as gain
+    from (select distinct bucket from named) k left join s using (bucket) left join t using (bucket), sums
+), weights as (
+    select r, count(*) as n_features, floor(sum(gain) / count(*))::bigint as weight
+    from fd join named using (f) join gains using (bucket) group by r
+), scored as (
+    select r, doc_id, len(words) as n_words, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(doc_id::varchar, ''))[1:8])::bigint + 0.5::double)
+                                                      / 4294967296))))::bigint as score
+    from d left join weights using (r)
+), drawn as (
+    select r, row_number() over (order by score desc, doc_id) as rank, floor(25 * count(*) over () / 100) as k
+    from scored where n_words >= 20
+)
+select doc_id, n_features, weight, score, case when rank <= k then rank end::bigint as rank
+from scored left join drawn using (r)
+"""

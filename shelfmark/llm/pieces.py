@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from shelfmark.llm.common import chunks, prepared, ranges, text_bytes
+from shelfmark.llm.common import chunks, packed, prepared, ranges, text_bytes, with_fields
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -304,10 +305,10 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """
     prepared(docs.sparkSession)
     kept = docs.drop("piece_ids")
-    packed = kept.select(F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("row"), "text")
-    kind = packed.schema["row"].dataType.simpleString()
+    rows = packed(kept, "text")
+    layout = with_fields(rows, ["row"], ("piece_ids", ArrayType(IntegerType())))
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    return packed.mapInArrow(_encode(shared, ["row"]), f"row {kind}, piece_ids array<int>").select("row.*", "piece_ids")
+    return rows.mapInArrow(_encode(shared, ["row"]), layout).select("row.*", "piece_ids")
 
 
 def _decode(vocabulary, columns: list[str]):
@@ -324,10 +325,10 @@ def decoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``docs`` (with piece_ids) with decoded, the text of the ids; null ids give null."""
     prepared(docs.sparkSession)
     kept = docs.drop("decoded")
-    packed = kept.select(F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("row"), "piece_ids")
-    kind = packed.schema["row"].dataType.simpleString()
+    rows = packed(kept, "piece_ids")
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    return packed.mapInArrow(_decode(shared, ["row"]), f"row {kind}, decoded string").select("row.*", "decoded")
+    return rows.mapInArrow(
+        _decode(shared, ["row"]), with_fields(rows, ["row"], ("decoded", StringType()))).select("row.*", "decoded")
 
 
 def _report(vocabulary):

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.common import chunks, prepared
+from shelfmark.llm.common import chunks, packed, prepared, quoted, with_fields
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -413,9 +413,9 @@ def _redact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_personal_data(docs: DataFrame) -> DataFrame:
     """``docs`` (same columns) with identifiers in ``text`` replaced by their kind."""
     prepared(docs.sparkSession)
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"), "text")
-    out = packed.mapInArrow(_redact, f"row {packed.schema['row'].dataType.simpleString()}, text string")
-    return out.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    rows = packed(docs, "text", without=("text",))
+    out = rows.mapInArrow(_redact, with_fields(rows, ["row", "text"]))
+    return out.select(*(F.col("text") if c == "text" else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns))
 
 
 def personal_data_report(docs: DataFrame) -> DataFrame:

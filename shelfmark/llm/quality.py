@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType
 
-from shelfmark.llm.common import SPACES, chunks, mixed, prepared, split_words
+from shelfmark.llm.common import SPACES, chunks, mixed, packed, prepared, split_words, with_fields
 
 BUCKETS = 1 << 18
 SAMPLE = 6000  # training texts the linear model is fitted on, at most
@@ -247,10 +248,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def of_quality(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (same columns) whose text scores at least ``least``."""
     prepared(docs.sparkSession)
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
-    kind = packed.schema["row"].dataType.simpleString()
-    out = packed.mapInArrow(
-        _score(docs.sparkSession.sparkContext.broadcast(model), ["row"]), f"row {kind}, score double")
+    rows = packed(docs, "text")
+    out = rows.mapInArrow(
+        _score(docs.sparkSession.sparkContext.broadcast(model), ["row"]), with_fields(rows, ["row"], ("score", DoubleType())))
     return out.filter(F.col("score") >= least).select("row.*")
 
 

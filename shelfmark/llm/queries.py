@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import decontaminate, pieces, pii, quality, sharding, simhash, substring, tokenids, topk, urls
+from shelfmark.llm import (
+    counts, decontaminate, infilling, pieces, pii, quality, resample, sharding, simhash, substring, tokenids, topk, urls,
+)
 from shelfmark.llm.common import table
 from shelfmark.llm.oracles import ORACLES
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORD_VOCABULARY = 49_408
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 
@@ -75,11 +78,24 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_report(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, counts.own_cache(spark, "token-counts"))
+
+
+def op12_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infilling.infilling_report(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_quality_nbsvm, op3_topk_nra, op4_decontaminate_fm_index, op5_simhash_near_dedup,
         op6_token_files, op7_url_reputation, op8_personal_data, op9_sentencepiece, op10_byte_shards,
+        op11_token_counts, op12_infilling, op13_importance_resampling,
     )
 }
 

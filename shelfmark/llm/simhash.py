@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.common import SPACES, Words, chunks, prepared, saved, signed, split_words, text_key
+from shelfmark.llm.common import SPACES, Words, chunks, prepared, quoted, saved, signed, split_words, text_key
 from shelfmark.operators.components import connected_components
 
 SHINGLE = 3
@@ -258,6 +258,6 @@ def without_near_duplicates(
         F.min("named").alias("named"), F.min("nameless").alias("nameless"))
     kept = firsts.select(F.explode(F.array("named", "nameless")).alias("first")).filter("first is not null").select(
         "first.text_hash", "first.row_hash")
-    matched = docs.select(*key, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).join(
+    matched = docs.select(*key, F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row")).join(
         kept, ["text_hash", "row_hash"], "left_semi")
     return matched.groupBy("text_hash", "row_hash").agg(F.first("row").alias("row")).select("row.*")

@@ -82,6 +82,6 @@ def test_empty_documents(spark, stages):
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert duckdb.connect() and TABLES
