@@ -2,7 +2,8 @@
 
 ``now`` and ``batch_id`` are parameters, so a load repeated with the same arguments
 gives the same rows. Loads that only insert return the rows to append; loads that also
-touch stored rows return the whole next state.
+touch stored rows exist twice: over a whole stored table, returning its next state, and as
+the touches of a load, which a table kept as a log merges when it is read.
 
 Packed lists are unpacked with the outer form of explode and NULLs dropped after it; the
 inner form makes the optimizer split every list again for a not-empty test.
@@ -10,10 +11,14 @@ inner form makes the optimizer split every list again for a not-empty test.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions import ids, text
 from shelfmark.operators.merge import missing_rows, one_per_key, stamped, upsert
+from shelfmark.plans.tables import TOUCHED, layout
+from shelfmark.sources.touches import touches
 
 
 def _date(now: str) -> Column:
@@ -28,6 +33,13 @@ def _new(now: str, batch_id: int) -> dict[str, Column]:
     return {"create_dts": _time(now), "load_audit_id": F.lit(batch_id)}
 
 
+def _touches(
+    table: str, staged: DataFrame, now: str, batch_id: int, creates: Mapping[str, Column] | None,
+    **sets: Mapping[str, Column],
+) -> DataFrame:
+    return touches(TOUCHED[table], layout(table), staged, now, batch_id, creates, sets)
+
+
 def of_site(stage: DataFrame, site: str | None) -> DataFrame:
     """Staged rows of one site, or of all sites."""
     return stage if site is None else stage.filter(F.col("site_logical_name") == site)
@@ -36,25 +48,36 @@ def of_site(stage: DataFrame, site: str | None) -> DataFrame:
 # -- reference feed: works and isbns ------------------------------------------------
 
 
+def _works(stage: DataFrame) -> DataFrame:
+    return stage.select(F.col("work_refid").alias("refid")).distinct()
+
+
 def merge_work(work: DataFrame, feed: DataFrame, now: str, batch_id: int) -> DataFrame:
     """Works seen in the feed: known ones get a new last-seen date, others are added."""
-    stage = feed.select(F.col("work_refid").alias("refid")).distinct()
     return upsert(
-        work, stage, ["refid"],
+        work, _works(feed), ["refid"],
         on_match={"last_seen_date": _date(now)},
         on_insert={"last_seen_date": _date(now), **_new(now, batch_id)},
     )
 
 
-def merge_isbn(isbn: DataFrame, feed: DataFrame, now: str, batch_id: int) -> DataFrame:
-    """Isbns of the feed, one row per ean (the highest spelling and isbn10 where several exist)."""
-    stage = (
+def work_touches(feed: DataFrame, now: str, batch_id: int) -> DataFrame:
+    """``merge_work`` as touches."""
+    return _touches("work", _works(feed), now, batch_id, {"last_seen_date": _date(now)}, seen={"last_seen_date": _date(now)})
+
+
+def _isbns(feed: DataFrame) -> DataFrame:
+    return (
         feed.groupBy(F.col("isbn13").try_cast("long").alias("ean"))
         .agg(F.max("isbn13").alias("isbn13"), F.max("isbn10").alias("isbn10"))
         .filter(F.col("ean").isNotNull())
     )
+
+
+def merge_isbn(isbn: DataFrame, feed: DataFrame, now: str, batch_id: int) -> DataFrame:
+    """Isbns of the feed, one row per ean (the highest spelling and isbn10 where several exist)."""
     return upsert(
-        isbn, stage, ["ean"],
+        isbn, _isbns(feed), ["ean"],
         on_match={"last_seen_date": _date(now)},
         on_insert={
             "isbn13": F.col("s.isbn13"), "isbn10": F.col("s.isbn10"),
@@ -63,6 +86,12 @@ def merge_isbn(isbn: DataFrame, feed: DataFrame, now: str, batch_id: int) -> Dat
     )
 
 
+def isbn_touches(feed: DataFrame, now: str, batch_id: int) -> DataFrame:
+    """``merge_isbn`` as touches."""
+    new = {"isbn13": F.col("isbn13"), "isbn10": F.col("isbn10"), "last_seen_date": _date(now)}
+    return _touches("isbn", _isbns(feed), now, batch_id, new, seen={"last_seen_date": _date(now)})
+
+
 def unambiguous_isbns(feed: DataFrame) -> DataFrame:
     """(work, ean) of isbns that occur on exactly one row of the feed, however they are spelled."""
     return (
@@ -91,18 +120,27 @@ def sync_work_isbn(work_isbn: DataFrame, feed: DataFrame, now: str, batch_id: in
     ).drop("_here")
 
 
-def merge_isbn_lang(isbn_info: DataFrame, stage: DataFrame, now: str, batch_id: int) -> DataFrame:
-    """Language of eans; the highest code wins when the feed disagrees with itself."""
-    staged = stage.groupBy(F.col("ean").try_cast("long").alias("ean")).agg(
+def _isbn_langs(stage: DataFrame) -> DataFrame:
+    return stage.groupBy(F.col("ean").try_cast("long").alias("ean")).agg(
         F.max("lang_code").alias("lang_code")
     )
+
+
+def merge_isbn_lang(isbn_info: DataFrame, stage: DataFrame, now: str, batch_id: int) -> DataFrame:
+    """Language of eans; the highest code wins when the feed disagrees with itself."""
     return upsert(
-        isbn_info, staged, ["ean"],
+        isbn_info, _isbn_langs(stage), ["ean"],
         on_match={"lang_code": F.col("s.lang_code"), "update_dts": _time(now)},
         on_insert={"lang_code": F.col("s.lang_code"), **_new(now, batch_id)},
     )
 
 
+def isbn_lang_touches(stage: DataFrame, now: str, batch_id: int) -> DataFrame:
+    """``merge_isbn_lang`` as touches."""
+    code = {"lang_code": F.col("lang_code")}
+    return _touches("isbn_info", _isbn_langs(stage), now, batch_id, code, told={**code, "update_dts": _time(now)})
+
+
 # -- work details ----------------------------------------------------------------------
 
 
@@ -114,6 +152,13 @@ def insert_missing_work(work: DataFrame, stage: DataFrame, now: str, batch_id: i
     return stamped(new, now, batch_id, "last_seen_date")
 
 
+def missing_work_touches(stage: DataFrame, now: str, batch_id: int, site: str | None = None) -> DataFrame:
+    """``insert_missing_work`` as touches: works that are new are created, known ones stay."""
+    if "site_logical_name" in stage.columns:
+        stage = of_site(stage, site)
+    return _touches("work", _works(stage), now, batch_id, {"last_seen_date": _date(now)})
+
+
 def insert_work_info(work_info: DataFrame, stage: DataFrame, now: str, batch_id: int) -> DataFrame:
     """Details of works; the corrected classification code is preferred, without dots."""
     code = F.replace(F.coalesce("mds_code_corr", "mds_code"), F.lit("."), F.lit(""))
@@ -221,11 +266,8 @@ def insert_work_title(
 # -- reviews -----------------------------------------------------------------------------
 
 
-def merge_user(
-    users: DataFrame, stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None
-) -> DataFrame:
-    """Users of staged reviews; a known user is only seen again, the name is kept."""
-    named = (
+def _users(stage: DataFrame, sites: DataFrame, site: str | None) -> DataFrame:
+    return (
         of_site(stage, site)
         .filter(F.col("user_uid").isNotNull())
         .groupBy("site_logical_name", "user_uid")
@@ -237,8 +279,14 @@ def merge_user(
             "user_uid", "site_id", "username",
         )
     )
+
+
+def merge_user(
+    users: DataFrame, stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None
+) -> DataFrame:
+    """Users of staged reviews; a known user is only seen again, the name is kept."""
     return upsert(
-        users, named, ["id"],
+        users, _users(stage, sites, site), ["id"],
         on_match={"last_seen_date": _date(now)},
         on_insert={
             "user_uid": F.col("s.user_uid"), "site_id": F.col("s.site_id"),
@@ -247,10 +295,10 @@ def merge_user(
     )
 
 
-def user_ids(stage: DataFrame, site: str | None = None) -> DataFrame:
-    """Ids of the users of staged reviews."""
-    return of_site(stage, site).filter(F.col("user_uid").isNotNull()).select(
-        ids.derive_user_id("user_uid", "site_logical_name").alias("id"))
+def user_touches(stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None) -> DataFrame:
+    """``merge_user`` as touches."""
+    new = {c: F.col(c) for c in ("user_uid", "site_id", "username")} | {"last_seen_date": _date(now)}
+    return _touches("user", _users(stage, sites, site), now, batch_id, new, seen={"last_seen_date": _date(now)})
 
 
 def append_review(
@@ -303,10 +351,8 @@ def insert_tag(
     return stamped(missing_rows(tag, staged, ["id"]), now, batch_id)
 
 
-def merge_work_tag(
-    work_tag: DataFrame, stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None
-) -> DataFrame:
-    """Frequency of tags per work and site; the highest where the stage has several.
+def _work_tags(stage: DataFrame, sites: DataFrame, site: str | None) -> DataFrame:
+    """work_refid, tag_id, source_site_id and n of the packed lists.
 
     Equal packed lists of a work are collapsed before they are unpacked: a work's tags
     come with each of its reviews.
@@ -316,7 +362,7 @@ def merge_work_tag(
         text.split_literal("tags_t", text.TAG_SEPARATOR).alias("tag"),
         text.split_literal("tags_n", text.COUNT_SEPARATOR).alias("n"),
     )
-    staged = (
+    return (
         of_site(stage, site)
         .filter(F.col("tags_t").isNotNull())
         .select("work_refid", "site_logical_name", "tags_t", "tags_n")
@@ -328,13 +374,26 @@ def merge_work_tag(
         .agg(F.max(text.count_of("p.n")).alias("n"))
         .select("work_refid", ids.md5_uuid("tag").alias("tag_id"), "source_site_id", "n")
     )
+
+
+def merge_work_tag(
+    work_tag: DataFrame, stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None
+) -> DataFrame:
+    """Frequency of tags per work and site; the highest where the stage has several."""
     return upsert(
-        work_tag, staged, ["work_refid", "tag_id", "source_site_id"],
+        work_tag, _work_tags(stage, sites, site), ["work_refid", "tag_id", "source_site_id"],
         on_match={"frequency": F.col("s.n"), "update_dts": _time(now)},
         on_insert={"frequency": F.col("s.n"), **_new(now, batch_id)},
     )
 
 
+def work_tag_touches(stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None) -> DataFrame:
+    """``merge_work_tag`` as touches."""
+    count = {"frequency": F.col("n")}
+    return _touches(
+        "work_tag", _work_tags(stage, sites, site), now, batch_id, count, counted={**count, "update_dts": _time(now)})
+
+
 def with_masters(work_sameas: DataFrame, harvested: DataFrame) -> DataFrame:
     """The given works and their masters (refid), each once."""
     asked = harvested.select("work_refid").distinct()
@@ -357,20 +416,29 @@ def touch_last_harvest(work: DataFrame, work_sameas: DataFrame, harvested: DataF
     ).select(*work.columns)
 
 
-def merge_site_mapping(
-    mapping: DataFrame, stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None
-) -> DataFrame:
-    """Works found on other sites, one row per (work, uid, site); known ones are refreshed."""
+def harvest_touches(work_sameas: DataFrame, harvested: DataFrame, now: str, batch_id: int) -> DataFrame:
+    """``touch_last_harvest`` as touches: works that are not known stay unknown."""
+    return _touches(
+        "work", with_masters(work_sameas, harvested), now, batch_id, None, harvested={"last_harvest_dts": _time(now)})
+
+
+def _mappings(stage: DataFrame, sites: DataFrame, site: str | None) -> DataFrame:
     names = sites.select(F.col("id").alias("site_id"), F.col("logical_name").alias("site_logical_name"))
-    staged = (
+    return (
         of_site(stage, site)
         .filter(F.col("work_uid").isNotNull())
         .groupBy("work_refid", "work_uid", "site_logical_name")
         .agg(F.max("title").alias("title"), F.max("authors").alias("authors"))
         .join(names, "site_logical_name")
     )
+
+
+def merge_site_mapping(
+    mapping: DataFrame, stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None
+) -> DataFrame:
+    """Works found on other sites, one row per (work, uid, site); known ones are refreshed."""
     return upsert(
-        mapping, staged, ["work_refid", "work_uid", "site_id"],
+        mapping, _mappings(stage, sites, site), ["work_refid", "work_uid", "site_id"],
         on_match={"last_harvest_dts": _date(now)},
         on_insert={
             "last_harvest_dts": _date(now), "title": F.col("s.title"),
@@ -379,6 +447,15 @@ def merge_site_mapping(
     )
 
 
+def site_mapping_touches(
+    stage: DataFrame, sites: DataFrame, now: str, batch_id: int, site: str | None = None
+) -> DataFrame:
+    """``merge_site_mapping`` as touches."""
+    new = {"title": F.col("title"), "authors": F.col("authors"), "last_harvest_dts": _date(now)}
+    return _touches(
+        "work_site_mapping", _mappings(stage, sites, site), now, batch_id, new, seen={"last_harvest_dts": _date(now)})
+
+
 def delete_batch(table: DataFrame, batch_id: int) -> DataFrame:
     """Everything but the rows of one load."""
     return table.filter(~F.col("load_audit_id").eqNullSafe(F.lit(batch_id)))

@@ -8,6 +8,7 @@ from shelfmark.plans import (  # noqa: F401
     catalog_similarity,
     catalog_sources,
     catalog_star,
+    catalog_touches,
 )
 from shelfmark.plans.registry import ORACLES, QUERIES
 

@@ -5,8 +5,9 @@ one load's partition, and a step computes its rows from the tables without the r
 own load, so it can be run again whether it failed or its input has grown. A flow whose
 input is empty ends there: what was staged before is not loaded again.
 
-Tables whose stored rows change are kept in buckets of their key. A load rewrites only the
-buckets its keys lie in.
+Tables whose rows change after they were written are kept as touches: a load appends what it
+says about its keys, and the rows are put together when they are read. ``fold_touches`` keeps
+the number of lots small; it runs while no load does.
 """
 
 from __future__ import annotations
@@ -22,14 +23,11 @@ from shelfmark.plans import tables as layouts
 from shelfmark.sources import delimited, feeds
 from shelfmark.sources.ledger import EMPTY, Ledger
 from shelfmark.sources.tables import Store, drop_intermediate, is_empty
+from shelfmark.sources.touches import TouchLog
 
 
-# Tables whose rows change after they were written, with the key their buckets go by.
-BUCKETED = {
-    "work": "refid", "isbn": "ean", "isbn_info": "ean", "user": "id", "work_tag": "work_refid",
-    "work_site_mapping": "work_refid",
-}
-BUCKETS = 64
+# Loads of a table kept as touches after which they are folded into one.
+LOADS_TO_FOLD = 32
 
 
 class Warehouse:
@@ -42,34 +40,25 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """A stored table, empty before its first load."""
-        stored = self._stored(name)
-        return stored.drop("bucket") if name in BUCKETED else stored
-
-    def _stored(self, name: str) -> DataFrame:
-        layout = layouts.SCHEMAS[name] + (", bucket int" if name in BUCKETED else "")
+        if name in layouts.TOUCHED:
+            return self.log(name).read()
         if self.store.exists(name):
-            return self.spark.read.schema(layout).parquet(self.store.path(name))
-        return self.spark.createDataFrame([], layout)
-
-    def _rewrite(self, name: str, keys: DataFrame, merge: Callable[[DataFrame], DataFrame], batch: int) -> int:
-        """Replace the buckets that the keys (one column) lie in by ``merge`` of their rows.
-
-        Returns the rows of those buckets. The stored rows given to ``merge`` are without
-        what an earlier attempt of the load added.
-        """
-        def bucket(column: str):
-            return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
-
-        wanted = [r[0] for r in keys.select(bucket(keys.columns[0])).distinct().collect()]  # BUCKETS rows at most
-        if not wanted:
-            return 0
-        old = self._stored(name).filter(F.col("bucket").isin(wanted)).drop("bucket")
-        next_state = merge(old.filter(~F.col("load_audit_id").eqNullSafe(F.lit(batch))))
-        observed = Observation()
-        self.store.replace_partition(
-            name, next_state.withColumn("bucket", bucket(BUCKETED[name])).observe(observed, F.count(F.lit(1)).alias("rows")),
-            "bucket")
-        return observed.get["rows"]
+            return self.spark.read.schema(layouts.SCHEMAS[name]).parquet(self.store.path(name))
+        return self.spark.createDataFrame([], layouts.SCHEMAS[name])
+
+    def log(self, name: str) -> TouchLog:
+        """The touches of a table that is kept as such."""
+        return TouchLog(self.spark, f"{self.store.root}/{name}", layouts.layout(name), layouts.TOUCHED[name])
+
+    def fold_touches(self, least: int = LOADS_TO_FOLD) -> dict[str, int]:
+        """Fold the touches of each table with at least ``least`` lots; how many lots each had."""
+        folded = {}
+        for name in layouts.TOUCHED:
+            log = self.log(name)
+            if len(log.loads()) >= least:
+                folded[name] = log.fold()
+                drop_intermediate(self.spark)
+        return folded
 
     def _replace(self, name: str, df: DataFrame) -> int:
         return self.store.replace(name, df).count()
@@ -107,10 +96,8 @@ class Warehouse:
         if self._run(job, f"stage {task}", stage, now) == EMPTY:
             return
         feed = self.table("stage_isbn")
-        self._run(job, f"work {task}", lambda b: self._rewrite(
-            "work", feed.select("work_refid"), lambda t: loads.merge_work(t, feed, at, b), b), now)
-        self._run(job, f"isbn {task}", lambda b: self._rewrite(
-            "isbn", feed.select(F.col("isbn13").try_cast("long")), lambda t: loads.merge_isbn(t, feed, at, b), b), now)
+        self._run(job, f"work {task}", lambda b: self.log("work").append(b, loads.work_touches(feed, at, b)), now)
+        self._run(job, f"isbn {task}", lambda b: self.log("isbn").append(b, loads.isbn_touches(feed, at, b)), now)
         # A full feed also marks the pairs it no longer has, so the whole table is its next state.
         self._run(job, f"work_isbn {task}", lambda b: self._replace(
             "work_isbn", loads.sync_work_isbn(self.before("work_isbn", b), feed, at, b)), now)
@@ -131,10 +118,7 @@ class Warehouse:
             return
         stage = self.table("stage_work_info")
         self._run(
-            job, f"work {task}",
-            lambda b: self._rewrite(
-                "work", stage.select("work_refid"), lambda t: self._with(t, loads.insert_missing_work(t, stage, at, b)), b), now,
-        )
+            job, f"work {task}", lambda b: self.log("work").append(b, loads.missing_work_touches(stage, at, b)), now)
         inserts = {
             "work_info": loads.insert_work_info,
             "author": loads.insert_author, "author_info": loads.insert_author_info,
@@ -152,10 +136,6 @@ class Warehouse:
                 self.before("work_title", b), stage, self.table("language"), at, b), b), now,
         )
 
-    @staticmethod
-    def _with(stored: DataFrame, rows: DataFrame) -> DataFrame:
-        return stored.unionByName(rows, allowMissingColumns=True).select(*stored.columns)
-
     def load_languages(self, path: str, task: str, now: datetime) -> None:
         """The language reference, read only while the stored table is empty."""
         def load(batch: int) -> int | None:
@@ -181,9 +161,8 @@ class Warehouse:
         accepted, rejected = normalize.validate_isbn_lang(replies)
         self._run(
             job, f"isbn_info {task}",
-            lambda b: None if is_empty(replies) else self._rewrite(
-                "isbn_info", accepted.select(F.col("ean").try_cast("long")),
-                lambda t: loads.merge_isbn_lang(t, accepted, at, b), b), now,
+            lambda b: None if is_empty(replies) else self.log("isbn_info").append(
+                b, loads.isbn_lang_touches(accepted, at, b)), now,
         )
         self._run(
             job, f"isbn_lang_rejected {task}",
@@ -212,12 +191,10 @@ class Warehouse:
         def run(name: str, fn) -> None:
             self._run(job, f"{name} {task}", fn, now)
 
-        run("user", lambda b: self._rewrite(
-            "user", loads.user_ids(stage, site), lambda t: loads.merge_user(t, stage, sites, at, b, site), b))
+        run("user", lambda b: self.log("user").append(b, loads.user_touches(stage, sites, at, b, site)))
         works = loads.of_site(stage, site).select("work_refid")
         if site == "librarything":
-            run("work", lambda b: self._rewrite(
-                "work", works, lambda t: self._with(t, loads.insert_missing_work(t, stage, at, b, site)), b))
+            run("work", lambda b: self.log("work").append(b, loads.missing_work_touches(stage, at, b, site)))
 
         def reviews(batch: int) -> int:
             last = self.before("review", batch).agg(F.max("id")).first()[0]
@@ -227,17 +204,15 @@ class Warehouse:
         run("review", reviews)
         run("tag", lambda b: self._append(
             "tag", loads.insert_tag(self.before("tag", b), stage, sites, at, b, site), b))
-        run("work_tag", lambda b: self._rewrite(
-            "work_tag", works, lambda t: loads.merge_work_tag(t, stage, sites, at, b, site), b))
+        run("work_tag", lambda b: self.log("work_tag").append(b, loads.work_tag_touches(stage, sites, at, b, site)))
         if site == "librarything":
             run("work_sameas", lambda b: self._append(
                 "work_sameas", loads.insert_work_sameas(self.before("work_sameas", b), stage, at, b, site), b))
             same = self.table("work_sameas")
-            run("last_harvest", lambda b: self._rewrite(
-                "work", loads.with_masters(same, works), lambda t: loads.touch_last_harvest(t, same, works, at), b))
+            run("last_harvest", lambda b: self.log("work").append(b, loads.harvest_touches(same, works, at, b)))
         else:
-            run("work_site_mapping", lambda b: self._rewrite(
-                "work_site_mapping", works, lambda t: loads.merge_site_mapping(t, stage, sites, at, b, site), b))
+            run("work_site_mapping", lambda b: self.log("work_site_mapping").append(
+                b, loads.site_mapping_touches(stage, sites, at, b, site)))
 
     def fill_languages(self, task: str, now: datetime) -> None:
         """Find the language of reviews that have a text and none, from those that have both.

@@ -1,5 +1,11 @@
 """Column layouts of the stored tables."""
 
+from __future__ import annotations
+
+from pyspark.sql.types import StructType
+
+from shelfmark.sources.touches import Touched
+
 _AUDIT = ", create_dts timestamp_ntz, load_audit_id int"
 
 SCHEMAS = {
@@ -41,3 +47,18 @@ SCHEMAS = {
     "review_similarto": "site_id int, review_id bigint, other_site_id int, other_review_id bigint, "
                         "similarity double, load_audit_id int",
 }
+
+# Tables kept as touches: their keys, and the columns each kind of touch sets on known rows.
+TOUCHED = {
+    "work": Touched(("refid",), {"seen": ("last_seen_date",), "harvested": ("last_harvest_dts",)}),
+    "isbn": Touched(("ean",), {"seen": ("last_seen_date",)}),
+    "isbn_info": Touched(("ean",), {"told": ("lang_code", "update_dts")}),
+    "user": Touched(("id",), {"seen": ("last_seen_date",)}),
+    "work_tag": Touched(("work_refid", "tag_id", "source_site_id"), {"counted": ("frequency", "update_dts")}),
+    "work_site_mapping": Touched(("work_refid", "work_uid", "site_id"), {"seen": ("last_harvest_dts",)}),
+}
+
+
+def layout(name: str) -> StructType:
+    """A stored table's layout."""
+    return StructType.fromDDL(SCHEMAS[name])

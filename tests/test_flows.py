@@ -159,7 +159,7 @@ def test_intermediate_tables_go_after_a_step(spark, tmp_path):
     assert drop_intermediate(spark) == 0
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+def test_loads_append_touches_and_fold(spark, tmp_path):
     wh = house(spark, tmp_path)
     wh.load_reviews(write(tmp_path / "r1.dat", REVIEWS, [
         f"goodreads|n{i}|u{i}|{i}|g{i}|good|eng|8|2015-01-01" for i in range(40)]), "goodreads", "one", NOW)
@@ -171,9 +171,14 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     wh.load_reviews(write(tmp_path / "r2.dat", REVIEWS, [
         "goodreads|n3|u3|3|g3|again|eng|8|2015-02-01"]), "goodreads", "two", NOW + datetime.timedelta(days=1))
     for name, old in before.items():
-        gone = old - files(name)
-        assert 1 <= len(gone) < len(old) / 4
+        new = files(name) - old
+        assert old <= files(name) and spark.read.parquet(*new).count() == 1
         assert wh.table(name).count() == 40
+    seen = wh.table("user").filter(f"last_seen_date > date '{NOW.date()}'")
+    assert seen.count() == 1
+    assert wh.fold_touches(least=2) == {"user": 2, "work_site_mapping": 2}
+    assert wh.fold_touches(least=2) == {}
+    assert wh.table("user").count() == 40
     assert wh.table("user").filter(f"last_seen_date > date '{NOW.date()}'").count() == 1
     assert wh.table("review").count() == 41
 
