@@ -62,16 +62,16 @@ from d left join hits using (r) left join items using (r)
 
 ORACLES["op3_topk_nra"] = """
 with v as (
-    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as vec
+    select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as vec
     from embeddings
     where vec_id is not null and embedding is not null
       and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
 ), pairs as (
-    select q.vec_id as query_id, c.vec_id,
+    select q.r, q.vec_id as query_id, c.vec_id,
            list_sum(list_transform(list_zip(q.vec, c.vec), lambda z: z[1] * z[2]))::bigint as score
-    from v q join v c on q.vec_id <> c.vec_id and len(q.vec) = len(c.vec) and q.vec_id % 50 = 0
+    from v q join v c on q.r <> c.r and len(q.vec) = len(c.vec) and q.vec_id % 50 = 0
 ), ranked as (
-    select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from pairs
+    select *, row_number() over (partition by r order by score desc, vec_id)::integer as rank from pairs
 )
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """

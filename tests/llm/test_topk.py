@@ -11,14 +11,12 @@ from shelfmark.llm import topk
 def brute(rows, is_query, k):
     usable = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
               if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    queries = {}
-    for i, v in usable:
-        if is_query(i):
-            queries[i] = min(queries.get(i, v), v)
     out = []
-    for q, v in queries.items():
-        scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in usable if i != q and len(w) == len(v))
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    for at, (q, v) in enumerate(usable):
+        if is_query(q):
+            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i)
+                            for j, (i, w) in enumerate(usable) if j != at and len(w) == len(v))
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return sorted(out, key=str)
 
 
@@ -41,11 +39,21 @@ def test_empty_table(spark):
     assert topk.top_scores(frame, F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_reading_stops_early():
+def test_repeated_ids(spark, rows):
+    frame = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    assert rows(topk.top_scores(frame, F.col("vec_id") == 0)) == [
+        (0, 1, 1, 65536), (0, 1, 1, 65536), (0, 2, 0, 0), (0, 2, 0, 0)]
+
+
+def test_reading_stops_when_outsiders_cannot_qualify():
     rng = np.random.default_rng(1)
     vectors = np.floor(rng.normal(0, 3, (4000, 8)))
     vectors[:5] = 200
-    part = topk._Slice(np.arange(4000), vectors)
-    ids, scores = part.best(np.full(8, 100.0), 10**9, 5, -np.inf)
-    assert ids.tolist() == [0, 1, 2, 3, 4] and scores.tolist() == [160000.0] * 5
-    assert part.depth <= 4000 // 8
+    part = topk._Slice(np.arange(4000), np.arange(4000), vectors)
+    queries = np.array([np.full(8, 100.0), np.full(8, 50.0)])
+    found = list(part.best(queries, np.array([10**9, 2]), 5, np.full(2, -np.inf)))
+    assert [f[0] for f in found] == [0, 1]
+    assert found[0][1].tolist() == [0, 1, 2, 3, 4] and found[0][2].tolist() == [160000.0] * 5
+    assert found[1][1].tolist()[:4] == [0, 1, 3, 4]
+    only = list(part.best(queries[:1], np.array([10**9]), 5, np.full(1, -np.inf)))
+    assert only[0][1].tolist() == [0, 1, 2, 3, 4] and part.depth == 500
