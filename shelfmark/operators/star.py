@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shelfmark.operators.keys import with_ids
 from shelfmark.operators.merge import dense_ids
 
 # The languages standing for "not found" and "not known".
@@ -131,14 +132,19 @@ def presentable_tag(tag: Column | str) -> Column:
     )
 
 
-def dim_tag(tag: DataFrame) -> DataFrame:
-    """Presentable tags, one row per upper-case form, with a surrogate id."""
-    forms = (
+def tag_forms(tag: DataFrame) -> DataFrame:
+    """Presentable tags, one row per upper-case form."""
+    return (
         tag.filter(presentable_tag("tag"))
         .groupBy(F.col("tag_upper").alias("tag_name"))
         .agg(F.max("lang_code").alias("lang_code"))
     )
-    return dense_ids(forms, "tag_name", "tag_id")
+
+
+def dim_tag(tag: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Presentable tags with a surrogate id: that of the registry, or a number in this build alone."""
+    forms = tag_forms(tag)
+    return dense_ids(forms, "tag_name", "tag_id") if registry is None else with_ids(forms, registry, "tag_name", "tag_id")
 
 
 def rel_tag(work_tag: DataFrame, tag: DataFrame, dim_tag: DataFrame, dim_book: DataFrame) -> DataFrame:
@@ -155,9 +161,15 @@ def rel_tag(work_tag: DataFrame, tag: DataFrame, dim_tag: DataFrame, dim_book: D
     )
 
 
-def dim_author(author: DataFrame, author_info: DataFrame) -> DataFrame:
+def named_authors(author: DataFrame, author_info: DataFrame) -> DataFrame:
     names = author_info.select(F.col("author_id").alias("id"), "name")
-    return dense_ids(author.select("id", "code").join(names, "id").select("code", "name"), "code", "author_id")
+    return author.select("id", "code").join(names, "id").select("code", "name")
+
+
+def dim_author(author: DataFrame, author_info: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Named authors with a surrogate id: that of the registry, or a number in this build alone."""
+    named = named_authors(author, author_info)
+    return dense_ids(named, "code", "author_id") if registry is None else with_ids(named, registry, "code", "author_id")
 
 
 def rel_author(work_author: DataFrame, author: DataFrame, dim_author: DataFrame, dim_book: DataFrame) -> DataFrame:

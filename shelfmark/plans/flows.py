@@ -17,7 +17,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
-from shelfmark.operators import languages, loads, normalize, queues, similarity, star
+from shelfmark.operators import keys, languages, loads, normalize, queues, similarity, star
 from shelfmark.operators.merge import add_ids
 from shelfmark.plans import tables as layouts
 from shelfmark.sources import delimited, feeds
@@ -263,8 +263,21 @@ class Warehouse:
 
     # -- star schema ------------------------------------------------------------------------
 
-    def build_star(self) -> None:
-        """All dimensions, bridges and the fact, laid out by book."""
+    def register_keys(self, registry: str, wanted: DataFrame, key: str, name: str, task: str, now: datetime) -> DataFrame:
+        """Give ids to the keys of ``wanted`` that have none, as a ledger step; returns the registry."""
+        def add(batch: int) -> int:
+            new = keys.new_keys(self.before(registry, batch), wanted, key, name)
+            return self._append(registry, new.withColumn("load_audit_id", F.lit(batch)), batch)
+
+        self._run("star schema", f"{registry} {task}", add, now)
+        return self.table(registry)
+
+    def build_star(self, task: str, now: datetime) -> None:
+        """All dimensions, bridges and the fact, laid out by book.
+
+        Surrogate ids come from the key registries, so a later build keeps those of an
+        earlier one.
+        """
         put = self.store.replace
         site = self.table("site")
         put("dim_site", star.dim_site(site, self.table("site_identifier")))
@@ -273,18 +286,21 @@ class Warehouse:
         put("dim_mds", star.dim_mds(self.table("mds")))
         book = put("dim_book", star.dim_book(
             self.table("work_info"), self.table("work_title"), self.table("work_sameas")))
-        tag = put("dim_tag", star.dim_tag(self.table("tag")))
+        forms = star.tag_forms(self.table("tag"))
+        tag_keys = self.register_keys("tag_key", forms, "tag_name", "tag_id", task, now)
+        tag = put("dim_tag", keys.with_ids(forms, tag_keys, "tag_name", "tag_id"))
         put("rel_tag", star.rel_tag(self.table("work_tag"), self.table("tag"), tag, book))
-        author = put("dim_author", star.dim_author(self.table("author"), self.table("author_info")))
+        authors = star.named_authors(self.table("author"), self.table("author_info"))
+        author_keys = self.register_keys("author_key", authors, "code", "author_id", task, now)
+        author = put("dim_author", keys.with_ids(authors, author_keys, "code", "author_id"))
         put("rel_author", star.rel_author(self.table("work_author"), self.table("author"), author, book))
-        from shelfmark.operators.merge import dense_ids
-
         people = star.dim_reviewer(self.table("user"), site)
         if self.store.exists("city"):
             # The running total is over the cities: a fixed, small reference table.
             city = self.table("city").withColumn("pop_cum", F.sum("pop").over(Window.orderBy("city")))
             people = star.assign_city(people, city, city.agg(F.max("pop_cum")).first()[0])
-        reviewer = put("dim_reviewer", dense_ids(people, "reviewer_uuid", "reviewer_id"))
+        reviewer_keys = self.register_keys("reviewer_key", people, "reviewer_uuid", "reviewer_id", task, now)
+        reviewer = put("dim_reviewer", keys.with_ids(people, reviewer_keys, "reviewer_uuid", "reviewer_id"))
         fact = star.fact_review(self.table("review"), book, reviewer, self.table("review_similarto"))
         put("fact_review", fact.repartitionByRange("book_id", "id").sortWithinPartitions("book_id"))
 

@@ -43,6 +43,9 @@ SCHEMAS = {
     "rev_similarto_process": "work_refid bigint, review_id bigint, text_length int, review_lang string, "
                              "date_processed timestamp_ntz, load_audit_id int",
     "isbn_lang_rejected": "ean string, reply string, load_audit_id int",
+    "tag_key": "tag_name string, tag_id bigint, load_audit_id int",
+    "author_key": "code string, author_id bigint, load_audit_id int",
+    "reviewer_key": "reviewer_uuid string, reviewer_id bigint, load_audit_id int",
     "city": "city string, pop bigint, lat double, long double",
     "review_similarto": "site_id int, review_id bigint, other_site_id int, other_review_id bigint, "
                         "similarity double, load_audit_id int",

@@ -62,7 +62,7 @@ def test_from_files_to_star_schema(spark, tmp_path):
 
     wh.store.replace("city", spark.createDataFrame(
         [("Aville", 900, 1.0, 2.0), ("Btown", 100, 3.0, 4.0)], "city string, pop bigint, lat double, long double"))
-    wh.build_star()
+    wh.build_star("s-1", NOW)
     assert {r.city for r in wh.store.read("dim_reviewer").collect()} <= {"Aville", "Btown"}
     assert wh.store.read("dim_reviewer").count() == 4
     exported = wh.export_star(str(tmp_path / "export"))
@@ -209,3 +209,39 @@ def test_isbn_languages_with_rejects(spark, tmp_path, rows):
     assert rows(wh.table("isbn_lang_rejected"), "ean", "reply") == [("9780000000002", "error page")]
     wh.export_isbns_without_lang(str(tmp_path / "ask"), 10)
     assert spark.read.text(str(tmp_path / "ask")).count() == 0
+
+
+def test_a_second_build_keeps_the_ids_of_the_first(spark, tmp_path):
+    wh = house(spark, tmp_path)
+    wh.store.replace("site_identifier", spark.createDataFrame([(2, "b.example")], "site_id int, hostname string"))
+    tagged = REVIEWS + "|tags_t|tags_n"
+    tables = {"dim_tag": ("tag_name", "tag_id"), "dim_author": ("code", "author_id"), "dim_reviewer": ("reviewer_uuid", "reviewer_id")}
+
+    def build(task, lines, works):
+        wh.load_work_info(write(tmp_path / f"{task}.i", INFO, works), task, NOW)
+        wh.load_reviews(write(tmp_path / f"{task}.r", tagged, lines), "goodreads", task, NOW)
+        wh.build_star(task, NOW)
+        return {t: {r[k]: r[i] for r in wh.store.read(t).collect()} for t, (k, i) in tables.items()}
+
+    first = build("one", ["goodreads|Mo|u5|1|g1|good|eng|8|2015-01-01|middle__&__pear|1;1"], ["1|One|Moe|moe|8.13|x|1||eng|"])
+    fact = {(r.id, r.reviewer_id) for r in wh.store.read("fact_review").collect()}
+    second = build("two", ["goodreads|Al|u1|2|g2|bad|eng|2|2015-01-02|apple__&__pear__&__zebra|1;1;1",
+                           "goodreads|Zed|u9|1|g1|fine|eng|4|2015-01-03||"], ["2|Two|Abe;Zoe|abe;zoe|81.3|y|1||eng|"])
+    for name, ids in first.items():
+        assert ids.items() <= second[name].items() and len(second[name]) == len(ids) + 2
+        assert sorted(second[name].values()) == list(range(1, len(ids) + 3))
+    assert fact <= {(r.id, r.reviewer_id) for r in wh.store.read("fact_review").collect()}
+    assert wh.store.read("fact_review").count() == 3
+    # A build that is repeated registers nothing again.
+    wh.build_star("two", NOW)
+    assert wh.table("tag_key").count() == len(second["dim_tag"])
+
+
+def test_new_keys(spark, rows):
+    from shelfmark.operators import keys
+
+    known = spark.createDataFrame([("b", 1), ("z", 7)], "k string, id long")
+    wanted = spark.createDataFrame([(k,) for k in ("c", "a", "b", "c", None, "é")], "k string")
+    assert rows(keys.new_keys(known, wanted, "k", "id")) == [("a", 8), ("c", 9), ("é", 10)]
+    assert rows(keys.new_keys(known.limit(0), wanted.limit(0), "k", "id")) == []
+    assert rows(keys.with_ids(wanted, known, "k", "id")) == [(1, "b")]
