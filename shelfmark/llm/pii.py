@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -182,15 +183,13 @@ _DOT_LENGTH = 14  # characters of the longest hidden dot
 _AT_HINT = re.compile(rf"@|{_AT_CODE}|[\[({{<_*][ \t]?(?:{_words(_AT_WORDS)})|[ \t](?:{_words(_AT_WORDS)})[ \t]", _FLAGS)
 
 _DIGIT_WORD = rf"(?:{_words(_DIGIT_WORDS)})"
-_ITEM = rf"(?:{_DIGIT_WORD}\b|[0-9]+)"
 _GAP = rf"(?:[ \t]{{1,2}}|,[ \t]?|[ \t]?-[ \t]?|{_ANY_DOT}|[ \t]?[()][ \t]?)"
-_SPELLED = re.compile(
-    rf"(?<![^\W_])(?:(?:\+|plus\b)[ \t]{{0,2}}(?=.))?(?:[0-9]+{_GAP})*\b{_DIGIT_WORD}\b(?:{_GAP}{_ITEM}){{3,}}(?![^\W_])", _FLAGS)
-_SPELLED_HINT = re.compile(rf"\b{_DIGIT_WORD}\b{_GAP}{_ITEM}{_GAP}{_ITEM}", _FLAGS)
-# Runs that hold a spelled digit anywhere, after or before any number of digits.
-_RUN = re.compile(rf"(?<![^\W_])(?:(?:\+|plus\b)[ \t]{{0,2}}(?=.))?(?:\b{_DIGIT_WORD}\b|[0-9]++)(?:{_GAP}(?:\b{_DIGIT_WORD}\b|[0-9]++))+(?![^\W_])", _FLAGS)
-_RUN_HINT = re.compile(rf"[0-9]{_GAP}{_DIGIT_WORD}\b|\b{_DIGIT_WORD}\b{_GAP}[0-9]", _FLAGS)
-_RUN_DIGIT = re.compile(rf"[0-9]|\b{_DIGIT_WORD}\b", _FLAGS)
+# Items of a run: spelled digits and numbers, with a gap between neighbours. An item is a whole word.
+_ITEM = rf"(?:(?P<word>\b{_DIGIT_WORD}\b)|(?P<digits>[0-9]++))(?![^\W_])"
+_FIRST = re.compile(rf"(?<![^\W_])(?:(?:\+|plus\b)[ \t]{{0,2}}(?=.))?{_ITEM}", _FLAGS)
+_NEXT = re.compile(_GAP + _ITEM, _FLAGS)
+# A spelled digit beside another item: without one a text has no run to look at.
+_RUN_HINT = re.compile(rf"[0-9]{_GAP}{_DIGIT_WORD}\b|\b{_DIGIT_WORD}\b{_GAP}(?:{_DIGIT_WORD}\b|[0-9])", _FLAGS)
 _BOX_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{_HIDDEN_DOT}|\.)[0-9]{{1,3}}){{3}}(?![0-9])", _FLAGS)
 _PLUS_WORD = re.compile(r"\bplus[ \t]{1,2}(?=[0-9])", _FLAGS)
 _MIXED = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl]){8,}(?![A-Za-z0-9])")
@@ -244,20 +243,41 @@ def _email_edits(text: str) -> Iterator[Edit]:
                     yield dot.start(), dot.end(), "."
 
 
-def _mixed_runs(text: str) -> list[Span]:
-    """Runs of at least four digits, at least one of them spelled, that are not spelled throughout."""
+def _runs(text: str) -> tuple[list[Span], list[Span]]:
+    """Maximal runs of items, each looked at once: the spelled ones, and the mixed ones.
+
+    Spelled: at least three items follow the first spelled digit. Mixed: digits and spelled
+    ones, at least four in all.
+    """
+    spelled: list[Span] = []
+    mixed: list[Span] = []
     if not _RUN_HINT.search(text):
-        return []
-    return [
-        m.span() for m in _RUN.finditer(text)
-        if _RUN_HINT.search(m[0]) and sum(1 for _ in _RUN_DIGIT.finditer(m[0])) >= 4
-    ]
+        return spelled, mixed
+    first = _FIRST.search(text)
+    while first:
+        begin, item = first.start(), first
+        items = words = digits = after = 0
+        while item:
+            items += 1
+            if item["word"]:
+                words += 1
+                digits += 1
+            else:
+                digits += len(item["digits"])
+            after += words > 0
+            end = item.end()
+            item = _NEXT.match(text, end)
+        if after > 3:
+            spelled.append((begin, end))
+        if 0 < words < items and digits >= 4:
+            mixed.append((begin, end))
+        first = _FIRST.search(text, end)
+    return spelled, mixed
 
 
 def _number_edits(text: str, runs: list[Span]) -> Iterator[Edit]:
-    """Spelled digits and signs in ``runs`` and in runs of four items from a spelled digit on; letters put for digits."""
-    spelled = [m.span() for m in _SPELLED.finditer(text)] if _SPELLED_HINT.search(text) else []
-    for begin, end in {*spelled, *runs}:
+    """Spelled digits and signs in ``runs``; letters put for digits."""
+    for begin, end in runs:
         for t in _TOKEN.finditer(text, begin, end):
             if t["plus"]:
                 if t[0] != "+":
@@ -284,7 +304,7 @@ def _number_edits(text: str, runs: list[Span]) -> Iterator[Edit]:
 
 
 def rewritten(text: str, runs: list[Span]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
-    """The text with expressions, ``runs`` among them, rewritten; per character its source start, end and whether it is new."""
+    """The text with expressions, ``runs`` of items among them, rewritten; per character its source start, end and whether it is new."""
     edits: list[Edit] = []
     for edit in sorted({*_email_edits(text), *_number_edits(text, runs)}, key=lambda e: (e[0], -e[1])):
         if not edits or edit[0] >= edits[-1][1]:
@@ -312,10 +332,10 @@ def disguised(text: str, known: dict[str, list[Span]]) -> dict[str, list[Span]]:
     times"), so a text with such runs is looked at twice, without and with them joined.
     """
     first, places = folded(text)
-    out = _disguised(text, first, places, [], known)
-    runs = _mixed_runs(first)
-    if runs:
-        for kind, spans in _disguised(text, first, places, runs, known).items():
+    spelled, mixed = _runs(first)
+    out = _disguised(text, first, places, spelled, known)
+    if mixed:
+        for kind, spans in _disguised(text, first, places, sorted({*spelled, *mixed}), known).items():
             out[kind] = sorted({*out[kind], *spans})
     return out
 
@@ -342,11 +362,14 @@ def _disguised(
     out = {}
     for kind, spans in plain(normal).items():
         found = []
+        firsts = [x for x, _ in known[kind]]
         for a, b in spans:
             # A gap that was dropped inside the match is a change as well.
             if touched[b] > touched[a] or (starts[a + 1:b] > ends[a:b - 1]).any():
                 span = int(starts[a]), int(ends[b - 1])
-                if not any(x <= span[0] and span[1] <= y for x, y in known[kind]):
+                # Known spans of a kind are in order and apart: only the last one before can hold this one.
+                before = bisect_right(firsts, span[0]) - 1
+                if before < 0 or known[kind][before][1] < span[1]:
                     found.append(span)
         out[kind] = found
     return out

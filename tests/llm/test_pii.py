@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -112,6 +113,37 @@ def test_mixed_runs_take_linear_time():
         pii.redacted(text)
 
 
+@pytest.mark.parametrize("numbers", ["17 ", "17, ", "1.5 ", "3-4-5 ", "2024-01-02 12:30 ", "1,2,3\n", "(1) ", "7 x ", "+1 ", "12 point "])
+@pytest.mark.parametrize("words", ["one two three four five x ", "Step one two three four. ", "nine 9 ", "one "])
+def test_numbers_beside_spelled_digits_take_linear_time(numbers, words):
+    n = 300_000 // len(numbers)
+    for text in (words + numbers * n + "end", numbers * n + words, (numbers * 50 + words) * (n // 50)):
+        started = time.process_time()
+        pii.spans_of(text)
+        assert time.process_time() - started < 12
+
+
+def slow_runs(text):
+    """Runs by two patterns tried at every place."""
+    word, item = pii._DIGIT_WORD, rf"(?:{pii._DIGIT_WORD}\b|[0-9]+)"
+    head = r"(?<![^\W_])(?:(?:\+|plus\b)[ \t]{0,2}(?=.))?"
+    spelled = re.compile(rf"{head}(?:[0-9]+{pii._GAP})*\b{word}\b(?:{pii._GAP}{item}){{3,}}(?![^\W_])", re.I)
+    mixed = re.compile(rf"{head}(?:\b{word}\b|[0-9]++)(?:{pii._GAP}(?:\b{word}\b|[0-9]++))+(?![^\W_])", re.I)
+    both = re.compile(rf"[0-9]{pii._GAP}{word}\b|\b{word}\b{pii._GAP}[0-9]", re.I)
+    digit = re.compile(rf"[0-9]|\b{word}\b", re.I)
+    return [m.span() for m in spelled.finditer(text)], [
+        m.span() for m in mixed.finditer(text) if both.search(m[0]) and len(digit.findall(m[0])) >= 4]
+
+
+def test_runs_equal_slow_patterns():
+    rnd = random.Random(8)
+    parts = ["one", "Two", "fünf", "un", "uno", "12", "7", "3456", " ", "  ", "\t", ", ", " - ", "-", ".", " dot ", "[.]", " (",
+             ")", "+", "plus ", "x", "_", "3rd", "one's", "\n", "onefold", "%"]
+    for _ in range(6000):
+        text = "".join(rnd.choice(parts) + rnd.choice(["", " "]) for _ in range(rnd.randrange(1, 30)))
+        assert pii._runs(text) == slow_runs(text), text
+
+
 def test_plain_spans_stay_beside_added_ones():
     text = "a@b.com and c at d dot org and +1 555 123 4567 and e\u0430@b.com"
     spans = pii.spans_of(text)
