@@ -14,6 +14,10 @@ threshold. The result is exact; all pairs of a group are never listed:
    within the threshold plus both radii. Followers are compared with the leaders found,
    and with another leader's followers only where the leader itself does not settle the
    question. Groups of all sizes go this one way.
+
+With a kept index (``pick_indexed``) a batch adds its own reviews and the trigram sets of
+texts not met before, and reads, besides those, only sets of works with a pending review
+and of a length such a review can be similar to.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.text import jaccard, let, trigrams
 from shelfmark.operators.components import connected_components
-from shelfmark.sources.tables import materialize
+from shelfmark.sources.tables import materialize, spread
 
 BUCKET_BASE = 1.3
 MINHASHES = 4
@@ -121,12 +125,9 @@ def _ratio_ok(n: Column, m: Column, threshold: Column | float) -> Column:
     return F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9
 
 
-def text_members(queue: DataFrame, reviews: DataFrame, rules: SimilarityRules) -> DataFrame:
-    """Queued reviews long enough to compare, each with the key of its text.
-
-    Only the digest of a text travels here, not the text.
-    """
-    rows = queue.filter(
+def _comparable(queue: DataFrame, rules: SimilarityRules) -> DataFrame:
+    """Queued reviews long enough to compare."""
+    return queue.filter(
         (F.col("text_length") >= rules.min_length) & F.col("review_lang").isNotNull()
     ).select(
         F.col("review_id").alias("id"),
@@ -135,11 +136,22 @@ def text_members(queue: DataFrame, reviews: DataFrame, rules: SimilarityRules) -
         F.col("text_length").alias("len"),
         F.col("date_processed").isNull().alias("pending"),
     )
+
+
+def _digests(reviews: DataFrame) -> DataFrame:
+    return reviews.select("id", "site_id", F.sha2("review", 256).alias("text_key"))
+
+
+def text_members(queue: DataFrame, reviews: DataFrame, rules: SimilarityRules) -> DataFrame:
+    """Queued reviews long enough to compare, each with the key of its text.
+
+    Only the digest of a text travels here, not the text.
+    """
+    rows = _comparable(queue, rules)
     # Works without a pending review need no sets: nothing of theirs is asked for.
     asked = rows.filter("pending").select("work_refid", "lang").distinct()
     rows = rows.join(asked, ["work_refid", "lang"], "left_semi")
-    texts = reviews.select("id", "site_id", F.sha2("review", 256).alias("text_key"))
-    return rows.join(texts, "id")
+    return rows.join(_digests(reviews), "id")
 
 
 CLASS_KEY = ["work_refid", "lang", "len", "text_key"]
@@ -150,17 +162,21 @@ def text_classes(members: DataFrame, reviews: DataFrame) -> DataFrame:
     classes = members.groupBy(*CLASS_KEY).agg(
         F.min("id").alias("cid"), F.max("pending").alias("pending")
     )
+    return _with_sets(classes, reviews.select("id", "site_id", "review"))
+
+
+def _with_sets(classes: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Classes with the trigram set of the text of their review ``cid``, and its min-hashes."""
     # The trigram sets are the expensive part. After a shuffled join the rows are
-    # partitioned by class already and the repartition falls away; after a broadcast it
-    # spreads the texts over all cores.
-    texts = reviews.select(F.col("id").alias("cid"), "site_id", "review")
+    # partitioned by class already and no exchange is added; after a broadcast the texts
+    # are spread over all cores.
     return (
-        classes.join(texts, "cid")
-        .repartition("cid")
+        spread(classes.join(reviews.withColumnRenamed("id", "cid"), "cid"), "cid")
         .withColumn("grams", trigrams("review"))
         .withColumn("n", F.size("grams"))
         .withColumn("bucket", _bucket(F.col("len")))
         .drop("review")
+        .withColumn("hashes", F.array(*[_minhash("grams", seed) for seed in range(MINHASHES)]))
     )
 
 
@@ -189,9 +205,8 @@ def _similar_rows(
 
 def _leaders(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
     """Classes with the leader they follow (themselves where they follow none)."""
-    hashes = F.array(*[_minhash("grams", seed) for seed in range(MINHASHES)])
     keyed = classes.select(
-        "work_refid", "lang", "cid", "len", "n", F.posexplode(hashes).alias("slot", "minhash")
+        "work_refid", "lang", "cid", "len", "n", F.posexplode("hashes").alias("slot", "minhash")
     )
     key = ["work_refid", "lang", "slot", "minhash"]
     pivots = keyed.groupBy(*key).agg(F.min("cid").alias("pivot"))
@@ -207,7 +222,7 @@ def _leaders(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
         F.col("n").alias("o_n"), F.col("grams").alias("o_grams"),
     )
     near = _similar_rows(
-        close.join(sets, "cid").join(other, "pivot"),
+        spread(close, "cid").join(sets, "cid").join(other, "pivot"),
         ["cid", "pivot"],
         max(1 - rules.radius, rules.min_similarity),
         in_band(F.col("len"), F.col("o_len"), rules.length_delta),
@@ -299,14 +314,15 @@ def _matches(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
         F.col("cid").alias("o_leader"), F.col("n").alias("o_n"), F.col("grams").alias("o_grams")
     )
     close = _similar_rows(
-        _leader_pairs(led, rules).join(left, "leader").join(right, "o_leader"),
+        spread(_leader_pairs(led, rules), "leader").join(left, "leader").join(right, "o_leader"),
         ["leader", "o_leader"],
         F.col("needed") - 1e-9,
     ).drop("similarity")
     followers = led.filter("pending").select("cid", "leader")
-    # Every pending class against the leaders near its own leader.
+    # Every pending class against the leaders near its own leader. The pairs are narrow and
+    # the sets they meet costly to compare, so pairs are spread before they meet them.
     judged = materialize(
-        followers.join(close, "leader")
+        spread(followers.join(close, "leader"), "cid")
         .join(sets, "cid")
         .join(other_sets.withColumnRenamed("other", "o_leader"), "o_leader")
         .select(
@@ -323,10 +339,11 @@ def _matches(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
         F.col("cid").alias("other"), F.col("leader").alias("o_leader")
     )
     by_follower = _similar_rows(
-        judged.filter(~F.col("hit"))
-        .select("cid", "leader", "o_leader")
-        .join(crowd, "o_leader")
-        .filter(F.col("other") < F.col("leader"))
+        spread(
+            judged.filter(~F.col("hit"))
+            .select("cid", "leader", "o_leader")
+            .join(crowd, "o_leader")
+            .filter(F.col("other") < F.col("leader")), "cid")
         .join(sets, "cid")
         .join(other_sets, "other"),
         ["cid", "other"],
@@ -355,6 +372,11 @@ def pick_similar(
     """For every pending review the lowest-numbered earlier review it is similar to."""
     members = text_members(queue, reviews, rules)
     classes = materialize(text_classes(members, reviews), "classes")
+    return _answers(members, classes, rules)
+
+
+def _answers(members: DataFrame, classes: DataFrame, rules: SimilarityRules) -> DataFrame:
+    """The answer of every pending member, given all classes it could be similar to."""
     matches = _matches(classes, rules)
     best = matches.groupBy("cid").agg(
         F.min(F.struct(F.col("other"), F.col("similarity"))).alias("best")
@@ -378,3 +400,68 @@ def pick_similar(
     return answers.join(sites, "other_review_id").select(
         "site_id", "review_id", "other_site_id", "other_review_id", "similarity"
     )
+
+
+# -- kept index ------------------------------------------------------------------------------
+
+
+def _within(index: DataFrame, works: DataFrame) -> DataFrame:
+    """Index rows of the given (work, language) pairs.
+
+    Lots are sorted by work, and works are queued in the order of their number, so the span
+    of the works is a filter the scan can leave out row groups by.
+    """
+    least, most = works.agg(F.min("work_refid"), F.max("work_refid")).first()
+    if least is None:
+        return index.limit(0)
+    return index.filter(F.col("work_refid").between(least, most)).join(works, ["work_refid", "lang"], "left_semi")
+
+
+def index_members(queue: DataFrame, reviews: DataFrame, known: DataFrame, rules: SimilarityRules = SimilarityRules()) -> DataFrame:
+    """Rows a batch adds to the index of reviews: the pending ones that are not in it.
+
+    id, work_refid, lang, len, site_id and text_key; only texts of pending reviews are read.
+    """
+    pending = _comparable(queue, rules).filter("pending").drop("pending")
+    works = pending.select("work_refid", "lang").distinct()
+    new = pending.join(_within(known, works).select("id"), "id", "left_anti")
+    return new.join(_digests(reviews), "id").select("id", "work_refid", "lang", "len", "site_id", "text_key")
+
+
+def index_classes(added: DataFrame, reviews: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows a batch adds to the index of texts: those of ``added`` members that are not in it.
+
+    The class key with grams, n, bucket and hashes. A text's set is built when it is first met.
+    """
+    classes = added.groupBy(*CLASS_KEY).agg(F.min("id").alias("cid"))
+    works = added.select("work_refid", "lang").distinct()
+    new = classes.join(_within(known, works).select(*CLASS_KEY), CLASS_KEY, "left_anti")
+    return _with_sets(new, reviews.select("id", "review")).drop("cid")
+
+
+def by_work(rows: DataFrame) -> DataFrame:
+    """Rows laid out as an index lot: ranges of works, sorted."""
+    return rows.repartitionByRange("work_refid", "text_key").sortWithinPartitions("work_refid")
+
+
+def pick_indexed(
+    queue: DataFrame, members: DataFrame, classes: DataFrame, rules: SimilarityRules = SimilarityRules()
+) -> DataFrame:
+    """``pick_similar`` out of the index alone, which holds the pending reviews already.
+
+    Partners are the indexed reviews of works with a pending review. Their sets are read
+    only where the length lies within reach of a pending review of the same language.
+    """
+    pending = queue.filter(F.col("date_processed").isNull()).select(F.col("review_id").alias("id")).distinct()
+    asked = _comparable(queue, rules).filter("pending").select("work_refid", "lang").distinct()
+    here = materialize(
+        _within(members, asked).join(pending.withColumn("pending", F.lit(True)), "id", "left").withColumn(
+            "pending", F.coalesce("pending", F.lit(False))),
+        "members")
+    near = here.filter("pending").select(
+        "work_refid", "lang", F.explode(_other_buckets(F.col("len"), F.col("len"), rules.margin)).alias("bucket")).distinct()
+    first = F.min(F.struct("id", "site_id"))
+    grouped = here.groupBy(*CLASS_KEY).agg(first.alias("first"), F.max("pending").alias("pending")).select(
+        *CLASS_KEY, F.col("first.id").alias("cid"), F.col("first.site_id").alias("site_id"), "pending")
+    sets = _within(classes, asked).join(near, ["work_refid", "lang", "bucket"], "left_semi")
+    return _answers(here, materialize(grouped.join(sets, CLASS_KEY), "classes"), rules)

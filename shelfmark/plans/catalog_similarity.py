@@ -11,6 +11,8 @@ from shelfmark.plans.catalog_reports import SITES
 from shelfmark.plans.grams import GRAMS_SQL
 from shelfmark.plans.registry import query
 from shelfmark.plans.standins import NOW, Standins
+from shelfmark.plans.tables import layout
+from shelfmark.sources.tables import materialize, spread
 
 _PAIRS = f"""grams as (select *, {GRAMS_SQL} as g from review_t),
     pairs as (select r.id, o.id as other_id, r.site_id, o.site_id as other_site_id, r.review_date,
@@ -63,14 +65,16 @@ def enqueue_similarity(s: Standins):
     join grams o on o.id = f.first_id""")
 def trigram_similarity(s: Standins):
     """Each review against the first one of its work and language."""
-    reviews = s.review_t().select(
+    # A small scan is few splits, and the sets are the work: the texts are spread first.
+    rows = spread(s.review_t().select("id", "work_refid", "review_lang", "review"), "id")
+    reviews = rows.select(
         "id", "work_refid", "review_lang", trigrams("review").alias("grams")
     ).withColumn("n", F.size("grams"))
     # The first reviews are picked before any set of theirs is built.
     firsts = s.review_t().groupBy("work_refid", "review_lang").agg(F.min("id").alias("first_id"))
     texts = s.review_t().select(F.col("id").alias("first_id"), F.col("review").alias("first_review"))
     sets = (
-        firsts.join(texts, "first_id")
+        spread(firsts.join(texts, "first_id"), "first_id")
         .withColumn("first_grams", trigrams("first_review"))
         .withColumn("first_n", F.size("first_grams"))
         .drop("first_review")
@@ -102,6 +106,31 @@ def pick_similar_pending(s: Standins):
     return sim.pick_similar(queue, s.review_t()).withColumn("similarity", F.round("similarity", 6))
 
 
+def _batch(s: Standins, first: bool) -> DataFrame:
+    """The queue while the first or the second of two batches is processed."""
+    dates = s.review_t().select(F.col("id").alias("review_id"), "review_date")
+    queue, early = _queue(s).drop("date_processed").join(dates, "review_id"), F.col("review_date") < F.lit("2020-01-04").cast("date")
+    if first:
+        return queue.filter(early).withColumn("date_processed", F.lit(None).cast("timestamp_ntz"))
+    return queue.withColumn("date_processed", F.when(early, F.lit(NOW).cast("timestamp_ntz")))
+
+
+@query("pick_similar_indexed", f"""
+    with {_PAIRS} select site_id, review_id, other_site_id, other_review_id, similarity from similarto
+    where review_date >= date '2020-01-04'""")
+def pick_similar_indexed(s: Standins):
+    """The second of two batches out of a kept index, which both have added to."""
+    members = s.spark.createDataFrame([], layout("similar_member")).drop("load_audit_id")
+    classes = s.spark.createDataFrame([], layout("similar_class")).drop("load_audit_id")
+    queue = None
+    for first in (True, False):
+        queue = materialize(_batch(s, first), "queue")
+        added = materialize(sim.by_work(sim.index_members(queue, s.review_t(), members)), "member-lot")
+        texts = materialize(sim.by_work(sim.index_classes(added, s.review_t(), classes)), "class-lot")
+        members, classes = members.unionByName(added), classes.unionByName(texts)
+    return sim.pick_indexed(queue, members, classes).withColumn("similarity", F.round("similarity", 6))
+
+
 @query("similarity_groups", f"""
     with recursive {_PAIRS},
     edges as (select review_id as a, other_review_id as b from similarto

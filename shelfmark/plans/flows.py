@@ -237,7 +237,7 @@ class Warehouse:
     # -- near-duplicates ------------------------------------------------------------------
 
     def process_similarity(self, task: str, now: datetime, n_work: int | None = None) -> None:
-        """Queue the next works, find their similar reviews, mark them processed."""
+        """Queue the next works, index their reviews, find the similar ones, mark them processed."""
         job, at = "near-duplicates", now.isoformat(sep=" ")
         reviews = self.table("review")
 
@@ -252,11 +252,27 @@ class Warehouse:
             self._replace("rev_similarto_process", queue.unionByName(rows, allowMissingColumns=True))
             return new.count()
 
+        def lot(name: str, rows: DataFrame, batch: int) -> int:
+            return self._append(name, similarity.by_work(rows.withColumn("load_audit_id", F.lit(batch))), batch)
+
+        def index_reviews(batch: int) -> int:
+            new = similarity.index_members(
+                self.table("rev_similarto_process"), reviews, self.before("similar_member", batch))
+            return lot("similar_member", new, batch)
+
+        def index_texts(batch: int) -> int:
+            pending = self.table("rev_similarto_process").filter("date_processed is null").select(F.col("review_id").alias("id"))
+            added = self.table("similar_member").join(pending, "id", "left_semi")
+            return lot("similar_class", similarity.index_classes(added, reviews, self.before("similar_class", batch)), batch)
+
         def pick(batch: int) -> int:
-            found = similarity.pick_similar(self.table("rev_similarto_process"), reviews)
+            found = similarity.pick_indexed(
+                self.table("rev_similarto_process"), self.table("similar_member"), self.table("similar_class"))
             return self._append("review_similarto", found.withColumn("load_audit_id", F.lit(batch)), batch)
 
         self._run(job, f"queue {task}", enqueue, now)
+        self._run(job, f"index reviews {task}", index_reviews, now)
+        self._run(job, f"index texts {task}", index_texts, now)
         self._run(job, f"pick {task}", pick, now)
         self._run(job, f"mark {task}", lambda b: self._replace(
             "rev_similarto_process", similarity.mark_processed(self.table("rev_similarto_process"), at)), now)
