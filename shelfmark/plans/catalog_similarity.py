@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions.text import jaccard, trigrams
@@ -155,37 +157,44 @@ def mark_processed(s: Standins):
 
 
 @query("duplicate_ratio", f"""
-    with {_PAIRS}, dupes as (select review_id as id from similarto union select other_review_id from similarto),
-    per_work as (select r.work_refid, sum(case when d.id is not null then 1 else 0 end) as nb_dupes,
-                        count(*) as nb_reviews
-                 from review_t r left join dupes d on d.id = r.id group by 1)
-    select cast(sum(nb_dupes) as bigint) as total_dupes, cast(sum(nb_reviews) as bigint) as total_reviews,
-           round(avg(nb_reviews), 6) as avg_reviews, round(avg(nb_dupes), 6) as avg_dupes,
-           round(avg(nb_dupes) / avg(nb_reviews), 6) as ratio_avg_dupes from per_work""")
+    with {_PAIRS},
+    paired as (select distinct unnest([review_id, other_review_id]) as id from similarto),
+    sizes as (select (select count(*) from review_t where id in (from paired)) as copies,
+                     (select count(*) from review_t) as reviews,
+                     (select count(*) from (select distinct work_refid from review_t)) as works)
+    select copies, reviews, round(reviews / works, 6) as reviews_per_work, round(copies / works, 6) as copies_per_work,
+           round(copies / reviews, 6) as copy_share from sizes""")
 def duplicate_ratio(s: Standins):
     return reports.duplicate_ratio(s.review_t(), _similar(s))
 
 
+# What both reviews of a pair have in common: reader, day, site.
+SHARED = {
+    "same_in_all": (True, True, True), "other_reader": (False, True, True), "other_day": (True, False, True),
+    "other_site": (True, True, False), "same_reader_only": (True, False, False), "same_day_only": (False, True, False),
+    "same_in_none": (False, False, False),
+}
+
+
 def _matrix_sql() -> str:
-    names = list(SITES)
-    total = lambda c, n: f"cast(coalesce(sum(case when {c} then 1 else 0 end), 0) as bigint) as {n}"
-    out = [total(f"r.site_id = {i} and o.site_id = {i}", f"within_{n}") for n, i in SITES.items()]
-    for x, a in enumerate(names):
-        for b in names[x + 1:]:
-            i, j = SITES[a], SITES[b]
-            out.append(total(f"(r.site_id = {i} and o.site_id = {j}) or (r.site_id = {j} and o.site_id = {i})",
-                             f"between_{a}_{b}"))
-    for n, u, d, t in (("exact_copies", "=", "=", "="), ("copies_except_username", "<>", "=", "="),
-                       ("copies_except_date", "=", "<>", "="), ("copies_except_site", "=", "=", "<>"),
-                       ("copies_only_username", "=", "<>", "<>"), ("copies_only_date", "<>", "=", "<>"),
-                       ("diff_everything", "<>", "<>", "<>")):
-        out.append(total(f"u.username {u} ou.username and r.review_date {d} o.review_date "
-                         f"and r.site_id {t} o.site_id", n))
-    return f"""with {_PAIRS} select {', '.join(out)} from similarto s
-        join review_t r on s.review_id = r.id join users u on u.id = r.user_id
-        join review_t o on s.other_review_id = o.id join users ou on ou.id = o.user_id"""
+    """Pairs described once by their two sites and three flags, then counted by description."""
+    places = [(f"inside_{n}", i, i) for n, i in SITES.items()] + [
+        (f"across_{a}_{b}", min(i, j), max(i, j)) for (a, i), (b, j) in combinations(SITES.items(), 2)]
+    counts = [f"count(*) filter (low = {low} and high = {high}) as {name}" for name, low, high in places]
+    counts += [
+        "count(*) filter (" + " and ".join(f if is_so else f"not {f}" for f, is_so in zip(("reader", "day", "site"), flags, strict=True))
+        + f") as {name}" for name, flags in SHARED.items()]
+    return f"""
+    with {_PAIRS},
+    described as (select review_t.id, review_t.site_id as place, review_date as written, username as name
+                  from review_t join users on users.id = user_id),
+    flagged as (select least(mine.place, theirs.place) as low, greatest(mine.place, theirs.place) as high,
+                       mine.name = theirs.name as reader, mine.written = theirs.written as day,
+                       mine.place = theirs.place as site
+                from similarto join described mine on mine.id = review_id join described theirs on theirs.id = other_review_id)
+    select {', '.join(counts)} from flagged"""
 
 
 @query("duplicate_matrix", _matrix_sql())
 def duplicate_matrix(s: Standins):
-    return reports.duplicate_matrix(_similar(s), s.review_t(), s.users(), SITES)
+    return reports.duplicate_matrix(_similar(s), s.review_t(), s.users(), SITES, SHARED)

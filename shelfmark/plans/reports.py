@@ -11,7 +11,8 @@ of ratings that are not NULL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -385,76 +386,61 @@ def duplicate_ratio(reviews: DataFrame, similar: DataFrame) -> DataFrame:
         similar.select(F.col("review_id").alias("id"))
         .union(similar.select(F.col("other_review_id").alias("id")))
         .distinct()
-        .withColumn("dupe", F.lit(1))
+        .withColumn("copy", F.lit(1))
     )
     per_work = (
         reviews.select("id", "work_refid")
         .join(ids, "id", "left")
         .groupBy("work_refid")
-        .agg(F.count("dupe").alias("nb_dupes"), F.count(F.lit(1)).alias("nb_reviews"))
+        .agg(F.count("copy").alias("nb_copies"), F.count(F.lit(1)).alias("nb_reviews"))
     )
     return per_work.agg(
-        F.sum("nb_dupes").alias("total_dupes"),
-        F.sum("nb_reviews").alias("total_reviews"),
-        F.round(F.avg("nb_reviews"), 6).alias("avg_reviews"),
-        F.round(F.avg("nb_dupes"), 6).alias("avg_dupes"),
-        F.round(F.avg("nb_dupes") / F.avg("nb_reviews"), 6).alias("ratio_avg_dupes"),
+        F.sum("nb_copies").alias("copies"),
+        F.sum("nb_reviews").alias("reviews"),
+        F.round(F.avg("nb_reviews"), 6).alias("reviews_per_work"),
+        F.round(F.avg("nb_copies"), 6).alias("copies_per_work"),
+        F.round(F.sum("nb_copies") / F.sum("nb_reviews"), 6).alias("copy_share"),
     )
 
 
 def duplicate_matrix(
-    similar: DataFrame, reviews: DataFrame, users: DataFrame, sites: dict[str, int]
+    similar: DataFrame, reviews: DataFrame, users: DataFrame, sites: Mapping[str, int],
+    shared: Mapping[str, tuple[bool, bool, bool]],
 ) -> DataFrame:
-    """Similar pairs counted within and between sites and by what the copies share."""
+    """Similar pairs counted inside and across sites and by what both reviews share.
+
+    ``shared`` names combinations of (same reader, same day, same site). Both sides of a
+    pair are described by one lookup of the reviews that take part in any.
+    """
+    ends = similar.select(
+        F.struct("review_id", "other_review_id").alias("pair"),
+        F.explode(F.array("review_id", "other_review_id")).alias("id"))
     people = users.select(F.col("id").alias("user_id"), "username")
     described = reviews.select("id", "user_id", "site_id", "review_date").join(people, "user_id")
-    left = described.select(
-        F.col("id").alias("review_id"), F.col("site_id").alias("r_site"),
-        F.col("review_date").alias("r_date"), F.col("username").alias("r_user"),
-    )
-    right = described.select(
-        F.col("id").alias("other_review_id"), F.col("site_id").alias("o_site"),
-        F.col("review_date").alias("o_date"), F.col("username").alias("o_user"),
-    )
-    # Copies of one review share the other side: after the first lookup equal
-    # descriptions are merged, so a large group of copies shrinks before the second.
-    counted = (
-        similar.select("review_id", "other_review_id")
-        .join(left, "review_id")
-        .groupBy("other_review_id", "r_site", "r_date", "r_user")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(right, "other_review_id")
+    # The pair has both descriptions, or is left out with the review that has none.
+    pairs = (
+        ends.join(described, "id").groupBy("pair")
+        .agg(F.collect_list(F.struct("username", "review_date", "site_id")).alias("sides"))
+        .filter(F.size("sides") == 2)
+        .select(F.col("sides")[0].alias("a"), F.col("sides")[1].alias("b"))
     )
+    flags = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("username", "review_date", "site_id")]
+    kinds = pairs.groupBy(
+        F.least("a.site_id", "b.site_id").alias("low"), F.greatest("a.site_id", "b.site_id").alias("high"),
+        F.array(*flags).alias("flags"),
+    ).agg(F.count(F.lit(1)).alias("n"))
 
     def total(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n")).otherwise(0)), F.lit(0)).alias(name)
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)
 
-    names = list(sites)
-    out = [
-        total((F.col("r_site") == i) & (F.col("o_site") == i), f"within_{name}")
-        for name, i in sites.items()
-    ]
-    for x, a in enumerate(names):
-        for b in names[x + 1:]:
-            pair = [sites[a], sites[b]]
-            between = (
-                F.col("r_site").isin(pair) & F.col("o_site").isin(pair)
-                & (F.col("r_site") != F.col("o_site"))
-            )
-            out.append(total(between, f"between_{a}_{b}"))
-    user, date = F.col("r_user") == F.col("o_user"), F.col("r_date") == F.col("o_date")
-    other_user, other_date = F.col("r_user") != F.col("o_user"), F.col("r_date") != F.col("o_date")
-    site, other_site = F.col("r_site") == F.col("o_site"), F.col("r_site") != F.col("o_site")
-    out += [
-        total(user & date & site, "exact_copies"),
-        total(other_user & date & site, "copies_except_username"),
-        total(user & other_date & site, "copies_except_date"),
-        total(user & date & other_site, "copies_except_site"),
-        total(user & other_date & other_site, "copies_only_username"),
-        total(other_user & date & other_site, "copies_only_date"),
-        total(other_user & other_date & other_site, "diff_everything"),
-    ]
-    return counted.agg(*out)
+    def between(i: int, j: int) -> Column:
+        return (F.col("low") == min(i, j)) & (F.col("high") == max(i, j))
+
+    return kinds.agg(
+        *(total(between(i, i), f"inside_{name}") for name, i in sites.items()),
+        *(total(between(i, j), f"across_{a}_{b}") for (a, i), (b, j) in combinations(sites.items(), 2)),
+        *(total(F.col("flags") == F.array(*map(F.lit, flags)), name) for name, flags in shared.items()),
+    )
 
 
 def lang_histogram(reviews: DataFrame) -> DataFrame:
