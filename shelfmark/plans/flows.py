@@ -328,3 +328,17 @@ class Warehouse:
             replacements = delimited.EXPORT_REPLACEMENTS.get("review" if name == "fact_review" else name)
             delimited.export_delimited(self.store.read(name), f"{folder.rstrip('/')}/{name}", replacements)
         return list(tables)
+
+    def import_table(self, name: str, path: str, schema: str, task: str, now: datetime, max_errors: int = 100) -> None:
+        """Read an exported table back; lines that are no rows go to ``rejected``.
+
+        With more of them than are tolerated the table stays as it is, and the step fails.
+        """
+        def load(batch: int) -> int:
+            rows, rejects, bad = delimited.read_with_rejects(self.spark, path, schema)
+            self._append("rejected", rejects.withColumn("load_audit_id", F.lit(batch)), batch)
+            if bad > max_errors:
+                raise delimited.TooManyBadRows(f"{bad} rows, {max_errors} tolerated")
+            return self._replace(name, rows)
+
+        self._run("import", f"{name} {task}", load, now)

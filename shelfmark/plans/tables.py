@@ -49,6 +49,7 @@ SCHEMAS = {
     "tag_key": "tag_name string, tag_id bigint, load_audit_id int",
     "author_key": "code string, author_id bigint, load_audit_id int",
     "reviewer_key": "reviewer_uuid string, reviewer_id bigint, load_audit_id int",
+    "rejected": "source string, block bigint, field string, reason string, line string, load_audit_id int",
     "city": "city string, pop bigint, lat double, long double",
     "review_similarto": "site_id int, review_id bigint, other_site_id int, other_review_id bigint, "
                         "similarity double, load_audit_id int",

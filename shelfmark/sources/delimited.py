@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from shelfmark.functions.text import let
 from shelfmark.schemas import LANGUAGE_REF, STAGED_TYPES, text_schema
@@ -106,11 +107,14 @@ def _escaped(value: Column) -> Column:
 
 
 def _unescaped(value: Column) -> Column:
-    # A doubled backslash is held aside, so that what follows it is not taken as a code.
-    value = F.replace(value, F.lit("\\\\"), F.lit("\ue000"))
-    for plain, coded in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("|", "\\|")):
-        value = F.replace(value, F.lit(coded), F.lit(plain))
-    return F.replace(value, F.lit("\ue000"), F.lit("\\"))
+    """Codes undone from left to right in one pass: a code is a backslash and the character after it."""
+    def plain(part: Column) -> Column:
+        out = F.when(part == "\\n", "\n").when(part == "\\r", "\r").when(part == "\\t", "\t")
+        coded = F.startswith(part, F.lit("\\")) & (F.length(part) > 1)
+        return out.when(coded, F.substr(part, F.lit(2))).otherwise(part)
+
+    parts = F.regexp_extract_all(value, F.lit(r"(?s)(\\.|[^\\]++|\\)"), F.lit(1))
+    return F.when(F.contains(value, F.lit("\\")), F.array_join(F.transform(parts, plain), "")).otherwise(value)
 
 
 def export_delimited(
@@ -130,30 +134,55 @@ def export_delimited(
     lines.write.option("compression", "gzip" if compress else "none").text(path)
 
 
-def read_tolerant(spark: SparkSession, path: str, schema: str, max_errors: int = 100) -> DataFrame:
-    """Read an export back; unreadable rows are dropped unless they exceed the limit.
+# What is kept of a line that could not be read: where it stands, what was wrong, and the line.
+REJECT = "source string, block bigint, field string, reason string, line string"
+WRONG_COUNT, WRONG_VALUE = "number of fields", "value"
+
 
-    A row is unreadable when it has another number of fields or a field does not convert.
-    The lines are taken apart once, into an intermediate table; the count of unreadable
-    rows reads one of its columns.
+def read_with_rejects(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame, int]:
+    """Rows of an export, the lines that are none (REJECT), and how many those are.
+
+    A line is rejected when it has another number of fields, or for the first field that
+    does not convert. ``source`` is its file and ``block`` the byte at which the part of the
+    file begins that it was read with. One pass writes rows and rejects to an intermediate
+    table and counts the rejects on the way.
     """
-    fields = [f.split() for f in schema.split(",")]
+    fields = StructType.fromDDL(schema).fields
     # Fields end at a delimiter no backslash stands before.
     cells = F.regexp_extract_all(
         F.concat(F.col("value"), F.lit("|")), F.lit(r"((?:[^\\|]++|\\.)*+)\|"), F.lit(1)
     )
+
     def row(found: Column) -> Column:
-        readable, out = F.size(found) == len(fields), []
-        for i, (name, kind) in enumerate(fields):
+        out, unread = [], []
+        for i, field in enumerate(fields):
             cell = F.nullif(F.get(found, F.lit(i)), F.lit("\\N"))
-            value = _unescaped(cell) if kind == "string" else cell.try_cast(kind)
-            readable = readable & (cell.isNull() | value.isNotNull())
-            out.append(value.alias(name))
-        return F.struct(readable.alias("_ok"), *out)
-
+            value = _unescaped(cell) if field.dataType == StringType() else cell.try_cast(field.dataType)
+            out.append(value.alias(field.name))
+            unread.append(F.when(cell.isNotNull() & value.isNull(), F.lit(field.name)))
+        wrong_count = F.size(found) != len(fields)
+        first = F.when(~wrong_count, F.coalesce(*unread, F.lit(None).cast("string")))
+        reason = F.when(wrong_count, WRONG_COUNT).when(first.isNotNull(), WRONG_VALUE)
+        reject = F.struct(
+            F.col("file_path").alias("source"), F.col("file_block_start").alias("block"), first.alias("field"),
+            reason.alias("reason"), F.col("value").alias("line"))
+        return F.struct(F.struct(*out).alias("row"), F.when(reason.isNotNull(), reject).alias("reject"))
+
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    observed = Observation()
     # Unpacked by a generator, so that each line is taken apart once.
-    rows = materialize(spark.read.text(path).select(F.inline(F.array(let(cells, row)))), "read-back")
-    bad = rows.agg(F.count_if(~F.col("_ok"))).first()[0]
+    read = materialize(
+        lines.select(F.inline(F.array(let(cells, row)))).observe(observed, F.count("reject").alias("rejects")), "read-back")
+    return (
+        read.filter("reject is null").select("row.*"),
+        read.filter("reject is not null").select("reject.*"),
+        observed.get["rejects"],
+    )
+
+
+def read_tolerant(spark: SparkSession, path: str, schema: str, max_errors: int = 100) -> DataFrame:
+    """Read an export back; unreadable rows are dropped unless they exceed the limit."""
+    rows, _, bad = read_with_rejects(spark, path, schema)
     if bad > max_errors:
         raise TooManyBadRows(f"{bad} rows, {max_errors} tolerated")
-    return rows.filter("_ok").drop("_ok")
+    return rows

@@ -245,3 +245,18 @@ def test_new_keys(spark, rows):
     assert rows(keys.new_keys(known, wanted, "k", "id")) == [("a", 8), ("c", 9), ("é", 10)]
     assert rows(keys.new_keys(known.limit(0), wanted.limit(0), "k", "id")) == []
     assert rows(keys.with_ids(wanted, known, "k", "id")) == [(1, "b")]
+
+
+def test_an_import_keeps_what_it_cannot_read(spark, tmp_path, rows):
+    from shelfmark.sources.delimited import TooManyBadRows
+
+    wh, folder = house(spark, tmp_path), tmp_path / "export"
+    folder.mkdir()
+    (folder / "f.txt").write_text("1|a\n2\nx|c\n3|d\n")
+    layout = "site_id int, name string"
+    with pytest.raises(TooManyBadRows):
+        wh.import_table("dim_site", str(folder), layout, "one", NOW, max_errors=1)
+    assert not wh.store.exists("dim_site") and wh.table("rejected").count() == 2
+    wh.import_table("dim_site", str(folder), layout, "one", NOW, max_errors=2)
+    assert rows(wh.store.read("dim_site")) == [(1, "a"), (3, "d")]
+    assert rows(wh.table("rejected"), "reason", "line") == [("number of fields", "2"), ("value", "x|c")]

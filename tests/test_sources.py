@@ -72,6 +72,32 @@ def test_export_and_tolerant_read(spark, tmp_path, rows):
         delimited.read_tolerant(spark, str(bad), "id bigint, a string, b string", 0)
 
 
+def test_every_character_comes_back(spark, tmp_path):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(map(chr, points[i:i + 9001])) for i in range(0, len(points), 9001)]
+    texts += ["\ue000", "\\\ue000\\", "\\", "\\\\n", "\\n\n", "|\\|", "\\N", "", "ends with \\"]
+    made = spark.createDataFrame(list(enumerate(texts)), "id int, review string")
+    delimited.export_delimited(made, str(tmp_path / "out"))
+    back, rejects, bad = delimited.read_with_rejects(spark, str(tmp_path / "out"), "id int, review string")
+    assert [r.review for r in back.orderBy("id").collect()] == texts
+    assert bad == 0 and rejects.isEmpty()
+
+
+def test_rejects_tell_reason_and_place(spark, tmp_path, rows):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.txt").write_text("1|2.50|x|2015-01-01\n1|2.50\none|2|x|\\N\n")
+    (folder / "b.txt").write_text("3|high|y|2015-13-01\n\\N|\\N|\\N|\\N\n4|1|a\\|b|2015-01-02\n\n")
+    schema = "id int, price decimal(10,2), name string, `the day` date"
+    good, rejects, bad = delimited.read_with_rejects(spark, str(folder), schema)
+    assert bad == 4 and rows(good, "id", "name") == [(1, "x"), (4, "a|b"), (None, None)]
+    assert rows(rejects, "field", "reason", "line", "block") == sorted([
+        (None, delimited.WRONG_COUNT, "1|2.50", 0), ("id", delimited.WRONG_VALUE, "one|2|x|\\N", 0),
+        ("price", delimited.WRONG_VALUE, "3|high|y|2015-13-01", 0), (None, delimited.WRONG_COUNT, "", 0)], key=str)
+    assert {r.source.rsplit("/", 1)[1] for r in rejects.collect()} == {"a.txt", "b.txt"}
+    assert good.columns == ["id", "price", "name", "the day"]
+
+
 def test_period_and_patterns(spark, tmp_path, rows):
     names = ["ReviewOf_1-1-2000_31-12-2001.dat", "ReviewOfx_5-6-2015.dat", "other.dat"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
