@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions.text import jaccard, trigrams
-from shelfmark.operators import similarity as sim
+from shelfmark.operators import sameuser, similarity as sim
 from shelfmark.plans import reports
 from shelfmark.plans.catalog_reports import SITES
 from shelfmark.plans.grams import GRAMS_SQL
@@ -133,6 +133,50 @@ def pick_similar_indexed(s: Standins):
     return sim.pick_indexed(queue, members, classes).withColumn("similarity", F.round("similarity", 6))
 
 
+# Four readers on each of three sites; a work is read on all of them.
+_SAME = f"""{_PAIRS},
+    who as (select id, site_id, site_id * 10 + (work_refid + id // 60) % 4 as reader
+            from (select id, work_refid, id // 20 % 3 + 1 as site_id from review_t)),
+    sides as (select mine.reader as a, mine.site_id as sa, mine.id as ia, theirs.reader as b, theirs.site_id as sb, theirs.id as ib
+              from similarto join who mine on mine.id = review_id join who theirs on theirs.id = other_review_id
+              where mine.site_id <> theirs.site_id),
+    agreed as (select a, sa, b, sb, least(count(distinct ia), count(distinct ib)) as texts
+               from (from sides union all select b, sb, ib, a, sa, ia from sides) group by all having texts >= 2),
+    best as (select a, sa, b, sb from agreed qualify row_number() over (partition by a, sb order by texts desc, b) = 1),
+    up as (select a, arg_min(b, sb) as b from best where sb < sa and (b, a) in (select (a, b) from best) group by a),
+    climb(a, b, steps) as (select a, b, 1 from up union all select climb.a, up.b, steps + 1 from climb join up on up.a = climb.b),
+    same as (select a as user_id, arg_max(b, steps) as same_user_id from climb group by a)"""
+
+
+def _same_users(s: Standins) -> tuple[DataFrame, DataFrame]:
+    """Reviews with a reader of their site, and the readers found to be the same."""
+    part = lambda n: F.floor(F.col("id") / n)
+    reviews = s.review_t().withColumn("site_id", part(20) % 3 + 1).withColumn(
+        "user_id", F.col("site_id") * 10 + (F.col("work_refid") + part(60)) % 4)
+    return reviews, sameuser.same_users(_similar(s), reviews)
+
+
+@query("same_user", f"""
+    with recursive {_SAME}
+    from same union select same_user_id, same_user_id from same""")
+def same_user(s: Standins):
+    return _same_users(s)[1]
+
+
+@query("user_book_matrix_same_users", f"""
+    with recursive {_SAME},
+    keys as (select work_refid, title || '::' || string_agg(name, '_' order by name) as book_key
+             from work_author join author using (author_id) join work_info using (work_refid) group by work_refid, title)
+    select coalesce(same_user_id, who.reader) as user_key, book_key, round(avg(text_length % 10), 6) as rating
+    from review_t join who using (id) left join same on same.user_id = who.reader join keys using (work_refid)
+    group by 1, work_refid, book_key""")
+def user_book_matrix_same_users(s: Standins):
+    """The reviewer matrix with the users found to be the same merged."""
+    reviews, same = _same_users(s)
+    rated = reviews.withColumn("parsed_rating", F.col("text_length") % 10)
+    return reports.user_book_matrix(rated, s.work_info(), s.work_author(), s.author(), same)
+
+
 @query("similarity_groups", f"""
     with recursive {_PAIRS},
     edges as (select review_id as a, other_review_id as b from similarto

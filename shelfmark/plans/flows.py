@@ -17,7 +17,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
-from shelfmark.operators import keys, languages, loads, normalize, queues, similarity, star
+from shelfmark.operators import keys, languages, loads, normalize, queues, sameuser, similarity, star
 from shelfmark.operators.merge import add_ids
 from shelfmark.plans import tables as layouts
 from shelfmark.sources import delimited, feeds
@@ -277,6 +277,11 @@ class Warehouse:
         self._run(job, f"mark {task}", lambda b: self._replace(
             "rev_similarto_process", similarity.mark_processed(self.table("rev_similarto_process"), at)), now)
 
+    def derive_same_users(self, task: str, now: datetime) -> None:
+        """Link the users of different sites whose reviews are alike, from all similar pairs found so far."""
+        self._run("same users", f"user_sameas {task}", lambda b: self._replace(
+            "user_sameas", sameuser.same_users(self.table("review_similarto"), self.table("review"))), now)
+
     # -- star schema ------------------------------------------------------------------------
 
     def register_keys(self, registry: str, wanted: DataFrame, key: str, name: str, task: str, now: datetime) -> DataFrame:
