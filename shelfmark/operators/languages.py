@@ -11,10 +11,10 @@ derives a not-empty filter and computes the sets a second and third time below i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfmark.functions.text import trigrams
-from shelfmark.sources.tables import materialize
+from shelfmark.sources.tables import materialize, spread
 
 # Shorter texts and less certain answers are undetermined.
 MIN_DETECT_SIZE = 30
@@ -22,6 +22,19 @@ MIN_DETECT_PROB = 0.70
 UNDETERMINED = "und"
 
 BROADCAST_ROWS = 400_000  # trigrams of a profile that is sent to all executors, at most
+WIDE_LANGUAGES = 64  # languages up to which a trigram's weights are columns of one row
+
+
+def with_sets(texts: DataFrame, key: str = "id", text: str = "review") -> DataFrame:
+    """``texts`` with grams, their trigram sets, built once and spread over all cores.
+
+    Training and detection take the sets from there instead of building their own.
+    """
+    return materialize(spread(texts, key).withColumn("grams", trigrams(text)), "trigram-sets")
+
+
+def _sets(texts: DataFrame, text: str) -> Column:
+    return F.col("grams") if "grams" in texts.columns else trigrams(text)
 
 
 def train_profiles(labelled: DataFrame, text: str = "review", lang: str = "review_lang") -> DataFrame:
@@ -31,9 +44,8 @@ def train_profiles(labelled: DataFrame, text: str = "review", lang: str = "revie
     count plus one) and the language's size (the logarithm of its smoothed total).
     """
     counted = materialize(
-        labelled.select(text, lang)
-        .filter(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode_outer(trigrams(text)).alias("gram"))
+        labelled.filter(F.col(lang).isNotNull())
+        .select(F.col(lang).alias("lang"), F.explode_outer(_sets(labelled, text)).alias("gram"))
         .filter(F.col("gram").isNotNull())
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n")),
@@ -53,11 +65,28 @@ def classify(texts: DataFrame, profiles: DataFrame, key: str = "id", text: str =
     are combined before the shuffle to one row per text and language.
     """
     small = profiles.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    sets = texts.select(key, _sets(texts, text).alias("grams")).withColumn("n", F.size("grams"))
+    grams = sets.select(key, "n", F.explode_outer("grams").alias("gram"))
+    sizes = profiles.select(F.inline("langs")).groupBy("lang").agg(F.max("size").alias("size")).orderBy("lang").limit(
+        WIDE_LANGUAGES + 1).collect()
+    if len(sizes) <= WIDE_LANGUAGES:
+        # A column per language: a trigram stays one row, and its weights are added up in it.
+        by_lang = F.map_from_entries(F.transform("langs", lambda e: F.struct(e["lang"], e["weight"])))
+        known = profiles.select("gram", by_lang.alias("m")).select(
+            "gram", *(F.coalesce(F.col("m")[r["lang"]], F.lit(0.0)).alias(f"w{i}") for i, r in enumerate(sizes)))
+        found = (
+            grams.join(F.broadcast(known) if small else known.hint("merge"), "gram").groupBy(key)
+            .agg(F.max("n").alias("n"), *(F.sum(f"w{i}").alias(f"w{i}") for i in range(len(sizes))))
+        )
+        entries = [
+            F.when(F.col(f"w{i}") > 0, F.struct((F.col(f"w{i}") - F.col("n") * r["size"]).alias("score"), F.lit(r["lang"]).alias("lang")))
+            for i, r in enumerate(sizes)]
+        best = found.select(key, F.filter(F.array(*entries), lambda e: e.isNotNull()).alias("all")).select(
+            key, F.array_max("all").alias("top"), F.col("all.score").alias("scores"))
+        return _most_probable(best, key) if sizes else sets.limit(0).selectExpr(key, "'' as lang", "0.0d as probability")
     known = F.broadcast(profiles) if small else profiles.hint("merge")
-    sets = texts.select(key, trigrams(text).alias("grams")).withColumn("n", F.size("grams"))
     hits = (
-        sets.select(key, "n", F.explode_outer("grams").alias("gram"))
-        .join(known, "gram")
+        grams.join(known, "gram")
         .select(key, "n", F.inline("langs"))
         .groupBy(key, "lang")
         .agg(F.sum("weight").alias("found"), F.max("n").alias("n"), F.max("size").alias("size"))
@@ -67,6 +96,11 @@ def classify(texts: DataFrame, profiles: DataFrame, key: str = "id", text: str =
     best = scored.groupBy(key).agg(
         F.max(F.struct("score", "lang")).alias("top"), F.collect_list("score").alias("scores")
     )
+    return _most_probable(best, key)
+
+
+def _most_probable(best: DataFrame, key: str) -> DataFrame:
+    """The best language (top) with its share among all scores."""
     certainty = 1 / F.aggregate(
         F.col("scores"), F.lit(0.0), lambda acc, s: acc + F.exp(s - F.col("top.score"))
     )
@@ -91,7 +125,8 @@ def detect_language(
 def batch_detect_language(reviews: DataFrame, profiles: DataFrame, to_marc: dict[str, str] | None = None) -> DataFrame:
     """Fill the language of reviews that have a text and no language, in one pass."""
     open_ones = reviews.filter(F.col("review_lang").isNull() & F.col("review").isNotNull())
-    found = detect_language(open_ones.select("id", "review"), profiles).select("id", "detected_lang")
+    sets = [c for c in ("grams",) if c in reviews.columns]
+    found = detect_language(open_ones.select("id", "review", *sets), profiles).select("id", "detected_lang")
     if to_marc:
         codes = F.create_map(*[F.lit(x) for pair in to_marc.items() for x in pair])
         found = found.withColumn("detected_lang", F.coalesce(codes[F.col("detected_lang")], "detected_lang"))

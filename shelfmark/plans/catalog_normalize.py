@@ -327,7 +327,7 @@ _DETECTED = f"""grams as (select id, review_lang, review, {GRAMS_SQL} as g from
 
 @query("detect_language", f"with {_DETECTED} select id, review_lang, detected_lang from detected")
 def detect_language(s: Standins):
-    reviews = s.review_t().select("id", "review", "review_lang")
+    reviews = languages.with_sets(s.review_t().select("id", "review", "review_lang"))
     profiles = languages.train_profiles(reviews)
     return languages.detect_language(reviews, profiles).select("id", "review_lang", "detected_lang")
 
@@ -338,7 +338,7 @@ def detect_language(s: Standins):
                     then detected_lang else coalesce(review_lang, detected_lang) end as review_lang from detected""")
 def batch_detect_language(s: Standins):
     """Languages of reviews in capitals are forgotten, then found again."""
-    reviews = s.review_t().select("id", "review", "review_lang")
+    reviews = languages.with_sets(s.review_t().select("id", "review", "review_lang"))
     profiles = languages.train_profiles(reviews)
     reset = repair.reset_lang_for_caps(reviews)
     return languages.batch_detect_language(reset, profiles).select("id", "review_lang")
