@@ -7,6 +7,7 @@ from shelfmark.plans import (  # noqa: F401
     catalog_reports,
     catalog_similarity,
     catalog_sources,
+    catalog_standing,
     catalog_star,
     catalog_touches,
 )

@@ -17,7 +17,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
-from shelfmark.operators import keys, languages, loads, normalize, queues, sameuser, similarity, star
+from shelfmark.operators import keys, languages, loads, normalize, queues, sameuser, similarity, standing, star
 from shelfmark.operators.merge import add_ids
 from shelfmark.plans import tables as layouts
 from shelfmark.sources import delimited, feeds
@@ -199,7 +199,9 @@ class Warehouse:
         def reviews(batch: int) -> int:
             last = self.before("review", batch).agg(F.max("id")).first()[0]
             rows = loads.append_review(stage, sites, at, batch, site)
-            return self._append("review", add_ids(rows, last or 0), batch)
+            written = self._append("review", add_ids(rows, last or 0), batch)
+            self._keep_states(batch)
+            return written
 
         run("review", reviews)
         run("tag", lambda b: self._append(
@@ -214,6 +216,17 @@ class Warehouse:
             run("work_site_mapping", lambda b: self.log("work_site_mapping").append(
                 b, loads.site_mapping_touches(stage, sites, at, b, site)))
 
+    def _keep_states(self, batch: int) -> None:
+        """The report states of a load, out of its stored reviews."""
+        own = self.table("review").filter(F.col("load_audit_id") == batch)
+        self._append("review_state", standing.load_state(own), batch)
+        self._append("review_readers", standing.load_readers(own), batch)
+
+    def take_back_reviews(self, batch: int) -> None:
+        """Take a load's reviews out, with what reports keep of them."""
+        for name in ("review_state", "review_readers", "review"):
+            self.store.drop_batch(name, batch)
+
     def fill_languages(self, task: str, now: datetime) -> None:
         """Find the language of reviews that have a text and none, from those that have both.
 

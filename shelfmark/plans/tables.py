@@ -49,6 +49,9 @@ SCHEMAS = {
     "tag_key": "tag_name string, tag_id bigint, load_audit_id int",
     "author_key": "code string, author_id bigint, load_audit_id int",
     "reviewer_key": "reviewer_uuid string, reviewer_id bigint, load_audit_id int",
+    "review_state": "work_refid bigint, site_id int, nb_reviews bigint, rating_n bigint, rating_sum bigint, "
+                    "rating_squares bigint, load_audit_id int",
+    "review_readers": "site_id int, readers binary, load_audit_id int",
     "user_sameas": "user_id string, same_user_id string",
     "rejected": "source string, block bigint, field string, reason string, line string, load_audit_id int",
     "city": "city string, pop bigint, lat double, long double",

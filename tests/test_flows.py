@@ -260,3 +260,33 @@ def test_an_import_keeps_what_it_cannot_read(spark, tmp_path, rows):
     wh.import_table("dim_site", str(folder), layout, "one", NOW, max_errors=2)
     assert rows(wh.store.read("dim_site")) == [(1, "a"), (3, "d")]
     assert rows(wh.table("rejected"), "reason", "line") == [("number of fields", "2"), ("value", "x|c")]
+
+
+def test_report_states_follow_the_loads(spark, tmp_path, rows):
+    from shelfmark.operators import standing
+    from shelfmark.plans import reports
+
+    wh = house(spark, tmp_path)
+    lots = {
+        "one": [f"goodreads|n{i}|u{i}|{i % 3}|g{i}|good|eng|{i % 9}|2015-01-01" for i in range(12)],
+        "two": ["goodreads|n1|u1|1|g1|bad|eng|2|2015-01-02", "goodreads|n2|u2|7|g2|none|eng||2015-01-03"],
+    }
+    for task, lines in lots.items():
+        wh.load_reviews(write(tmp_path / f"{task}.r", REVIEWS, lines), "goodreads", task, NOW)
+        wh.load_reviews(write(tmp_path / f"{task}.r", REVIEWS, lines), "goodreads", task, NOW)
+    wh.load_reviews(write(tmp_path / "b.r", REVIEWS, [
+        f"babelio|n{i}|u{i}|{i % 4}|b{i}|ok|fre|{i}|2015-01-01" for i in range(8)]), "babelio", "three", NOW)
+    sites = {"gr": 2, "ba": 4}
+
+    def compare():
+        state, reviews = wh.table("review_state"), wh.table("review")
+        titles = reviews.select("work_refid").distinct().selectExpr("work_refid", "'t' as title")
+        assert rows(standing.site_rating_comparison(state, sites)) == rows(reports.site_rating_comparison(reviews, sites))
+        assert rows(standing.top_books(state, titles)) == rows(reports.top_books(reviews, titles))
+        assert rows(standing.reviews_per_site(state, wh.table("review_readers"))) == rows(reports.reviews_per_site(reviews))
+        return rows(standing.reviews_by_site(state))
+
+    assert compare() == [(2, 14), (4, 8)]
+    second = wh.table("review").filter("review = 'bad'").first().load_audit_id
+    wh.take_back_reviews(second)
+    assert compare() == [(2, 12), (4, 8)]
