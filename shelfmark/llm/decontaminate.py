@@ -307,14 +307,14 @@ def contamination(
     rule. An empty benchmark hits nothing.
     """
     prepared(docs.sparkSession)
-    out = docs.drop("n_words", "spans", "items")
+    out = packed(docs.drop("n_words", "spans", "items"), "text", without=("text",))
     columns = out.columns
     blocks = _blocks(benchmark, length, block)
     for i, phrases in enumerate(blocks):
         if i == len(blocks) - 1 and not with_text:
             columns = [c for c in columns if c != "text"]
         out = out.mapInArrow(_search(phrases, columns, i > 0), with_fields(out, columns, *_FOUND))
-    return out
+    return out.select("row.*", *(c for c in out.columns if c != "row"))
 
 
 def _cut(keep: list[str]):
