@@ -124,17 +124,23 @@ def detect_language(
 
 def batch_detect_language(reviews: DataFrame, profiles: DataFrame, to_marc: dict[str, str] | None = None) -> DataFrame:
     """Fill the language of reviews that have a text and no language, in one pass."""
+    found = found_languages(reviews, profiles, to_marc)
+    return (
+        reviews.join(found, "id", "left")
+        .withColumn("review_lang", F.coalesce("review_lang", "detected_lang"))
+        .drop("detected_lang")
+    )
+
+
+def found_languages(reviews: DataFrame, profiles: DataFrame, to_marc: dict[str, str] | None = None) -> DataFrame:
+    """id and detected_lang of the reviews that have a text and no language."""
     open_ones = reviews.filter(F.col("review_lang").isNull() & F.col("review").isNotNull())
     sets = [c for c in ("grams",) if c in reviews.columns]
     found = detect_language(open_ones.select("id", "review", *sets), profiles).select("id", "detected_lang")
     if to_marc:
         codes = F.create_map(*[F.lit(x) for pair in to_marc.items() for x in pair])
         found = found.withColumn("detected_lang", F.coalesce(codes[F.col("detected_lang")], "detected_lang"))
-    return (
-        reviews.join(found, "id", "left")
-        .withColumn("review_lang", F.coalesce("review_lang", "detected_lang"))
-        .drop("detected_lang")
-    )
+    return found
 
 
 def lang_prior(reviews: DataFrame, min_length: int = 100) -> DataFrame:

@@ -22,10 +22,15 @@ def reset_lang_for_caps(reviews: DataFrame) -> DataFrame:
     )
 
 
-def drop_double_loaded_master(reviews: DataFrame, work_sameas: DataFrame, site_id: int = 1) -> DataFrame:
-    """Drop the last load of master works whose reviews came in more than one load."""
+def lang_resets(reviews: DataFrame) -> DataFrame:
+    """Reviews (id) written mostly in capitals that have a language to forget."""
+    return reviews.filter(F.col("review_lang").isNotNull() & mostly_capitals("review")).select("id")
+
+
+def _double_loads(reviews: DataFrame, work_sameas: DataFrame, site_id: int) -> DataFrame:
+    """(work, load, site): the last load of master works whose reviews came in more than one."""
     masters = work_sameas.select(F.col("master_refid").alias("work_refid")).distinct()
-    loads = (
+    return (
         reviews.filter(F.col("site_id") == site_id)
         .select("work_refid", "load_audit_id")
         .distinct()
@@ -35,11 +40,23 @@ def drop_double_loaded_master(reviews: DataFrame, work_sameas: DataFrame, site_i
         .filter(F.col("n") > 1)
         .select("work_refid", "load_audit_id", F.lit(site_id).alias("site_id"))
     )
-    return reviews.join(loads, ["work_refid", "load_audit_id", "site_id"], "left_anti")
 
 
-def drop_shared_uid_duplicates(reviews: DataFrame, mapping: DataFrame, site_id: int = 4) -> DataFrame:
-    """Drop a site's reviews of works mapped later to a uid another work already had."""
+_LOAD_KEY = ["work_refid", "load_audit_id", "site_id"]
+
+
+def drop_double_loaded_master(reviews: DataFrame, work_sameas: DataFrame, site_id: int = 1) -> DataFrame:
+    """Drop the last load of master works whose reviews came in more than one load."""
+    return reviews.join(_double_loads(reviews, work_sameas, site_id), _LOAD_KEY, "left_anti")
+
+
+def double_loaded_master(reviews: DataFrame, work_sameas: DataFrame, site_id: int = 1) -> DataFrame:
+    """The reviews (id) that ``drop_double_loaded_master`` drops."""
+    return reviews.join(_double_loads(reviews, work_sameas, site_id), _LOAD_KEY, "left_semi").select("id")
+
+
+def _later_works(mapping: DataFrame, site_id: int) -> DataFrame:
+    """(work, site): works mapped later to a uid another work already had."""
     on_site = mapping.filter(F.col("site_id") == site_id)
     shared = (
         on_site.filter(F.col("work_uid") != "-1")
@@ -48,14 +65,23 @@ def drop_shared_uid_duplicates(reviews: DataFrame, mapping: DataFrame, site_id:
         .filter(F.col("n") > 1)
         .select("work_uid", "first_load")
     )
-    later = (
+    return (
         on_site.select("work_refid", "work_uid", "load_audit_id")
         .join(shared, "work_uid")
         .filter(F.col("load_audit_id") > F.col("first_load"))
         .select("work_refid", F.lit(site_id).alias("site_id"))
         .distinct()
     )
-    return reviews.join(later, ["work_refid", "site_id"], "left_anti")
+
+
+def drop_shared_uid_duplicates(reviews: DataFrame, mapping: DataFrame, site_id: int = 4) -> DataFrame:
+    """Drop a site's reviews of works mapped later to a uid another work already had."""
+    return reviews.join(_later_works(mapping, site_id), ["work_refid", "site_id"], "left_anti")
+
+
+def shared_uid_duplicates(reviews: DataFrame, mapping: DataFrame, site_id: int = 4) -> DataFrame:
+    """The reviews (id) that ``drop_shared_uid_duplicates`` drops."""
+    return reviews.join(_later_works(mapping, site_id), ["work_refid", "site_id"], "left_semi").select("id")
 
 
 def double_harvest_check(work_sameas: DataFrame, mapping: DataFrame, site_id: int = 2) -> DataFrame:

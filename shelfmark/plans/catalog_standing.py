@@ -1,4 +1,4 @@
-"""Registered reports over states kept per load.
+"""Registered reports over states kept per load, and reviews with patches laid over them.
 
 Each year's reviews are a load; one load is repeated, and one is taken back. The SQL reads
 the reviews that are left.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.operators import standing
+from shelfmark.operators import overlay, repair, standing
 from shelfmark.plans.catalog_sources import _folder
 from shelfmark.plans.registry import query
 from shelfmark.plans.standins import Standins
@@ -70,3 +70,25 @@ def standing_reviews_per_site(s: Standins) -> DataFrame:
     off = F.abs(F.col("nb_reviewers") - F.col("exact")) / F.col("exact")
     return found.join(exact, "site_id").select(
         "site_id", "avg_reviews_per_book", (off <= standing.SKETCH_ERROR).alias("reviewers_within_error"))
+
+
+# Long texts get another language, very short ones go, then texts in capitals lose theirs.
+_PATCHED = """
+    select id, site_id, review, case
+             when length(review) >= 30 and regexp_matches(review, '[A-Z]')
+                  and length(regexp_replace(review, '[A-Z]', '', 'g')) / length(review) < 0.5 then null
+             when length(review) > 2000 then 'xx' else review_lang end as review_lang
+    from review_t where length(review) >= 25"""
+
+
+@query("overlay_reviews", _PATCHED)
+def overlay_reviews(s: Standins) -> DataFrame:
+    """Four loads of patches, the last of them undone, laid over reviews that stay as they are."""
+    store = Store(s.spark, _folder(s, "patches"))
+    reviews = s.review_t().select("id", "site_id", "review", "review_lang")
+    store.append_batch("patch", overlay.value_patch(reviews.filter(F.length("review") > 2000), "review_lang", F.lit("xx"), 1))
+    store.append_batch("patch", overlay.deletion_patch(reviews.filter(F.length("review") < 25), 2))
+    store.append_batch("patch", overlay.value_patch(repair.lang_resets(reviews), "review_lang", F.lit(None), 3))
+    store.append_batch("patch", overlay.deletion_patch(reviews.filter("site_id = 5"), 4))
+    store.drop_batch("patch", 4)
+    return overlay.laid_over(reviews, s.spark.read.schema(overlay.PATCH).parquet(store.path("patch")), ("review_lang",))

@@ -17,12 +17,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
-from shelfmark.operators import keys, languages, loads, normalize, queues, sameuser, similarity, standing, star
+from shelfmark.operators import (
+    keys, languages, loads, normalize, overlay, queues, repair, sameuser, similarity, standing, star,
+)
 from shelfmark.operators.merge import add_ids
 from shelfmark.plans import tables as layouts
 from shelfmark.sources import delimited, feeds
 from shelfmark.sources.ledger import EMPTY, Ledger
-from shelfmark.sources.tables import Store, drop_intermediate, is_empty
+from shelfmark.sources.tables import Store, drop_intermediate, is_empty, materialize
 from shelfmark.sources.touches import TouchLog
 
 
@@ -39,9 +41,15 @@ class Warehouse:
         self.ledger = Ledger(spark, f"{root.rstrip('/')}/load_audit")
 
     def table(self, name: str) -> DataFrame:
-        """A stored table, empty before its first load."""
+        """A table, empty before its first load; reviews as their patches have them."""
         if name in layouts.TOUCHED:
             return self.log(name).read()
+        if name == "review" and self.store.exists("review_patch"):
+            return overlay.laid_over(self.stored(name), self.table("review_patch"), layouts.PATCHED)
+        return self.stored(name)
+
+    def stored(self, name: str) -> DataFrame:
+        """A table's rows as they are stored."""
         if self.store.exists(name):
             return self.spark.read.schema(layouts.SCHEMAS[name]).parquet(self.store.path(name))
         return self.spark.createDataFrame([], layouts.SCHEMAS[name])
@@ -230,23 +238,55 @@ class Warehouse:
     def fill_languages(self, task: str, now: datetime) -> None:
         """Find the language of reviews that have a text and none, from those that have both.
 
-        Only loads with such reviews are rewritten. Two-letter answers become MARC codes.
+        What is found is laid over the reviews as patches. Two-letter answers become MARC codes.
         """
         def fill(batch: int) -> int | None:
-            reviews = self.table("review")
-            open_loads = reviews.filter("review_lang is null and review is not null").select("load_audit_id").distinct()
-            if open_loads.isEmpty():
+            reviews = overlay.laid_over(self.stored("review"), self.before("review_patch", batch), layouts.PATCHED)
+            if reviews.filter("review_lang is null and review is not null").isEmpty():
                 return None
             marc = {r.code2: r.code for r in self.table("language").filter("code2 is not null and code is not null").collect()}
-            profiles = languages.train_profiles(reviews)
-            affected = reviews.join(open_loads, "load_audit_id", "left_semi")
-            filled = languages.batch_detect_language(affected, profiles, marc).select(*reviews.columns)
-            observed = Observation()
-            self.store.append_batch("review", filled.observe(observed, F.count(F.lit(1)).alias("rows")))
-            return observed.get["rows"]
+            found = languages.found_languages(reviews, languages.train_profiles(reviews), marc).filter("detected_lang is not null")
+            return self._append("review_patch", overlay.value_patch(found, "review_lang", F.col("detected_lang"), batch), batch)
 
         self._run("language fill", f"review {task}", fill, now)
 
+    def repair_reviews(self, task: str, now: datetime) -> None:
+        """Known problems as patches: languages of texts in capitals, works loaded twice, uids of two works."""
+        reviews, mapping = self.table("review"), self.table("work_site_mapping")
+        repairs = {
+            "capitals": lambda b: overlay.value_patch(repair.lang_resets(reviews), "review_lang", F.lit(None), b),
+            "double loads": lambda b: overlay.deletion_patch(
+                repair.double_loaded_master(reviews, self.table("work_sameas")), b),
+            "shared uids": lambda b: overlay.deletion_patch(repair.shared_uid_duplicates(reviews, mapping), b),
+        }
+        for name, patches in repairs.items():
+            self._run("repair", f"{name} {task}", lambda b, p=patches: self._append("review_patch", p(b), b), now)
+
+    def undo_patches(self, batch: int) -> None:
+        """Take the patches of one load out again."""
+        self.store.drop_batch("review_patch", batch)
+
+    def work_in_patches(self) -> int:
+        """Rewrite the loads that hold patched reviews, then drop the patches; returns the loads rewritten.
+
+        If it ends between the two, the patches are laid over rows that have them already.
+        """
+        patched = self.stored("review").join(self.table("review_patch").select("id").distinct(), "id", "left_semi")
+        lots = [r[0] for r in patched.select("load_audit_id").distinct().collect()]  # a number per load
+        if lots:
+            rows = materialize(self.table("review").filter(F.col("load_audit_id").isin(lots)), "patched")
+            self.store.append_batch("review", rows)
+            alive = {r[0] for r in rows.select("load_audit_id").distinct().collect()}
+            for batch in lots:
+                if batch in alive:
+                    self._keep_states(batch)
+                else:
+                    self.take_back_reviews(batch)  # all its reviews are deleted
+        for r in self.table("review_patch").select("load_audit_id").distinct().collect():
+            self.undo_patches(r[0])
+        drop_intermediate(self.spark)
+        return len(lots)
+
     # -- near-duplicates ------------------------------------------------------------------
 
     def process_similarity(self, task: str, now: datetime, n_work: int | None = None) -> None:

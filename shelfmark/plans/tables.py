@@ -49,6 +49,7 @@ SCHEMAS = {
     "tag_key": "tag_name string, tag_id bigint, load_audit_id int",
     "author_key": "code string, author_id bigint, load_audit_id int",
     "reviewer_key": "reviewer_uuid string, reviewer_id bigint, load_audit_id int",
+    "review_patch": "id bigint, column string, value string, deleted boolean, load_audit_id int",
     "review_state": "work_refid bigint, site_id int, nb_reviews bigint, rating_n bigint, rating_sum bigint, "
                     "rating_squares bigint, load_audit_id int",
     "review_readers": "site_id int, readers binary, load_audit_id int",
@@ -59,6 +60,9 @@ SCHEMAS = {
                         "similarity double, load_audit_id int",
 }
 
+# Columns of a review that a patch can set.
+PATCHED = ("review_lang", "parsed_rating", "review_date")
+
 # Tables kept as touches: their keys, and the columns each kind of touch sets on known rows.
 TOUCHED = {
     "work": Touched(("refid",), {"seen": ("last_seen_date",), "harvested": ("last_harvest_dts",)}),

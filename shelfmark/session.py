@@ -35,10 +35,13 @@ def build_session(app: str = "shelfmark", master: str | None = None, **extra: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (tests, single machine) a folder is made here.
+    In local mode, where one machine is all there is, a folder is made if none is named. On
+    a cluster a folder of the driver would be out of the executors' sight: that is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors see")
         folder = tempfile.mkdtemp(prefix="shelfmark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:

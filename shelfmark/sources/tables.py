@@ -1,8 +1,11 @@
 """Tables kept as parquet folders.
 
-A folder being read is never overwritten: a new state goes to a new version folder. A
-version counts from the moment its writer has marked it complete; the latest complete one
-is the table, so no reader ever finds the table missing or half written.
+A table that is replaced as a whole gets its next state in a new version folder, which counts
+from the moment its writer has marked it complete: a reader finds the last complete state.
+A table written by partitions (loads, sites) is overwritten partition by partition with
+Spark's dynamic overwrite, which is not atomic: a reader of a partition that is being
+rewritten may find it missing and has to read again. Each table has one writer at a time; two
+that replace it at once would both take the next version, and one state would be lost.
 """
 
 from __future__ import annotations

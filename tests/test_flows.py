@@ -1,6 +1,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.operators.similarity import NothingPending
 from shelfmark.plans.flows import Warehouse
@@ -290,3 +291,33 @@ def test_report_states_follow_the_loads(spark, tmp_path, rows):
     second = wh.table("review").filter("review = 'bad'").first().load_audit_id
     wh.take_back_reviews(second)
     assert compare() == [(2, 12), (4, 8)]
+
+
+def test_patches_are_laid_over_undone_and_worked_in(spark, tmp_path, rows):
+    from shelfmark.operators import overlay, repair
+
+    wh = house(spark, tmp_path)
+    loud = "THIS REVIEW IS WRITTEN ENTIRELY IN CAPITALS AND SHOUTS"
+    wh.load_reviews(write(tmp_path / "a.r", REVIEWS, [
+        f"babelio|n{i}|u{i}|{i}|b7|{loud if i == 3 else 'quiet words'} {i}|fre|{i}|2015-01-01" for i in range(4)]), "babelio", "one", NOW)
+    wh.load_reviews(write(tmp_path / "b.r", REVIEWS, [
+        "babelio|n9|u9|9|b7|of a work with a uid that others had|fre|8|2015-01-02"]), "babelio", "two", NOW)
+    before = rows(wh.table("review"))
+    direct = repair.drop_shared_uid_duplicates(repair.reset_lang_for_caps(wh.table("review")), wh.table("work_site_mapping"))
+    direct = rows(direct.select(*wh.table("review").columns))
+    assert len(direct) == 4 and len(before) == 5
+    files = {p for p in (tmp_path / "wh" / "review").rglob("*.parquet")}
+    wh.repair_reviews("one", NOW)
+    wh.repair_reviews("one", NOW)
+    assert rows(wh.table("review")) == direct and rows(wh.stored("review")) == before
+    assert files == {p for p in (tmp_path / "wh" / "review").rglob("*.parquet")}
+    # A later load's patch of the same column counts; without it the earlier one does again.
+    shouted = wh.table("review").filter("review like 'THIS%'").select("id")
+    wh._append("review_patch", overlay.value_patch(shouted, "review_lang", F.lit("eng"), 90), 90)
+    assert wh.table("review").filter("review like 'THIS%'").first().review_lang == "eng"
+    wh.undo_patches(90)
+    assert rows(wh.table("review")) == direct
+    assert wh.work_in_patches() == 2 and wh.table("review_patch").count() == 0
+    assert rows(wh.table("review")) == direct and rows(wh.stored("review")) == direct
+    assert rows(wh.table("review_state"), "nb_reviews") == [(1,)] * 4
+    assert wh.work_in_patches() == 0
