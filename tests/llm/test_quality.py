@@ -79,3 +79,82 @@ def test_descent_separates_and_meets_the_optimum():
 @pytest.mark.parametrize("word, shape", [(b"word", b"a"), (b"Word,", b"Aa,"), (b"WORD!!", b"A!+"), (b"12", b"9"), (b"|", b"-|"), ("É".encode(), b"I")])
 def test_shapes(word, shape):
     assert quality._shape(word) == shape
+
+
+# A plain version: indicators as tuples of strings, no hashing, the dual solved to the end.
+
+SIGNS = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
+
+
+def plain_shape(word):
+    core = word.rstrip(SIGNS)
+    signs, core = word[len(core):], core.lstrip(SIGNS)
+    if not core:
+        kind = "-"
+    elif core.isdigit():
+        kind = "9"
+    elif not core.isalpha():
+        kind = "x"
+    elif core.islower():
+        kind = "a"
+    elif core.isupper():
+        kind = "A" if len(core) > 1 else "I"
+    else:
+        kind = "Aa" if core[0].isupper() and core[1:].islower() else "aA"
+    return kind + signs[:1] + ("+" if len(signs) > 1 else "")
+
+
+def plain_indicators(text):
+    words = (text or "").split()
+    shapes = [(plain_shape(w), i > 0 and words[i - 1] == w) for i, w in enumerate(words)]
+    return {(kind, n, *seq[i:i + n]) for kind, seq, sizes in (("word", words, (1, 2)), ("shape", shapes, (1, 2, 3)))
+            for n in sizes for i in range(len(seq) - n + 1)}
+
+
+def plain_margins(texts, labelled, buckets):
+    """Margins of all texts under a model of the labelled ones."""
+    sets = [plain_indicators(t) for t, _ in labelled]
+    index = {f: k for k, f in enumerate(sorted({f for s in sets for f in s}, key=str))}
+    table = np.zeros((2, len(index)))
+    for s, (_, label) in zip(sets, labelled, strict=True):
+        for f in s:
+            table[label, index[f]] += 1
+    totals = table.sum(axis=1) + buckets
+    ratio = np.log((table[1] + 1) / totals[1]) - np.log((table[0] + 1) / totals[0])
+    ratio[table.sum(axis=0) < 2] = 0.0
+
+    def row(s):
+        v = np.zeros(len(index))
+        for f in s:
+            if f in index:
+                v[index[f]] = ratio[index[f]]
+        return v / max(np.sqrt(v @ v), 1e-12)
+
+    x, y = np.array([row(s) for s in sets]), np.array([1.0 if label else -1.0 for _, label in labelled])
+    top = np.array([quality.PENALTY * len(y) / (2 * (y == s).sum()) for s in y])
+    dual, weights, bias = np.zeros(len(y)), np.zeros(len(index)), 0.0
+    for _ in range(3000):
+        for i in range(len(y)):
+            new = min(max(dual[i] - (y[i] * (weights @ x[i] + bias) - 1) / (1 + x[i] @ x[i]), 0.0), top[i])
+            weights, bias, dual[i] = weights + (new - dual[i]) * y[i] * x[i], bias + (new - dual[i]) * y[i], new
+    weights = (1 - quality.DRAWN) * np.abs(weights).sum() / buckets + quality.DRAWN * weights
+    return np.array([weights @ row(plain_indicators(t)) + quality.DRAWN * bias for t in texts]), ratio
+
+
+def test_equals_plain_version(spark, docs):
+    rnd = np.random.default_rng(11)
+    good = ["The", "river", "runs", "slowly,", "past", "old", "mills.", "Nobody", "came", "today."]
+    bad = ["BUY", "now!!", "click", "click", "$$$", "FREE", "x9x", "now!!", "old", "river"]
+    texts = [" ".join(rnd.choice(good if i % 2 else bad, rnd.integers(4, 15))) for i in range(80)]
+    frame = docs(list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    held = lambda c: c % 5 == 4
+    model = quality.fit(frame, labels, held)
+    margins, ratio = plain_margins(texts, [(texts[i], i % 2) for i in range(60) if i % 5 != 4], quality.BUCKETS)
+    # Indicators meet in no bucket here, so the scales are the plain ones.
+    scales = np.sort(model.squares[model.squares > 0])
+    assert np.allclose(scales, np.sort((ratio * ratio)[ratio != 0]), rtol=1e-4)
+    scores = {r.doc_id: r.score for r in quality.scored(frame, model).collect()}
+    found = np.log([scores[i] / (1 - scores[i]) for i in range(80)]) / quality.STEEPNESS
+    assert np.abs(found - margins).max() < 0.02
+    assert all((scores[i] >= 0.5) == (margins[i] >= 0) for i in range(80) if abs(margins[i]) > 0.02)
