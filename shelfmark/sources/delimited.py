@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from shelfmark.functions.text import let
 from shelfmark.schemas import LANGUAGE_REF, STAGED_TYPES, text_schema
+from shelfmark.session import ship_package
 from shelfmark.sources.tables import materialize
 
 
@@ -27,21 +30,37 @@ def typed(df: DataFrame) -> DataFrame:
     )
 
 
+# A file is never split and never shares a task with another one.
+_ONE_TASK_A_FILE = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
+
+
+def _first_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task; the task ends with it and reads no further."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
 def _headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
-    """Files by their first line. Only that line of each file is read."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    """Files by their first line.
+
+    One task per file reads the file's beginning and stops; what comes back is a line per
+    file. Files without a line have no rows and are left out.
+    """
+    ship_package(spark)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
+    before = {key: spark.conf.get(key) for key in _ONE_TASK_A_FILE}
+    for key, value in _ONE_TASK_A_FILE.items():
+        spark.conf.set(key, value)
+    try:
+        found = lines.mapInArrow(_first_rows, lines.schema).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
     files: dict[str, list[str]] = {}
-    for name in sorted(spark.read.text(path).inputFiles()):
-        location = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-        stream = location.getFileSystem(conf).open(location)
-        codec = codecs.getCodec(location)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
-            codec.createInputStream(stream) if codec else stream, "UTF-8"))
-        try:
-            files.setdefault(reader.readLine() or "", []).append(name)
-        finally:
-            reader.close()
+    for r in sorted(found):
+        files.setdefault(r["header"], []).append(unquote(r["file"]))
     return files
 
 

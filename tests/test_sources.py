@@ -38,6 +38,37 @@ def test_headered_dump(spark, tmp_path, rows):
     assert delimited.typed(got).schema["work_refid"].dataType.simpleString() == "bigint"
 
 
+def test_headers_of_many_files(spark, tmp_path, rows):
+    """Three layouts over many files, odd names, packed and empty files among them."""
+    layouts = ("a|b", "b|a", '"a"|c')
+    for i in range(60):
+        cells = {"a": f"a{i}", "b": f"b{i}", "c": f"c{i}"}
+        names = layouts[i % 3].replace('"', "").split("|")
+        text = layouts[i % 3] + "\n" + "|".join(cells[n] for n in names) + "\n"
+        if i % 7 == 0:
+            (tmp_path / f"part {i}%.dat.gz").write_bytes(gzip.compress(text.encode()))
+        else:
+            (tmp_path / f"part {i}%é.dat").write_text(text)
+    (tmp_path / "empty.dat").write_text("")
+    (tmp_path / "only header.dat").write_text("c|b\n")
+    found = delimited._headers(spark, str(tmp_path))
+    assert {k: len(v) for k, v in found.items()} == {"a|b": 20, "b|a": 20, '"a"|c': 20, "c|b": 1}
+    got = delimited.read_headered_dump(spark, str(tmp_path), ("a", "b", "c"))
+    assert rows(got) == sorted([
+        (f"a{i}", f"b{i}" if i % 3 < 2 else None, f"c{i}" if i % 3 == 2 else None) for i in range(60)], key=str)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 50)
+
+
+def test_a_file_is_read_no_further_than_its_first_line(spark, tmp_path):
+    import pyarrow as pa
+
+    batches = iter([pa.RecordBatch.from_pydict({"x": []}), pa.RecordBatch.from_pydict({"x": [1, 2]}), "never looked at"])
+    assert [b.to_pydict() for b in delimited._first_rows(batches)] == [{"x": [1]}]
+    assert list(batches) == ["never looked at"]
+    (tmp_path / "long.dat").write_text("a\n" + "x\n" * 2_000_000)
+    assert list(delimited._headers(spark, str(tmp_path))) == ["a"]
+
+
 def test_empty_input(spark, tmp_path):
     path = tmp_path / "empty.dat"
     path.write_text("work_refid|title\n")
