@@ -19,7 +19,7 @@ from shelfmark.plans.standins import NOW, Standins
 from shelfmark.session import shared_folder
 from shelfmark.sources import delimited, feeds, ledger, pages
 from shelfmark.sources.tables import Store, materialize, read_by_pattern
-from shelfmark.streaming import ingest
+from shelfmark.streaming import ingest, reviews
 
 
 def _folder(s: Standins, name: str) -> str:
@@ -315,6 +315,31 @@ def ingest_dumps(s: Standins):
     )
 
 
+@query("ingest_reviews", """
+    with r as (select site_logical_name as site, user_uid, work_refid, parsed_review_date as day, title,
+                      site_logical_name in ('AFRICA', 'ASIA') as early from staged_reviews),
+    mark as (select max(day) - 30 as first_day from r where early and day < date '2001-01-01'),
+    once as (select distinct site, user_uid, work_refid, day, title,
+                    case when early then case when day >= date '2001-01-01' then 1 else 0 end
+                         when day < first_day then -1 when day >= date '2001-01-01' then 1 else 0 end as period_class
+             from r, mark)
+    select site, cast(period_class as int) as period_class, count(*) as nb from once group by all""")
+def ingest_reviews(s: Standins):
+    """Two lots of files and the first one sent again, harvested at the end of 2000: each review once, others beside."""
+    folder, checkpoint, store = _folder(s, "incoming"), _folder(s, "ingest"), Store(s.spark, _folder(s, "staging"))
+    intake = reviews.ReviewIntake(
+        store, "review", ledger.Ledger(s.spark, _folder(s, "load_audit")), "intake", datetime(2000, 12, 31))
+    staged = s.staged_reviews().select(
+        "site_logical_name", "user_uid", "work_refid", "parsed_review_date", F.col("title").alias("review"))
+    early = F.col("site_logical_name").isin("AFRICA", "ASIA")
+    for lot in (staged.filter(early), staged.filter(~early), staged.filter(early)):
+        lot.write.mode("append").csv(folder, sep="|", header=True, quote='"', escape='"')
+        ingest.ingest_dumps(s.spark, folder, reviews.KEY, checkpoint, intake.sink())
+    on_time = store.read("review").withColumn("period_class", F.lit(0))
+    both = on_time.unionByName(store.read("review_late"))
+    return both.groupBy(F.col("site_logical_name").alias("site"), "period_class").agg(F.count(F.lit(1)).alias("nb"))
+
+
 # -- pages -------------------------------------------------------------------------------
 
 
