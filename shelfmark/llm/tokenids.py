@@ -31,16 +31,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from shelfmark.llm.common import SPACES, chunks, prepared, ranges, saved, split_words, text_bytes
+from shelfmark.llm.common import SPACES, chunks, prepared, ranges, saved, split_words, text_bytes, text_key
 from shelfmark.session import shared_folder
 
 MAGIC = b"SMTI"
 VERSION = 1
 BLOCK_IDS = 4 << 20  # ids after which a block is closed
 SAMPLES = 256  # one select sample per so many documents
+PREFIX = 16  # characters of a text that order rows of one id
 CACHED_PARTS = 500_000  # distinct parts remembered by a worker
 
 
@@ -267,54 +268,68 @@ def _blocks(path: str, end_id: int, width: int):
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, vocabulary: int) -> None:
     """Write the ids of ``docs`` (doc_id, text) as block files into a new folder.
 
-    Files are named ``part-<range>-…`` and sort in the order of doc_id; rows of one id are
-    in the order of their text, null ids come first. A null text has no ids but the end id.
+    Files are named ``part-<range>-…`` and sort in the order of doc_id; null ids come first.
+    Rows of one id are in the order of the first ``PREFIX`` characters of their text, then of
+    its hash, and of their place where they are equal: an id that very many rows share spreads
+    over as many ranges as it needs. A null text has no ids but the end id.
     """
     spark = docs.sparkSession
     prepared(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id"), F.substring("text", 1, PREFIX), text_key(), F.col("place")]
+    placed = rows.withColumn("place", F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("place")
     blocks = ordered.mapInArrow(_blocks(tokenizer, end_id, width), "block int, data binary")
     # The text writer writes a string's bytes as they are and a line feed after them.
     blocks.select(F.col("data").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
 
 
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """number (of the range and the block), content and n_ids of the files of a folder."""
+    """part (the range), block and content of the files of a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).filter("length > 0")
     part = F.regexp_extract("path", r"part-([0-9]+)-[^/]*$", 1).cast("long")
     block = F.regexp_extract("path", r"c([0-9]+)\.txt$", 1).cast("long")
-    n_ids = F.conv(F.hex(F.substring("content", 17, 8)), 16, 10).cast("long")
-    return files.select(F.struct(part.alias("part"), block.alias("block")).alias("number"), n_ids.alias("n_ids"), "content")
+    return files.select(part.alias("part"), block.alias("block"), "content")
 
 
 def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for content, offset in zip(batch.column("content"), batch.column("offset").to_pylist(), strict=True):
+        columns = (batch.column(c) for c in ("part", "block", "content"))
+        for part, block, content in zip(*columns, strict=True):
             file = TokenFile(content.as_buffer().to_pybytes())
             ends = file.ends.all()
             starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
             wide = file.ids.astype("<u4").tobytes()
             crc = [zlib.crc32(memoryview(wide)[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(file.doc_ids, pa.int64()), pa.array(starts + offset), pa.array(ends - starts), pa.array(crc, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"])
+                [pa.repeat(part, len(ends)), pa.repeat(block, len(ends)), pa.array(file.doc_ids, pa.int64()),
+                 pa.array(starts), pa.array(ends - starts), pa.array(crc, pa.int64())],
+                ["part", "block", "doc_id", "start_here", "n_tokens", "ids_crc32"])
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens and crc32 of the ids, from the files."""
+    """doc_id, start (ids of all documents before), n_tokens and crc32 of the ids, from the files.
+
+    Every file is read once. Where its ids start follows from the sizes of the blocks before
+    it in its range, and from the totals of the ranges before, one row for each of which
+    comes to the driver; sizes of blocks stay on the executors.
+    """
     prepared(spark)
-    files = token_files(spark, folder)
-    offsets, before = [], 0
-    for r in files.select("number", "n_ids").orderBy("number").collect():  # one row per file
-        offsets.append((r["number"]["part"], r["number"]["block"], before))
+    read = saved(token_files(spark, folder).mapInArrow(
+        _documents, "part long, block long, doc_id long, start_here long, n_tokens long, ids_crc32 long"), "token-documents")
+    sizes = read.groupBy("part", "block").agg(F.sum("n_tokens").alias("n_ids"))
+    totals, before = [], 0
+    for r in sizes.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).orderBy("part").collect():  # one row per range
+        totals.append((r["part"], before))
         before += r["n_ids"]
-    offset = F.broadcast(spark.createDataFrame(offsets, "part long, block long, offset long"))
-    with_offset = files.select("number.part", "number.block", "content").join(offset, ["part", "block"])
-    return with_offset.select("content", "offset").mapInArrow(
-        _documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    earlier = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_range = sizes.select("part", "block", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("in_range"))
+    of_range = F.broadcast(spark.createDataFrame(totals, "part long, of_range long"))
+    offsets = in_range.join(of_range, "part").select("part", "block", (F.col("in_range") + F.col("of_range")).alias("offset"))
+    return read.join(offsets, ["part", "block"]).select(
+        "doc_id", (F.col("start_here") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_report(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
@@ -322,4 +337,4 @@ def token_report(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int)
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/token-ids-{uuid.uuid4().hex}"
     write_token_files(docs, tokenizer, end_id, folder, vocabulary)
-    return saved(read_token_files(spark, folder), "token-report")
+    return read_token_files(spark, folder)

@@ -1,5 +1,7 @@
 import random
+import uuid
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -75,6 +77,20 @@ def test_small_blocks_and_random_access(spark, docs, encoder, monkeypatch):
     assert wide.document(0).tolist() == [70_000, 1]
 
 
+def test_one_id_for_most_rows_spreads_over_ranges(spark, docs, encoder):
+    texts = [f"row {i} of one id" for i in range(60)] + ["the same row"] * 60
+    pairs = [(4, t) for t in texts] + [(None, t) for t in texts] + [(i, "a b") for i in range(9)]
+    folder = f"{shared_folder(spark)}/one-id-{uuid.uuid4().hex}"
+    tokenids.write_token_files(docs(pairs), PATH, 2, folder, 49_408)
+    assert tokenids.token_files(spark, folder).select("part").distinct().count() > 1
+    got = sorted((tuple(r) for r in tokenids.read_token_files(spark, folder).collect()), key=lambda r: r[1])
+    assert [r[0] is not None and r[0] for r in got] == sorted((i is not None and i for i, _ in pairs), key=lambda i: (i is not False, i))
+    assert [r[1] for r in got] == np.cumsum([0] + [r[2] for r in got[:-1]]).tolist()
+    of = lambda t: [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2]
+    want = Counter((i, len(of(t)), zlib.crc32(np.array(of(t), dtype="<u4").tobytes())) for i, t in pairs)
+    assert Counter((r[0], r[2], r[3]) for r in got) == want
+
+
 def test_empty_table(docs):
     assert tokenids.token_report(docs([]), PATH, 2, 49_408).count() == 0
 
