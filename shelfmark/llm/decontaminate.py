@@ -12,9 +12,11 @@ wavelet tree with rank directories, and every ``SAMPLE``-th suffix position. All
 are searched backwards together; occurrences are located by stepping to a sampled
 position; their spans are merged per document.
 
-Nothing is shuffled: a document lies in one shard. Phrases are sent to the workers in
-blocks of at most ``block`` phrases, so a larger benchmark means more blocks, not a larger
-broadcast.
+A document lies in one shard. Phrases are sent to the workers in blocks of at most ``block``
+phrases. One block is searched while the texts pass by and nothing is shuffled. More blocks
+are searched one after the other, each in a job of its own that writes the texts it hits; its
+phrases are given up before the next block is sent, so a worker never holds two. What the
+blocks found meets the texts by a digest of the text.
 """
 
 from __future__ import annotations
@@ -239,11 +241,8 @@ _FOUND = (("n_words", LongType()), ("spans", ArrayType(_SPAN)), ("items", ArrayT
 _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))
 
 
-def _search(phrases, columns: list[str], earlier: bool):
-    """Per row: n_words, the merged spans (word places) and the items found.
-
-    ``earlier``: the rows already carry what former blocks of phrases found.
-    """
+def _search(phrases, columns: list[str]):
+    """Per row: n_words, the merged spans (word places) and the items found."""
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Phrases = phrases.value
@@ -251,17 +250,16 @@ def _search(phrases, columns: list[str], earlier: bool):
             words = split_words(part.column("text"), NON_ALNUM, lower=True)
             at, which = _occurrences(words, block)
             row = np.searchsorted(words.bounds, at, side="right") - 1
-            spans = part.column("spans").to_pylist() if earlier else [[] for _ in range(len(part))]
-            items = part.column("items").to_pylist() if earlier else [[] for _ in range(len(part))]
+            spans: list[list] = [[] for _ in range(len(part))]
+            items: list[list] = [[] for _ in range(len(part))]
             order = np.lexsort((at, row))
             at, which, row = at[order], which[order], row[order]
             edges = np.flatnonzero(np.diff(row, prepend=-1, append=-1)).tolist()
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 r = int(row[a])
                 first = at[a:b] - words.bounds[r]
-                spans[r] = _merged(spans[r], zip(
-                    first.tolist(), (first + block.lengths[which[a:b]]).tolist(), strict=True))
-                found = set(items[r])
+                spans[r] = _merged(zip(first.tolist(), (first + block.lengths[which[a:b]]).tolist(), strict=True))
+                found: set[str] = set()
                 for phrase in np.unique(which[a:b]).tolist():
                     found.update(block.items[phrase])
                 items[r] = sorted(found)
@@ -273,23 +271,54 @@ def _search(phrases, columns: list[str], earlier: bool):
     return find
 
 
-def _blocks(benchmark: DataFrame, length: int, block: int) -> list:
-    """Broadcasts of the phrases, at most ``block`` phrases each; each is read on its own."""
-    spark = benchmark.sparkSession
-    numbered = saved(phrases_of(benchmark, length), "phrases")
-    total = numbered.count()
-    parts = max(1, -(-total // block))
-    cut = F.pmod(F.xxhash64("phrase"), F.lit(parts)) if parts > 1 else F.lit(0)
-    return [
-        spark.sparkContext.broadcast(Phrases([(r["phrase"], r["items"]) for r in numbered.filter(cut == i).collect()]))
-        for i in range(parts)
-    ]
+def _joined(columns: list[str]):
+    """Per row: n_words, and the spans and items of all blocks merged."""
 
+    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches):
+            words = split_words(part.column("text"), NON_ALNUM, lower=True, coded=False)
+            spans = [_merged((s["first"], s["stop"]) for s in found or ()) for found in part.column("found").to_pylist()]
+            items = pa.array([found or [] for found in part.column("items").to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in columns), pa.array(np.diff(words.bounds), pa.int64()),
+                 pa.array(spans, _SPANS), items],
+                [*columns, "n_words", "spans", "items"])
 
-def _merged(spans: list[dict], more: Iterable[tuple[int, int]]) -> list[dict]:
+    return join
+
+
+def _search_blocks(docs: DataFrame, numbered: DataFrame, parts: int, columns: list[str]) -> DataFrame:
+    """``docs`` (row, text) searched for one block of phrases after the other."""
+    spark = docs.sparkSession
+    hits = []
+    texts = docs.select("text")
+    for i in range(parts):
+        phrases = _sent(numbered.filter(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == i))
+        found = texts.mapInArrow(_search(phrases, ["text"]), with_fields(texts, ["text"], *_FOUND))
+        hits.append(saved(
+            found.filter(F.size("spans") > 0).select(F.md5("text").alias("digest"), "spans", "items")
+            .dropDuplicates(["digest"]), "phrases-found"))
+        phrases.destroy()
+    every = spark.createDataFrame([], hits[0].schema)
+    for part in hits:
+        every = every.unionAll(part)
+    merged = every.groupBy("digest").agg(
+        F.flatten(F.collect_list("spans")).alias("found"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    marked = docs.join(merged, F.md5("text") == merged["digest"], "left").drop("digest")
+    return marked.mapInArrow(_joined(columns), with_fields(docs, columns, *_FOUND))
+
+
+def _sent(phrases: DataFrame):
+    """A block of phrases, broadcast. A block is bounded by the caller."""
+    rows = [(r["phrase"], r["items"]) for r in phrases.collect()]
+    return phrases.sparkSession.sparkContext.broadcast(Phrases(rows))
+
+
+def _merged(spans: Iterable[tuple[int, int]]) -> list[dict]:
     """Union of spans as maximal spans, in order."""
     out: list[dict] = []
-    for first, stop in sorted([(s["first"], s["stop"]) for s in spans] + list(more)):
+    for first, stop in sorted(spans):
         if out and first <= out[-1]["stop"]:
             out[-1]["stop"] = max(out[-1]["stop"], stop)
         else:
@@ -308,12 +337,13 @@ def contamination(
     """
     prepared(docs.sparkSession)
     out = packed(docs.drop("n_words", "spans", "items"), "text", without=("text",))
-    columns = out.columns
-    blocks = _blocks(benchmark, length, block)
-    for i, phrases in enumerate(blocks):
-        if i == len(blocks) - 1 and not with_text:
-            columns = [c for c in columns if c != "text"]
-        out = out.mapInArrow(_search(phrases, columns, i > 0), with_fields(out, columns, *_FOUND))
+    columns = out.columns if with_text else ["row"]
+    numbered = saved(phrases_of(benchmark, length), "phrases")
+    parts = max(1, -(-numbered.count() // block))
+    if parts == 1:
+        out = out.mapInArrow(_search(_sent(numbered), columns), with_fields(out, columns, *_FOUND))
+    else:
+        out = _search_blocks(out, numbered, parts, columns)
     return out.select("row.*", *(c for c in out.columns if c != "row"))
 
 
