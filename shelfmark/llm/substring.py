@@ -6,37 +6,41 @@ sequence of ``length`` words that starts at two or more places of the corpus.
 1. *Seeds*: every text is winnowed. Among the word k-grams (k = ``seed_words``) of each
    window of ``length`` words the smallest hash is an anchor, so two equal windows have
    an equal anchor at the same place. Anchors are counted; those seen once cannot be part
-   of a repeat. A semi join finds the texts that hold a repeated anchor.
-2. *Extension*: around each repeated anchor the windows it stands for reach ``length - k``
-   words to the left and right. Every reach is keyed by a 128-bit hash of its words and
-   equal keys are counted over the corpus. That is the extension of one occurrence against
-   all others at once: pairs of occurrences are never listed, so a passage in a third of
-   all documents costs one count per occurrence.
-3. *Maximal repeats*: overlapping windows found twice are merged per text into maximal
-   spans of at least ``length`` words.
-
-Counts combine before the shuffle. What is repeated is written before it is joined, so
-that both sides of a semi join are plain exchanges and a hot key's rows can be split.
+   of a repeat.
+2. *Surroundings*: a window that holds an anchor reaches ``length - k`` words to its left and
+   right at most. Occurrences with equal surroundings that far match each other in full;
+   they go on as one, so copies are never compared one by one.
+3. *Extension*: the different surroundings of an anchor are a class. All of them are joined
+   with one representative of the class and extended to the left and the right word by
+   word; matches of ``length`` words or more count for both sides. A member may match
+   another one further than the representative, but only one that leaves the representative
+   at the same place with the same word: those go on as smaller classes with representatives
+   of their own, until none is left. Pairs of a class are never listed, and nothing is lost.
+4. *Maximal repeats*: what an occurrence matches holds its anchor, so the furthest reaches to
+   either side bound it; overlapping matches are merged per text into maximal spans.
+
+Counts combine before the shuffle. Every side joined to places or members is unique on its
+key, so the rows of a hot anchor or class can be split.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm.common import (
-    SPACES, Words, chunks, free_name, mixed, prepared, ranges, saved, signed, split_words, text_key,
+    SPACES, Words, chunks, free_name, mixed, prepared, ranges, saved, signed, split_words, text_bytes, text_key,
 )
 
 LENGTH = 35
 SEED_WORDS = 18
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so each has an inverse modulo 2**64
-_MASK = (1 << 64) - 1
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -53,7 +57,7 @@ class _Rolling:
         np.cumsum(hashes * _powers(base, len(hashes))[:-1], out=self.prefix[1:])
         self.back = _powers(pow(base, -1, 1 << 64), len(hashes))
 
-    def of(self, starts: np.ndarray, length: int) -> np.ndarray:
+    def of(self, starts: np.ndarray, length: int | np.ndarray) -> np.ndarray:
         return mixed((self.prefix[starts + length] - self.prefix[starts]) * self.back[starts])
 
 
@@ -99,76 +103,159 @@ def _seeds(words: Words, rolling: _Rolling, seed_words: int) -> np.ndarray:
     return rolling.of(np.arange(n), seed_words) | np.uint64(1) if n > 0 else np.zeros(0, dtype=np.uint64)
 
 
-def _find_anchors(key: str, seed_words: int, length: int):
+def _find_seeds(seed_words: int, length: int):
+    """Hashes of a text's anchors."""
+
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
             words = split_words(part.column("text"), SPACES)
-            rolling = _Rolling(_word_hashes(words)[0], _BASES[0])
-            seeds = _seeds(words, rolling, seed_words)
+            seeds = _seeds(words, _Rolling(_word_hashes(words)[0], _BASES[0]), seed_words)
             _, _, chosen = _anchors(words, seeds, seed_words, length)
-            at = np.flatnonzero(chosen)
-            row = np.searchsorted(words.bounds, at, side="right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(seeds[at])), part.column(key).take(pa.array(row)),
-                 pa.array((at - words.bounds[row]).astype(np.int32))], ["seed", "doc", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(seeds[np.flatnonzero(chosen)]))], ["seed"])
 
     return find
 
 
-def _find_windows(seed_words: int, length: int):
-    """Windows of a text whose smallest seed stands at a repeated anchor."""
+def _find_anchors(seed_words: int, length: int):
+    """Anchors of a text with a hash of their surroundings and how far these reach."""
+    reach = length - seed_words
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
             words = split_words(part.column("text"), SPACES)
             first, second = _word_hashes(words)
-            one, two = _Rolling(first, _BASES[0]), _Rolling(second, _BASES[1])
-            seeds = _seeds(words, one, seed_words)
-            starts, least, _ = _anchors(words, seeds, seed_words, length)
-            hits = part.column("hits")
-            row = np.repeat(np.arange(len(part)), np.diff(hits.offsets.to_numpy()))
-            at = hits.flatten().to_numpy().astype(np.int64) + words.bounds[row]
-            # Rows that share an id share the list; places beyond this row's text are the other's.
-            at = at[at < words.bounds[row + 1]]
-            marked = np.zeros(len(seeds) + 1, dtype=np.int64)
-            marked[at[at < len(seeds)] + 1] = 1
-            # The window is a candidate if a repeated anchor in it has its smallest hash.
-            known = np.where(marked[1:] > 0, seeds, np.uint64(_MASK))
-            width = length - seed_words + 1
-            keep = starts[_sliding(known, width, np.minimum)[starts] == least] if len(starts) else starts
-            row = np.searchsorted(words.bounds, keep, side="right") - 1
+            seeds = _seeds(words, _Rolling(first, _BASES[0]), seed_words)
+            _, _, chosen = _anchors(words, seeds, seed_words, length)
+            at = np.flatnonzero(chosen)
+            row = np.searchsorted(words.bounds, at, side="right") - 1
+            start = np.maximum(at - reach, words.bounds[row])
+            stop = np.minimum(at + length, words.bounds[row + 1])
+            place = ((at - start) << 32 | (stop - at)).astype(np.uint64)
+            around = mixed(_Rolling(second, _BASES[1]).of(start, stop - start) ^ mixed(place))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(one.of(keep, length))), pa.array(signed(two.of(keep, length))),
-                 part.column("rid").take(pa.array(row)), pa.array((keep - words.bounds[row]).astype(np.int32))],
-                ["w1", "w2", "rid", "start"])
+                [part.column("doc_id").take(pa.array(row)), part.column("text_hash").take(pa.array(row)),
+                 pa.array(signed(seeds[at])), pa.array(signed(around)), pa.array((at - words.bounds[row]).astype(np.int32)),
+                 pa.array((at - start).astype(np.int32)), pa.array((stop - at - seed_words).astype(np.int32))],
+                ["doc_id", "text_hash", "seed", "around", "at", "before", "after"])
 
     return find
 
 
-def _covered(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Maximal spans covered by windows at the starts."""
-    spans: list[tuple[int, int]] = []
-    for s in np.unique(starts).tolist():
-        if spans and s <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], s + length)
-        else:
-            spans.append((s, s + length))
-    return spans
+_MEMBER = "seed long, around long, class_1 long, class_2 long, low int, high int, left binary, right binary"
+
 
+def _surroundings(seed_words: int, length: int):
+    """Word hashes left and right of the wanted anchors, nearest first, 0 beyond the text.
+
+    ``low`` to ``high`` is how many words may lie left of the anchor in a window of the text.
+    """
+    reach = length - seed_words
 
-def _spans(length: int):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            starts = part.column("starts")
-            found = [_covered(starts[i].values.to_numpy(), length) for i in range(len(part))]
+        for part in chunks(batches):
+            words = split_words(part.column("text"), SPACES)
+            wanted = part.column("wanted")
+            row = np.repeat(np.arange(len(part)), np.diff(wanted.offsets.to_numpy()))
+            seed, around, at = (wanted.flatten().field(k).to_numpy() for k in range(3))
+            at = at + words.bounds[row]
+            hashes = np.append(_word_hashes(words)[1] | np.uint64(1), np.uint64(0))
+            steps = np.arange(reach)
+            left, right = at[:, None] - 1 - steps, at[:, None] + seed_words + steps
+            left = hashes[np.where(left >= words.bounds[row][:, None], left, -1)]
+            right = hashes[np.where(right < words.bounds[row + 1][:, None], right, -1)]
+            low = reach - (right > 0).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [part.column("rid"),
-                 pa.array([[{"first": a, "stop": b} for a, b in s] for s in found],
-                          pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())])))], ["rid", "spans"])
+                [pa.array(seed), pa.array(around), pa.array(seed), pa.array(np.zeros(len(seed), dtype=np.int64)),
+                 pa.array(low.astype(np.int32)), pa.array((left > 0).sum(axis=1).astype(np.int32)),
+                 pa.array([w.tobytes() for w in left], pa.binary()), pa.array([w.tobytes() for w in right], pa.binary())],
+                ["seed", "around", "class_1", "class_2", "low", "high", "left", "right"])
 
     return find
 
 
+def _equal_words(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many words from the nearest on are equal, row by row."""
+    differ = np.ones((len(one), one.shape[1] + 1), dtype=bool)
+    differ[:, :-1] = (one != other) | (one == 0)
+    return differ.argmax(axis=1)
+
+
+def _extend(reach: int):
+    """Members extended against their representative: matches, and members of smaller classes.
+
+    A match has the words matched on both sides and no hashes. A member whose windows the
+    representative does not settle goes on among those that leave it to the left at the same
+    place with the same word, for windows that reach further left, and likewise to the right.
+    """
+
+    def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "left"):
+            of = lambda name: part.column(name).to_numpy()
+            words = lambda name: np.frombuffer(text_bytes(part.column(name))[0], dtype=np.uint64).reshape(-1, reach)
+            left, right, low, high = words("left"), words("right"), of("low"), of("high")
+            l, r = _equal_words(left, words("first_left")), _equal_words(right, words("first_right"))
+            match = np.flatnonzero(l + r >= reach)
+            none = np.zeros(len(match), dtype=np.int64)
+            rows = [
+                (of("seed")[match], of(name)[match], none, none, l[match], r[match], pa.nulls(len(match), pa.binary()),
+                 pa.nulls(len(match), pa.binary()))
+                for name in ("around", "first_around")
+            ]
+            one, two = of("class_1").astype(np.uint64), of("class_2").astype(np.uint64)
+            further_left = (np.maximum(low, l + 1), high)
+            further_right = (low, np.minimum(np.minimum(high, l), reach - r - 1))
+            for side, matched, hashes, (least, most) in ((1, l, left, further_left), (2, r, right, further_right)):
+                go = np.flatnonzero(least <= most)
+                word = hashes[go, matched[go]]
+                step = (matched[go] * 2 + side).astype(np.uint64)
+                rows.append((
+                    of("seed")[go], of("around")[go],
+                    signed(mixed(one[go] * np.uint64(_BASES[0]) + mixed(word ^ mixed(step)))),
+                    signed(mixed(two[go] * np.uint64(_BASES[1]) + mixed(mixed(word) + step))),
+                    least[go], most[go], part.column("left").take(pa.array(go)), part.column("right").take(pa.array(go))))
+            types = [pa.int64()] * 4 + [pa.int32()] * 2
+            columns = [pa.array(np.concatenate(c).astype(t.to_pandas_dtype())) for c, t in zip(zip(*(x[:6] for x in rows)), types)]
+            columns += [pa.concat_arrays([x[k] for x in rows]) for k in (6, 7)]
+            yield pa.RecordBatch.from_arrays(
+                columns, ["seed", "around", "class_1", "class_2", "low", "high", "left", "right"])
+
+    return extend
+
+
+def _matches(members: DataFrame, reach: int) -> DataFrame:
+    """seed, around and the words matched to the left and right, from extensions in all classes."""
+    found: list[DataFrame] = []
+    first = F.min(F.struct((F.col("low") - F.col("high")).alias("short"), "around", "left", "right")).alias("first")
+    while True:
+        firsts = members.groupBy("class_1", "class_2").agg(first, F.count("*").alias("n")).filter("n > 1")
+        met = members.join(firsts, ["class_1", "class_2"]).filter("around <> first.around").select(
+            *members.columns, F.col("first.around").alias("first_around"),
+            F.col("first.left").alias("first_left"), F.col("first.right").alias("first_right"))
+        out = saved(met.mapInArrow(_extend(reach), _MEMBER), "extended")
+        matched = out.filter("left IS NULL")
+        found.append(matched.select("seed", "around", F.col("low").alias("to_left"), F.col("high").alias("to_right")))
+        members = out.filter("left IS NOT NULL")
+        if members.isEmpty():
+            return reduce(DataFrame.unionAll, found)
+
+
+def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Matches of a text merged into maximal spans."""
+    for part in batches:
+        spans = []
+        for found in part.column("found").to_pylist():
+            merged: list[dict] = []
+            for span in sorted(found, key=lambda s: s["first"]):
+                if merged and span["first"] <= merged[-1]["stop"]:
+                    merged[-1]["stop"] = max(merged[-1]["stop"], span["stop"])
+                else:
+                    merged.append(span)
+            spans.append(merged)
+        layout = pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))
+        yield pa.RecordBatch.from_arrays(
+            [part.column("span_id"), part.column("span_hash"), pa.array(spans, layout)], ["span_id", "span_hash", "spans"])
+
+
 def repeated_texts(docs: DataFrame, seed_words: int = SEED_WORDS, length: int = LENGTH) -> DataFrame:
     """Texts that hold repeats: doc_id, text, text_hash, spans (first word, word after the last).
 
@@ -179,28 +266,44 @@ def repeated_texts(docs: DataFrame, seed_words: int = SEED_WORDS, length: int =
     """
     if not 0 < seed_words <= length:
         raise ValueError("seed_words must be between 1 and length")
-    spark = docs.sparkSession
-    prepared(spark)
-    narrow = docs.select("doc_id", "text")
-    id_type = narrow.schema["doc_id"].dataType.simpleString()
-    anchors = narrow.mapInArrow(
-        _find_anchors("doc_id", seed_words, length), f"seed long, doc {id_type}, at int")
-    seen_twice = saved(anchors.groupBy("seed").count().filter("count > 1").select("seed"), "repeated-seeds")
-    hits = saved(
-        anchors.join(seen_twice, "seed", "left_semi").select("doc", "at"), "repeat-anchors"
-    ).groupBy("doc").agg(F.collect_set("at").alias("hits"))
-    texts = saved(
-        narrow.join(hits, narrow["doc_id"].eqNullSafe(hits["doc"]))
-        .select("doc_id", "text", text_key().alias("text_hash"), "hits")
-        .withColumn("rid", F.monotonically_increasing_id()), "repeat-texts")
-    windows = texts.select("rid", "text", "hits").mapInArrow(
-        _find_windows(seed_words, length), "w1 long, w2 long, rid long, start int")
-    repeated = saved(
-        windows.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2"), "repeated-windows")
-    starts = saved(windows.join(repeated, ["w1", "w2"], "left_semi").select("rid", "start"), "repeat-windows")
-    spans = starts.groupBy("rid").agg(F.collect_list("start").alias("starts")).mapInArrow(
-        _spans(length), "rid long, spans array<struct<first:int,stop:int>>")
-    return texts.join(spans, "rid").select("doc_id", "text", "text_hash", "spans")
+    prepared(docs.sparkSession)
+    reach = length - seed_words
+    keyed = docs.select("doc_id", "text", text_key().alias("text_hash"))
+    id_type = keyed.schema["doc_id"].dataType.simpleString()
+    seeds = keyed.select("text").mapInArrow(_find_seeds(seed_words, length), "seed long")
+    twice = saved(seeds.groupBy("seed").count().filter("count > 1").select("seed"), "repeated-seeds")
+    places = keyed.mapInArrow(
+        _find_anchors(seed_words, length),
+        f"doc_id {id_type}, text_hash long, seed long, around long, at int, before int, after int")
+    places = saved(places.join(twice, "seed", "left_semi"), "repeated-anchors")
+    variants = saved(places.groupBy("seed", "around").agg(
+        F.count("*").alias("n"), F.min("before").alias("before"), F.min("after").alias("after"),
+        F.min(F.struct("doc_id", "text_hash", "at")).alias("place")), "anchor-surroundings")
+    reaches = variants.filter("n > 1").select(
+        "seed", "around", F.col("before").alias("to_left"), F.col("after").alias("to_right"))
+    if reach:
+        several = variants.groupBy("seed").count().filter("count > 1").select("seed")
+        wanted = variants.join(several, "seed", "left_semi").groupBy(
+            F.col("place.doc_id").alias("wanted_id"), F.col("place.text_hash").alias("wanted_hash")
+        ).agg(F.collect_list(F.struct("seed", "around", "place.at")).alias("wanted"))
+        texts = keyed.join(wanted, _same(keyed, wanted, "wanted")).select("text", "wanted")
+        members = saved(texts.mapInArrow(_surroundings(seed_words, length), _MEMBER), "surroundings")
+        reaches = reaches.unionAll(_matches(members, reach))
+    reaches = reaches.groupBy("seed", "around").agg(F.max("to_left").alias("to_left"), F.max("to_right").alias("to_right"))
+    spans = saved(
+        places.join(reaches, ["seed", "around"])
+        .select("doc_id", "text_hash", F.struct(
+            (F.col("at") - F.col("to_left")).alias("first"),
+            (F.col("at") + seed_words + F.col("to_right")).alias("stop")).alias("span"))
+        .groupBy(F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"))
+        .agg(F.collect_set("span").alias("found"))
+        .mapInArrow(_merged, f"span_id {id_type}, span_hash long, spans array<struct<first:int,stop:int>>"), "repeats")
+    return keyed.join(spans, _same(keyed, spans, "span")).select("doc_id", "text", "text_hash", "spans")
+
+
+def _same(keyed: DataFrame, other: DataFrame, prefix: str) -> Column:
+    """The rows of a text: equal ids, null like any other, and equal hashes."""
+    return keyed["doc_id"].eqNullSafe(other[f"{prefix}_id"]) & (keyed["text_hash"] == other[f"{prefix}_hash"])
 
 
 def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

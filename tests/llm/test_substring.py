@@ -52,6 +52,18 @@ def test_one_word_repeated_very_often(spark, docs, rows):
     assert rows(substring.removal_report(docs(pairs)), "doc_id", "n_removed") == [(1, 30000), (2, 0), (3, 0)]
 
 
+def test_members_that_match_each_other_further_than_the_representative(spark, docs, rows):
+    rnd = random.Random(7)
+    passage = [f"p{k}" for k in range(30)]
+    pairs = []
+    for i in range(120):
+        a, b = sorted(rnd.sample(range(31), 2))
+        around = [f"r{rnd.randrange(3)}" for _ in range(8)]
+        pairs.append((i, " ".join(around[:4] + passage[a:b] + around[4:])))
+    got = substring.removal_report(docs(pairs), 4, 12)
+    assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute(pairs, 12)
+
+
 def test_spans_are_maximal(spark, docs):
     shared = " ".join(f"s{i}" for i in range(50))
     frame = docs([(1, f"a b {shared} c"), (2, f"{shared} d"), (3, "nothing here")])
