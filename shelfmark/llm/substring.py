@@ -40,6 +40,7 @@ from shelfmark.llm.common import (
 
 LENGTH = 35
 SEED_WORDS = 18
+OFTEN = 10_000  # surroundings with more than one in so many of all places are broadcast: fewer than so many rows
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so each has an inverse modulo 2**64
 
 
@@ -289,10 +290,14 @@ def repeated_texts(docs: DataFrame, seed_words: int = SEED_WORDS, length: int =
         texts = keyed.join(wanted, _same(keyed, wanted, "wanted")).select("text", "wanted")
         members = saved(texts.mapInArrow(_surroundings(seed_words, length), _MEMBER), "surroundings")
         reaches = reaches.unionAll(_matches(members, reach))
-    reaches = reaches.groupBy("seed", "around").agg(F.max("to_left").alias("to_left"), F.max("to_right").alias("to_right"))
+    reaches = saved(reaches.groupBy("seed", "around").agg(
+        F.max("to_left").alias("to_left"), F.max("to_right").alias("to_right")), "reaches")
+    total = variants.agg(F.sum("n")).first()[0] or 0
+    often = F.broadcast(variants.filter(F.col("n") * OFTEN > total).select("seed", "around"))
+    matched = places.join(F.broadcast(reaches.join(often, ["seed", "around"])), ["seed", "around"]).unionByName(
+        places.join(often, ["seed", "around"], "left_anti").join(reaches, ["seed", "around"]))
     spans = saved(
-        places.join(reaches, ["seed", "around"])
-        .select("doc_id", "text_hash", F.struct(
+        matched.select("doc_id", "text_hash", F.struct(
             (F.col("at") - F.col("to_left")).alias("first"),
             (F.col("at") + seed_words + F.col("to_right")).alias("stop")).alias("span"))
         .groupBy(F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"))
