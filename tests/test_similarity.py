@@ -129,6 +129,51 @@ def test_many_copies_of_one_text(spark):
     assert run(spark, reviews) == brute_force(reviews)
 
 
+def test_dense_group_ships_blocks_not_pairs(spark, monkeypatch):
+    """Different texts of one work and length that all share most trigrams: nothing is written per pair of them."""
+    rng = random.Random(8)
+    words = [a + b for a in WORDS for b in ("", "s", "ed")]
+    reviews = [(i + 1, 1, 2, " ".join(rng.sample(words, 34))[:180], "en") for i in range(600)]
+    made, write = {}, sim.materialize
+
+    def noted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(sim, "materialize", noted)
+    assert run(spark, reviews) == brute_force(reviews)
+    assert made and max(made.values()) <= 4 * len(reviews)
+
+
+@pytest.mark.parametrize("seed, copies, small", [(12, 0.3, 0), (13, 0.9, 0), (14, 0.9, 256)])
+def test_many_small_blocks_equal_brute_force(spark, monkeypatch, seed, copies, small):
+    """Groups over several cells and blocks, bundles of two, leaders with followers, every product in slices."""
+    for name, value in {"SMALL_GROUP": small, "BLOCK": 7, "BUNDLE": 2, "MINHASHES": 1}.items():
+        monkeypatch.setattr(sim, name, value)
+    reviews = make_reviews(seed, 160, copies)
+    assert run(spark, reviews, length_delta=0.2, radius=0.25) == brute_force(reviews, delta=0.2)
+
+
+@pytest.mark.parametrize("rare, part", [(0, 3), (1, 50), (200, 4096), (10**9, 20)])
+def test_shared_trigrams_of_two_blocks(rare, part, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(sim, "RARE", rare)
+    monkeypatch.setattr(sim, "SLICE", part)
+    monkeypatch.setattr(sim, "PAIRS", part)
+    rng = random.Random(rare)
+    lots = [[sorted(rng.sample(range(60), rng.randrange(1, 30))) for _ in range(n)] for n in (9, 14)]
+    blocks = []
+    for sets in lots:
+        n = len(sets)
+        rows = pa.table({"cid": [*range(n)], "grams": sets, "pending": [True] * n,
+                         **{c: [1.0] * n for c in ("len", "low", "high", "n", "radius")}})
+        key = (pa.scalar(1), pa.scalar("en"), pa.scalar(0, pa.int32()), pa.scalar(True), pa.scalar(0, pa.int32()))
+        blocks.append(sim._Block(sim._pack(key, rows), 0))
+    assert sim._shared(*blocks).tolist() == [[len(set(x) & set(y)) for y in lots[1]] for x in lots[0]]
+
+
 def test_enqueue_and_mark(spark, rows):
     work = spark.createDataFrame(
         [(1, "2016-01-01"), (2, "2016-01-01"), (3, None), (4, "2016-01-01"), (5, "2016-01-01")],
