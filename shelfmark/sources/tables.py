@@ -51,7 +51,7 @@ def drop_intermediate(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Partition by the columns into the configured number of shuffle partitions.
+    """Partition by the columns, or in equal parts, into the configured number of shuffle partitions.
 
     For rows that are small but costly to work on: the partition count is kept, where
     adaptive execution would merge partitions by their bytes. A shuffled join on the

@@ -279,3 +279,14 @@ def test_review_pages(spark):
     assert got[("critiqueslibres", 1)].parsed_rating == 10
     none = got[("goodreads", None)]
     assert none.work_uid == "5" and none.review is None
+
+
+def test_pages_of_one_file_are_taken_apart_in_many_tasks(spark):
+    """Stored pages are few bytes in few files; the parsing is dealt out whatever their layout."""
+    details = [(str(i), f"https://www.librarything.com/work/{i}/workdetails", "<div>x</div>") for i in range(64)]
+    df = spark.createDataFrame(details, "requested_refid string, url string, html string").coalesce(1)
+    done = pages.extract_work_details(df).select("work_refid", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.work_refid for r in done) == list(range(64)) and len({r.task for r in done}) > 4
+    reviews = df.withColumn("url", F.replace("url", F.lit("details"), F.lit("/reviews")))
+    assert reviews.count() == pages.raw_reviews(reviews).count()
+    assert pages.raw_reviews(reviews).select(F.spark_partition_id()).distinct().count() > 4
