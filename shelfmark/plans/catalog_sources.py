@@ -329,11 +329,12 @@ def ingest_reviews(s: Standins):
     folder, checkpoint, store = _folder(s, "incoming"), _folder(s, "ingest"), Store(s.spark, _folder(s, "staging"))
     intake = reviews.ReviewIntake(
         store, "review", ledger.Ledger(s.spark, _folder(s, "load_audit")), "intake", datetime(2000, 12, 31))
-    staged = s.staged_reviews().select(
-        "site_logical_name", "user_uid", "work_refid", "parsed_review_date", F.col("title").alias("review"))
+    # Read by three lots: the joins are made once. Dumps of this size come compressed.
+    staged = materialize(s.staged_reviews().select(
+        "site_logical_name", "user_uid", "work_refid", "parsed_review_date", F.col("title").alias("review")), "staged")
     early = F.col("site_logical_name").isin("AFRICA", "ASIA")
     for lot in (staged.filter(early), staged.filter(~early), staged.filter(early)):
-        lot.write.mode("append").csv(folder, sep="|", header=True, quote='"', escape='"')
+        lot.write.mode("append").csv(folder, sep="|", header=True, quote='"', escape='"', compression="gzip")
         ingest.ingest_dumps(s.spark, folder, reviews.KEY, checkpoint, intake.sink())
     on_time = store.read("review").withColumn("period_class", F.lit(0))
     both = on_time.unionByName(store.read("review_late"))

@@ -17,20 +17,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from shelfmark.operators.merge import one_per_key
 from shelfmark.operators.queues import period_class
 from shelfmark.sources.ledger import Ledger
 from shelfmark.sources.tables import Store, materialize
 
+SMALL_BATCH = 100_000
 KEY = ("site_logical_name", "user_uid", "work_refid", "parsed_review_date", "review")
 
 
 def review_digest() -> Column:
     """Digest of what makes a review the same one; a field that is null differs from an empty one."""
-    return F.sha2(F.to_json(F.struct(*KEY)), 256)
+    return F.unhex(F.sha2(F.to_json(F.struct(*KEY)), 256))
 
 
 class ReviewIntake:
@@ -45,8 +46,11 @@ class ReviewIntake:
         if not self.store.exists(name):
             return None
         # A table whose loads were all taken out has no file to tell its layout.
-        known = self.store.spark.read.schema("digest string, review_date date, load_audit_id int")
-        return known.parquet(self.store.path(name)).filter(F.col("load_audit_id") != load)
+        known = self.store.spark.read.schema("digest binary, review_date date, load_audit_id int")
+        # Loads of earlier versions hold the digest spelled out.
+        spelled = F.octet_length("digest") == 64
+        digest = F.when(spelled, F.unhex(F.col("digest").cast("string"))).otherwise(F.col("digest"))
+        return known.parquet(self.store.path(name)).filter(F.col("load_audit_id") != load).withColumn("digest", digest)
 
     def watermark(self, load: int):
         """The last date stored by other loads, less the delay; None before the first."""
@@ -54,35 +58,46 @@ class ReviewIntake:
         last = None if stored is None else stored.agg(F.max("review_date")).first()[0]
         return None if last is None else last - self.delay
 
-    def _new(self, rows: DataFrame, load: int) -> DataFrame:
-        """Rows whose digest is in neither table."""
-        first, last = rows.agg(F.min("review_date"), F.max("review_date")).first()
+    def _stored(self, rows: DataFrame, load: int) -> DataFrame | None:
+        """Digests stored by other loads within the rows' span of dates, and of reviews without a date."""
+        first, last, many = rows.agg(F.min("review_date"), F.max("review_date"), F.count(F.lit(1))).first()
         here = F.col("review_date").between(F.lit(first), F.lit(last)) | F.col("review_date").isNull()
-        asked = rows.select("digest")
-        for name in (self.table, self.late):
-            stored = self._before(name, load)
-            if stored is not None:
-                # The batch is the small side: it goes to the stored digests, which stay.
-                met = stored.filter(here).select("digest").join(asked, "digest", "left_semi")
-                rows = rows.join(met, "digest", "left_anti")
-        return rows
+        tables = [t for t in (self._before(name, load) for name in (self.table, self.late)) if t is not None]
+        if not tables:
+            return None
+        stored = reduce(DataFrame.unionByName, (t.filter(here).select("digest") for t in tables))
+        # A small batch goes to the stored digests, which stay; beside a large one they move as they are.
+        return stored.join(rows.select("digest"), "digest", "left_semi") if many <= SMALL_BATCH else stored
 
-    def _write(self, name: str, rows: DataFrame, load: int) -> int:
-        rows = materialize(rows.withColumn("load_audit_id", F.lit(load)), "intake")
-        count = rows.count()
-        if count:
-            self.store.append_batch(name, rows)
+    def _new(self, rows: DataFrame, load: int) -> DataFrame:
+        """One row per digest that is in neither table, without the digest, which is longer than most rows.
+
+        Rows and stored digests meet in the one shuffle that finds the rows sent twice.
+        """
+        rest = F.struct(*(c for c in rows.columns if c != "digest"))
+        sent, stored = rows.select("digest", rest.alias("sent")), self._stored(rows, load)
+        if stored is not None:
+            sent = sent.unionByName(stored.withColumn("known", F.lit(True)), allowMissingColumns=True)
         else:
+            sent = sent.withColumn("known", F.lit(None).cast("boolean"))
+        met = sent.groupBy("digest").agg(F.max("sent").alias("sent"), F.max("known").alias("known"))
+        return met.filter("known is null").select("sent.*")
+
+    def _write(self, name: str, rows: DataFrame, load: int) -> int:
+        observed = Observation()
+        self.store.append_batch(
+            name, rows.withColumn("digest", review_digest()).withColumn("load_audit_id", F.lit(load)).observe(observed, F.count(F.lit(1)).alias("rows")))
+        count = observed.get["rows"]
+        if not count:
             self.store.drop_batch(name, load)
         return count
 
     def load(self, rows: DataFrame, load: int) -> int:
         """Store a batch of staged rows; returns how many reviews it added to the table."""
-        dated = rows.withColumn("review_date", F.col("parsed_review_date").try_cast("date"))
-        batch = materialize(one_per_key(dated.withColumn("digest", review_digest()), ["digest"]), "intake")
+        dated = rows.withColumn("review_date", F.col("parsed_review_date").try_cast("date")).withColumn("digest", review_digest())
         mark, until = self.watermark(load), F.lit(self.now.date() + timedelta(days=1))
         classed = materialize(
-            self._new(batch, load).withColumn(
+            self._new(dated, load).withColumn(
                 "period_class", period_class("review_date", None if mark is None else F.lit(mark), until)), "intake")
         on_time = F.coalesce(F.col("period_class") == 0, F.lit(False))
         self._write(self.late, classed.filter(~on_time), load)

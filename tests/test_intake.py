@@ -63,6 +63,39 @@ def test_a_repeated_batch_replaces_itself(spark, place):
     assert stored() == (["a", "b"], [])
 
 
+@pytest.mark.parametrize("small", [0, 100])
+def test_batches_of_any_size_and_spelled_digests_are_known(spark, place, monkeypatch, small):
+    """Small batches go to the stored digests, beside large ones these move; hex digests of old loads count."""
+    from pyspark.sql import functions as F
+
+    from shelfmark.streaming import reviews
+
+    monkeypatch.setattr(reviews, "SMALL_BATCH", small)
+    intake, _, stored = place
+    rows = lambda *r: spark.createDataFrame([(*x,) for x in r], ", ".join(f"{k} string" for k in KEY))
+    one, two, old = (("s", "u", str(i), "2016-04-01", t) for i, t in enumerate("abo"))
+    assert intake.load(rows(one, one), 1) == 1
+    spelled = rows(old).withColumn("digest", F.lower(F.hex(reviews.review_digest()))).withColumn(
+        "review_date", F.col("parsed_review_date").cast("date")).withColumn("load_audit_id", F.lit(2))
+    spelled.write.mode("append").partitionBy("load_audit_id").parquet(intake.store.path("review"))
+    assert intake.load(rows(old, one, two), 3) == 1
+    assert stored()[0] == ["a", "b", "o"]
+
+
+def test_a_batch_is_written_twice_at_most(spark, place, monkeypatch):
+    """Once where its reviews are classed and once into the tables; digests take 32 bytes."""
+    from shelfmark.streaming import reviews
+
+    intake, _, _ = place
+    written, write, append = [], reviews.materialize, intake.store.append_batch
+    monkeypatch.setattr(reviews, "materialize", lambda df, name: (written.append(name), write(df, name))[1])
+    monkeypatch.setattr(intake.store, "append_batch", lambda name, df: (written.append(name), append(name, df))[1])
+    rows = spark.createDataFrame([("s", "u", "1", "2016-04-01", "a")], ", ".join(f"{k} string" for k in KEY))
+    assert intake.load(rows, 1) == 1
+    assert written == ["intake", "review_late", "review"]
+    assert len(spark.read.parquet(intake.store.path("review")).first()["digest"]) == 32
+
+
 def test_nothing_arrives(spark, place):
     _, send, stored = place
     send("1.dat")
