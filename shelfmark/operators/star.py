@@ -151,11 +151,11 @@ def rel_tag(work_tag: DataFrame, tag: DataFrame, dim_tag: DataFrame, dim_book: D
     forms = tag.select(F.col("id").alias("tag_uuid"), F.col("tag_upper").alias("tag_name")).join(
         dim_tag.select("tag_id", "tag_name"), "tag_name"
     )
+    # Pairs of books that are left out go first; repeated ones as two numbers, not with their long ids.
     return (
         work_tag.select(F.col("work_refid").alias("book_id"), F.col("tag_id").alias("tag_uuid"))
-        .distinct()
-        .join(forms, "tag_uuid")
         .join(dim_book.select("book_id"), "book_id", "left_semi")
+        .join(forms, "tag_uuid")
         .select("book_id", "tag_id")
         .distinct()
     )

@@ -179,3 +179,16 @@ def test_user_ids_match_across_loads(spark):
     reviews = loads.append_review(stage, sites, NOW, 1, "goodreads").select("user_id").distinct().collect()
     expected = spark.range(1).select(ids.derive_user_id(F.lit("u1"), F.lit("goodreads"))).first()[0]
     assert [r.user_id for r in reviews] == [expected]
+
+
+def test_rel_tag_reduces_pairs_once_as_numbers(spark, rows):
+    """Repeated pairs are reduced after the ids are short, of books that stay only."""
+    from shelfmark.operators import star
+
+    pairs = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (3, "b"), (None, "a")], "work_refid bigint, tag_id string")
+    tag = spark.createDataFrame([("a", "TAG"), ("b", "TAG"), ("c", "NONE")], "id string, tag_upper string")
+    dim = spark.createDataFrame([(7, "TAG")], "tag_id bigint, tag_name string")
+    book = spark.createDataFrame([(1,), (3,), (3,)], "book_id bigint")
+    got = star.rel_tag(pairs, tag, dim, book)
+    assert rows(got) == [(1, 7), (3, 7)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
