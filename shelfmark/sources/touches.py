@@ -24,8 +24,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType, TimestampNTZType
 
-from shelfmark.sources.tables import _fs, materialize
+from shelfmark.sources.tables import _fs
 
+# A log of fewer rows than one in so many of the folded states is joined to them.
+SMALL_LOG = 10
 _ORDER = [StructField("at", TimestampNTZType()), StructField("by", IntegerType())]
 # Columns of a row that its creation's time and load stand for.
 _CREATION = {"create_dts": "at", "load_audit_id": "by"}
@@ -172,7 +174,13 @@ class TouchLog:
         if len(folded) != 1:
             return fold(self.touched, self._states(numbers))
         base = self._states(folded)
-        return combined(self.touched, base, fold(self.touched, self._states(log))) if log else base
+        if not log:
+            return base
+        # A small log goes to the base; a large one would be folded for each of the joins: all states meet once.
+        said = self._states(log)
+        if said.count() * SMALL_LOG > base.count():
+            return fold(self.touched, self._states(numbers))
+        return combined(self.touched, base, fold(self.touched, said))
 
     def read(self) -> DataFrame:
         """The table's rows."""
@@ -183,8 +191,8 @@ class TouchLog:
         numbers = self.loads()
         if len(numbers) < 2 and all(n < 0 for n in numbers):
             return 0
-        whole = materialize(self.state(), "folded")
-        self._write(min([*numbers, 0]) - 1, whole)
+        # The new partition is none of those read.
+        self._write(min([*numbers, 0]) - 1, self.state())
         for n in numbers:
             self.drop(n)
         return len(numbers)

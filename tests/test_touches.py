@@ -86,6 +86,18 @@ def test_a_load_writes_its_own_keys_only(spark, log, tmp_path):
     drop_intermediate(spark)
 
 
+def test_a_large_log_meets_the_folded_states_once(spark, log):
+    """Beside few folded states the log is not folded for each of several joins."""
+    log.append(1, said(spark, log, 0, 1, "seen", {k: "x" for k in range(50)}))
+    log.fold()
+    log.append(2, said(spark, log, 1, 2, "seen", {k: "y" for k in range(25, 90)}))
+    plan = log.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {r.k: r.seen.isoformat() for r in log.read().collect()}.keys() == set(range(90))
+    assert log.fold() == 2 and log.read().count() == 90
+    drop_intermediate(spark)
+
+
 def test_a_load_taken_out_is_undone(spark, log):
     log.append(1, said(spark, log, 0, 1, "seen", {1: "x"}))
     log.append(2, said(spark, log, 1, 2, "seen", {1: "y", 2: "y"}))
