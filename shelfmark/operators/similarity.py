@@ -6,14 +6,13 @@ threshold. The result is exact; all pairs of a group are never listed:
 
 1. Reviews with the same text are one *class*, known by its lowest review id. Only
    classes are compared, and every copy but the first has an answer already.
-2. Classes meet only inside (work, language, cell of lengths and the next one), and only
-   in groups that hold a review not processed yet.
-3. Classes very close to an earlier one (same min-hashes, similarity checked) follow that
-   *leader*. Classes lie in blocks of bounded size; pairs of blocks are dealt to the tasks,
-   where products of their matrices give all shared trigrams at once. Followers are never
-   compared with followers there: Jaccard distance is a metric, so a leader's followers
-   are looked at only where the leader lies within the threshold plus its radius and
-   does not settle the question itself. Groups of all sizes go this one way.
+2. Classes meet only inside (work, language) and a band of lengths. Blocks of bounded size
+   are cut along the length, from counts alone; neighbouring blocks form a tile, and only
+   tiles within reach of one that holds a review not processed yet are read.
+3. A set moves packed: once to its block, where the sets become slices of lists of places,
+   and with the block to the tasks that compare its tile with another one. There products
+   of matrices give all shared trigrams of two slices within reach of each other at once.
+   Groups of all sizes go this one way.
 
 With a kept index (``pick_indexed``) a batch adds its own reviews and the trigram sets of
 texts not met before, and reads, besides those, only sets of works with a pending review
@@ -24,22 +23,26 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from shelfmark.functions.text import let, trigrams
+from shelfmark.functions.text import trigrams
 from shelfmark.operators.components import connected_components
 from shelfmark.session import ship_package
-from shelfmark.sources.tables import materialize, spread
+from shelfmark.sources.tables import materialize, shuffle_files_dropped, spread
 
 BUCKET_BASE = 1.3
+# Not read any more: there are no leaders by min-hashes; the tests set it.
 MINHASHES = 4
+# Classes of a slice at least (where the block has them), of a block about, and blocks of a tile.
 SMALL_GROUP = 256
 BLOCK = 2048
-BUNDLE = 8
+BUNDLE = 4
 # A trigram is rare between two blocks where it meets in fewer than one of so many pairs; trigrams a matrix
 # and counted pairs at a time.
 RARE = 200
@@ -51,8 +54,7 @@ PAIRS = 4_000_000
 class SimilarityRules:
     """Fixed values of the job.
 
-    ``radius`` is the largest distance of a class from the leader it follows. Leaders of
-    similar followers share a trigram only while ``min_similarity`` exceeds two radii.
+    ``radius`` is checked but not read: all classes are compared, none follows a leader.
     """
 
     min_similarity: float = 0.6
@@ -71,6 +73,11 @@ class SimilarityRules:
         """The length band with the most rounding can add."""
         return self.length_delta + 0.5 / max(self.min_length, 1)
 
+    @property
+    def reach(self) -> float:
+        """Partners' lengths differ by this factor at most."""
+        return math.exp(-math.log1p(-self.margin) * (1 + 1e-9))
+
 
 class NothingPending(RuntimeError):
     """No work is left to compare."""
@@ -132,9 +139,10 @@ def _other_buckets(shortest: Column, longest: Column, margin: float) -> Column:
     return F.sequence(_bucket(F.greatest(low, F.lit(1))), _bucket(high))
 
 
-def _ratio_ok(n: Column, m: Column, threshold: Column | float) -> Column:
-    """Sets of sizes n and m can reach the threshold."""
-    return F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9
+def _step(df: DataFrame, name: str) -> DataFrame:
+    """``materialize``, and the step's shuffle files go as soon as it is written."""
+    with shuffle_files_dropped(df.sparkSession):
+        return materialize(df, name)
 
 
 def _comparable(queue: DataFrame, rules: SimilarityRules) -> DataFrame:
@@ -169,108 +177,97 @@ def text_members(queue: DataFrame, reviews: DataFrame, rules: SimilarityRules) -
 CLASS_KEY = ["work_refid", "lang", "len", "text_key"]
 
 
-def text_classes(members: DataFrame, reviews: DataFrame) -> DataFrame:
-    """One row per distinct text of a work and language with its trigram set."""
-    classes = members.groupBy(*CLASS_KEY).agg(
-        F.min("id").alias("cid"), F.max("pending").alias("pending")
-    )
-    return _with_sets(classes, reviews.select("id", "site_id", "review"))
+def text_classes(members: DataFrame) -> DataFrame:
+    """One row per distinct text of a work and language, by its lowest review id."""
+    return members.groupBy(*CLASS_KEY).agg(F.min("id").alias("cid"), F.max("pending").alias("pending"))
 
 
-def _with_sets(classes: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Classes with the trigram set of the text of their review ``cid``, and its min-hashes."""
+def _with_sets(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Classes with the packed trigram set of the text (cid, review) of their review ``cid``, and its size."""
     # The trigram sets are the expensive part. After a shuffled join the rows are
     # partitioned by class already and no exchange is added; after a broadcast the texts
     # are spread over all cores.
-    return (
-        spread(classes.join(reviews.withColumnRenamed("id", "cid"), "cid"), "cid")
-        .withColumn("grams", trigrams("review"))
+    spark = classes.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    rows = (
+        spread(classes.join(texts, "cid"), "cid")
+        .withColumn("grams", F.sort_array(trigrams("review")))
         .withColumn("n", F.size("grams"))
-        .withColumn("bucket", _bucket(F.col("len")))
         .drop("review")
-        .withColumn("hashes", F.array(*[_minhash("grams", seed) for seed in range(MINHASHES)]))
     )
-
-
-def _minhash(grams: str, seed: int) -> Column:
-    return F.array_min(F.transform(grams, lambda g: F.xxhash64(g, F.lit(seed))))
-
-
-def _similar_rows(
-    pairs: DataFrame, keep: list[str], threshold: Column | float, where: Column | None = None
-) -> DataFrame:
-    """Pairs of trigram sets (grams, n, o_grams, o_n) that reach the threshold.
-
-    The cheap tests guard the set intersection inside one expression: as separate
-    filters the optimizer is free to evaluate the intersection first.
-    """
-    threshold = F.lit(threshold) if isinstance(threshold, float) else threshold
-    n, m = F.col("n"), F.col("o_n")
-    possible = _ratio_ok(n, m, threshold)
-    if where is not None:
-        possible = where & possible
-    ratio = let(F.size(F.array_intersect("grams", "o_grams")), lambda shared: shared / (n + m - shared))
-    return pairs.select(*keep, F.when(possible, ratio).alias("similarity"), threshold.alias("_t")).filter(
-        F.col("similarity") >= F.col("_t")
-    ).drop("_t")
-
-
-def _celled(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
-    """Classes with their cell of lengths: partners lie in the same cell or one beside it.
-
-    A small group is one cell.
+    layout = [StructField(f.name, BinaryType() if f.name == "grams" else f.dataType) for f in rows.schema.fields]
+    return rows.mapInArrow(_pack_sets, StructType(layout))
+
+
+def _pack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted trigram sets as the differences of neighbours, compressed."""
+    for batch in batches:
+        sets = batch["grams"]
+        values = sets.flatten().to_numpy()
+        ends = np.cumsum(sets.value_lengths().fill_null(0).to_numpy())
+        steps = np.diff(values, prepend=values[:0].dtype.type(0))
+        firsts = np.concatenate([[0], ends[:-1]])
+        firsts = firsts[firsts < len(values)]
+        steps[firsts] = values[firsts]
+        data, start, packed = memoryview(steps.tobytes()), 0, []
+        for end, known in zip(ends.tolist(), sets.is_valid().to_pylist(), strict=True):
+            packed.append(zlib.compress(data[8 * start:8 * end], 1) if known else None)
+            start = end
+        i = batch.schema.get_field_index("grams")
+        yield batch.set_column(i, "grams", pa.array(packed, pa.binary()))
+
+
+def _unpack_sets(packed: pa.ChunkedArray) -> pa.ListArray:
+    sets = [np.cumsum(np.frombuffer(zlib.decompress(x), np.int64)) for x in packed.to_pylist()]
+    offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate(sets))
+
+
+def _placed(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
+    """Classes with their block and the pairs of tiles it goes to, as far as they can meet a pending one.
+
+    A block's place on the scale of lengths follows from how many classes each cell of
+    lengths has: partners lie in the same cell or one beside it. Inside a cell, classes are dealt.
     """
-    key = ["work_refid", "lang"]
-    sizes = classes.groupBy(*key).agg(F.count(F.lit(1)).alias("many"))
-    step = -math.log1p(-rules.margin) * (1 + 1e-9)
-    cell = F.when(F.col("many") > SMALL_GROUP, F.floor(F.log(F.col("len")) / F.lit(step)).cast("int")).otherwise(0)
-    # A set without trigrams is similar to nothing.
-    return classes.filter("n > 0").join(sizes, key).withColumn("cell", cell).drop("many")
-
-
-def _leaders(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
-    """Classes with the leader of their cell they follow (themselves where they follow none)."""
-    key = ["work_refid", "lang", "cell", "hashes"]
-    facts = classes.select(*key, "cid", "len", "n")
-    pivots = facts.groupBy(*key).agg(F.min(F.struct("cid", "len", "n")).alias("p"))
-    nearest = max(1 - rules.radius, rules.min_similarity)
-    close = (
-        facts.join(pivots, key)
-        .filter(
-            (F.col("p.cid") < F.col("cid")) & _ratio_ok(F.col("n"), F.col("p.n"), nearest)
-            & in_band(F.col("len"), F.col("p.len"), rules.length_delta)
-        )
-        .select("cid", F.col("p.cid").alias("pivot"))
-        .distinct()
-        # Of rows with one id but different texts none follows.
-        .join(classes.groupBy("cid").agg(F.count(F.lit(1)).alias("rows")).filter("rows = 1"), "cid", "left_semi")
-    )
-    sets = classes.select("cid", "n", "grams")
-    other = classes.select(F.col("cid").alias("pivot"), F.col("n").alias("o_n"), F.col("grams").alias("o_grams"))
-    near = materialize(
-        _similar_rows(spread(close, "cid").join(sets, "cid").join(other, "pivot"), ["cid", "pivot"], nearest), "near")
-    follower = near.select(F.col("cid").alias("pivot")).distinct()
-    chosen = (
-        near.join(follower, "pivot", "left_anti")
-        .groupBy("cid")
-        .agg(F.min(F.struct(F.col("pivot").alias("leader"), "similarity")).alias("p"))
-        .select("cid", "p.leader", (1 - F.col("p.similarity")).alias("distance"))
-    )
-    radius = chosen.groupBy(F.col("leader").alias("cid")).agg(F.max("distance").alias("radius"))
-    return classes.join(chosen, "cid", "left").join(radius, "cid", "left").select(
-        *classes.columns, F.coalesce("leader", "cid").alias("leader"), F.coalesce("radius", F.lit(0.0)).alias("radius")
+    group = ["work_refid", "lang"]
+    step = math.log(rules.reach)
+    rows = classes.withColumn("cell", F.floor(F.log("len") / F.lit(step)).cast("int"))
+    cells = rows.groupBy(*group, "cell").agg(F.count(F.lit(1)).alias("many"), F.max("pending").alias("asks"))
+    cells = _step(
+        cells.withColumn("before", F.sum("many").over(Window.partitionBy(*group).orderBy("cell")) - F.col("many")), "cells")
+    size = BLOCK * BUNDLE
+    tiles = cells.select(
+        *group, "cell", "asks",
+        F.explode(F.sequence(F.floor(F.col("before") / size), F.floor((F.col("before") + F.col("many") - 1) / size))).alias("tile"),
+    ).groupBy(*group, F.col("tile").cast("int").alias("tile")).agg(
+        F.min("cell").alias("low"), F.max("cell").alias("high"), F.max("asks").alias("asks"))
+    a = tiles.select(*group, F.col("tile").alias("a"), "high", "asks")
+    b = tiles.select(*group, F.col("tile").alias("b"), "low", F.col("asks").alias("b_asks"))
+    meet = a.join(b, group).filter("a <= b and low <= high + 1 and (asks or b_asks)")
+    goes = meet.select(*group, F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"), F.struct("a", "b").alias("meet"))
+    goes = goes.groupBy(*group, "tile").agg(F.sort_array(F.collect_list("meet")).alias("goes"))
+    place = F.col("before") + F.pmod(F.xxhash64("cid", "text_key"), F.col("many"))
+    width = F.round(F.col("len") * rules.length_delta)
+    return (
+        rows.join(cells.drop("asks"), [*group, "cell"])
+        .withColumn("part", F.floor(place / BLOCK).cast("int"))
+        .withColumn("tile", F.floor(F.col("part") / BUNDLE).cast("int"))
+        .join(goes, [*group, "tile"])
+        .select(*CLASS_KEY, "tile", "part", "goes", "cid", "pending", (F.col("len") - width).alias("low"),
+                (F.col("len") + width).alias("high"))
     )
 
 
-BLOCK_KEY = ["work_refid", "lang", "cell", "lead", "part"]
+BLOCK_KEY = ["work_refid", "lang", "tile", "part", "goes"]
 _BLOCK_FACTS = (
     "cid array<bigint>, len array<double>, low array<double>, high array<double>, n array<double>, "
-    "pending array<boolean>, radius array<double>, grams array<bigint>, counts array<int>, places binary"
+    "pending array<boolean>, grams binary, counts binary, places binary"
 )
 
 
 def _pack(key: tuple, rows: pa.Table) -> pa.Table:
-    """The classes of a block as one row, by class id: their facts, and per trigram the places of its classes."""
+    """The classes of a slice as one row, by class id: their facts, and per trigram the places of its classes."""
     rows = rows.sort_by("cid")
     sets = rows["grams"].combine_chunks()
     grams = sets.flatten().to_numpy()
@@ -279,23 +276,42 @@ def _pack(key: tuple, rows: pa.Table) -> pa.Table:
     distinct, counts = np.unique(grams, return_counts=True)
     lists = np.diff(places[order], prepend=places[:0].dtype.type(0))  # wraps around where a list begins
     row = dict(zip(BLOCK_KEY, (k.as_py() for k in key), strict=True))
-    row |= {c: rows[c].to_numpy() for c in ("cid", "len", "low", "high", "n", "pending", "radius")}
-    row |= {"asks": bool(row["pending"].any()), "grams": distinct, "counts": counts, "places": zlib.compress(lists, 1)}
+    row |= {c: rows[c].to_numpy() for c in ("cid", "len", "low", "high", "n", "pending")}
+    row |= {"grams": zlib.compress(np.diff(distinct, prepend=0), 1), "counts": zlib.compress(counts.astype(np.uint16), 1),
+            "places": zlib.compress(lists, 1)}
     return pa.Table.from_pylist([row], schema=pa.schema([
-        *((c, key[i].type) for i, c in enumerate(BLOCK_KEY)), ("asks", pa.bool_()), ("cid", pa.list_(pa.int64())),
+        *((c, key[i].type) for i, c in enumerate(BLOCK_KEY)), ("cid", pa.list_(pa.int64())),
         *((c, pa.list_(pa.float64())) for c in ("len", "low", "high", "n")), ("pending", pa.list_(pa.bool_())),
-        ("radius", pa.list_(pa.float64())), ("grams", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())),
-        ("places", pa.binary())]))
+        *((c, pa.binary()) for c in ("grams", "counts", "places"))]))
+
+
+def _pack_blocks(small: int, most: int, reach: float):
+    def pack(key: tuple, rows: pa.Table) -> pa.Table:
+        """A block as slices of classes of like length: ``small`` or more, ``most`` at most."""
+        rows = rows.sort_by([("len", "ascending"), ("cid", "ascending")])
+        lengths, start, out = rows["len"].to_numpy(), 0, []
+        while start < len(rows):
+            end = min(start + most, max(start + small, int(np.searchsorted(lengths, lengths[start] * reach, "right"))))
+            lot = rows.slice(start, end - start)
+            sets = _unpack_sets(lot["grams"])
+            out.append(_pack(key, lot.set_column(lot.schema.get_field_index("grams"), "grams", sets)))
+            start = end
+        return pa.concat_tables(out)
+
+    return pack
 
 
 class _Block:
-    """A packed block, its lists of places spelled out."""
+    """A packed slice, its lists of places spelled out."""
 
     def __init__(self, rows: pa.Table, i: int):
-        for c in ("cid", "len", "low", "high", "n", "pending", "radius", "grams", "counts"):
+        for c in ("cid", "len", "low", "high", "n", "pending"):
             setattr(self, c, rows[c][i].values.to_numpy(zero_copy_only=False))
-        self.lead, self.size = rows["lead"][i].as_py(), len(self.cid)
-        self.places = np.cumsum(np.frombuffer(zlib.decompress(rows["places"][i].as_py()), np.uint16), dtype=np.uint16)
+        self.size = len(self.cid)
+        self.grams, self.counts, self.places = (
+            np.frombuffer(zlib.decompress(rows[c][i].as_py()), kind)
+            for c, kind in (("grams", np.int64), ("counts", np.uint16), ("places", np.uint16)))
+        self.grams, self.places = np.cumsum(self.grams), np.cumsum(self.places, dtype=np.uint16)
         self.starts = np.cumsum(self.counts, dtype=np.int64) - self.counts
 
     def matrix(self, grams: np.ndarray) -> np.ndarray:
@@ -336,111 +352,67 @@ def _shared(a: _Block, b: _Block) -> np.ndarray:
 
 
 def _found(a: _Block, b: _Block, shared: np.ndarray, t: float) -> list[tuple]:
-    """For the pending classes of a the first leader of b each is similar to, and the leaders only near it.
-
-    A leader is near where one that follows it can be similar.
-    """
+    """For the pending classes of a the first class of b each is similar to."""
     asks = np.flatnonzero(a.pending)
-    if not (b.lead and len(asks)):
+    if not len(asks):
         return []
     shared = shared[asks].astype(np.float64)
     similarity = shared / (a.n[asks, None] + b.n - shared)
-    earlier = b.cid < a.cid[asks, None]
     length = a.len[asks, None]
-    hit = earlier & (similarity >= t) & (length >= b.low) & (length <= b.high)
+    hit = (b.cid < a.cid[asks, None]) & (similarity >= t) & (length >= b.low) & (length <= b.high)
     rows = np.flatnonzero(hit.any(axis=1))
     first = b.cid[hit[rows].argmax(axis=1)]
     # Rows of one id may differ in text: the least similarity counts.
     least = np.where(hit[rows] & (b.cid == first[:, None]), similarity[rows], 2).min(axis=1)
-    crowded = np.flatnonzero(b.radius > 0)
-    near = earlier[:, crowded] & ~hit[:, crowded] & (similarity[:, crowded] >= t - b.radius[crowded] - 1e-9)
-    x, y = np.nonzero(near)
-    return [(a.cid[asks[rows]], first, least, np.zeros(len(rows), bool)),
-            (a.cid[asks[x]], b.cid[crowded[y]], similarity[x, crowded[y]], np.ones(len(x), bool))]
-
-
-def _compare_blocks(t: float):
-    def compare(rows: pa.Table) -> pa.Table:
-        """The block that has its own row against the others of its bundle, and itself where so marked."""
-        mine = rows["itself"].is_valid().to_pylist()
-        i = mine.index(True)
-        a, found = _Block(rows, i), []
-        if rows["itself"][i].as_py():
-            found += _found(a, a, _shared(a, a), t)
-        for k in (k for k, own in enumerate(mine) if not own):
-            b = _Block(rows, k)
-            shared = _shared(a, b)
-            found += _found(a, b, shared, t) + _found(b, a, shared.T, t)
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, k) for k in ("i8", "i8", "f8", "?")]
-        return pa.table(dict(zip(("cid", "other", "similarity", "near"), columns, strict=True)))
+    return [(a.cid[asks[rows]], first, least)]
+
+
+def _compare_tiles(t: float, reach: float):
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        """Slices of one tile against those of the other, or among themselves, where lengths are within reach."""
+        first = rows["tile"].to_numpy() == key[2].as_py()
+        slices = [_Block(rows, i) for i in range(len(rows))]
+        spans = [(x.len.min(), x.len.max()) for x in slices]
+        own, found = key[2].as_py() == key[3].as_py(), []
+        for i in np.flatnonzero(first):
+            for j in range(i, len(slices)) if own else np.flatnonzero(~first):
+                a, b = slices[i], slices[j]
+                apart = spans[i][0] > spans[j][1] * reach or spans[j][0] > spans[i][1] * reach
+                if apart or not (a.pending.any() or b.pending.any()):
+                    continue
+                shared = _shared(a, b)
+                found += _found(a, b, shared, t)
+                if i != j:
+                    found += _found(b, a, shared.T, t)
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, k) for k in ("i8", "i8", "f8")]
+        return pa.table(dict(zip(("cid", "other", "similarity"), columns, strict=True)))
 
     return compare
 
 
-def _met_leaders(led: DataFrame, rules: SimilarityRules) -> DataFrame:
-    """cid, other, similarity and near: the first similar leaders of pending classes, and those only near.
+def _matches(classes: DataFrame, with_sets: Callable[[DataFrame], DataFrame], rules: SimilarityRules) -> DataFrame:
+    """cid, other and similarity: earlier classes that pending ones are similar to, with the first one among them.
 
-    Classes of a cell lie in blocks of about ``BLOCK``, leaders and followers apart. A
-    block is one row and goes to the bundles of blocks it is compared in, so what moves is
-    blocks, never sets by pairs.
+    ``with_sets`` gives placed classes their packed set and its size. What moves after that
+    is slices, each with the tile it lies in, never sets by pairs.
     """
-    ship_package(led.sparkSession)
-    here = ["work_refid", "lang", "cell", "lead"]
-    width = F.round(F.col("len") * rules.length_delta)
-    rows = led.withColumn("lead", F.col("leader") == F.col("cid"))
-    parts = rows.groupBy(*here).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("parts"))
-    placed = rows.join(parts, here).select(
-        *here, F.pmod(F.xxhash64("cid", "text_key"), F.col("parts")).cast("int").alias("part"), "cid",
-        F.col("len").cast("double").alias("len"), (F.col("len") - width).alias("low"), (F.col("len") + width).alias("high"),
-        F.col("n").cast("double").alias("n"), "pending", "radius", "grams")
-    types = ", ".join(f"`{c}` {placed.schema[c].dataType.simpleString()}" for c in BLOCK_KEY)
-    blocks = materialize(
-        spread(placed, *BLOCK_KEY).groupBy(*BLOCK_KEY).applyInArrow(_pack, f"{types}, asks boolean, {_BLOCK_FACTS}"), "blocks")
-    place = F.struct("cell", "lead", "part")
-    a = blocks.select("work_refid", "lang", "cell", place.alias("a"), "asks")
-    b = blocks.select("work_refid", "lang", F.explode(F.array(F.col("cell") - 1, "cell")).alias("cell"), place.alias("b"),
-                      F.col("asks").alias("b_asks"))
-    pairs = a.join(b, ["work_refid", "lang", "cell"]).filter("a <= b and (a.lead or b.lead) and (asks or b_asks)")
-    turn = F.row_number().over(Window.partitionBy("work_refid", "lang", "a").orderBy("b"))
-    pairs = materialize(
-        pairs.select("work_refid", "lang", "a", "b", F.floor((turn - 1) / BUNDLE).cast("int").alias("bundle")), "block-pairs")
-    bundle = ["work_refid", "lang", "a", "bundle"]
-    members = pairs.groupBy(*bundle).agg(F.max(F.expr("a = b")).alias("itself")).withColumn("b", F.col("a")).unionByName(
-        pairs.filter("a < b").withColumn("itself", F.lit(None).cast("boolean")))
-    held = blocks.withColumn("b", place).drop("cell", "part", "asks")
-    sent = members.join(held, ["work_refid", "lang", "b"]).drop("b")
-    return spread(sent, *bundle).groupBy(*bundle).applyInArrow(
-        _compare_blocks(rules.min_similarity), "cid bigint, other bigint, similarity double, near boolean")
-
-
-def _matches(classes: DataFrame, rules: SimilarityRules) -> DataFrame:
-    """Similar earlier classes, the first one among them."""
-    led = materialize(_leaders(_celled(classes, rules), rules), "leaders")
-    met = materialize(_met_leaders(led, rules), "met")
-    by_leader = met.filter(~F.col("near")).groupBy("cid").agg(F.min(F.struct("other", "similarity")).alias("p")).select(
-        "cid", "p.other", "p.similarity")
-    # Where a near leader does not settle it, its followers are looked at: only those
-    # before the class itself, and before the leader the class is already similar to.
-    crowd = led.filter(F.col("leader") != F.col("cid")).select(F.col("cid").alias("other"), F.col("leader").alias("o_leader"))
-    sets = led.select("cid", "len", "n", "grams")
-    other_sets = sets.select(
-        F.col("cid").alias("other"), F.col("len").alias("o_len"),
-        F.col("n").alias("o_n"), F.col("grams").alias("o_grams"),
-    )
-    by_follower = _similar_rows(
-        spread(
-            met.filter("near").select("cid", F.col("other").alias("o_leader"))
-            .join(by_leader.select("cid", F.col("other").alias("settled")), "cid", "left")
-            .join(crowd, "o_leader")
-            .filter(F.col("other") < F.coalesce("settled", "cid"))
-            .select("cid", "other").distinct(), "cid")
-        .join(sets, "cid")
-        .join(other_sets, "other"),
-        ["cid", "other"],
-        rules.min_similarity,
-        in_band(F.col("len"), F.col("o_len"), rules.length_delta),
-    )
-    return by_leader.union(by_follower)
+    ship_package(classes.sparkSession)
+    # A set without trigrams is similar to nothing.
+    sets = with_sets(_placed(classes, rules)).filter("n > 0").drop("text_key")
+    sets = sets.withColumns({c: F.col(c).cast("double") for c in ("len", "n")})
+    layout = StructType([StructField(c, sets.schema[c].dataType) for c in BLOCK_KEY] + StructType.fromDDL(_BLOCK_FACTS).fields)
+    here = BLOCK_KEY[:-1]
+    blocks = _step(
+        spread(sets, *here).groupBy(*BLOCK_KEY).applyInArrow(
+            _pack_blocks(SMALL_GROUP, BLOCK, rules.reach), layout),
+        "blocks")
+    sent = blocks.withColumn("meet", F.explode("goes")).drop("goes", "part").withColumns(
+        {c: F.col(f"meet.{c}") for c in ("a", "b")}).drop("meet")
+    both = ["work_refid", "lang", "a", "b"]
+    return _step(
+        spread(sent, *both).groupBy(*both).applyInArrow(
+            _compare_tiles(rules.min_similarity, rules.reach), "cid bigint, other bigint, similarity double"),
+        "met")
 
 
 def similarity_groups(pairs: DataFrame) -> DataFrame:
@@ -457,14 +429,15 @@ def pick_similar(
     queue: DataFrame, reviews: DataFrame, rules: SimilarityRules = SimilarityRules()
 ) -> DataFrame:
     """For every pending review the lowest-numbered earlier review it is similar to."""
-    members = text_members(queue, reviews, rules)
-    classes = materialize(text_classes(members, reviews), "classes")
-    return _answers(members, classes, rules)
+    members = _step(text_members(queue, reviews, rules), "members")
+    classes = _step(text_classes(members), "classes")
+    texts = reviews.select(F.col("id").alias("cid"), "site_id", "review")
+    matches = _matches(classes, lambda placed: _with_sets(placed, texts.drop("site_id")), rules)
+    return _answers(members, classes.join(texts.drop("review"), "cid"), matches)
 
 
-def _answers(members: DataFrame, classes: DataFrame, rules: SimilarityRules) -> DataFrame:
-    """The answer of every pending member, given all classes it could be similar to."""
-    matches = _matches(classes, rules)
+def _answers(members: DataFrame, classes: DataFrame, matches: DataFrame) -> DataFrame:
+    """The answer of every pending member, given all classes it could be similar to and the similar ones."""
     best = matches.groupBy("cid").agg(
         F.min(F.struct(F.col("other"), F.col("similarity"))).alias("best")
     )
@@ -498,10 +471,15 @@ def _within(index: DataFrame, works: DataFrame) -> DataFrame:
     Lots are sorted by work, and works are queued in the order of their number, so the span
     of the works is a filter the scan can leave out row groups by.
     """
+    return _span(index, works).join(works, ["work_refid", "lang"], "left_semi")
+
+
+def _span(index: DataFrame, works: DataFrame) -> DataFrame:
+    """Index rows between the least and the most of some works."""
     least, most = works.agg(F.min("work_refid"), F.max("work_refid")).first()
     if least is None:
         return index.limit(0)
-    return index.filter(F.col("work_refid").between(least, most)).join(works, ["work_refid", "lang"], "left_semi")
+    return index.filter(F.col("work_refid").between(least, most))
 
 
 def index_members(queue: DataFrame, reviews: DataFrame, known: DataFrame, rules: SimilarityRules = SimilarityRules()) -> DataFrame:
@@ -518,12 +496,13 @@ def index_members(queue: DataFrame, reviews: DataFrame, known: DataFrame, rules:
 def index_classes(added: DataFrame, reviews: DataFrame, known: DataFrame) -> DataFrame:
     """Rows a batch adds to the index of texts: those of ``added`` members that are not in it.
 
-    The class key with grams, n, bucket and hashes. A text's set is built when it is first met.
+    The class key with the packed set, n and bucket. A text's set is built when it is first met.
     """
     classes = added.groupBy(*CLASS_KEY).agg(F.min("id").alias("cid"))
     works = added.select("work_refid", "lang").distinct()
     new = classes.join(_within(known, works).select(*CLASS_KEY), CLASS_KEY, "left_anti")
-    return _with_sets(new, reviews.select("id", "review")).drop("cid")
+    texts = reviews.select(F.col("id").alias("cid"), "review")
+    return _with_sets(new.withColumn("bucket", _bucket(F.col("len"))), texts).select(*CLASS_KEY, "grams", "n", "bucket")
 
 
 def by_work(rows: DataFrame) -> DataFrame:
@@ -541,7 +520,7 @@ def pick_indexed(
     """
     pending = queue.filter(F.col("date_processed").isNull()).select(F.col("review_id").alias("id")).distinct()
     asked = _comparable(queue, rules).filter("pending").select("work_refid", "lang").distinct()
-    here = materialize(
+    here = _step(
         _within(members, asked).join(pending.withColumn("pending", F.lit(True)), "id", "left").withColumn(
             "pending", F.coalesce("pending", F.lit(False))),
         "members")
@@ -550,5 +529,11 @@ def pick_indexed(
     first = F.min(F.struct("id", "site_id"))
     grouped = here.groupBy(*CLASS_KEY).agg(first.alias("first"), F.max("pending").alias("pending")).select(
         *CLASS_KEY, F.col("first.id").alias("cid"), F.col("first.site_id").alias("site_id"), "pending")
-    sets = _within(classes, asked).join(near, ["work_refid", "lang", "bucket"], "left_semi")
-    return _answers(here, materialize(grouped.join(sets, CLASS_KEY), "classes"), rules)
+    known = _step(
+        grouped.withColumn("bucket", _bucket(F.col("len"))).join(near, ["work_refid", "lang", "bucket"], "left_semi").drop("bucket"),
+        "classes")
+    # The few facts of a class decide what is read; the sets meet them once.
+    sets = _span(classes, asked)
+    matches = _matches(
+        known.drop("site_id"), lambda placed: placed.join(sets.select(*CLASS_KEY, "grams", "n"), CLASS_KEY), rules)
+    return _answers(here, known.join(sets.select(*CLASS_KEY), CLASS_KEY), matches)

@@ -43,8 +43,8 @@ SCHEMAS = {
     "rev_similarto_process": "work_refid bigint, review_id bigint, text_length int, review_lang string, "
                              "date_processed timestamp_ntz, load_audit_id int",
     "similar_member": "id bigint, work_refid bigint, lang string, len int, site_id int, text_key string, load_audit_id int",
-    "similar_class": "work_refid bigint, lang string, len int, text_key string, grams array<bigint>, n int, bucket int, "
-                     "hashes array<bigint>, load_audit_id int",
+    "similar_class": "work_refid bigint, lang string, len int, text_key string, grams binary, n int, bucket int, "
+                     "load_audit_id int",
     "isbn_lang_rejected": "ean string, reply string, load_audit_id int",
     "tag_key": "tag_name string, tag_id bigint, load_audit_id int",
     "author_key": "code string, author_id bigint, load_audit_id int",

@@ -11,6 +11,8 @@ that replace it at once would both take the next version, and one state would be
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -39,6 +41,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside drop their shuffle files as soon as they end: nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def drop_intermediate(spark: SparkSession) -> int:
     """Delete the intermediate tables this session has made; frames over them end here."""
     made = spark.sparkContext.__dict__.setdefault("_shelfmark_tables", [])

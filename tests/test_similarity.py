@@ -174,6 +174,52 @@ def test_shared_trigrams_of_two_blocks(rare, part, monkeypatch):
     assert sim._shared(*blocks).tolist() == [[len(set(x) & set(y)) for y in lots[1]] for x in lots[0]]
 
 
+def test_sets_are_written_in_blocks_only(spark, monkeypatch):
+    """No step but the one that packs blocks writes trigram sets, and none writes them as long lists."""
+    made, write = {}, sim.materialize
+
+    def noted(df, name):
+        made[name] = df.schema
+        return write(df, name)
+
+    monkeypatch.setattr(sim, "materialize", noted)
+    reviews = make_reviews(31, 60, 0.5)
+    assert run(spark, reviews) == brute_force(reviews)
+    held = {name: [f.dataType.simpleString() for f in s.fields if f.name in ("grams", "hashes")] for name, s in made.items()}
+    assert {name for name, types in held.items() if types} == {"blocks"} and held["blocks"] == ["binary"]
+
+
+def test_packed_sets_are_restored():
+    import pyarrow as pa
+
+    sets = [[3, 9, 2**62], [], None, [0], [], [5, 6]]
+    batch = pa.record_batch({"x": [*range(6)], "grams": pa.array(sets, pa.list_(pa.int64()))})
+    packed, = sim._pack_sets([batch])
+    assert packed["grams"].is_valid().to_pylist() == [s is not None for s in sets]
+    known = packed["grams"].drop_null()
+    assert sim._unpack_sets(pa.chunked_array([known])).to_pylist() == [s for s in sets if s is not None]
+    assert packed["x"].to_pylist() == [*range(6)]
+
+
+def test_classes_in_reach_of_a_pending_one_meet_in_a_tile(spark, monkeypatch):
+    """Every pair within the band that has a pending class meets once; tiles out of reach go nowhere."""
+    monkeypatch.setattr(sim, "BLOCK", 5)
+    monkeypatch.setattr(sim, "BUNDLE", 2)
+    rng, rules = random.Random(2), sim.SimilarityRules()
+    rows = [(w, "en", int(100 * 1.02 ** rng.randrange(200)), f"k{i}", i, w == 1 and i % 50 == 0)
+            for i, w in enumerate(rng.choices([1, 2], k=400))]
+    classes = spark.createDataFrame(rows, "work_refid bigint, lang string, len int, text_key string, cid bigint, pending boolean")
+    placed = sim._placed(classes, rules).collect()
+    assert {r.work_refid for r in placed} == {1} and len(placed) < sum(r[0] == 1 for r in rows)
+    goes = {r.cid: {(m.a, m.b) for m in r.goes} for r in placed}
+    tile = {r.cid: r.tile for r in placed}
+    for w, _, length, _, i, asks in rows:
+        for w2, _, length2, _, j, _ in rows:
+            if asks and w == w2 and abs(length - length2) <= round(min(length, length2) * 0.08):
+                pair = (min(tile[i], tile[j]), max(tile[i], tile[j]))
+                assert pair in goes[i] and pair in goes[j]
+
+
 def test_enqueue_and_mark(spark, rows):
     work = spark.createDataFrame(
         [(1, "2016-01-01"), (2, "2016-01-01"), (3, None), (4, "2016-01-01"), (5, "2016-01-01")],
