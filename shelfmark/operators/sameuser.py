@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from shelfmark.sources.tables import materialize, shuffle_files_dropped
+
 LEAST_TEXTS = 2
 
 
@@ -34,12 +36,14 @@ def shared_texts(similar: DataFrame, reviews: DataFrame) -> DataFrame:
         .filter(F.col("site") != F.col("o_site"))
     )
     # A pair stands under its later review; both orders of two users are one evidence.
-    turned = pairs.select(
-        F.col("other_review_id").alias("review_id"), F.col("review_id").alias("other_review_id"),
-        F.col("o_user").alias("user"), F.col("o_site").alias("site"), F.col("user").alias("o_user"),
-        F.col("site").alias("o_site"))
-    return pairs.unionByName(turned).groupBy(
-        "user", "site", F.col("o_user").alias("other"), F.col("o_site").alias("other_site")
+    def way(review: str, user: str, site: str, other_review: str, other: str, other_site: str):
+        return F.struct(
+            F.col(review).alias("review_id"), F.col(user).alias("user"), F.col(site).alias("site"),
+            F.col(other_review).alias("other_review_id"), F.col(other).alias("other"), F.col(other_site).alias("other_site"))
+
+    there = ("review_id", "user", "site", "other_review_id", "o_user", "o_site")
+    return pairs.select(F.explode(F.array(way(*there), way(*there[3:], *there[:3]))).alias("way")).select("way.*").groupBy(
+        "user", "site", "other", "other_site"
     ).agg(F.least(F.count_distinct("review_id"), F.count_distinct("other_review_id")).alias("texts"))
 
 
@@ -60,7 +64,10 @@ def same_users(similar: DataFrame, reviews: DataFrame, least_texts: int = LEAST_
     ``similar``: review_id, other_review_id; ``reviews``: id, user_id, site_id. A user id
     belongs to one site. Pairs whose reviews have no user or site give no evidence.
     """
-    links = mutual_best(shared_texts(similar, reviews).filter(F.col("texts") >= least_texts))
+    # Pairs are found once; what follows reads the few users who agree.
+    with shuffle_files_dropped(reviews.sparkSession):
+        agreed = materialize(shared_texts(similar, reviews).filter(F.col("texts") >= least_texts), "agreed")
+    links = mutual_best(agreed)
     up = (
         links.filter("other_site < site").groupBy("user")
         .agg(F.min(F.struct("other_site", "other")).alias("to"), F.min("site").alias("site"))
