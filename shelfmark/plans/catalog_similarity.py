@@ -14,7 +14,7 @@ from shelfmark.plans.grams import GRAMS_SQL
 from shelfmark.plans.registry import query
 from shelfmark.plans.standins import NOW, Standins
 from shelfmark.plans.tables import layout
-from shelfmark.sources.tables import materialize, spread
+from shelfmark.sources.tables import materialize, shuffle_files_dropped, spread
 
 _PAIRS = f"""grams as (select *, {GRAMS_SQL} as g from review_t),
     pairs as (select r.id, o.id as other_id, r.site_id, o.site_id as other_site_id, r.review_date,
@@ -126,9 +126,11 @@ def pick_similar_indexed(s: Standins):
     classes = s.spark.createDataFrame([], layout("similar_class")).drop("load_audit_id")
     queue = None
     for first in (True, False):
-        queue = materialize(_batch(s, first), "queue")
-        added = materialize(sim.by_work(sim.index_members(queue, s.review_t(), members)), "member-lot")
-        texts = materialize(sim.by_work(sim.index_classes(added, s.review_t(), classes)), "class-lot")
+        # Once a lot is written, nothing reads its shuffle files again.
+        with shuffle_files_dropped(s.spark):
+            queue = materialize(_batch(s, first), "queue")
+            added = materialize(sim.by_work(sim.index_members(queue, s.review_t(), members)), "member-lot")
+            texts = materialize(sim.by_work(sim.index_classes(added, s.review_t(), classes)), "class-lot")
         members, classes = members.unionByName(added), classes.unionByName(texts)
     return sim.pick_indexed(queue, members, classes).withColumn("similarity", F.round("similarity", 6))
 
