@@ -10,6 +10,10 @@ Digests are reduced to distinct ones and joined with the cache. What misses is e
 per distinct content, appended to the cache, and the counts are joined back. Texts leave
 their partition only for the misses: where they are few, their digests (a checked number)
 go to the texts; otherwise texts are shuffled, equal ones merged beforehand.
+
+Under a byte-level tokenizer a text's count is the sum of those of its words, cut where no
+token reaches across. The library encodes each distinct word once while it is remembered;
+texts of mostly unknown words go to it whole.
 """
 
 from __future__ import annotations
@@ -21,18 +25,22 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType
 
-from shelfmark.llm.common import chunks, packed, prepared, saved
+from shelfmark.llm.common import chunks, packed, prepared, saved, text_bytes
 from shelfmark.session import shared_folder
 from shelfmark.sources.tables import _fs
 
 LIMIT = 512
 SENT_DIGESTS = 200_000  # misses whose digests (32 bytes each) may be sent to every worker
-SLICE_BYTES = 1 << 20  # of text in one call of the library
+SLICE_BYTES = 4 << 20  # of text counted at a time
 LONG = 1 << 20  # code points after which a text is encoded in parts
+KNOWN_WORDS = 1_000_000  # distinct words whose counts a worker remembers
+WORD_BYTES = 64  # of a remembered word at most
+NEW_WORDS = 0.25  # share of unknown words beyond which texts are encoded whole, which is cheaper then
 RULE = "1"  # of normal forms; part of a tokenizer's digest
 
 
@@ -76,6 +84,10 @@ class JsonTokenizer:
             " " in t["content"] or t.get("lstrip") or t.get("rstrip") or t.get("single_word")
             for t in layout.get("added_tokens") or [])
         self.prefixed = bool(splits) and splits[0].get("add_prefix_space", True)
+        # No word begins inside an added token or beside one of its signs.
+        self._word_kinds = _KINDS.copy()
+        self._word_kinds[[b for t in self._added for b in t.encode() if _KINDS[b] == 2]] = 0
+        self._known: dict[bytes, int] = {}
 
     def normal(self, text: str) -> tuple[bool, str]:
         """Whether the normal form differs in kind from the text, and the form itself.
@@ -88,15 +100,41 @@ class JsonTokenizer:
         return True, self.tokenizer.normalizer.normalize_str(text)
 
     def counts(self, texts: list[str]) -> list[int]:
-        parts = [p for t in texts for p in self._parts(t)]
-        sizes = [len(e.ids) for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        if len(parts) == len(texts):
+        if not self.cuts or self.prefixed:
+            return self._encoded(texts)
+        return self._by_words(texts)
+
+    def _by_words(self, texts: list[str]) -> list[int]:
+        """How many tokens each text has, as the sum of its words'."""
+        data, offsets = text_bytes(pa.array(texts, pa.large_string()))
+        raw = np.frombuffer(data, dtype=np.uint8)
+        starts = np.flatnonzero(_word_starts(raw, offsets, self._word_kinds))
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(data)]
+        ).dictionary_encode()
+        if len(self._known) > KNOWN_WORDS:
+            self._known.clear()
+        values, known = words.dictionary.to_pylist(), self._known
+        new = [w for w in values if w not in known]
+        if len(new) > NEW_WORDS * len(starts):
+            return self._encoded(texts)
+        fresh = dict(zip(new, self._encoded([w.decode() for w in new]), strict=True))
+        sizes = np.fromiter((fresh[w] if w in fresh else known[w] for w in values), np.int64, len(values))
+        known.update((w, n) for w, n in fresh.items() if len(w) <= WORD_BYTES)
+        total = np.concatenate([[0], np.cumsum(sizes[words.indices.to_numpy()])])
+        return np.diff(total[np.searchsorted(starts, offsets)]).tolist()
+
+    def _encoded(self, texts: list[str]) -> list[int]:
+        """How many ids the library gives each text."""
+        parts = [self._parts(t) for t in texts]
+        flat = [p for some in parts for p in some]
+        sizes = [len(e) for e in self.tokenizer.encode_batch_fast(flat, add_special_tokens=False)]
+        if len(flat) == len(texts):
             return sizes
         out, at = [], 0
-        for t in texts:
-            n = len(self._parts(t))
-            out.append(sum(sizes[at:at + n]))
-            at += n
+        for some in parts:
+            out.append(sum(sizes[at:at + len(some)]))
+            at += len(some)
         return out
 
     def _parts(self, text: str) -> list[str]:
@@ -112,6 +150,35 @@ class JsonTokenizer:
 # Between a letter or digit and a space before a letter.
 _CUT = re.compile(r"[^\W_] (?=[^\W\d_])")
 
+# ASCII letters and digits (1) and signs (2); the apostrophe, which contractions begin with, is neither.
+_KINDS = np.zeros(256, dtype=np.uint8)
+_KINDS[[b for b in range(128) if chr(b).isalnum()]] = 1
+_KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = 2
+# Visible ASCII; first bytes of characters of two bytes that are no white space.
+_VISIBLE = np.zeros(256, dtype=bool)
+_VISIBLE[33:127] = True
+_PAIRED = np.zeros(256, dtype=bool)
+_PAIRED[0xC3:0xE0] = True
+
+
+def _word_starts(raw: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Marks where words begin that the byte-level split never joins to what is before.
+
+    That is at the begin of a text, at a single space between two visible characters, which
+    is split off with what follows it, and between a letter or digit and a sign.
+    """
+    begins = np.zeros(len(raw) + 1, dtype=bool)
+    begins[offsets] = True
+    begins = begins[:len(raw)]
+    if len(raw) < 2:
+        return begins
+    kind = kinds[raw]
+    begins[1:] |= (kind[1:] ^ kind[:-1]) == 3
+    before, after = _VISIBLE[raw], _VISIBLE[raw] | _PAIRED[raw]
+    before[1:] |= _PAIRED[raw[:-1]]
+    begins[1:-1] |= (raw[1:-1] == 32) & before[:-2] & after[2:]
+    return begins
+
 
 class PieceTokenizer:
     """A tokenizer of the sentencepiece library; texts stand for themselves."""

@@ -90,3 +90,47 @@ def test_report_and_empty_table(docs, cache):
     empty = counts.own_cache(docs([]).sparkSession, "test-counts")
     assert counts.count_report(docs([]), BYTE_TOKENIZER, empty).count() == 0
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_TOKENIZER
+
+
+SIGNS = [
+    "a", "été", "ÀÉ", "don't", "'s", "'", "-'ll", "12", "½", "_", "x_y", "!?", ".", "(", " ", "  ", "\n", "\t", "\r\n", "\x00", "\x1c",
+    "\x7f", "\x85", "\u00a0", "\u2003", "\u3000", "日本", "\U0001f600", "e\u0301", LATE_IDS, "<|", "|>", "<", "endoftext"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_words_give_the_counts_of_the_library(monkeypatch, seed):
+    monkeypatch.setattr(counts, "NEW_WORDS", 1)
+    rnd = random.Random(seed)
+    texts = ["".join(rnd.choice(SIGNS) + rnd.choice(["", " "]) for _ in range(rnd.randrange(60))) for _ in range(400)]
+    library = Tokenizer.from_file(BYTE_TOKENIZER)
+    expected = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert counts.JsonTokenizer(BYTE_TOKENIZER).counts(texts) == expected
+
+
+@pytest.mark.parametrize("most", [1_000_000, 10])
+def test_words_are_encoded_once(monkeypatch, most):
+    monkeypatch.setattr(counts, "KNOWN_WORDS", most)
+    one = counts.JsonTokenizer(BYTE_TOKENIZER)
+    library, given = one.tokenizer, []
+
+    class Watched:
+        def encode_batch_fast(self, parts, **how):
+            given.extend(parts)
+            return library.encode_batch_fast(parts, **how)
+
+    one.tokenizer = Watched()
+    rnd = random.Random(1)
+    words = [f"wörd{i}" for i in range(40)] + ["x" * 100]
+    texts = [" ".join(rnd.choice(words) + rnd.choice(["", ",", "."]) for _ in range(200)) for _ in range(50)]
+    for part in (texts[:25], texts[25:]):
+        assert one.counts(part) == [len(library.encode(t, add_special_tokens=False).ids) for t in part]
+    assert sum(map(len, given)) < sum(map(len, texts)) / 20
+    # Long words are not remembered.
+    assert all(len(w) <= counts.WORD_BYTES for w in one._known) and any("x" * 100 in w for w in given)
+
+
+def test_texts_of_unknown_words_are_encoded_whole():
+    one = counts.JsonTokenizer(BYTE_TOKENIZER)
+    texts = [" ".join(f"{i}x{j}" for j in range(50)) for i in range(20)]
+    assert one.counts(texts) == [len(one.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert not one._known
