@@ -9,10 +9,12 @@ threshold. The result is exact; all pairs of a group are never listed:
 2. Classes meet only inside (work, language) and a band of lengths. Blocks of bounded size
    are cut along the length, from counts alone; neighbouring blocks form a tile, and only
    tiles within reach of one that holds a review not processed yet are read.
-3. A set moves packed: once to its block, where the sets become slices of lists of places,
-   and with the block to the tasks that compare its tile with another one. There products
-   of matrices give all shared trigrams of two slices within reach of each other at once.
-   Groups of all sizes go this one way.
+3. Sets are built where the texts are read, if most are needed and the splits are even;
+   otherwise texts are dealt out first.
+4. A set moves packed: to its class, once to its block, where the sets become slices of
+   lists of places, and with the block to the tasks that compare its tile with another one.
+   There products of matrices give all shared trigrams of two slices within reach of each
+   other at once. Groups of all sizes go this one way.
 
 With a kept index (``pick_indexed``) a batch adds its own reviews and the trigram sets of
 texts not met before, and reads, besides those, only sets of works with a pending review
@@ -182,22 +184,34 @@ def text_classes(members: DataFrame) -> DataFrame:
     return members.groupBy(*CLASS_KEY).agg(F.min("id").alias("cid"), F.max("pending").alias("pending"))
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """Rows with the packed trigram set of their review, and its size, in its place."""
+    spark = rows.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    rows = rows.withColumn("grams", F.sort_array(trigrams("review"))).withColumn("n", F.size("grams")).drop("review")
+    layout = [StructField(f.name, BinaryType() if f.name == "grams" else f.dataType) for f in rows.schema.fields]
+    return rows.mapInArrow(_pack_sets, StructType(layout))
+
+
 def _with_sets(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Classes with the packed trigram set of the text (cid, review) of their review ``cid``, and its size."""
     # The trigram sets are the expensive part. After a shuffled join the rows are
     # partitioned by class already and no exchange is added; after a broadcast the texts
     # are spread over all cores.
-    spark = classes.sparkSession
-    ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    rows = (
-        spread(classes.join(texts, "cid"), "cid")
-        .withColumn("grams", F.sort_array(trigrams("review")))
-        .withColumn("n", F.size("grams"))
-        .drop("review")
-    )
-    layout = [StructField(f.name, BinaryType() if f.name == "grams" else f.dataType) for f in rows.schema.fields]
-    return rows.mapInArrow(_pack_sets, StructType(layout))
+    return _packed(spread(classes.join(texts, "cid"), "cid"))
+
+
+def _built_where_read(classes: DataFrame, texts: DataFrame) -> bool:
+    """Whether sets are built where the texts are read, so that texts do not move.
+
+    That is so if at least half of the texts need one and the splits hold about equal
+    parts; both are counts, for which no text is read.
+    """
+    split = texts.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("many"))
+    total, most = split.agg(F.sum("many"), F.max("many")).first()
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return total is not None and most * cores <= 2 * total <= 4 * classes.count()
 
 
 def _pack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +226,7 @@ def _pack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steps[firsts] = values[firsts]
         data, start, packed = memoryview(steps.tobytes()), 0, []
         for end, known in zip(ends.tolist(), sets.is_valid().to_pylist(), strict=True):
-            packed.append(zlib.compress(data[8 * start:8 * end], 1) if known else None)
+            packed.append(zlib.compress(data[8 * start:8 * end]) if known else None)
             start = end
         i = batch.schema.get_field_index("grams")
         yield batch.set_column(i, "grams", pa.array(packed, pa.binary()))
@@ -431,9 +445,13 @@ def pick_similar(
     """For every pending review the lowest-numbered earlier review it is similar to."""
     members = _step(text_members(queue, reviews, rules), "members")
     classes = _step(text_classes(members), "classes")
-    texts = reviews.select(F.col("id").alias("cid"), "site_id", "review")
-    matches = _matches(classes, lambda placed: _with_sets(placed, texts.drop("site_id")), rules)
-    return _answers(members, classes.join(texts.drop("review"), "cid"), matches)
+    texts = reviews.select(F.col("id").alias("cid"), "review")
+    if _built_where_read(classes, texts):
+        matches = _matches(classes, lambda placed: placed.join(_packed(texts), "cid"), rules)
+    else:
+        matches = _matches(classes, lambda placed: _with_sets(placed, texts), rules)
+    sites = reviews.select(F.col("id").alias("cid"), "site_id")
+    return _answers(members, classes.join(sites, "cid"), matches)
 
 
 def _answers(members: DataFrame, classes: DataFrame, matches: DataFrame) -> DataFrame:

@@ -189,6 +189,61 @@ def test_sets_are_written_in_blocks_only(spark, monkeypatch):
     assert {name for name, types in held.items() if types} == {"blocks"} and held["blocks"] == ["binary"]
 
 
+def joined_texts(frame):
+    """Whether a join of the frame's plan gives texts on."""
+    def joins(node):
+        children = node.children()
+        below = [x for i in range(children.size()) for x in joins(children.apply(i))]
+        return below + ([node.output().mkString(",")] if node.nodeName() == "Join" else [])
+
+    found = joins(frame._jdf.queryExecution().optimizedPlan())
+    assert found
+    return any("review#" in columns for columns in found)
+
+
+@pytest.mark.parametrize("case", ["even", "uneven", "few"])
+def test_texts_stay_where_they_are_read(spark, monkeypatch, case):
+    """Sets are built in the scan if most texts need one and the splits are even; texts move otherwise."""
+    made, write = {}, sim.materialize
+
+    def noted(df, name):
+        made[name] = joined_texts(df) if name == "blocks" else None
+        return write(df, name)
+
+    monkeypatch.setattr(sim, "materialize", noted)
+    reviews = make_reviews(41, 120, 0.4)
+    rows = reviews + [(100000 + i, 9, 1, "short", "en") for i in range(500 if case == "few" else 0)]
+    df = spark.createDataFrame(rows, "id bigint, work_refid bigint, site_id int, review string, review_lang string")
+    df = df.coalesce(1) if case == "uneven" else df
+    queue = df.select("work_refid", F.col("id").alias("review_id"), F.length("review").alias("text_length"),
+                      "review_lang", F.lit(None).cast("timestamp").alias("date_processed"))
+    found = sim.pick_similar(queue, df).collect()
+    got = {r.review_id: (r.site_id, r.other_site_id, r.other_review_id, round(r.similarity, 9)) for r in found}
+    assert got == brute_force(reviews) and len(found) == len(got)
+    assert made["blocks"] == (case != "even")
+
+
+def test_sets_built_where_read_of_odd_rows(spark, rows, monkeypatch):
+    """Repeated rows and ids, one id with two texts, null texts, ids and languages: both ways give the same."""
+    reviews = make_reviews(43, 60, 0.6)
+    odd = reviews + reviews[:20] + [(r[0], r[1], r[2], reviews[i + 1][3], r[4]) for i, r in enumerate(reviews[20:30])]
+    odd += [(r[0] + 1, r[1], r[2], None, "en") for r in reviews[:5]] + [(None, 1, 1, r[3], "en") for r in reviews[:3]]
+    odd += [(5000 + i, 1, 1, "-" * 150, "en") for i in range(3)]
+    df = spark.createDataFrame(odd, "id bigint, work_refid bigint, site_id int, review string, review_lang string")
+    queue = df.select("work_refid", F.col("id").alias("review_id"), F.length("review").alias("text_length"),
+                      "review_lang", F.lit(None).cast("timestamp").alias("date_processed"))
+    found = []
+    for here in (True, False):
+        monkeypatch.setattr(sim, "_built_where_read", lambda *_, here=here: here)
+        found.append(rows(sim.pick_similar(queue, df)))
+    assert found[0] == found[1] and found[0]
+
+
+def test_built_where_read_without_rows(spark):
+    nothing = spark.createDataFrame([], "cid bigint, review string")
+    assert not sim._built_where_read(nothing.select("cid"), nothing)
+
+
 def test_packed_sets_are_restored():
     import pyarrow as pa
 
