@@ -446,10 +446,14 @@ def pick_similar(
     members = _step(text_members(queue, reviews, rules), "members")
     classes = _step(text_classes(members), "classes")
     texts = reviews.select(F.col("id").alias("cid"), "review")
-    if _built_where_read(classes, texts):
-        matches = _matches(classes, lambda placed: placed.join(_packed(texts), "cid"), rules)
-    else:
-        matches = _matches(classes, lambda placed: _with_sets(placed, texts), rules)
+
+    def with_sets(placed: DataFrame) -> DataFrame:
+        placed = _step(placed, "placed")
+        if _built_where_read(placed, texts):
+            return placed.join(_packed(texts), "cid")
+        return _with_sets(placed, texts)
+
+    matches = _matches(classes, with_sets, rules)
     sites = reviews.select(F.col("id").alias("cid"), "site_id")
     return _answers(members, classes.join(sites, "cid"), matches)
 

@@ -201,9 +201,9 @@ def joined_texts(frame):
     return any("review#" in columns for columns in found)
 
 
-@pytest.mark.parametrize("case", ["even", "uneven", "few"])
+@pytest.mark.parametrize("case", ["even", "uneven", "few", "out of reach"])
 def test_texts_stay_where_they_are_read(spark, monkeypatch, case):
-    """Sets are built in the scan if most texts need one and the splits are even; texts move otherwise."""
+    """Sets are built in the scan if most texts need one and the splits are even; texts of classes move otherwise."""
     made, write = {}, sim.materialize
 
     def noted(df, name):
@@ -215,11 +215,18 @@ def test_texts_stay_where_they_are_read(spark, monkeypatch, case):
     rows = reviews + [(100000 + i, 9, 1, "short", "en") for i in range(500 if case == "few" else 0)]
     df = spark.createDataFrame(rows, "id bigint, work_refid bigint, site_id int, review string, review_lang string")
     df = df.coalesce(1) if case == "uneven" else df
-    queue = df.select("work_refid", F.col("id").alias("review_id"), F.length("review").alias("text_length"),
-                      "review_lang", F.lit(None).cast("timestamp").alias("date_processed"))
+    processed = set()
+    if case == "out of reach":
+        monkeypatch.setattr(sim, "BLOCK", 2)
+        monkeypatch.setattr(sim, "BUNDLE", 2)
+        longest = max((r for r in reviews if r[4]), key=lambda r: len(r[3]))[0]
+        processed = {r[0] for r in reviews} - {longest}
+    queue = df.select(
+        "work_refid", F.col("id").alias("review_id"), F.length("review").alias("text_length"), "review_lang",
+        F.when(F.col("id").isin(*processed, -5), F.lit("2016-01-01").cast("timestamp")).alias("date_processed"))
     found = sim.pick_similar(queue, df).collect()
     got = {r.review_id: (r.site_id, r.other_site_id, r.other_review_id, round(r.similarity, 9)) for r in found}
-    assert got == brute_force(reviews) and len(found) == len(got)
+    assert got == brute_force(reviews, processed) and len(found) == len(got)
     assert made["blocks"] == (case != "even")
 
 
